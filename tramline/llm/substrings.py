@@ -25,7 +25,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 #: Rows of the count-min sketch.
 DEPTH = 2
@@ -34,21 +33,40 @@ BLOCK = 22
 #: Characters of text in a bundle, about.
 BUNDLE_CHARS = 8_000_000
 LAST = np.iinfo(np.int64).max
+#: The odd bases of the two word hashes.
+BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-def tokens(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(vocabulary, code of each word, offsets of the texts in the codes)."""
-    texts = pc.fill_null(texts, "")
-    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+def words_at(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, where words start, where they end, number of the
+    first word of each text and of one beyond the last)."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
     texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
-    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-    offsets = np.asarray(lists.offsets, np.int64)
-    flat = lists.flatten()
-    full = np.asarray(pc.greater(pc.binary_length(flat), 0))
-    before = np.concatenate(([0], np.cumsum(full)))
-    coded = pc.dictionary_encode(flat.filter(pa.array(full)))
-    names = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    return names, np.asarray(coded.indices, np.int64), before[offsets - offsets[0]]
+    bounds = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    inside = ~BLANK[data]
+    left, right = np.ones(len(data), bool), np.ones(len(data), bool)  # next to a blank or an end of a text
+    left[1:], right[:-1] = ~inside[:-1], ~inside[1:]
+    cuts = bounds[(bounds > 0) & (bounds < len(data))]
+    left[cuts], right[cuts - 1] = True, True
+    starts, ends = np.flatnonzero(inside & left), np.flatnonzero(inside & right) + 1
+    return data, starts, ends, np.searchsorted(starts, bounds)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """A 64-bit hash of each word: its polynomial in the odd ``base``, stirred."""
+    out, back = [], pow(base, -1, 1 << 64)
+    for k in range(0, len(starts), 1 << 16):
+        s, e = starts[k : k + (1 << 16)], ends[k : k + (1 << 16)]
+        s, e, part = s - s[0], e - s[0], data[s[0] : e[-1]].astype(np.uint64) + np.uint64(1)
+        n = len(part)
+        up, down = np.full(n, base, np.uint64), np.full(n, back, np.uint64)
+        up[0] = down[0] = 1
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part * np.cumprod(up))))
+        out.append((sums[e] - sums[s]) * np.cumprod(down)[s])
+    return mixed(np.concatenate(out), base) if out else np.empty(0, np.uint64)
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -63,23 +81,25 @@ class Windows:
     """The windows of a bundle: where they start, their documents and hashes."""
 
     def __init__(self, table: pa.Table, id_col: str, size: int):
-        table = table.combine_chunks()
+        # the order in which a shuffle hands out rows differs between reads
+        table = table.sort_by([(id_col, "ascending"), ("text", "ascending")]).combine_chunks()
         self.size, self.table = size, table
-        self.names, self.codes, self.offsets = tokens(table.column("text"))
+        self.data, self.word, self.end, self.offsets = words_at(table.column("text"))
         self.ids = np.asarray(pc.fill_null(table.column(id_col), LAST), np.int64)
-        n, lens = len(self.codes), np.diff(self.offsets)
+        n, lens = len(self.word), np.diff(self.offsets)
         owner = np.repeat(np.arange(len(lens)), lens)
         fits = self.offsets[1:][owner] - np.arange(n) >= size
         self.start = np.flatnonzero(fits)
         self.owner = owner[self.start]
-        self.h1, self.h2 = self.hashed(1), self.hashed(2).astype(np.uint32)
+        self.h1, self.h2 = self.hashed(0), self.hashed(1).astype(np.uint32)
 
-    def hashed(self, seed: int) -> np.ndarray:
-        word = np.array([xxh64_intdigest(w, seed) for w in self.names], np.uint64)[self.codes] if len(self.names) else np.empty(0, np.uint64)
-        total = np.zeros(len(self.start), np.uint64)
-        for j, by in enumerate(np.random.default_rng(seed).integers(1, 2**63, self.size, np.uint64)):
-            total += word[self.start + j] * (by * np.uint64(2) + np.uint64(1))
-        return mixed(total, seed)
+    def hashed(self, which: int) -> np.ndarray:
+        word = word_hashes(self.data, self.word, self.end, BASES[which])
+        n = max(0, len(word) - self.size + 1)
+        total = np.zeros(n, np.uint64)
+        for j, by in enumerate(np.random.default_rng(which).integers(1, 2**63, self.size, np.uint64)):
+            total += word[j : j + n] * (by * np.uint64(2) + np.uint64(1))
+        return mixed(total[self.start], which)
 
     def cells(self, row: int, bits: int) -> np.ndarray:
         """The cell of each window in a row of a sketch of 2**bits cells."""
@@ -191,8 +211,8 @@ def covered(w: Windows, answers: pa.Table) -> np.ndarray:
     later = np.empty(len(order), bool)
     later[order] = (bit[number] == 0) | (ids > ids[first][number])
     begun = w.start[found][later]
-    edges = np.bincount(begun, minlength=len(w.codes) + w.size + 1) - np.bincount(begun + w.size, minlength=len(w.codes) + w.size + 1)
-    return np.cumsum(edges)[: len(w.codes)] > 0
+    edges = np.bincount(begun, minlength=len(w.word) + w.size + 1) - np.bincount(begun + w.size, minlength=len(w.word) + w.size + 1)
+    return np.cumsum(edges)[: len(w.word)] > 0
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13, depth: int = DEPTH, bundle_chars: int = BUNDLE_CHARS, keep_text: bool = False) -> DataFrame:
@@ -229,10 +249,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         w = Windows(left, id_col, size)
         gone = covered(w, right)
         ids, n, out = w.table.column(id_col), np.diff(w.offsets), []
-        for k in range(len(n)):
-            s, e = w.offsets[k], w.offsets[k + 1]
-            kept = w.codes[s:e][~gone[s:e]]
-            out.append(b" ".join([w.names[c] for c in kept.tolist()]))
+        for s, e in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist(), strict=True):
+            keep = s + np.flatnonzero(~gone[s:e])
+            if len(keep) == e - s:
+                out.append(b" ".join(w.data[w.word[s] : w.end[e - 1]].tobytes().split()) if e > s else b"")
+            else:
+                first, text = w.word[s], w.data[w.word[s] : w.end[e - 1]].tobytes()
+                out.append(b" ".join([text[x:y] for x, y in zip((w.word[keep] - first).tolist(), (w.end[keep] - first).tolist(), strict=True)]))
         removed = np.add.reduceat(np.append(gone, False), w.offsets[:-1]) * (n > 0) if len(n) else n
         columns = {id_col: ids.cast(pa.int64()), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(removed.astype(np.int64)), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in out], pa.string())}
         if keep_text:
