@@ -4,20 +4,68 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, substrings
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from . import chat, lines, packing, pii, quality, simhash, substrings, urls
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql("""
+        select cast(conv_id as long) conv_id, cast(turn as long) turn, role, '</s>[INST] ok [/INST]' text
+        from values (-7, 0, 'user'), (-7, 1, 'assistant') as t(conv_id, turn, role)""")
+    return chat.digests(chat.format_conversations(turns.union(extra)))
+
+
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    return quality.judge(table(spark, sf_dir, "documents"), trusted)
+
+
+#: Words in a host that put all pages of the host on the list of ``op9``.
+LISTED_HOSTS = ("adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: the canonical URLs of pages on hosts named in LISTED_HOSTS."""
+    pages = table(spark, sf_dir, "pages")
+    host, path = urls.host_and_path(F.col("url"))
+    bad = reduce(lambda a, b: a | b, [F.contains(host, F.lit(f"{x}.")) for x in LISTED_HOSTS])
+    listed = pages.where(bad).select(urls.canonical(host, path).alias("canonical"))
+    return urls.judge(pages, listed)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_chat_format": op4_chat_format,
+    "op6_best_fit": op6_best_fit,
+    "op7_pii": op7_pii,
+    "op8_quality": op8_quality,
+    "op9_url_filter": op9_url_filter,
     "op10_simhash": op10_simhash,
 }
 
@@ -32,5 +80,38 @@ gone as (select doc_id, list_distinct(flatten(list_transform(ks, k -> range(k, k
 k as (select w.doc_id, w.w, coalesce(g, []) as g from w left join gone using (doc_id)),
 kept as (select doc_id, len(w) as n_words, len(g) as n_removed, array_to_string(list_transform(list_filter(list_zip(w, range(0, len(w))), x -> not list_contains(g, x[2])), x -> x[1]), ' ') as t from k)
 select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed, sha256(t) as kept_sha256 from kept
+""",
+    "op4_chat_format": r"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e as (
+  select *, replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;') as r,
+    replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;') as x from t)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length(replace(r, chr(10), '&#10;')) + length(x) + length('<|im_start|>' || '<|im_end|>') + 2)::bigint as formatted_chars
+from e group by conv_id
+""",
+    "op9_url_filter": r"""
+with p as (
+  select page_id, case when strpos(coalesce(url, ''), '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, regexp_extract(rest, '^([^/?#]*)', 1) as raw, rest from p),
+u as (
+  select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) as path from h),
+r(rule, rule_host, rule_path, says) as (values ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+c as (select *, regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '^(?:www|m)\.', '') || regexp_replace(path, '/+$', '') as canonical from u),
+listed as (select distinct canonical from c where contains(host, 'adult-x.') or contains(host, 'casino-win.')
+  or contains(host, 'cheap-pills.') or contains(host, 'free-bets.') or contains(host, 'spam-farm.')),
+best as (
+  select page_id, arg_max(rule, length(rule)) as rule, arg_max(says, length(rule)) as says
+  from u join r on (u.host = rule_host or ends_with(u.host, '.' || rule_host)) and starts_with(u.path, rule_path) group by page_id)
+select c.page_id, host, path, rule,
+  coalesce(says, case when canonical in (select canonical from listed) then 'block' else 'allow' end) as verdict
+from c left join best using (page_id)
 """,
 }

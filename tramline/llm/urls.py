@@ -42,7 +42,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, UPPER, LOWER), F.regexp_extract(tail, r"(?s)^([^?#]*)", 1)
 
 
-def canonical(host: Column, path: Column, url: Column) -> Column:
+def canonical(host: Column, path: Column) -> Column:
     """One form for spellings of a page: no scheme, ``www.`` or ``m.``, port,
     fragment, query or trailing slash."""
     host = F.regexp_replace(F.regexp_replace(host, r":[0-9]*$", ""), r"^(?:www|m)\.", "")
@@ -78,7 +78,6 @@ def may_contain(rows: DataFrame, key: str, flt: DataFrame, blocks: int) -> DataF
     """``rows`` with a boolean ``possible``: false means surely not listed."""
     block, lanes = block_and_lanes(F.col(key), blocks)
     probed = rows.withColumn("_block", block).withColumn("_mask", lanes)
-    # a null block would meet all others of its kind in one task; rows without a key are spread
     probed = probed.join(flt.toDF("_block", "_lanes"), "_block", "left")
     hit = F.forall(F.zip_with("_mask", "_lanes", lambda a, b: a.bitwiseAND(b) == a), lambda x: x)
     return probed.withColumn("possible", F.coalesce(hit, F.lit(False))).drop("_block", "_mask", "_lanes")
@@ -98,7 +97,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, s
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"), canonical(F.col("host"), F.col("path"), F.lit("")).alias("canonical"))
+    rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"), canonical(F.col("host"), F.col("path")).alias("canonical"))
     out = ["page_id", "host", "path", "rule"]
     sure = rows.where("ruled is not null").select(*out, F.col("ruled").alias("verdict"))
     probed = may_contain(rows.where("ruled is null"), "canonical", bloom(listed, "canonical", blocks), blocks)
