@@ -53,7 +53,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     least halve. Only aggregates and equi-joins; no adjacency list is built,
     and each round's tables are written to the shared folder.
     """
-    edges = edges.where("a is not null and b is not null")
+    edges = written(edges.where("a is not null and b is not null"))
     labels = written(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
     links = written(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     for _ in range(most_rounds):

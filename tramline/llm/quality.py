@@ -24,7 +24,8 @@ WINDOW = 8
 
 
 def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
+    """``body(value)`` with ``value`` computed once, also where the body's own
+    lambdas refer to it (an expression there is computed for each element)."""
     return F.transform(F.array(value), body)[0]
 
 
@@ -43,9 +44,11 @@ def repeated_words(w: Column, size: int = WINDOW) -> Column:
         step = lambda a, p: F.struct(p.alias("last"), (a["total"] + F.least(F.lit(size), p - a["last"])).alias("total"))
         return F.aggregate(let(pairs, at), start, step, lambda a: a["total"])
 
-    hashes = F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.xxhash64(F.slice(w, i, size)))
-    counted = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
-    return F.when(F.size(w) < size, F.lit(0)).otherwise(counted).cast("long")
+    def counted(w: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.xxhash64(F.slice(w, i, size)))
+        return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
+
+    return let(w, lambda w: F.when(F.size(w) < size, F.lit(0)).otherwise(counted(w))).cast("long")
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,10 +73,10 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def features(w: Column, buckets: int = BUCKETS) -> Column:
     """The hash buckets of a text's n-grams, repeats included."""
     bucket = lambda *x: F.pmod(F.xxhash64(*x), F.lit(buckets)).cast("int")
-    one = F.transform(w, lambda x: bucket(x))
-    two = F.transform(w, lambda x, i: bucket(x, F.coalesce(F.get(w, i + 1), F.lit(""))))
-    end = F.transform(w, lambda x: bucket(F.right(x, F.lit(3)), F.lit(3)))
-    return F.concat(one, two, end)
+    one = lambda w: F.transform(w, lambda x: bucket(x))
+    two = lambda w: F.transform(w, lambda x, i: bucket(x, F.coalesce(F.get(w, i + 1), F.lit(""))))
+    end = lambda w: F.transform(w, lambda x: bucket(F.right(x, F.lit(3)), F.lit(3)))
+    return let(w, lambda w: F.concat(one(w), two(w), end(w)))
 
 
 def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = 1.0) -> DataFrame:
