@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from . import chat, lines, packing, pii, quality, simhash, substrings, urls
+from . import chat, html, latent, lines, packing, pii, quality, simhash, substrings, urls
 from .common import table
 
 
@@ -20,6 +20,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.sql("""
@@ -60,8 +68,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_chat_format": op4_chat_format,
+    "op5_html_extract": op5_html_extract,
     "op6_best_fit": op6_best_fit,
     "op7_pii": op7_pii,
     "op8_quality": op8_quality,

@@ -38,15 +38,16 @@ BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-def words_at(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_at(texts: pa.Array, blank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes of all texts, where words start, where they end, number of the
-    first word of each text and of one beyond the last)."""
+    first word of each text and of one beyond the last). ``blank``: the bytes
+    that separate words, ASCII white space if absent."""
     texts = pc.fill_null(texts, "").cast(pa.large_binary())
     texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
     bounds = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
-    inside = ~BLANK[data]
+    inside = ~(BLANK if blank is None else blank)[data]
     left, right = np.ones(len(data), bool), np.ones(len(data), bool)  # next to a blank or an end of a text
     left[1:], right[:-1] = ~inside[:-1], ~inside[1:]
     cuts = bounds[(bounds > 0) & (bounds < len(data))]
