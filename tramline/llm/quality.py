@@ -70,13 +70,26 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def features(w: Column, buckets: int = BUCKETS) -> Column:
-    """The hash buckets of a text's n-grams, repeats included."""
-    bucket = lambda *x: F.pmod(F.xxhash64(*x), F.lit(buckets)).cast("int")
-    one = lambda w: F.transform(w, lambda x: bucket(x))
-    two = lambda w: F.transform(w, lambda x, i: bucket(x, F.coalesce(F.get(w, i + 1), F.lit(""))))
-    end = lambda w: F.transform(w, lambda x: bucket(F.right(x, F.lit(3)), F.lit(3)))
-    return let(w, lambda w: F.concat(one(w), two(w), end(w)))
+def bucket(*x: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*x), F.lit(buckets)).cast("int")
+
+
+def of_word(word: Column, following: Column, buckets: int = BUCKETS) -> Column:
+    """The features that a word and the word after it give."""
+    end = bucket(F.right(word, F.lit(3)), F.lit(3), buckets=buckets)
+    return F.array(bucket(word, buckets=buckets), bucket(word, following, buckets=buckets), end)
+
+
+def word_rows(rows: DataFrame, *keep: str) -> DataFrame:
+    """A row for each word of ``w``: the ``keep`` columns, word, following.
+
+    Exploding first leaves the hashing to generated code, which is several
+    times faster than lambdas over arrays. A text without words gives a row of
+    nulls.
+    """
+    following = F.concat(F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), F.array(F.lit("")))
+    pairs = rows.select(*keep, F.explode_outer(F.arrays_zip(F.col("w").alias("word"), following.alias("following"))).alias("p"))
+    return pairs.select(*keep, "p.word", "p.following")
 
 
 def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = 1.0) -> DataFrame:
@@ -87,8 +100,10 @@ def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     """
     ids = trusted.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_good", F.lit(1))
     text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    marked = text.join(ids, "_id", "left").select(F.coalesce("_good", F.lit(0)).alias("good"), features(words(F.col("_t")), buckets).alias("f"))
-    counts = marked.select("good", F.explode("f").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
+    marked = text.join(ids, "_id", "left").select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
+    pairs = word_rows(marked.where(F.size("w") > 0), "good")
+    grams = pairs.select("good", F.explode(of_word(F.col("word"), F.col("following"), buckets)).alias("bucket"))
+    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     counts = written(counts)
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).head()
     share = lambda c, n: F.log((F.coalesce(F.col(c), F.lit(0)) + smoothing) / F.lit(n + smoothing * buckets))
@@ -110,13 +125,15 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     """
     fitted = written(model(docs, trusted, id_col, text_col, buckets))
     ratios = fitted.select("ratios").scalar()
-    counted = base_counts(docs, id_col, text_col).withColumn("r", ratios)
-    total = F.aggregate(features(F.col("w"), buckets), F.lit(0.0), lambda a, f: a + F.get("r", f))
-    score = F.when(F.col("n_words") == 0, F.lit(0.0)).otherwise(total / (3 * F.col("n_words")))
-    return counted.withColumn("score", score).select(
-        id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score",
-        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
-    )
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    # the counts go along as grouping columns: a row is summed where it was read
+    keyed = base_counts(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    pairs = word_rows(keyed, "row", id_col, *counts).withColumn("f", of_word(F.col("word"), F.col("following"), buckets)).withColumn("r", ratios)
+    ratio = lambda k: F.get("r", F.get("f", F.lit(k)))
+    each = F.when(F.col("word").isNull(), F.lit(0.0)).otherwise(ratio(0) + ratio(1) + ratio(2))
+    total = pairs.groupBy("row", id_col, *counts).agg(F.sum(each).alias("total"))
+    score = F.when(F.col("n_words") == 0, F.lit(0.0)).otherwise(F.col("total") / (3 * F.col("n_words")))
+    return total.withColumn("score", score).select(id_col, *counts, "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -131,7 +148,10 @@ def drop_rejected(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     """
     fitted = written(model(docs, trusted))
     ratios = fitted.select("ratios").scalar()
-    w = words(F.col("text"))
-    total = F.aggregate(features(F.col("_w")), F.lit(0.0), lambda a, f: a + F.get(ratios, f))
+    # by lambdas, since the text has to stay with its row
+    grams = F.transform(F.col("_w"), lambda x, i: of_word(x, F.coalesce(F.get("_w", i + 1), F.lit(""))))
+    ratio = lambda f, k: F.get("_r", F.get(f, F.lit(k)))
+    total = F.aggregate(grams, F.lit(0.0), lambda a, f: a + ratio(f, 0) + ratio(f, 1) + ratio(f, 2))
     good = (F.col("_n") >= 20) & (100 * repeated_words(F.col("_w")) <= 30 * F.col("_n")) & (total / (3 * F.col("_n")) >= threshold)
-    return docs.withColumn("_w", w).withColumn("_n", F.size("_w")).where(good).drop("_w", "_n")
+    marked = docs.withColumn("_w", words(F.col("text"))).withColumn("_n", F.size("_w")).withColumn("_r", ratios)
+    return marked.where(good).drop("_w", "_n", "_r")
