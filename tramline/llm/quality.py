@@ -148,10 +148,15 @@ def drop_rejected(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     """
     fitted = written(model(docs, trusted))
     ratios = fitted.select("ratios").scalar()
-    # by lambdas, since the text has to stay with its row
-    grams = F.transform(F.col("_w"), lambda x, i: of_word(x, F.coalesce(F.get("_w", i + 1), F.lit(""))))
-    ratio = lambda f, k: F.get("_r", F.get(f, F.lit(k)))
-    total = F.aggregate(grams, F.lit(0.0), lambda a, f: a + ratio(f, 0) + ratio(f, 1) + ratio(f, 2))
-    good = (F.col("_n") >= 20) & (100 * repeated_words(F.col("_w")) <= 30 * F.col("_n")) & (total / (3 * F.col("_n")) >= threshold)
-    marked = docs.withColumn("_w", words(F.col("text"))).withColumn("_n", F.size("_w")).withColumn("_r", ratios)
-    return marked.where(good).drop("_w", "_n", "_r")
+    # by lambdas, since the text has to stay with its row; words and ratios are bound once
+    def good(x: Column) -> Column:
+        w, r = x["w"], x["r"]
+        grams = let(w, lambda w: F.transform(w, lambda word, i: of_word(word, F.coalesce(F.get(w, i + 1), F.lit("")))))
+        ratio = lambda f, k: F.get(r, F.get(f, F.lit(k)))
+        total = F.aggregate(grams, F.lit(0.0), lambda a, f: a + ratio(f, 0) + ratio(f, 1) + ratio(f, 2))
+        n = F.size(w)
+        return (n >= 20) & (100 * repeated_words(w) <= 30 * n) & (total / (3 * n) >= threshold)
+
+    marked = docs.withColumn("_ratios", ratios)
+    bound = F.struct(words(F.col("text")).alias("w"), F.col("_ratios").alias("r"))
+    return marked.where(let(bound, good)).drop("_ratios")
