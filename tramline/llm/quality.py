@@ -100,7 +100,8 @@ def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     """
     ids = trusted.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_good", F.lit(1))
     text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    marked = text.join(ids, "_id", "left").select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
+    # the target grows with the corpus, so it is never broadcast: one plan at every size
+    marked = text.join(ids.hint("merge"), "_id", "left").select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
     pairs = word_rows(marked.where(F.size("w") > 0), "good")
     grams = pairs.select("good", F.explode(of_word(F.col("word"), F.col("following"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
