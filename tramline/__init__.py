@@ -1,0 +1 @@
+"""Public-transport analytics on Spark DataFrames."""

@@ -1,0 +1,62 @@
+"""Sinks: tables as CSV, feeds over HTTP, raw payloads."""
+
+from __future__ import annotations
+
+import urllib.request
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..sources import gtfsrt, netex
+
+
+def write_tables(entities: DataFrame, folder: str, profile: str = "epip", types: Sequence[str] | None = None) -> dict[str, int]:
+    """Every table of a profile as CSV below ``folder``, with a header even if
+    empty; entities without a table are dropped. Returns rows by table.
+
+    ``entities`` is scanned once for each table: give it as Parquet
+    partitioned by type, which prunes each scan.
+    """
+    tables = netex.profile(profile)[0]
+    written = {}
+    for kind in types or tables:
+        rows = netex.table(entities, kind, profile).drop("_ord")
+        rows.write.mode("overwrite").csv(f"{folder.rstrip('/')}/{tables[kind][0]}.csv", header=True, escape='"', emptyValue="")
+    for row in netex.counts(entities).collect():  # one row for each type
+        if row["type"] in tables:
+            written[tables[row["type"]][0]] = row["rows"]
+    return {tables[kind][0]: written.get(tables[kind][0], 0) for kind in types or tables}
+
+
+def put(url: str, data: bytes, timeout: float = 30.0) -> None:
+    """HTTP PUT, which replaces what was there; an answer beyond 2xx fails."""
+    request = urllib.request.Request(url, data=data, method="PUT")
+    with urllib.request.urlopen(request, timeout=timeout) as answer:
+        if not 200 <= answer.status < 300:
+            raise OSError(f"PUT {url}: {answer.status}")
+
+
+def put_feed(entities: DataFrame, timestamp: int, url: str, send: Callable[[str, bytes], None] = put) -> None:
+    """A feed as ``url``.pb and ``url``.json; only the first has to succeed."""
+    protobuf, text = gtfsrt.feed_bytes(entities, timestamp)
+    send(f"{url}.pb", protobuf)
+    try:
+        send(f"{url}.json", text.encode())
+    except OSError:
+        pass
+
+
+def dump(entities: DataFrame, timestamp: int, path: str) -> None:
+    """A feed as one local file of the driver, in the format of its extension."""
+    protobuf, text = gtfsrt.feed_bytes(entities, timestamp)
+    with open(path, "wb") as out:
+        out.write(protobuf if gtfsrt.detect_format(path) == "protobuf" else text.encode())
+
+
+def save_raw(messages: DataFrame, host: str, paths: dict[str, str], send: Callable[[str, bytes], None] = put) -> None:
+    """The latest payload of each provider, as it came, to its path."""
+    latest = messages.groupBy("provider").agg(F.max_by("text", "timestamp").alias("text"))
+    for row in latest.toLocalIterator():  # one message for each provider
+        if row["provider"] in paths:
+            send(f"{host.rstrip('/')}/{paths[row['provider']].lstrip('/')}", (row["text"] or "").encode())

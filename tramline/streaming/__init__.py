@@ -1,0 +1,97 @@
+"""Streaming pipelines: each micro-batch runs the batch transforms.
+
+A message is a complete feed and its output replaces the last one, so a batch
+keeps the latest message of each provider. The timetable is a snapshot folder
+that a batch reads once, whole, at its start.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.feed import Feed
+from ..operators.rows import last_of
+from ..schemas import ENVELOPE
+from ..sources import remote
+
+
+def messages(spark: SparkSession, folder: str, **options: str) -> DataFrame:
+    """A stream of envelopes from JSON files: provider, timestamp, rawdata."""
+    return spark.readStream.schema(f"provider string, timestamp string, rawdata struct<{ENVELOPE.replace(' ', ':', 1).replace(', ', ',').replace(' ', ':')}>").options(**options).json(folder)
+
+
+def unwrapped(batch: DataFrame) -> DataFrame:
+    """(provider, timestamp, payload) with payloads inflated."""
+    flat = batch.select("provider", "timestamp", "rawdata.*")
+    return flat.select("provider", "timestamp", remote.payload(flat).alias("payload"))
+
+
+def latest(batch: DataFrame) -> DataFrame:
+    """The last message of each provider in a batch."""
+    return last_of(batch, ["provider"], ["timestamp", "payload"])
+
+
+class Snapshots:
+    """Versions of the timetable as Parquet folders below one path.
+
+    ``publish`` writes a version and then its name into the pointer; ``feed``
+    reads the version that the pointer names, so a batch sees one version. A
+    failed refresh leaves the pointer where it was.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def publish(self, feed: Feed, version: str) -> None:
+        for name, df in feed.tables.items():
+            df.write.mode("overwrite").parquet(f"{self.path}/{version}/{name}")
+        tables = ",".join(sorted(feed.tables))
+        self.spark.range(1).select(F.lit(version).alias("version"), F.lit(tables).alias("tables"), F.lit(time.time_ns()).alias("at")).coalesce(1).write.mode("append").parquet(f"{self.path}/_pointer")
+
+    def feed(self) -> Feed:
+        row = self.spark.read.parquet(f"{self.path}/_pointer").orderBy(F.desc("at")).first()
+        return Feed(**{t: self.spark.read.parquet(f"{self.path}/{row['version']}/{t}") for t in row["tables"].split(",")})
+
+
+def refresh(snapshots: Snapshots, load: Callable[[], Feed], version: str) -> bool:
+    """A new version, if it loads; otherwise the old one stays."""
+    try:
+        snapshots.publish(load(), version)
+    except Exception as e:  # noqa: BLE001  any failure of a load keeps the old version
+        print(f"refresh failed, the snapshot stays: {e}")
+        return False
+    return True
+
+
+def run(stream: DataFrame, handle: Callable[[DataFrame, Feed], None], snapshots: Snapshots, checkpoint: str, provider: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """A query that hands each batch's latest messages and the snapshot to
+    ``handle``; with ``provider`` only that one's (fan-out by routing key)."""
+    chosen = stream.where(F.col("provider") == provider) if provider else stream
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = latest(unwrapped(batch))
+        if not rows.isEmpty():
+            handle(rows, snapshots.feed())
+
+    return chosen.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def supervise(start: Callable[[], StreamingQuery], pause: float = 5.0, most: int | None = None) -> int:
+    """Runs a query and starts it again when it fails, after a pause; returns
+    how often it failed, once it ends well or ``most`` is reached."""
+    failures = 0
+    while True:
+        try:
+            start().awaitTermination()
+            return failures
+        except Exception as e:  # noqa: BLE001  whatever stopped the query, it starts again
+            failures += 1
+            print(f"query failed: {e}")
+            if most is not None and failures >= most:
+                return failures
+            time.sleep(pause)
