@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import words, written
 
 #: Words that an aligned block must have to be deleted.
 MIN_WORDS = 10
@@ -110,6 +110,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.transform("l", lambda x: F.xxhash64(F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")))).alias("h"),
         F.transform("l", lambda x: F.size(words(x))).alias("n"),
     )
+    rows = written(rows)  # hashes and counts, far smaller than the texts, and read four times
     lines = rows.select("doc", F.posexplode("h").alias("pos", "hash"), F.col("n")).select("doc", "pos", "hash", F.get("n", "pos").alias("n")).where("n > 0")
     shared = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc.id").alias("last"), F.count("*").alias("holders")).where("first.id < last")
     most = max(RARE_LEAST, int(rare_share * docs.count()))
