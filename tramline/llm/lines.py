@@ -94,14 +94,15 @@ def removed_lines(a: Sequence, b: Sequence, n_words: Sequence[int], min_words: i
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
-    """``docs`` with columns ``_lines`` (its lines), ``_gone`` (positions
-    deleted, null: none) and ``_kept`` (the text left).
+    """Per row of ``docs``: (doc, n_lines, gone, kept): the row itself as a struct
+    of all its columns, the number of its lines, the positions deleted (null:
+    none) and the text left.
 
     Lines end at \\n and are compared without white space at their ends; the
     earlier document is the one with the smaller id. A null text has no lines
-    and ``_kept`` null; a row with a null id neither loses nor removes lines;
+    and ``kept`` null; a row with a null id neither loses nor removes lines;
     rows repeated under one id do not remove each other's lines. A document all of whose
-    lines go keeps the empty text. Other columns stay as they are.
+    lines go keeps the empty text.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("row"), F.split(text_col, "\n").alias("l")).where("id is not null and l is not null")
@@ -133,20 +134,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     unique = rows.dropDuplicates(["doc"])
     both = pairs.join(unique.select("doc", "h", "n"), "doc").join(unique.select(F.col("doc").alias("first"), F.col("h").alias("ha")), "first")
     aligned = both.select("ha", "h", "n", "doc.id", "doc.row").mapInArrow(align, "id long, row long, pos int")
-    gone = aligned.union(alone.select("doc.id", "doc.row", "pos")).groupBy("id", "row").agg(F.collect_set("pos").alias("_gone"))
-    whole = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_row", key)
-    out = whole.join(gone.toDF("_id", "_row", "_gone"), ["_id", "_row"], "left").drop("_id", "_row").withColumn("_lines", F.split(text_col, "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
-    return out.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept))
+    gone = aligned.union(alone.select("doc.id", "doc.row", "pos")).groupBy("id", "row").agg(F.collect_set("pos").alias("gone"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), key.alias("row"), F.col(text_col).alias("text"))
+    out = whole.join(gone, ["id", "row"], "left").withColumn("lines", F.split("text", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
+    return out.select("doc", F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).alias("n_lines"), "gone", kept.alias("kept"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per row: (doc_id, n_lines, n_removed, kept_sha256)."""
     found = dedup_lines(docs.select("doc_id", "text"))
     return found.select(
-        "doc_id",
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"),
+        "doc.doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
     )

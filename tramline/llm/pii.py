@@ -131,6 +131,8 @@ class Rewritten:
             if end > start:
                 spans += [(self.spans[start][0], self.spans[end - 1][1])] * len(new)
             changed += b"\1" * len(new)
+            if not new and end > start and changed:
+                changed[-1] = 1  # what stood before a deleted character
             at = end
         self.text = "".join([*text, self.text[at:]])
         self.spans = spans + self.spans[at:]
@@ -169,8 +171,10 @@ def spelled_digits(r: Rewritten) -> None:
 AT = r"(?:\s*[\[({<]\s*at\s*[\])}>]\s*)"
 DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+)"
 LOCAL, LABEL = rf"[A-Za-z0-9_%+-]+(?:(?:\.|{DOT})[A-Za-z0-9_%+-]+)*", r"[A-Za-z0-9-]+"
-#: A bracketed "at" may go with plain dots; a bare " at " needs a disguised dot, and an "@" too.
-DISGUISED = re.compile(rf"(?<![A-Za-z0-9_%+.-]){LOCAL}(?:{AT}{LABEL}(?:(?:\.|{DOT}){LABEL})+|(?:\s+at\s+|\s*@\s*){LABEL}(?:\.{LABEL})*{DOT}{LABEL}(?:(?:\.|{DOT}){LABEL})*)", re.I)
+#: Ends of host names that a bare " at " needs, as prose has "at the dot on".
+ENDS = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|eu|de|fr|es|it|uk|ch|nl|be|pl|ru|us|ca|au|jp|cn|in|br"
+#: A bracketed "at" may go with plain dots; a bare " at " and an "@" need a disguised dot.
+DISGUISED = re.compile(rf"(?<![A-Za-z0-9_%+.-]){LOCAL}(?:{AT}{LABEL}(?:(?:\.|{DOT}){LABEL})+|(?:\s*@\s*){LABEL}(?:\.{LABEL})*{DOT}{LABEL}(?:(?:\.|{DOT}){LABEL})*|\s+at\s+(?:{LABEL}(?:\.|{DOT}))*?{LABEL}{DOT}(?:{LABEL}(?:\.|{DOT}))*(?:{ENDS})\b)", re.I)
 DISGUISED_IP = re.compile(rf"[0-9]{{1,3}}(?:(?:\.|{DOT})[0-9]{{1,3}}){{3}}", re.I)
 MARK = re.compile(rf"({AT}|\s+at\s+|\s*@\s*)|({DOT})", re.I)
 HINT = re.compile(r"[\[({<]\s*at\s*[\])}>]|\bdot\b|[\[({<]\s*\.\s*[\])}>]", re.I)

@@ -92,7 +92,7 @@ def word_rows(rows: DataFrame, *keep: str) -> DataFrame:
     return pairs.select(*keep, "p.word", "p.following")
 
 
-def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = 1.0) -> DataFrame:
+def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = 4.0) -> DataFrame:
     """One row, one column: the log ratio target / raw of every bucket.
 
     ``trusted`` holds the ids of the target's documents. Without any, all
@@ -107,8 +107,10 @@ def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     counts = written(counts)
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).head()
-    share = lambda c, n: F.log((F.coalesce(F.col(c), F.lit(0)) + smoothing) / F.lit(n + smoothing * buckets))
-    ratio = share("target", total["target"]) - share("raw", total["raw"]) if total["target"] else F.lit(0.0)
+    # smoothing in proportion to each side's size: a bucket with the same share in both has ratio 0, however few there are
+    count = lambda c: F.coalesce(F.col(c), F.lit(0))
+    scaled = count("target") * (total["raw"] / total["target"]) if total["target"] else count("raw")
+    ratio = F.log((scaled + smoothing) / (count("raw") + smoothing)).cast("double")
     every = docs.sparkSession.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"))
     each = every.join(counts, "bucket", "left").select(F.struct("bucket", ratio.alias("ratio")).alias("x"))
     return each.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["ratio"]).alias("ratios"))
