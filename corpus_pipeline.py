@@ -24,9 +24,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes aligned common blocks from later documents; a document of which
     nothing is left goes. ``n_chars`` follows the text."""
     found = lines.dedup_lines(docs.select(*COLUMNS))
-    left = found.where(F.col("_gone").isNull() | (F.trim(F.translate("_kept", "\t\n\x0b\x0c\r", "     ")) != ""))
-    changed = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("_kept"))
-    return left.select("doc_id", F.col("_kept").alias("text"), "lang", "source", changed.cast("long").alias("n_chars"))
+    whole = F.col("gone").isNull()
+    left = found.where(whole | (F.trim(F.translate("kept", "\t\n\x0b\x0c\r", "     ")) != ""))
+    chars = F.when(whole, F.col("doc.n_chars")).otherwise(F.length("kept")).cast("long")
+    return left.select("doc.doc_id", F.col("kept").alias("text"), "doc.lang", "doc.source", chars.alias("n_chars"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
