@@ -355,7 +355,7 @@ def test_lcs():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
-        assert latent.lcs(np.array(a), np.array(b)) == table[-1][-1]
+        assert latent.lcs(len(a), latent.places(np.array(a)), b) == table[-1][-1]
 
 
 def test_decontamination_recall(spark, texts):
