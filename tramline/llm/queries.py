@@ -81,14 +81,14 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_substring_dedup": r"""
-with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+with w as (select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 win as (select doc_id, unnest(range(0, greatest(len(w) - 12, 0))) as k, w from w),
 h as (select doc_id, k, array_to_string(w[k + 1 : k + 13], ' ') as s from win),
 f as (select s, min(doc_id) as first from h group by s),
 late as (select doc_id, list(k) as ks from h join f using (s) where f.first < h.doc_id group by doc_id),
-gone as (select doc_id, list_distinct(flatten(list_transform(ks, k -> range(k, k + 13)))) as g from late),
+gone as (select doc_id, list_distinct(flatten(list_transform(ks, lambda k: range(k, k + 13)))) as g from late),
 k as (select w.doc_id, w.w, coalesce(g, []) as g from w left join gone using (doc_id)),
-kept as (select doc_id, len(w) as n_words, len(g) as n_removed, array_to_string(list_transform(list_filter(list_zip(w, range(0, len(w))), x -> not list_contains(g, x[2])), x -> x[1]), ' ') as t from k)
+kept as (select doc_id, len(w) as n_words, len(g) as n_removed, array_to_string(list_transform(list_filter(list_zip(w, range(0, len(w))), lambda x: not list_contains(g, x[2])), lambda x: x[1]), ' ') as t from k)
 select doc_id, n_words::bigint as n_words, n_removed::bigint as n_removed, sha256(t) as kept_sha256 from kept
 """,
     "op4_chat_format": r"""
