@@ -183,4 +183,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = near_duplicates(docs, id_col, text_col)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    # the set grows with the corpus, so it is never broadcast: one plan at every size
+    return docs.join(gone.hint("merge"), docs[id_col].cast("long") == gone["_gone"], "left_anti")
