@@ -622,19 +622,20 @@ def s32(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scalar functions -------------------------------------------------------------
 
 
-def scalar(name: str, made: Column, call: Callable[[Column], Column], sql: str) -> None:
-    """A query of one function over orders: key, input and result."""
+def scalar(name: str, made: Callable[[], Column], call: Callable[[Column], Column], sql: str) -> None:
+    """A query of one function over orders: key, input and result. ``made``
+    gives the input when the query runs, as columns need a session."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-        return o.select("o_orderkey", made.alias("given")).select("o_orderkey", "given", call(F.col("given")).alias("result"))
+        return o.select("o_orderkey", made().alias("given")).select("o_orderkey", "given", call(F.col("given")).alias("result"))
 
     QUERIES[name] = run
     ORACLE_SQL[name] = f"select o_orderkey, given, {sql} as result from (select *, {SCALAR_SQL[name]} as given from orders)"
 
 
-KEY = F.col("o_orderkey")
-PICK = lambda *xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (KEY % len(xs) + 1).cast("int"))
+KEY = lambda: F.col("o_orderkey")
+PICK = lambda *xs: lambda: F.element_at(F.array(*[F.lit(x) for x in xs]), (KEY() % len(xs) + 1).cast("int"))
 PICK_SQL = lambda *xs: f"([{', '.join(repr(x) for x in xs)}])[o_orderkey % {len(xs)} + 1]"
 CAUSES = (*fn.CAUSES, "other")
 EFFECTS = (*fn.EFFECTS, "other")
@@ -678,35 +679,35 @@ SCALAR_SQL = {
     "f26_proximity": "(o_orderkey % 300)::int",
     "f29_stop_status": "case when o_orderkey % 2 = 0 then 'true' else 'True' end",
 }
-hms = F.concat(F.lpad((KEY % 30).cast("string"), 2, "0"), F.lit(":"), F.lpad((F.col("o_custkey") % 70).cast("string"), 2, "0"), F.when(KEY % 5 == 0, "").otherwise(":07"))
-ymd = F.date_format("o_orderdate", "yyyyMMdd")
-seconds = ((KEY % 30) * 3600 + (F.col("o_custkey") % 70) * 60 + 7).cast("int")
-text_key = KEY.cast("string")
+hms = lambda: F.concat(F.lpad((KEY() % 30).cast("string"), 2, "0"), F.lit(":"), F.lpad((F.col("o_custkey") % 70).cast("string"), 2, "0"), F.when(KEY() % 5 == 0, "").otherwise(":07"))
+ymd = lambda: F.date_format("o_orderdate", "yyyyMMdd")
+seconds = lambda: ((KEY() % 30) * 3600 + (F.col("o_custkey") % 70) * 60 + 7).cast("int")
+text_key = lambda: KEY().cast("string")
 
 scalar("f01_parse_time", hms, fn.gtfs_time, "case when o_orderkey % 5 = 0 then -1 else ((o_orderkey % 30) * 3600 + (o_custkey % 70) * 60 + 7)::int end")
-scalar("f02_format_time", F.when(KEY % 5 == 0, -1).otherwise(seconds), fn.format_time, "case when given = -1 then '' else lpad((given // 3600)::varchar, 2, '0') || ':' || lpad((given % 3600 // 60)::varchar, 2, '0') || ':' || lpad((given % 60)::varchar, 2, '0') end")
-scalar("f03_parse_date", F.when(KEY % 6 == 0, "2026-01").when(KEY % 6 == 1, "20261399").otherwise(ymd), fn.gtfs_date, "case when length(given) = 8 then given::int else 0 end")
-scalar("f05_format_date", F.when(KEY % 6 == 0, 0).otherwise(ymd.cast("int")), fn.format_date, "case when given = 0 then '' else given::varchar end")
-scalar("f06_weekday", F.when(KEY % 6 == 1, 20261399).otherwise(ymd.cast("int")), fn.weekday, "case when given = 20261399 then 4 else isodow(strptime(given::varchar, '%Y%m%d')) - 1 end::int")
+scalar("f02_format_time", lambda: F.when(KEY() % 5 == 0, -1).otherwise(seconds()), fn.format_time, "case when given = -1 then '' else lpad((given // 3600)::varchar, 2, '0') || ':' || lpad((given % 3600 // 60)::varchar, 2, '0') || ':' || lpad((given % 60)::varchar, 2, '0') end")
+scalar("f03_parse_date", lambda: F.when(KEY() % 6 == 0, "2026-01").when(KEY() % 6 == 1, "20261399").otherwise(ymd()), fn.gtfs_date, "case when length(given) = 8 then given::int else 0 end")
+scalar("f05_format_date", lambda: F.when(KEY() % 6 == 0, 0).otherwise(ymd().cast("int")), fn.format_date, "case when given = 0 then '' else given::varchar end")
+scalar("f06_weekday", lambda: F.when(KEY() % 6 == 1, 20261399).otherwise(ymd().cast("int")), fn.weekday, "case when given = 20261399 then 4 else isodow(strptime(given::varchar, '%Y%m%d')) - 1 end::int")
 scalar("f07_whole_number", PICK(*NUMBERS), fn.whole_number, listed((12, -7, 0, 0, 0, 3)))
-scalar("f08_flag", (KEY % 3).cast("string"), fn.flag, "given = '1'")
-scalar("f10_trim_colon", F.concat("o_orderpriority", F.repeat(F.lit(":"), (KEY % 3).cast("int"))), fn.trim_colon, "regexp_replace(given, ':$', '')")
+scalar("f08_flag", lambda: (KEY() % 3).cast("string"), fn.flag, "given = '1'")
+scalar("f10_trim_colon", lambda: F.concat("o_orderpriority", F.repeat(F.lit(":"), (KEY() % 3).cast("int"))), fn.trim_colon, "regexp_replace(given, ':$', '')")
 scalar("f11_journey_base", PICK(*JOURNEYS), fn.journey_base, listed(("a", "ab", "", ":b", "q")))
 scalar("f12_live_journey_base", PICK(*JOURNEYS), fn.live_journey_base, listed(("a:b", "ab", "a", ":b", "q")))
-scalar("f13_direction_suffix", F.concat("o_orderstatus", F.lit(":"), "o_orderpriority", F.repeat(F.lit(":"), (KEY % 2).cast("int"))), fn.direction_suffix, "o_orderpriority")
-scalar("f14_timetable_direction", F.col("o_orderstatus"), fn.timetable_direction, "case when given = 'R' then 1 else 0 end")
+scalar("f13_direction_suffix", lambda: F.concat("o_orderstatus", F.lit(":"), "o_orderpriority", F.repeat(F.lit(":"), (KEY() % 2).cast("int"))), fn.direction_suffix, "o_orderpriority")
+scalar("f14_timetable_direction", lambda: F.col("o_orderstatus"), fn.timetable_direction, "case when given = 'R' then 1 else 0 end")
 scalar("f15_epoch", PICK(*STAMPS), lambda c: F.coalesce(fn.epoch(c), F.lit(-1)), listed(STAMP_RESULTS) + "::bigint")
 scalar("f16_duration", PICK(*DURATIONS), fn.duration, listed(DURATION_RESULTS))
-scalar("f17_plain_date", F.date_format("o_orderdate", "yyyy-MM-dd"), fn.plain_date, "replace(given, '-', '')")
-scalar("f19_strip_stop_prefix", F.concat(F.when(KEY % 2 == 0, fn.STOP_POINT).otherwise("IT:"), text_key), fn.strip_stop_prefix, "regexp_replace(given, '^it:apb:ScheduledStopPoint:', '')")
+scalar("f17_plain_date", lambda: F.date_format("o_orderdate", "yyyy-MM-dd"), fn.plain_date, "replace(given, '-', '')")
+scalar("f19_strip_stop_prefix", lambda: F.concat(F.when(KEY() % 2 == 0, fn.STOP_POINT).otherwise("IT:"), text_key()), fn.strip_stop_prefix, "regexp_replace(given, '^it:apb:ScheduledStopPoint:', '')")
 scalar("f20_live_direction", PICK(*DIRECTIONS), fn.live_direction, listed((1, 0, 4, 0, 0, 0)))
 scalar("f21_cause", PICK(*CAUSES), fn.cause, listed((*fn.CAUSES.values(), "UNKNOWN_CAUSE")))
 scalar("f22_effect", PICK(*EFFECTS), fn.effect, listed((*fn.EFFECTS.values(), "UNKNOWN_EFFECT")))
 scalar("f23_severity", PICK(*SEVERITIES), fn.severity, listed((*fn.SEVERITIES.values(), "UNKNOWN_SEVERITY")))
 scalar("f24_language", PICK(*LANGS), fn.language, listed(("de", "it", "lld", "en", "fr")))
 scalar("f25_wall_clock", PICK(*STAMPS), lambda c: F.coalesce(fn.wall_clock(c), F.lit(-1)), listed(WALLS))
-scalar("f26_proximity", (KEY % 300).cast("int"), lambda c: fn.proximity(c, 120), "case when given <= 120 then 1.0::double / (1 + given) else 0.0::double end")
-scalar("f29_stop_status", F.when(KEY % 2 == 0, "true").otherwise("True"), fn.stop_status, "case when given = 'true' then 'STOPPED_AT' else 'IN_TRANSIT_TO' end")
+scalar("f26_proximity", lambda: (KEY() % 300).cast("int"), lambda c: fn.proximity(c, 120), "case when given <= 120 then 1.0::double / (1 + given) else 0.0::double end")
+scalar("f29_stop_status", lambda: F.when(KEY() % 2 == 0, "true").otherwise("True"), fn.stop_status, "case when given = 'true' then 'STOPPED_AT' else 'IN_TRANSIT_TO' end")
 
 
 @query("f27_f28_delay_and_entity_id", """select event_id, (delay_sec)::int as delay, case when event_id % 2 = 0 then 'et-L' || user_id || '-x' else 'ref' end as entity_id
