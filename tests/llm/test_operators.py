@@ -150,6 +150,25 @@ def test_frequent_lines_go_without_pairs(spark):
     assert {r["doc"]["doc_id"]: r["kept"] for r in out} == {k: docs[0][1] if k == 0 else f"own {k}" for k in range(150)}
 
 
+def test_patience_aligns_gaps_without_unique_lines():
+    r = random.Random(12)
+    for _ in range(300):
+        a, b = ([r.randint(0, 4) for _ in range(r.randint(0, 14))] for _ in range(2))
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        for bits in (1, 20, lines.GAP_BITS):
+            pairs = lines.common(a, b, bits)
+            assert len(pairs) == table[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+    assert len(lines.patience("xpqry", "ipqrmpqro")) == 3
+    # a passage held twice goes twice, and a moved one goes
+    assert lines.removed_lines("xpqry", "ipqrmpqro", [5] * 9) == [1, 2, 3, 5, 6, 7]
+    assert lines.removed_lines("pqrsxt", "xtpqrs", [5] * 6) == [0, 1, 2, 3, 4, 5]
+    assert lines.removed_lines("pq", "qxp", [5] * 3) == []
+
+
 def test_packing_against_piece_by_piece():
     r = random.Random(3)
     for _ in range(20):

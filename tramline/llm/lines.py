@@ -4,7 +4,9 @@ Lines are hashed; a hash that several documents hold pairs every later holder
 with the first one, so the pairs grow with the lines and never with the square
 of a group of copies. Each pair's line hashes are aligned with patience diff
 (unique common lines in longest increasing order are anchors, the gaps between
-them are solved alike), and aligned blocks go from the later document.
+them are solved alike, those without an anchor by longest common subsequence),
+and aligned blocks go from the later document; so do blocks that it repeats or
+holds at another place.
 
 Only rare lines bring documents together. A line that more than ``rare_share``
 of all rows hold is handled exactly without pairs: later holders lose it where
@@ -16,8 +18,10 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Hashable, Iterator, Sequence
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +34,8 @@ MIN_WORDS = 10
 #: is not rare.
 RARE_SHARE = 0.5
 RARE_LEAST = 100
+#: Bits that the alignment of a gap keeps at once; a larger gap is halved first.
+GAP_BITS = 1 << 28
 
 
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -52,6 +58,57 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def lcs_rows(a: Sequence, b: Sequence) -> Iterator[int]:
+    """For each start of ``a``, where its longest common subsequence with ``b``
+    grows: the zero bits (bit-parallel)."""
+    where: dict = {}
+    for k, x in enumerate(b):
+        where.setdefault(x, []).append(k)
+
+    @lru_cache(max(1, GAP_BITS // (len(b) + 1)))
+    def mask(x: Hashable) -> int:
+        bits = np.zeros(len(b), np.uint8)
+        bits[where.get(x, [])] = 1
+        return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+    v = full = (1 << len(b)) - 1
+    for x in a:
+        u = v & mask(x)
+        v = (v + u | v - u) & full
+        yield v
+
+
+def common(a: Sequence, b: Sequence, most_bits: int = GAP_BITS) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence, in order."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, i_end, j, j_end = todo.pop()
+        if i == i_end or j == j_end:
+            continue
+        n, m = i_end - i, j_end - j
+        if n * m > most_bits and n > 1:
+            half = i + n // 2
+            ends = []
+            for x, y in ((a[i:half], b[j:j_end]), (a[half:i_end][::-1], b[j:j_end][::-1])):
+                *_, v = lcs_rows(x, y)
+                grows = np.unpackbits(np.frombuffer(v.to_bytes(-(-m // 8), "little"), np.uint8), bitorder="little")[:m] == 0
+                ends.append(np.concatenate(([0], np.cumsum(grows))))
+            cut = j + int(np.argmax(ends[0] + ends[1][::-1]))
+            todo += [(i, half, j, cut), (half, i_end, cut, j_end)]
+            continue
+        rows = list(lcs_rows(a[i:i_end], b[j:j_end]))
+        while n and m:
+            if rows[n - 1] >> (m - 1) & 1:
+                m -= 1
+                continue
+            n -= 1
+            if not n or rows[n - 1] >> (m - 1) & 1:
+                m -= 1
+                out.append((i + n, j + m))
+    return sorted(out)
+
+
 def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
     """Aligned positions (i, j) with a[i] == b[j], rising in both."""
     found: list[tuple[int, int]] = []
@@ -75,11 +132,41 @@ def patience(a: Sequence, b: Sequence) -> list[tuple[int, int]]:
             i, j = x + 1, y + 1
         if anchors:
             todo.append((i, i_end, j, j_end))
+        else:  # lines of one side alone align with nothing
+            at_a, at_b = [k for k in range(i, i_end) if a[k] in in_b], [k for k in range(j, j_end) if b[k] in in_a]
+            found += [(at_a[x], at_b[y]) for x, y in common([a[k] for k in at_a], [b[k] for k in at_b])]
     return sorted(found)
 
 
+def runs(n_words: Sequence[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """(first, last) line of all runs of lines that just reach ``min_words``:
+    without their first line, or without their last, they would not. Every line
+    with words in a block of ``min_words`` is in such a run of that block."""
+    at = [k for k, n in enumerate(n_words) if n > 0]
+    out: set[tuple[int, int]] = set()
+    total, start = 0, 0
+    for end, k in enumerate(at):  # the shortest run that ends at each line
+        total += n_words[k]
+        while total - n_words[at[start]] >= min_words:
+            total -= n_words[at[start]]
+            start += 1
+        if total >= min_words:
+            out.add((at[start], k))
+    total, end = 0, len(at) - 1
+    for k in reversed(at):  # the shortest run that starts at each line
+        total += n_words[k]
+        while total - n_words[at[end]] >= min_words:
+            total -= n_words[at[end]]
+            end -= 1
+        if total >= min_words:
+            out.add((k, at[end]))
+    return sorted(out)
+
+
 def removed_lines(a: Sequence, b: Sequence, n_words: Sequence[int], min_words: int = MIN_WORDS) -> list[int]:
-    """Lines of ``b`` in aligned blocks of at least ``min_words`` words."""
+    """Lines of ``b`` in aligned blocks of at least ``min_words`` words, and in
+    blocks of as many that ``a`` holds but the alignment left, as ``b`` repeats
+    them or has them at another place."""
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
@@ -90,7 +177,15 @@ def removed_lines(a: Sequence, b: Sequence, n_words: Sequence[int], min_words: i
             block = []
         block.append(j)
         last = (i, j)
-    return out
+    gone, held = set(out), set(a)
+    if all(k in gone or not n or x not in held for k, (x, n) in enumerate(zip(b, n_words, strict=True))):
+        return out
+    words_of = dict(zip(b, n_words, strict=True))
+    there = {tuple(a[s : e + 1]) for s, e in runs([words_of.get(x, min_words) for x in a], min_words)}
+    for s, e in runs(n_words, min_words):
+        if tuple(b[s : e + 1]) in there:
+            gone.update(range(s, e + 1))
+    return sorted(gone)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
