@@ -169,6 +169,41 @@ def test_patience_aligns_gaps_without_unique_lines():
     assert lines.removed_lines("pq", "qxp", [5] * 3) == []
 
 
+def test_line_dedup_against_all_earlier_documents(spark):
+    r = random.Random(13)
+    pool = [" ".join(f"w{k}" for _ in range(1 + k % 6)) for k in range(10)]
+    n = lambda x: len(words(x))
+    docs = [(k, "\n".join(r.choice(pool) for _ in range(r.randint(1, 9)))) for k in range(60)]
+    # each line of the shared block has an earlier holder of its own
+    block = ["one two three four", "five six seven", "eight nine ten", "eleven twelve"]
+    docs += [(100 + k, f"own {k}\n{x}\nend {k}") for k, x in enumerate(block)] + [(200 + k, "\n".join([f"top {k}", *block, f"tail {k}"])) for k in range(3)]
+    expected = {}
+    for i, t in docs:
+        own = t.split("\n")
+        aligned, shared = set(), set()
+        for k, u in docs:
+            if k < i:
+                aligned.update(lines.removed_lines(u.split("\n"), own, [n(x) for x in own]))
+                other = "\n" + u + "\n"
+                for s in range(len(own)):
+                    for e in range(s, len(own)):
+                        if sum(map(n, own[s : e + 1])) >= 10 and "\n" + "\n".join(own[s : e + 1]) + "\n" in other:
+                            shared.update(range(s, e + 1))
+        assert aligned == shared
+        expected[i] = sorted(shared)
+    assert expected[201] == expected[202] == [1, 2, 3, 4] and expected[200] == []
+    assert sum(map(len, expected.values())) > 40
+    got = lines.dedup_lines(frame(spark, docs)).select("doc.doc_id", "gone").collect()
+    assert {x["doc_id"]: sorted(x["gone"] or []) for x in got} == expected
+
+
+def test_common_blocks_of_short_lines_go_without_pairs(spark):
+    block = "a line of five words\n\nof six words is this line"
+    docs = [(k, f"own {k}\n{block}\nand {k}\n{block}" if k % 2 else f"own {k}\n{block}") for k in range(150)]
+    out = lines.dedup_lines(frame(spark, docs), rare_share=0.1).collect()
+    assert {x["doc"]["doc_id"]: x["kept"] for x in out} == {k: docs[0][1] if k == 0 else f"own {k}\nand {k}" if k % 2 else f"own {k}" for k in range(150)}
+
+
 def test_packing_against_piece_by_piece():
     r = random.Random(3)
     for _ in range(20):

@@ -1,17 +1,17 @@
 """Line dedup by pairwise patience alignment.
 
-Lines are hashed; a hash that several documents hold pairs every later holder
-with the first one, so the pairs grow with the lines and never with the square
-of a group of copies. Each pair's line hashes are aligned with patience diff
-(unique common lines in longest increasing order are anchors, the gaps between
-them are solved alike, those without an anchor by longest common subsequence),
-and aligned blocks go from the later document; so do blocks that it repeats or
-holds at another place.
-
-Only rare lines bring documents together. A line that more than ``rare_share``
-of all rows hold is handled exactly without pairs: later holders lose it where
-it alone is as long as a block has to be, which is what aligning it with its
-first holder would give.
+Runs of consecutive lines that just reach the words of a block are hashed. Any
+block long enough to go is covered by such runs, so a run that several
+documents hold pairs every later holder with that run's own first holder: each
+shared block is seen, whatever its lines' other holders, and the pairs grow with
+the lines and never with the square of a group of copies. Each pair's line
+hashes are aligned with patience diff (unique common lines in longest increasing
+order are anchors, the gaps between them are solved alike, those without an
+anchor by longest common subsequence), and aligned blocks go from the later
+document; so do blocks that it repeats or holds at another place.
+
+Only rare runs bring documents together. A run that more than ``rare_share`` of
+all rows hold is handled exactly without pairs: later holders lose its lines.
 """
 
 from __future__ import annotations
@@ -25,12 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import words, written
 
 #: Words that an aligned block must have to be deleted.
 MIN_WORDS = 10
-#: A line in more than this share of the rows, and in over RARE_LEAST of them,
+#: A run in more than this share of the rows, and in over RARE_LEAST of them,
 #: is not rare.
 RARE_SHARE = 0.5
 RARE_LEAST = 100
@@ -207,13 +208,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.transform("l", lambda x: F.size(words(x))).alias("n"),
     )
     rows = written(rows)  # hashes and counts, far smaller than the texts, and read four times
-    lines = rows.select("doc", F.posexplode("h").alias("pos", "hash"), F.col("n")).select("doc", "pos", "hash", F.get("n", "pos").alias("n")).where("n > 0")
-    shared = lines.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc.id").alias("last"), F.count("*").alias("holders")).where("first.id < last")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, keys, places = [], [], []
+            h, n = batch.column(2), batch.column(3)
+            data, bounds = h.flatten().to_numpy(zero_copy_only=False).tobytes(), np.concatenate(([0], np.cumsum(h.value_lengths()))).tolist()
+            for k, n_words in enumerate(n.to_pylist()):
+                mine: dict[int, list[int]] = {}
+                for s, e in runs(n_words, min_words):
+                    mine.setdefault(xxh64_intdigest(data[8 * (bounds[k] + s) : 8 * (bounds[k] + e + 1)]), []).extend((s, e))
+                owner += [k] * len(mine)
+                keys += mine.keys()
+                places += mine.values()
+            at = pa.array(owner, pa.int64())
+            hashes = pa.array(np.array(keys, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), hashes, pa.array(places, pa.list_(pa.int32()))], ["id", "row", "hash", "places"])
+
+    unique = rows.dropDuplicates(["doc"])
+    # one row for each document and run, with the first and last line of each place where it stands
+    held = unique.select("doc.id", "doc.row", "h", "n").mapInArrow(hashed, "id long, row long, hash long, places array<int>").select(F.struct("id", "row").alias("doc"), "hash", "places")
+    shared = held.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc.id").alias("last"), F.count("*").alias("holders")).where("first.id < last")
     most = max(RARE_LEAST, int(rare_share * docs.count()))
-    held = lines.select("doc", "pos", "hash", "n").join(shared, "hash").where("first.id < doc.id")
-    # one row for each pair of documents; lines that aren't rare are settled on their own
+    held = held.join(shared, "hash").where("first.id < doc.id")
+    # one row for each pair of documents; runs that aren't rare are settled on their own
     pairs = held.where(F.col("holders") <= most).select("first", "doc").distinct()
-    alone = held.where((F.col("holders") > most) & (F.col("n") >= min_words)).select("doc", "pos")
+    every = F.sequence(F.lit(0), F.size("places") - 1, F.lit(2))
+    alone = held.where(F.col("holders") > most).select("doc", F.explode(F.transform(every, lambda k: F.sequence(F.get("places", k), F.get("places", k + 1)))).alias("at"))
+    alone = alone.select("doc", F.explode("at").alias("pos"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +248,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             at = pa.array(docs_, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(3).take(at), batch.column(4).take(at), pa.array(pos, pa.int32())], ["id", "row", "pos"])
 
-    unique = rows.dropDuplicates(["doc"])
     both = pairs.join(unique.select("doc", "h", "n"), "doc").join(unique.select(F.col("doc").alias("first"), F.col("h").alias("ha")), "first")
     aligned = both.select("ha", "h", "n", "doc.id", "doc.row").mapInArrow(align, "id long, row long, pos int")
     gone = aligned.union(alone.select("doc.id", "doc.row", "pos")).groupBy("id", "row").agg(F.collect_set("pos").alias("gone"))
