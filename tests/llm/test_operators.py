@@ -435,6 +435,34 @@ def test_decontamination_recall(spark, texts):
     assert latent.contaminated(frame(spark, []), benchmark).count() == 0
 
 
+def test_decontamination_against_brute_force(spark):
+    r = random.Random(14)
+    vocabulary = ["".join(r.choice("mnopqrst") for _ in range(r.randint(2, 7))) for _ in range(500)]
+    filler = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(k, filler(r.choice((5, 7, 10, 12, 25)))) for k in range(300)]  # more than the space has dimensions
+    docs, leaks = [], set()
+    for k, (item, text) in enumerate(items):
+        docs.append((k, f"{filler(r.randint(40, 120))} {text} {filler(r.randint(40, 120))}"))
+        leaks.add((k, item))
+        docs.append((1000 + k, f"{filler(80)} {items[0][1] if k % 2 else filler(5)} {filler(80)}"))  # one item in a third of the documents
+        leaks.update({(1000 + k, 0)} if k % 2 else ())
+    benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, doc_id string")
+    found = {(x["doc_id"], x["item_id"]) for x in latent.contaminated(frame(spark, docs), benchmark).collect()}
+    assert leaks <= found
+    checks = [latent.Item(*i) for i in items]
+    expected = set()
+    for i, t in docs:
+        words_ = latent.terms_of(t)
+        there = set(words_.tolist())
+        for item in checks:
+            n = len(item.words)
+            if sum(x in there for x in item.words.tolist()) >= 0.7 * n and any(latent.leaked(*item.check(words_[s : s + 2 * n])) for s in range(len(words_))):
+                expected.add((i, item.item_id))
+    assert expected <= found and len(found) <= 1.02 * len(expected)
+    without = {(x["doc_id"], x["item_id"]) for x in latent.contaminated(frame(spark, docs), benchmark, floor=2.0).collect()}
+    assert without == expected
+
+
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
     import corpus_pipeline
 
