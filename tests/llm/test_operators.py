@@ -311,6 +311,18 @@ def test_pii_disguises(text, kind, found):
     assert [(k, text[s:e]) for k, s, e in more] == [(kind, found)]
 
 
+def test_pii_gate_is_a_necessary_condition(monkeypatch):
+    r = random.Random(15)
+    parts = [*pii.SPELLED, *pii.SAID, "4", "155", "+", "prose", "Eight", "point", "dash", "one", "+one", "plusfour"]
+    texts = ["eight point eight point eight point eight", "plus one 4 one 5 five 5 six 7 eight 9", "plus four dash nine dash three dash zero dash one dash two dash three dash four"]
+    made = texts + ["".join(r.choice(parts) + r.choice((" ", " ", ", ", "-", "")) for _ in range(r.randint(4, 16))) for _ in range(3000)]
+    got = [pii.disguised(t, pii.identifiers(t)) for t in made]
+    assert [[k for k, _, _ in x] for x in got[:3]] == [["ip"], ["phone"], ["phone"]]
+    monkeypatch.setattr(pii, "QUICK", re.compile(""))
+    assert got == [pii.disguised(t, pii.identifiers(t)) for t in made]
+    assert sum(map(bool, got)) > 10
+
+
 def test_pii_leaves_prose_alone(spark):
     clean = "We meet at noon. Look at the dot on page one, two and three; e.g. at example.com. Größe, été, niño"
     rows = [(1, clean), (2, None), (3, ""), (None, "a@b.co"), (4, "a@b.co and c [at] d.org")]

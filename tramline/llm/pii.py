@@ -150,7 +150,8 @@ NUMBER = "|".join(SPELLED)
 TOKEN = re.compile(rf"(?:{NUMBER}|{'|'.join(SAID)})", re.I)
 #: A run of spelled digits, at least four, with said signs or written digits between.
 SPOKEN = re.compile(rf"\b(?:(?:plus|\+)\s*)?(?:{NUMBER})(?:[\s,-]+(?:{NUMBER}|dot|point|dash|hyphen|[0-9]+)){{3,}}\b", re.I)
-QUICK = re.compile(rf"\b(?:{NUMBER})[\s,-]+(?:{NUMBER})\b", re.I)
+#: How such a run begins: wherever it is not found, SPOKEN is not either.
+QUICK = re.compile(rf"\b(?:plus\s*)?(?:{NUMBER})[\s,-]+(?:{NUMBER}|dot|point|dash|hyphen|[0-9])", re.I)
 
 
 def spelled_digits(r: Rewritten) -> None:
