@@ -391,6 +391,16 @@ def test_html_blocks():
     assert text("<select><option>no</select><p title='>'>yes") == ["yes"]
 
 
+def test_html_raw_elements_that_close_themselves_or_nothing_closes():
+    text = lambda h: [b.text for b in html.blocks_of(h)]
+    for tag in ('<svg class="icon"/>', '<svg/>', '<svg hidden />', '<iframe src="x" />', "<object data='y'/>", '<script src="z"/>', "<svg>", "<noscript>", "<select><option>", "<iframe src=a/>", "<template>", "<object>"):
+        assert text(f"<article><p>one</p>{tag}<p>two</p><div>three</div></article><p>four")[-4:] == ["one", "two", "three", "four"]
+    # what is closed stays raw, whatever it holds
+    for raw in ("<noscript><p>no</p></noscript>", "<svg><title>no</title><foreignObject><div>no</div></foreignObject></svg>", "<object><object><p>no</p></object><p>no</p></object>", "<script src=/a/>no</script>", "<select><option>no<option>no</select>"):
+        assert text(f"<p>one</p>{raw}<p>two</p>") == ["one", "two"]
+        assert text(f"<p>one</p><svg>{raw}<p>two</p>") == ["one", "two"]
+
+
 def test_html_held_out_accuracy():
     field = html.fitted()
     right = total = 0

@@ -35,6 +35,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is not markup; none of it is text of the page.
 RAW = frozenset("script style noscript template svg iframe object title textarea select head".split())
 OPAQUE = frozenset("script style title textarea".split())
+#: Block elements that stand in a raw one; other block start tags end one that nothing closes.
+INNER = frozenset("option optgroup legend".split())
 #: A start tag of the first kind ends an open element of the second.
 CLOSES_P = BLOCK_TAGS - frozenset("body button caption dd dt head html label legend li optgroup option tbody td tfoot th thead title tr".split())
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -42,6 +44,8 @@ SCOPES = frozenset("ul ol dl table article section div main body html blockquote
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 LETTERS = re.compile(r"[a-z]+")
+#: Attributes that end in the slash of a self-closing tag, not in that of a value without quotes.
+CLOSES_ITSELF = re.compile(r"(?:^|[\s\"']|(?:^|\s)[^\s=\"']+)/\s*\Z")
 
 
 class Block:
@@ -53,12 +57,29 @@ class Block:
         self.text, self.linked, self.path = text, linked, path
 
 
+def closed_starts(html: str, tag: str) -> set[int]:
+    """Where the start tags of ``tag`` that an end tag closes end."""
+    out: set[int] = set()
+    waiting: list[int] = []
+    for m in MARKUP.finditer(html):
+        end, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        if not name or name.lower() != tag:
+            continue
+        if not end and not CLOSES_ITSELF.search(attributes):
+            waiting.append(m.end())
+        elif end and waiting:
+            out.add(waiting.pop())
+    return out
+
+
 def blocks_of(html: str) -> list[Block]:
     """The leaf blocks of a page that have text, in page order. Character
     references are decoded, white space becomes one space."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
+    loose: list[int] = []  # places in the stack of raw elements that nothing closes
+    closed: dict[str, set[int]] = {}
     linked = links = at = 0
 
     def flush() -> None:
@@ -72,6 +93,8 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal links
         flush()
         del stack[k:]
+        while loose and loose[-1] >= k:
+            loose.pop()
         links = 0
 
     while at < len(html):
@@ -94,6 +117,9 @@ def blocks_of(html: str) -> list[Block]:
                 k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
                 pop_to(k) if k is not None else flush()
             continue
+        if tag in RAW and CLOSES_ITSELF.search(attributes):
+            flush()
+            continue
         if tag in OPAQUE:
             close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
             at = close.end() if close else len(html)
@@ -121,9 +147,19 @@ def blocks_of(html: str) -> list[Block]:
                     if open_tag == "head":
                         pop_to(k)
                         break
+            if loose and tag in BLOCK_TAGS - INNER:
+                raw = max((k for k, (t, _) in enumerate(stack) if t in RAW and k not in loose), default=-1)
+                k = next((k for k in loose if k > raw), None)
+                if k is not None:
+                    pop_to(k)
             flush()
             links = 0
             names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if "=" in attributes else ""
+            if tag in RAW and tag != "head":
+                if tag not in closed:
+                    closed[tag] = closed_starts(html, tag)
+                if at not in closed[tag]:
+                    loose.append(len(stack))
             stack.append((tag, names.lower()))
     flush()
     return out
