@@ -5,7 +5,7 @@ Every table carries ``_ord``, the order of its file, which decides ties.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,11 +17,20 @@ from .rows import best, first_of, last_of
 Score = Callable[[DataFrame], Column]
 
 
+#: The key by which rows of a table are looked up.
+KEYS = {"stops": "stop_id", "routes": "route_id", "trips": "trip_id", "calendar": "service_id"}
+
+
 class Feed:
-    """Timetable tables as DataFrames; absent ones are None."""
+    """Timetable tables as DataFrames; absent ones are None.
 
-    def __init__(self, **tables: DataFrame | None):
+    ``unique`` names tables that hold each key once, as published snapshots do:
+    lookups of these need no aggregate to find the last row of a key.
+    """
+
+    def __init__(self, unique: Collection[str] = (), **tables: DataFrame | None):
         self.tables = {k: v for k, v in tables.items() if v is not None}
+        self.unique = frozenset(unique)
 
     def __getattr__(self, name: str) -> DataFrame:
         try:
@@ -31,22 +40,23 @@ class Feed:
 
     # --- lookups ---------------------------------------------------------
 
-    def _by_id(self, table: str, key: str, *ids: str) -> DataFrame:
-        df = getattr(self, table)
-        return last_of(df.where(F.col(key).isin(*ids)) if ids else df, [key])
+    def _by_id(self, table: str, *ids: str) -> DataFrame:
+        df, key = getattr(self, table), KEYS[table]
+        found = df.where(F.col(key).isin(*ids)) if ids else df
+        return found if table in self.unique else last_of(found, [key])
 
     def stop(self, *ids: str) -> DataFrame:
         """Stops by id, all without ids; the last row of an id counts."""
-        return self._by_id("stops", "stop_id", *ids)
+        return self._by_id("stops", *ids)
 
     def route(self, *ids: str) -> DataFrame:
-        return self._by_id("routes", "route_id", *ids)
+        return self._by_id("routes", *ids)
 
     def trip(self, *ids: str) -> DataFrame:
-        return self._by_id("trips", "trip_id", *ids)
+        return self._by_id("trips", *ids)
 
     def calendar_for_service(self, *ids: str) -> DataFrame:
-        return self._by_id("calendar", "service_id", *ids)
+        return self._by_id("calendar", *ids)
 
     def exceptions_for_service(self, service_id: str) -> DataFrame:
         return self.calendar_dates.where(F.col("service_id") == service_id)
@@ -130,9 +140,18 @@ class Feed:
         return out.withColumn("stops", F.coalesce("stops", F.array().cast(kind)))
 
     def find_trips_where(self, predicate: Score) -> DataFrame:
+        """Trips by a predicate that needs the ordered array of their stop times."""
         df = self.trips_with_stops()
         return df.where(predicate(df))
 
+    def find_trips_by_calls(self, call: Score, predicate: Score) -> DataFrame:
+        """Trips by a predicate on ``calls``, how many stop times they have, and
+        ``found``, whether any of these fulfils ``call``: two numbers for each
+        trip, which aggregate before the shuffle, and no array."""
+        met = self.stop_times.groupBy("trip_id").agg(F.count("*").alias("calls"), F.bool_or(F.coalesce(call(self.stop_times), F.lit(False))).alias("found"))
+        df = self.trips.join(met, "trip_id", "left").withColumn("calls", F.coalesce("calls", F.lit(0))).withColumn("found", F.coalesce("found", F.lit(False)))
+        return df.where(predicate(df)).drop("calls", "found")
+
     def match_trip(self, score: Score) -> DataFrame:
         df = self.trips_with_stops()
         return best(df, score(df))
@@ -184,14 +203,17 @@ class Feed:
     def inspect_stop(self, *ids: str, most_children: int = 10, most_times: int = 5) -> DataFrame:
         """Stops with the number of children and visits, and lists of both
         where they are short."""
-        kids = self.child_stops().groupBy("parent_id").agg(F.count("*").alias("children"), F.array_sort(F.collect_list("child_id")).alias("child_ids"))
+        children = self.child_stops()
+        kids = children.groupBy("parent_id").agg(F.count("*").alias("children"))
+        # lists are made only where they are short
+        named = children.join(kids.where(F.col("children") <= most_children), "parent_id").groupBy("parent_id").agg(F.array_sort(F.collect_list("child_id")).alias("child_ids"))
+        kids = kids.join(named, "parent_id", "left")
         visits = self.stop_times.groupBy("stop_id").agg(F.count("*").alias("visits"))
         few = self.stop_times.join(visits.where(F.col("visits") <= most_times), "stop_id").groupBy("stop_id").agg(F.array_sort(F.collect_list("trip_id")).alias("trip_ids"))
         out = self.stop(*ids).join(kids.withColumnRenamed("parent_id", "stop_id"), "stop_id", "left").join(visits, "stop_id", "left").join(few, "stop_id", "left")
-        children, n = F.coalesce("children", F.lit(0)), F.coalesce("visits", F.lit(0))
         return out.select(
-            "stop_id", "stop_name", children.alias("children"), n.alias("visits"),
-            F.when(children <= most_children, F.array_join("child_ids", ",")).alias("child_ids"), F.array_join("trip_ids", ",").alias("trip_ids"),
+            "stop_id", "stop_name", F.coalesce("children", F.lit(0)).alias("children"), F.coalesce("visits", F.lit(0)).alias("visits"),
+            F.array_join("child_ids", ",").alias("child_ids"), F.array_join("trip_ids", ",").alias("trip_ids"),
         )
 
     def inspect_trip(self, *ids: str) -> DataFrame:

@@ -1,15 +1,18 @@
 """Record linkage: live references to lines, stops and trips.
 
-All matches are equi-joins with a band condition, so a candidate meets only
-the rows of its own stop or line; ties go to the first in file order.
+Matches within a tolerance are equi-joins on the stop or line and a bucket of
+time as wide as the tolerance, so a row meets only what is near it in time; what
+does not run on the dates asked about is dropped before. Ties go to the first in
+file order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..schemas import WEEKDAYS
 from .feed import Feed
 from .rows import first_of, last_of
 
@@ -113,6 +116,15 @@ def first_departures(feed: Feed) -> DataFrame:
     return first.select("trip_id", at.alias("first_sec")).where(F.col("first_sec") != fn.UNSET_TIME)
 
 
+def bucketed(df: DataFrame, at: str, width: int, around: int = 0) -> DataFrame:
+    """``df`` with ``_bucket``, the bucket of ``width`` seconds that ``at`` falls
+    in; with ``around``, a row for each bucket within so many seconds of it."""
+    bucket = lambda c: F.floor(c / width).cast("int")
+    if not around:
+        return df.withColumn("_bucket", bucket(F.col(at)))
+    return df.withColumn("_bucket", F.explode(F.sequence(bucket(F.col(at) - around), bucket(F.col(at) + around))))
+
+
 def nearest_start(journeys: DataFrame, feed: Feed, dates: DataFrame, tolerance: int = START_TOLERANCE, key: str = "journey") -> DataFrame:
     """(key, trip_id, diff): the active trip of the journey's line that starts
     nearest to its clock time.
@@ -126,25 +138,29 @@ def nearest_start(journeys: DataFrame, feed: Feed, dates: DataFrame, tolerance:
     wanted = journeys.where("code <> ''").select(key, "code", "direction_id", "clock", "date")
     lines = wanted.select("code", "date").distinct().join(all_routes(feed), "code").join(trips, "route_id").join(dates, ["date", "service_id"])
     with_direction = lines.select("code", "date", F.col("trip_direction").alias("direction_id")).distinct().withColumn("_has", F.lit(True))
-    starts = lines.join(first_departures(feed), "trip_id")
-    asked = wanted.join(with_direction, ["code", "date", "direction_id"], "left")
+    width = max(tolerance, 1)
+    starts = bucketed(lines.join(first_departures(feed), "trip_id"), "first_sec", width)
+    asked = bucketed(wanted.join(with_direction, ["code", "date", "direction_id"], "left").where("clock is not null"), "clock", width, tolerance)
     near = F.abs(F.col("first_sec") - F.col("clock"))
-    pairs = asked.join(starts, ["code", "date"]).where((near <= tolerance) & (F.col("_has").isNull() | (F.col("trip_direction") == F.col("direction_id"))))
+    pairs = asked.join(starts, ["code", "date", "_bucket"]).where((near <= tolerance) & (F.col("_has").isNull() | (F.col("trip_direction") == F.col("direction_id"))))
     return first_of(pairs.select(key, "trip_id", near.cast("int").alias("diff"), "route_ord", "trip_ord"), [key], ["diff", "route_ord", "trip_ord"]).select(key, "trip_id", "diff")
 
 
 def visit_candidates(visits: DataFrame, feed: Feed, dates: DataFrame | None, tolerance: int, key: str) -> DataFrame:
     """Active stop times at the visit's stop within the tolerance, with ``diff``."""
+    trips = feed.trip().select("trip_id", "route_id", "service_id", F.col("direction_id").alias("trip_direction"))
+    on = ["stop_id", "_bucket"]
+    if dates is not None:
+        trips, on = trips.join(dates, "service_id"), [*on, "date"]
+    trips = trips.join(feed.route().select("route_id", "route_short_name"), "route_id", "left")
     at = F.when(F.col("arrival_time") != fn.UNSET_TIME, F.col("arrival_time")).otherwise(F.col("departure_time"))
     times = feed.stop_times.select("stop_id", "trip_id", at.alias("at_sec"), F.col("_ord").alias("time_ord")).where(F.col("at_sec") != fn.UNSET_TIME)
+    width = max(tolerance, 1)
+    running_times = bucketed(times.join(trips, "trip_id"), "at_sec", width)
+    asked = bucketed(visits.where("clock is not null"), "clock", width, tolerance)
     near = F.abs(F.col("at_sec") - F.col("clock"))
-    pairs = visits.join(times, "stop_id").where(near <= tolerance).withColumn("diff", near.cast("int"))
-    trips = feed.trip().select("trip_id", "route_id", "service_id", F.col("direction_id").alias("trip_direction"))
-    pairs = pairs.join(trips, "trip_id")
-    if dates is not None:
-        pairs = pairs.join(dates, ["date", "service_id"])
-    names = feed.route().select("route_id", "route_short_name")
-    return pairs.join(names, "route_id", "left").where((F.col("code") == "") | (F.col("code") == F.col("route_short_name")))
+    pairs = asked.join(running_times, on).where((near <= tolerance) & ((F.col("code") == "") | (F.col("code") == F.col("route_short_name"))))
+    return pairs.withColumn("diff", near.cast("int"))
 
 
 def folded(candidates: DataFrame, key: str) -> DataFrame:
@@ -152,7 +168,8 @@ def folded(candidates: DataFrame, key: str) -> DataFrame:
 
     A candidate replaces the one held if its score (1 / (1 + diff), half more
     in the right direction) exceeds 1 / (1 + held diff), or its diff is less.
-    That depends on the order and is not the best score, so it is a fold.
+    That depends on the order and is not the best score, so it is a fold, over
+    the times at one stop within twice the tolerance.
     """
     item = F.struct(F.col("time_ord"), F.col("diff").cast("double").alias("diff"), (F.col("trip_direction") == F.col("direction_id")).alias("right"), "trip_id")
     grouped = candidates.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("c"))
@@ -205,10 +222,10 @@ def running_on_any(feed: Feed, dates: DataFrame) -> DataFrame:
     """The same for the dates of a DataFrame with a column ``date``."""
     days = dates.select("date").where(F.col("date") != fn.UNSET_DATE).distinct()
     exceptions = first_of(feed.calendar_dates.join(days, "date"), ["date", "service_id"], ["_ord"]).select("date", "service_id", "exception_type")
-    week = F.array("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-    ranges = feed.calendar_for_service().select("service_id", "start_date", "end_date", week.alias("week"))
-    # days are few; services meet each of them that their range holds
-    regular = ranges.join(days, F.col("date").between(F.col("start_date"), F.col("end_date"))).where(F.element_at("week", fn.weekday(F.col("date")) + 1)).select("date", "service_id")
+    week = F.filter(F.array(*[F.when(F.col(day), F.lit(k)) for k, day in enumerate(WEEKDAYS)]), lambda k: k.isNotNull())
+    ranges = feed.calendar_for_service().select("service_id", "start_date", "end_date", F.explode(week).alias("weekday"))
+    asked = days.withColumn("weekday", fn.weekday(F.col("date")).cast("int"))
+    regular = ranges.join(asked, "weekday").where(F.col("date").between(F.col("start_date"), F.col("end_date"))).select("date", "service_id")
     by_rule = regular.join(exceptions, ["date", "service_id"], "left_anti")
     return by_rule.union(exceptions.where("exception_type = 1").select("date", "service_id"))
 
@@ -216,8 +233,6 @@ def running_on_any(feed: Feed, dates: DataFrame) -> DataFrame:
 def nth_occurrence(calls: DataFrame, feed: Feed, key: str, position: str = "position") -> DataFrame:
     """Calls joined with the trip's stop times: the n-th call at a stop with
     the n-th time the trip is there. ``calls``: key, trip_id, stop_id, position."""
-    from pyspark.sql import Window
-
     asked = calls.withColumn("_n", F.row_number().over(Window.partitionBy(key, "stop_id").orderBy(position)))
     there = feed.stop_times.withColumn("_n", F.row_number().over(Window.partitionBy("trip_id", "stop_id").orderBy("stop_sequence", "_ord")))
     return asked.join(there.select("trip_id", "stop_id", "_n", "stop_sequence"), ["trip_id", "stop_id", "_n"]).drop("_n")

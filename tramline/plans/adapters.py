@@ -49,7 +49,8 @@ def feed(spark: SparkSession, sf_dir: str) -> Feed:
     dates = read("orders").where("o_orderkey % 7 = 0").select(
         service.alias("service_id"), _date("o_orderdate").alias("date"), (1 + F.col("o_orderkey") % 2).cast("int").alias("exception_type"), F.col("o_orderkey").alias("_ord"),
     )
-    return Feed(stops=platforms.union(stations), routes=routes, trips=trips, stop_times=stop_times, calendar=calendar, calendar_dates=dates)
+    keyed = ("stops", "routes", "trips", "calendar")  # by the keys of the standard tables
+    return Feed(unique=keyed, stops=platforms.union(stations), routes=routes, trips=trips, stop_times=stop_times, calendar=calendar, calendar_dates=dates)
 
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,7 +182,7 @@ def p12(f: Feed) -> DataFrame:
 @on_feed("p13_find_trips_where", f"""select trip_id, route_id, service_id, direction_id from trips where trip_id in (select trip_id from stop_times where stop_id = '{STOP}')
 or trip_id not in (select trip_id from stop_times)""")
 def p13(f: Feed) -> DataFrame:
-    return f.find_trips_where(lambda t: (F.size(t["stops"]) == 0) | F.exists(t["stops"], lambda s: s["stop_id"] == STOP)).select(*TRIP)
+    return f.find_trips_by_calls(lambda c: c["stop_id"] == STOP, lambda t: (t["calls"] == 0) | t["found"]).select(*TRIP)
 
 
 @on_feed("a09_match_trip", """select trip_id, route_id, service_id, direction_id from (select t.*, n, row_number() over (order by n desc, ord) as k from trips t
