@@ -11,7 +11,7 @@ import pytest
 import xxhash
 
 from tramline.llm import chat, html, latent, lines, packing, pii, quality, simhash, substrings, urls
-from tramline.llm.common import components
+from tramline.llm.common import components, split_join
 from tramline.llm.labelled_pages import labelled_pages
 
 SCHEMA = "text string, doc_id long, bits long, block int, row string, `_gone` string"
@@ -143,13 +143,6 @@ def test_patience_and_line_dedup(spark):
     assert lines.dedup_lines(frame(spark, [])).count() == 0
 
 
-def test_frequent_lines_go_without_pairs(spark):
-    line = "a line of more than ten words that nearly every document of this table has"
-    docs = [(k, f"own {k}\n{line}") for k in range(150)]
-    out = lines.dedup_lines(frame(spark, docs), rare_share=0.1).collect()
-    assert {r["doc"]["doc_id"]: r["kept"] for r in out} == {k: docs[0][1] if k == 0 else f"own {k}" for k in range(150)}
-
-
 def test_patience_aligns_gaps_without_unique_lines():
     r = random.Random(12)
     for _ in range(300):
@@ -197,11 +190,32 @@ def test_line_dedup_against_all_earlier_documents(spark):
     assert {x["doc_id"]: sorted(x["gone"] or []) for x in got} == expected
 
 
-def test_common_blocks_of_short_lines_go_without_pairs(spark):
-    block = "a line of five words\n\nof six words is this line"
-    docs = [(k, f"own {k}\n{block}\nand {k}\n{block}" if k % 2 else f"own {k}\n{block}") for k in range(150)]
-    out = lines.dedup_lines(frame(spark, docs), rare_share=0.1).collect()
-    assert {x["doc"]["doc_id"]: x["kept"] for x in out} == {k: docs[0][1] if k == 0 else f"own {k}\nand {k}" if k % 2 else f"own {k}" for k in range(150)}
+@pytest.mark.parametrize("rows", [50, 90, 150, 300])
+def test_line_dedup_is_the_same_at_every_size(spark, rows):
+    # a block of short lines that all hold, and one that two hold whose lines have other first holders
+    block = ["a line of six words here", "and six more words after it"]
+    docs = [(k, "\n".join([f"own {k}", *block])) for k in range(rows)]
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs += [(1001, f"x\n{a}"), (1002, f"y\n{b}"), (1003, f"z\n{a}\n{b}"), (1004, f"v\n{a}\n{b}"), (1005, f"own\n{b}\n{a}")]
+    got = {x["doc"]["doc_id"]: x["kept"] for x in lines.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {0: docs[0][1]} | {k: f"own {k}" for k in range(1, rows)} | dict(docs[rows : rows + 3]) | {1004: "v", 1005: docs[-1][1]}
+
+
+def test_line_dedup_awkward_rows(spark):
+    passage = "\n".join(f"line {k} of a long passage" for k in range(3000))
+    docs = [(1, passage), (2, "top\n" + passage + "\n" + passage), (2, "other text of id two\n" + passage), (3, "x" * 300_000), (4, "x" * 300_000), (5, "a b c d e f g h i j\n\n" * 2000), (None, passage), (None, passage), (None, None)]
+    out = lines.dedup_lines(frame(spark, docs)).select("doc.*", "kept").collect()
+    got = Counter((x["doc_id"], x["kept"]) for x in out)
+    assert got == Counter([(1, passage), (2, "top"), (2, "other text of id two"), (3, docs[3][1]), (4, docs[4][1]), (5, docs[5][1]), (None, passage), (None, passage), (None, None)])
+    assert out[0]["bits"] == 7 and out[0]["row"] == "r"
+
+
+def test_split_join(spark):
+    many = spark.range(20_000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as other")
+    one = many.select("k").distinct().selectExpr("k", "k * 2 as twice")
+    counts = many.groupBy("k").count().withColumnRenamed("count", "n")
+    got = split_join(many, one, "k", counts, "other")
+    assert got.count() == 20_000 and got.where("twice <> 2 * k or k is null").count() == 0
 
 
 def test_packing_against_piece_by_piece():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +26,14 @@ def words(text: Column) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the setting is absent (local tests) a folder in /tmp serves.
+    A local session without the setting gets a folder in the machine's
+    temporary one; on a cluster that would not be shared, so it is refused.
     """
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/tramline-checkpoints"
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        top = f"file://{tempfile.gettempdir()}/tramline-checkpoints"
     return f"{top.rstrip('/')}/tramline-{uuid.uuid4().hex}"
 
 
@@ -41,6 +47,27 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Keys whose rows are dealt over several tasks by ``split_join``, at most.
+HEAVY_KEYS = 1_000
+
+
+def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spread: str) -> DataFrame:
+    """``many`` joined with ``one``, which holds each ``key`` once.
+
+    ``counts``: (key, n), how many rows of ``many`` have each key. A key with
+    more than 1 / HEAVY_KEYS of all rows is dealt by ``spread`` over as many
+    salts as it has such shares, and its row of ``one`` is repeated for each.
+    There are less than HEAVY_KEYS such keys, so their list can be broadcast.
+    """
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
+    share = max(1, total // HEAVY_KEYS)
+    heavy = F.broadcast(counts.where(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = many.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
+    right = one.join(heavy, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph: (node, component).
 

@@ -10,8 +10,10 @@ order are anchors, the gaps between them are solved alike, those without an
 anchor by longest common subsequence), and aligned blocks go from the later
 document; so do blocks that it repeats or holds at another place.
 
-Only rare runs bring documents together. A run that more than ``rare_share`` of
-all rows hold is handled exactly without pairs: later holders lose its lines.
+A rare run and one that a third of all rows hold are treated alike: each holder
+is one pair with the first one, and the holders of a common run or first document
+are dealt over many tasks. Runs are found by one hash of the lines and aligned by
+another, so that a line goes only where two independent 64-bit hashes agree.
 """
 
 from __future__ import annotations
@@ -27,14 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import words, written
+from .common import split_join, words, written
 
 #: Words that an aligned block must have to be deleted.
 MIN_WORDS = 10
-#: A run in more than this share of the rows, and in over RARE_LEAST of them,
-#: is not rare.
-RARE_SHARE = 0.5
-RARE_LEAST = 100
 #: Bits that the alignment of a gap keeps at once; a larger gap is halved first.
 GAP_BITS = 1 << 28
 
@@ -189,53 +187,53 @@ def removed_lines(a: Sequence, b: Sequence, n_words: Sequence[int], min_words: i
     return sorted(gone)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Per row of ``docs``: (doc, n_lines, gone, kept): the row itself as a struct
     of all its columns, the number of its lines, the positions deleted (null:
     none) and the text left.
 
     Lines end at \\n and are compared without white space at their ends; the
-    earlier document is the one with the smaller id. A null text has no lines
-    and ``kept`` null; a row with a null id neither loses nor removes lines;
-    rows repeated under one id do not remove each other's lines. A document all of whose
-    lines go keeps the empty text.
+    earlier document is the one with the smaller id, of rows with one id the one
+    whose text has the smaller hash. A null text has no lines and ``kept`` null;
+    the empty text is one line and stays; a row with a null id neither loses nor
+    removes lines; rows repeated under one id do not remove each other's lines,
+    and each loses what earlier documents hold. A document all of whose lines go
+    keeps the empty text. Texts are taken whole, however long: a text's line
+    hashes are one row, and a gap is aligned in GAP_BITS at a time. An empty
+    table gives no rows. Other columns, of any name, stay inside ``doc``.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("row"), F.split(text_col, "\n").alias("l")).where("id is not null and l is not null")
+    rows = rows.withColumn("l", F.transform("l", lambda x: F.trim(F.translate(x, "\t\x0b\x0c\r", "    "))))
     rows = rows.select(
         F.struct("id", "row").alias("doc"),
-        F.transform("l", lambda x: F.xxhash64(F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")))).alias("h"),
+        F.transform("l", lambda x: F.xxhash64(x)).alias("h"),
+        F.transform("l", lambda x: F.xxhash64(x, F.lit(1))).alias("g"),
         F.transform("l", lambda x: F.size(words(x))).alias("n"),
     )
     rows = written(rows)  # hashes and counts, far smaller than the texts, and read four times
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, keys, places = [], [], []
-            h, n = batch.column(2), batch.column(3)
-            data, bounds = h.flatten().to_numpy(zero_copy_only=False).tobytes(), np.concatenate(([0], np.cumsum(h.value_lengths()))).tolist()
+            owner, keys = [], []
+            g, n = batch.column(2), batch.column(3)
+            data, bounds = g.flatten().to_numpy(zero_copy_only=False).tobytes(), np.concatenate(([0], np.cumsum(g.value_lengths()))).tolist()
             for k, n_words in enumerate(n.to_pylist()):
-                mine: dict[int, list[int]] = {}
-                for s, e in runs(n_words, min_words):
-                    mine.setdefault(xxh64_intdigest(data[8 * (bounds[k] + s) : 8 * (bounds[k] + e + 1)]), []).extend((s, e))
+                mine = {xxh64_intdigest(data[8 * (bounds[k] + s) : 8 * (bounds[k] + e + 1)]) for s, e in runs(n_words, min_words)}
                 owner += [k] * len(mine)
-                keys += mine.keys()
-                places += mine.values()
+                keys += mine
             at = pa.array(owner, pa.int64())
             hashes = pa.array(np.array(keys, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), hashes, pa.array(places, pa.list_(pa.int32()))], ["id", "row", "hash", "places"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), hashes], ["id", "row", "hash"])
 
     unique = rows.dropDuplicates(["doc"])
-    # one row for each document and run, with the first and last line of each place where it stands
-    held = unique.select("doc.id", "doc.row", "h", "n").mapInArrow(hashed, "id long, row long, hash long, places array<int>").select(F.struct("id", "row").alias("doc"), "hash", "places")
-    shared = held.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc.id").alias("last"), F.count("*").alias("holders")).where("first.id < last")
-    most = max(RARE_LEAST, int(rare_share * docs.count()))
-    held = held.join(shared, "hash").where("first.id < doc.id")
-    # one row for each pair of documents; runs that aren't rare are settled on their own
-    pairs = held.where(F.col("holders") <= most).select("first", "doc").distinct()
-    every = F.sequence(F.lit(0), F.size("places") - 1, F.lit(2))
-    alone = held.where(F.col("holders") > most).select("doc", F.explode(F.transform(every, lambda k: F.sequence(F.get("places", k), F.get("places", k + 1)))).alias("at"))
-    alone = alone.select("doc", F.explode("at").alias("pos"))
+    # one row for each document and run
+    held = unique.select("doc.id", "doc.row", "g", "n").mapInArrow(hashed, "id long, row long, hash long").select(F.struct("id", "row").alias("doc"), "hash")
+    shared = held.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc.id").alias("last"), F.count("*").alias("n")).where("first.id < last")
+    shared = written(shared.select("hash", "first", "n"))
+    # one row for each pair of documents
+    pairs = split_join(held, shared.select("hash", "first"), "hash", shared.select("hash", "n"), "doc").where("first.id < doc.id")
+    pairs = written(pairs.select("first", "doc").distinct())
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,10 +246,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             at = pa.array(docs_, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(3).take(at), batch.column(4).take(at), pa.array(pos, pa.int32())], ["id", "row", "pos"])
 
-    both = pairs.join(unique.select("doc", "h", "n"), "doc").join(unique.select(F.col("doc").alias("first"), F.col("h").alias("ha")), "first")
+    later = pairs.join(unique.select("doc", "h", "n"), "doc")
+    firsts = unique.select(F.col("doc").alias("first"), F.col("h").alias("ha"))
+    both = split_join(later, firsts, "first", pairs.groupBy("first").agg(F.count("*").alias("n")), "doc")
     aligned = both.select("ha", "h", "n", "doc.id", "doc.row").mapInArrow(align, "id long, row long, pos int")
-    gone = aligned.union(alone.select("doc.id", "doc.row", "pos")).groupBy("id", "row").agg(F.collect_set("pos").alias("gone"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), key.alias("row"), F.col(text_col).alias("text"))
+    gone = aligned.groupBy("id", "row").agg(F.collect_set("pos").alias("gone"))
+    # rows without an id meet nothing: their keys only have to be many
+    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()).otherwise(key)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).cast("long").alias("id"), own.alias("row"), F.col(text_col).alias("text"))
     out = whole.join(gone, ["id", "row"], "left").withColumn("lines", F.split("text", "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
