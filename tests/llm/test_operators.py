@@ -337,6 +337,69 @@ def test_pii_gate_is_a_necessary_condition(monkeypatch):
     assert sum(map(bool, got)) > 10
 
 
+def slow_disguised(text, base):
+    """Character by character, with every pair of spans compared."""
+    spans, changed, t = [(k, k + 1) for k in range(len(text))], [False] * len(text), text
+
+    def apply(edits):
+        nonlocal spans, changed, t
+        out_t, out_s, out_c, at = "", [], [], 0
+        for s, e, new in [*edits, (len(t), len(t), None)]:
+            out_t, out_s, out_c = out_t + t[at:s], out_s + spans[at:s], out_c + changed[at:s]
+            if new:
+                out_t, out_s, out_c = out_t + new, out_s + [(spans[s][0], spans[e - 1][1])] * len(new), out_c + [True] * len(new)
+            elif e > s and out_c:
+                out_c[-1] = True
+            at = e
+        t, spans, changed = out_t, out_s, out_c
+
+    class Slow:
+        text = property(lambda _: t)
+
+        def apply(self, edits):
+            apply(list(edits))
+
+    pii.homoglyphs(Slow())
+    pii.spelled_digits(Slow())
+    pii.at_and_dot(Slow())
+    out = []
+    for k, s, e in slow_identifiers(t):
+        a, b = spans[s][0], spans[e - 1][1]
+        if any(changed[s:e]) and not any(k == k2 and a2 < b and a < b2 for k2, a2, b2 in base + out):
+            out.append((k, a, b))
+    return out
+
+
+def test_pii_added_spans_against_character_by_character():
+    r = random.Random(17)
+    parts = ["bob", "a.b", " at ", " [at] ", "(at)", " dot ", "[dot]", "(.)", "@", ".", "com", "org", "1", "192", ".", "one", " ", "two ", "plus ", "＠", "．", "а", "​", "​​", "４", "+", "-", "x1.2.3.4", "é", "\n"]
+    found = 0
+    for _ in range(20_000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(2, 14)))
+        base = pii.identifiers(t)
+        assert pii.disguised(t, base) == slow_disguised(t, base), t
+        found += len(pii.disguised(t, base))
+    assert found > 500
+
+
+@pytest.mark.parametrize("unit", ["10.20.30.40 ", "bob [at] mail.org, ", "a dot b dot ", "x at y. ", "jаne@exаmple.com ", "one two three four five ", "[at] ", "a" * 60 + ".", "４", "​", "+1 555 (dot) "])
+def test_pii_long_texts_take_linear_time_and_little_memory(unit):
+    import time
+    import tracemalloc
+
+    text = "one [dot] here " + unit * (1_000_000 // len(unit))
+    base = pii.identifiers(text)
+    began = time.perf_counter()
+    found = pii.disguised(text, base)
+    assert time.perf_counter() - began < 6  # seconds; 0.3 to 2 where nothing else runs
+    if unit == "10.20.30.40 ":
+        assert found == []
+        tracemalloc.start()
+        pii.Rewritten(text).apply([(4, 9, ".")])
+        assert tracemalloc.get_traced_memory()[1] < 10 * len(text)
+        tracemalloc.stop()
+
+
 def test_pii_leaves_prose_alone(spark):
     clean = "We meet at noon. Look at the dot on page one, two and three; e.g. at example.com. Größe, été, niño"
     rows = [(1, clean), (2, None), (3, ""), (None, "a@b.co"), (4, "a@b.co and c [at] d.org")]

@@ -13,7 +13,8 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -114,33 +115,96 @@ def plain(char: str) -> str:
 
 
 class Rewritten:
-    """A text with the source span of each character, and which were changed."""
+    """A text and where its parts come from, as runs of characters.
+
+    A run is (first character here, start in the source, end in the source,
+    changed); its characters stand for one source character each if it is as
+    long as its source, else each for the whole of it. A text costs some bytes
+    for each run, not for each character.
+    """
 
     def __init__(self, text: str):
         self.text = text
-        self.spans: list[tuple[int, int]] = [(k, k + 1) for k in range(len(text))]
-        self.changed = bytearray(len(text))
+        self.at, self.start, self.end, self.changed = [0], [0], [len(text)], [False]
+
+    def _run(self, pos: int) -> int:
+        return bisect_right(self.at, pos) - 1
+
+    def _of(self, k: int, pos: int) -> tuple[int, int]:
+        stop = self.at[k + 1] if k + 1 < len(self.at) else len(self.text)
+        if stop - self.at[k] != self.end[k] - self.start[k]:
+            return self.start[k], self.end[k]
+        from_ = self.start[k] + pos - self.at[k]
+        return from_, from_ + 1
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        """The source characters that [start, end) of the text stands for."""
+        return self._of(self._run(start), start)[0], self._of(self._run(end - 1), end - 1)[1]
 
-    def apply(self, edits: list[tuple[int, int, str]]) -> None:
+    def touched(self, start: int, end: int) -> bool:
+        return any(self.changed[self._run(start) : self._run(end - 1) + 1])
+
+    def apply(self, edits: Iterable[tuple[int, int, str]]) -> None:
         """Replaces [start, end) of the current text, for sorted disjoint edits."""
-        text, spans, changed, at = [], [], bytearray(), 0
+        text: list[str] = []
+        at: list[int] = []
+        starts: list[int] = []
+        ends: list[int] = []
+        changed: list[bool] = []
+        size = 0
+
+        def put(n: int, start: int, end: int, new: bool) -> None:
+            """``n`` characters for [start, end), joined to the last run if alike."""
+            nonlocal size
+            single = n == end - start
+            if single and at and changed[-1] == new and ends[-1] == start and size - at[-1] == ends[-1] - starts[-1]:
+                ends[-1] = end
+            else:
+                at.append(size)
+                starts.append(start)
+                ends.append(end)
+                changed.append(new)
+            size += n
+
+        def copy(begin: int, stop: int) -> None:
+            text.append(self.text[begin:stop])
+            k = self._run(begin)
+            while begin < stop:
+                until = min(stop, self.at[k + 1] if k + 1 < len(self.at) else len(self.text))
+                put(until - begin, self._of(k, begin)[0], self._of(k, until - 1)[1], self.changed[k])
+                begin, k = until, k + 1
+
+        def mark() -> None:
+            """The last character counts as changed: one after it is gone."""
+            if not at or changed[-1]:
+                return
+            if size - at[-1] > 1 and size - at[-1] == ends[-1] - starts[-1]:
+                ends[-1] -= 1
+                at.append(size - 1)
+                starts.append(ends[-1])
+                ends.append(ends[-1] + 1)
+                changed.append(True)
+            else:
+                changed[-1] = True
+
+        done = 0
         for start, end, new in edits:
-            text += [self.text[at:start], new]
-            spans += self.spans[at:start]
-            changed += self.changed[at:start]
-            if end > start:
-                spans += [(self.spans[start][0], self.spans[end - 1][1])] * len(new)
-            changed += b"\1" * len(new)
-            if not new and end > start and changed:
-                changed[-1] = 1  # what stood before a deleted character
-            at = end
-        self.text = "".join([*text, self.text[at:]])
-        self.spans = spans + self.spans[at:]
-        self.changed = changed + self.changed[at:]
+            if start > done:
+                copy(done, start)
+            if new:
+                text.append(new)
+                put(len(new), *self.source(start, end), True)
+            elif end > start:
+                mark()
+            done = end
+        if done < len(self.text):
+            copy(done, len(self.text))
+        self.text = "".join(text)
+        self.at, self.start, self.end, self.changed = (at, starts, ends, changed) if at else ([0], [0], [0], [False])
 
 
 def homoglyphs(r: Rewritten) -> None:
-    r.apply([(m.start(), m.end(), new) for m in SUSPECT.finditer(r.text) if (new := plain(m[0])) != m[0]])
+    r.apply((m.start(), m.end(), new) for m in SUSPECT.finditer(r.text) if (new := plain(m[0])) != m[0])
 
 
 #: The spelled digits, and the signs said between them.
@@ -155,43 +219,47 @@ QUICK = re.compile(rf"\b(?:plus\s*)?(?:{NUMBER})[\s,-]+(?:{NUMBER}|dot|point|das
 
 
 def spelled_digits(r: Rewritten) -> None:
-    edits: list[tuple[int, int, str]] = []
-    for run in SPOKEN.finditer(r.text):
-        at = run.start()
-        for m in re.finditer(r"[A-Za-z]+|[0-9]+|\+", run[0]):
-            word = m[0].lower()
-            start, end = run.start() + m.start(), run.start() + m.end()
-            if start > at:
-                edits.append((at, start, ""))
-            if word in SPELLED or word in SAID:
-                edits.append((start, end, SPELLED.get(word) or SAID[word]))
-            at = end
-    r.apply(edits)
+    def edits() -> Iterator[tuple[int, int, str]]:
+        for run in SPOKEN.finditer(r.text):
+            at = run.start()
+            for m in re.finditer(r"[A-Za-z]+|[0-9]+|\+", run[0]):
+                word = m[0].lower()
+                start, end = run.start() + m.start(), run.start() + m.end()
+                if start > at:
+                    yield at, start, ""
+                if word in SPELLED or word in SAID:
+                    yield start, end, SPELLED.get(word) or SAID[word]
+                at = end
+
+    r.apply(edits())
 
 
 AT = r"(?:\s*[\[({<]\s*at\s*[\])}>]\s*)"
 DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+)"
-LOCAL, LABEL = rf"[A-Za-z0-9_%+-]+(?:(?:\.|{DOT})[A-Za-z0-9_%+-]+)*", r"[A-Za-z0-9-]+"
+#: Parts and labels have the lengths and numbers that addresses may have, so a
+#: match looks at a bounded stretch of text from wherever it starts.
+MOST = "{0,9}"
+LOCAL, LABEL = rf"[A-Za-z0-9_%+-]{{1,64}}(?:(?:\.|{DOT})[A-Za-z0-9_%+-]{{1,64}}){MOST}", r"[A-Za-z0-9-]{1,63}"
 #: Ends of host names that a bare " at " needs, as prose has "at the dot on".
 ENDS = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|eu|de|fr|es|it|uk|ch|nl|be|pl|ru|us|ca|au|jp|cn|in|br"
 #: A bracketed "at" may go with plain dots; a bare " at " and an "@" need a disguised dot.
-DISGUISED = re.compile(rf"(?<![A-Za-z0-9_%+.-]){LOCAL}(?:{AT}{LABEL}(?:(?:\.|{DOT}){LABEL})+|(?:\s*@\s*){LABEL}(?:\.{LABEL})*{DOT}{LABEL}(?:(?:\.|{DOT}){LABEL})*|\s+at\s+(?:{LABEL}(?:\.|{DOT}))*?{LABEL}{DOT}(?:{LABEL}(?:\.|{DOT}))*(?:{ENDS})\b)", re.I)
-DISGUISED_IP = re.compile(rf"[0-9]{{1,3}}(?:(?:\.|{DOT})[0-9]{{1,3}}){{3}}", re.I)
+EMAIL = rf"(?<![A-Za-z0-9_%+.-]){LOCAL}(?:{AT}{LABEL}(?:(?:\.|{DOT}){LABEL}){{1,9}}|(?:\s*@\s*){LABEL}(?:\.{LABEL}){MOST}{DOT}{LABEL}(?:(?:\.|{DOT}){LABEL}){MOST}|\s+at\s+(?:{LABEL}(?:\.|{DOT})){MOST}?{LABEL}{DOT}(?:{LABEL}(?:\.|{DOT})){MOST}(?:{ENDS})\b)"
+ADDRESS = rf"[0-9]{{1,3}}(?:(?:\.|{DOT})[0-9]{{1,3}}){{3}}"
+DISGUISED = re.compile(f"{EMAIL}|{ADDRESS}", re.I)
 MARK = re.compile(rf"({AT}|\s+at\s+|\s*@\s*)|({DOT})", re.I)
 HINT = re.compile(r"[\[({<]\s*at\s*[\])}>]|\bdot\b|[\[({<]\s*\.\s*[\])}>]", re.I)
 
 
 def at_and_dot(r: Rewritten) -> None:
-    edits: list[tuple[int, int, str]] = []
-    at = 0
-    while m := min((x for p in (DISGUISED, DISGUISED_IP) if (x := p.search(r.text, at))), key=lambda x: x.start(), default=None):
-        edits += [(m.start() + k.start(), m.start() + k.end(), "@" if k[1] else ".") for k in MARK.finditer(m[0])]
-        at = m.end()
-    r.apply(edits)
+    r.apply((m.start() + k.start(), m.start() + k.end(), "@" if k[1] else ".") for m in DISGUISED.finditer(r.text) for k in MARK.finditer(m[0]))
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
-    """Spans that only the rewritten text shows, in source offsets."""
+    """Spans that only the rewritten text shows, in source offsets.
+
+    ``base``: the identifiers of ``text``, each kind's by start. Linear: what is
+    found comes in order, so each span meets one base span and the last found.
+    """
     glyphs, spoken = not text.isascii() and SUSPECT.search(text), QUICK.search(text)
     if not (glyphs or spoken or HINT.search(text)):
         return []
@@ -203,11 +271,20 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         at_and_dot(r)
     if not any(r.changed):
         return []
+    known: dict[str, tuple[list[int], list[int]]] = {kind: ([], []) for kind in KINDS}
+    for kind, start, end in base:
+        known[kind][0].append(start)
+        known[kind][1].append(end)
     out: list[Span] = []
+    last = dict.fromkeys(KINDS, 0)
     for kind, start, end in identifiers(r.text):
-        source = (r.spans[start][0], r.spans[end - 1][1])
-        if any(r.changed[start:end]) and not any(k == kind and s < source[1] and source[0] < e for k, s, e in base + out):
+        if not r.touched(start, end):
+            continue
+        source = r.source(start, end)
+        before = bisect_left(known[kind][0], source[1]) - 1
+        if source[0] >= last[kind] and (before < 0 or known[kind][1][before] <= source[0]):
             out.append((kind, *source))
+            last[kind] = source[1]
     return out
 
 
@@ -221,7 +298,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     The counts and ``base_sha256`` are of the base identifiers; ``spans`` holds
     these and the ``n_added`` that deobfuscation adds. Offsets are code points,
     end exclusive. Null and empty texts have none; a null id stays null;
-    repeated rows each give a row; an empty table gives none. One narrow pass.
+    repeated rows each give a row; an empty table gives none; other columns are
+    not read. Texts are searched whole, in time and memory that grow with their
+    length. Of two matches at one place the longer email goes first. One narrow pass.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
