@@ -9,6 +9,7 @@ from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tramline.llm import chat, html, latent, lines, packing, pii, quality, simhash, substrings, urls
 from tramline.llm.common import components, split_join
@@ -426,6 +427,31 @@ def test_quality_against_brute_force(spark, texts):
     assert quality.judge(frame(spark, []), labels).count() == 0
 
 
+def test_quality_scores_against_brute_force(spark, texts):
+    import math
+
+    buckets = 512
+    pairs = [(w, f) for _, t in texts for w, f in zip(words(t), [*words(t)[1:], ""])]
+    rows = spark.createDataFrame(list(set(pairs)), "w string, f string")
+    hashed = rows.select("w", "f", quality.of_word(F.col("w"), F.col("f"), buckets).alias("b")).collect()
+    at = {(x["w"], x["f"]): x["b"] for x in hashed}
+    features = lambda t: [b for p in zip(words(t), [*words(t)[1:], ""]) for b in at[p]]
+    raw, target = Counter(), Counter()
+    for i, t in texts:
+        raw.update(features(t))
+        target.update(features(t) if i is not None and i < 30 else [])
+    scale = raw.total() / target.total()
+    ratio = {b: math.log((target[b] * scale + 4) / (raw[b] + 4)) for b in raw}
+    expected = sorted((i is None, i or 0, round(sum(ratio[b] for b in features(t)) / max(1, len(features(t))), 9)) for i, t in texts)
+    labels = spark.createDataFrame([(k,) for k in range(30)] + [(None,), (3,)], "doc_id long")
+    got = quality.judge(frame(spark, texts), labels, buckets=buckets).collect()
+    assert sorted((x["doc_id"] is None, x["doc_id"] or 0, round(x["score"], 9)) for x in got) == expected
+    assert all(x["kept"] == (not x["base_failed"] and x["score"] >= quality.THRESHOLD) for x in got)
+    # both ways to mark the target give one model
+    few, many = (quality.model(frame(spark, texts), labels, buckets=buckets, broadcast_ids=n).head()["ratios"] for n in (10**6, 0))
+    assert few == many and any(few)
+
+
 def test_quality_verdicts_agree(spark):
     good = [(k, " ".join(f"w{(k * 7 + j * j) % 90}" for j in range(60))) for k in range(40)]
     bad = [(100 + k, " ".join(f"q{(k + j * j) % 90}%%%" for j in range(60))) for k in range(10)]
@@ -433,7 +459,8 @@ def test_quality_verdicts_agree(spark):
     labels = spark.createDataFrame([(k,) for k in range(40)], "doc_id long")
     kept = {r["doc_id"] for r in quality.judge(docs, labels).where("kept").collect()}
     assert kept == set(range(40))
-    assert {r["doc_id"] for r in quality.drop_rejected(docs, labels).collect()} == kept
+    left = quality.drop_rejected(docs.withColumn("ratios", F.lit(3)).withColumn("a.b", F.lit("c")), labels).collect()
+    assert {r["doc_id"] for r in left} == kept and {(r["ratios"], r["a.b"], r["bits"]) for r in left} == {(3, "c", 7)}
 
 
 def test_urls(spark):

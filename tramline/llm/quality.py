@@ -7,7 +7,9 @@ buckets are estimated on all documents: one of the trusted target (documents
 labelled as good and not toxic), one of the raw corpus. A document's verdict is
 the mean log ratio over its features against a fixed threshold. The model is
 one number for each bucket, so its size is set by a parameter, not by the data;
-the counting aggregates partially before its shuffle, over the buckets.
+the counting aggregates partially before its shuffle, over the buckets. Texts are
+not shuffled: the ids of the target are sent to the texts where they are few
+enough (a checked size), beyond that only texts with such ids could meet them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ BUCKETS = 16_384
 #: Documents whose mean log ratio is below this are rejected.
 THRESHOLD = -0.25
 WINDOW = 8
+#: Trusted ids, of eight bytes, that are broadcast at most.
+BROADCAST_IDS = 4_000_000
 
 
 def let(value: Column, body) -> Column:
@@ -75,7 +79,7 @@ def bucket(*x: Column, buckets: int = BUCKETS) -> Column:
 
 
 def of_word(word: Column, following: Column, buckets: int = BUCKETS) -> Column:
-    """The features that a word and the word after it give."""
+    """The features that a word and the word after it give, as buckets."""
     end = bucket(F.right(word, F.lit(3)), F.lit(3), buckets=buckets)
     return F.array(bucket(word, buckets=buckets), bucket(word, following, buckets=buckets), end)
 
@@ -84,24 +88,26 @@ def word_rows(rows: DataFrame, *keep: str) -> DataFrame:
     """A row for each word of ``w``: the ``keep`` columns, word, following.
 
     Exploding first leaves the hashing to generated code, which is several
-    times faster than lambdas over arrays. A text without words gives a row of
-    nulls.
+    times faster than lambdas over arrays.
     """
     following = F.concat(F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), F.array(F.lit("")))
-    pairs = rows.select(*keep, F.explode_outer(F.arrays_zip(F.col("w").alias("word"), following.alias("following"))).alias("p"))
+    pairs = rows.select(*keep, F.explode(F.arrays_zip(F.col("w").alias("word"), following.alias("following"))).alias("p"))
     return pairs.select(*keep, "p.word", "p.following")
 
 
-def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = 4.0) -> DataFrame:
+def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, smoothing: float = 4.0, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """One row, one column: the log ratio target / raw of every bucket.
 
     ``trusted`` holds the ids of the target's documents. Without any, all
-    ratios are zero.
+    ratios are zero. Both ways to mark the target count the same.
     """
-    ids = trusted.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_good", F.lit(1))
+    ids = trusted.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct()
+    ids = written(ids.withColumn("_spread", F.lit(0).cast("long")).withColumn("_good", F.lit(1)))
     text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    # the target grows with the corpus, so it is never broadcast: one plan at every size
-    marked = text.join(ids.hint("merge"), "_id", "left").select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
+    # rows without an id are nobody's; the second key keeps them apart in a shuffle
+    text = text.withColumn("_spread", F.when(F.col("_id").isNull(), F.xxhash64("_t")).otherwise(F.lit(0)))
+    few = ids.count() <= broadcast_ids
+    marked = text.join(F.broadcast(ids) if few else ids.hint("merge"), ["_id", "_spread"], "left").select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
     pairs = word_rows(marked.where(F.size("w") > 0), "good")
     grams = pairs.select("good", F.explode(of_word(F.col("word"), F.col("following"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
@@ -113,7 +119,24 @@ def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     ratio = F.log((scaled + smoothing) / (count("raw") + smoothing)).cast("double")
     every = docs.sparkSession.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"))
     each = every.join(counts, "bucket", "left").select(F.struct("bucket", ratio.alias("ratio")).alias("x"))
-    return each.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["ratio"]).alias("ratios"))
+    return written(each.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["ratio"]).alias("ratios")))
+
+
+def mean_ratio(w: Column, ratios: Column, buckets: int = BUCKETS) -> Column:
+    """The mean log ratio of the features of the words ``w``; 0 without words.
+
+    By lambdas, since a text has to stay with its row. Words and ratios are to
+    be bound outside (``let``, a column), and each word's features are summed
+    as they come, word by word, so a score does not depend on the plan.
+    """
+
+    def of(x: Column) -> Column:
+        w, r = x["w"], x["r"]
+        ratio = lambda *h: F.get(r, bucket(*h, buckets=buckets))
+        each = F.transform(w, lambda word, i: ratio(word) + ratio(word, F.coalesce(F.get(w, i + 1), F.lit(""))) + ratio(F.right(word, F.lit(3)), F.lit(3)))
+        return F.when(F.size(w) == 0, F.lit(0.0)).otherwise(F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / (3 * F.size(w)))
+
+    return let(F.struct(w.alias("w"), ratios.alias("r")), of)
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
@@ -122,21 +145,16 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
 
     ``score`` is the mean log ratio of the document's features (0 without
     words), ``kept`` is false if a base rule fails or the score is below the
-    threshold. Null and empty texts have no words and fail the base rules; a
-    null id is judged like any other but is never trusted; repeated rows each
-    give a row and count each time; an empty table gives no rows.
+    threshold; a score at the threshold is kept. Null and empty texts have no
+    words and fail the base rules; a null id is judged like any other but is
+    never trusted; repeated rows each give a row and count each time; texts are
+    scored whole, whatever their length; an empty table gives no rows; other
+    columns are not read.
     """
-    fitted = written(model(docs, trusted, id_col, text_col, buckets))
-    ratios = fitted.select("ratios").scalar()
+    ratios = model(docs, trusted, id_col, text_col, buckets).select("ratios").scalar()
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    # the counts go along as grouping columns: a row is summed where it was read
-    keyed = base_counts(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    pairs = word_rows(keyed, "row", id_col, *counts).withColumn("f", of_word(F.col("word"), F.col("following"), buckets)).withColumn("r", ratios)
-    ratio = lambda k: F.get("r", F.get("f", F.lit(k)))
-    each = F.when(F.col("word").isNull(), F.lit(0.0)).otherwise(ratio(0) + ratio(1) + ratio(2))
-    total = pairs.groupBy("row", id_col, *counts).agg(F.sum(each).alias("total"))
-    score = F.when(F.col("n_words") == 0, F.lit(0.0)).otherwise(F.col("total") / (3 * F.col("n_words")))
-    return total.withColumn("score", score).select(id_col, *counts, "score", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"))
+    scored = base_counts(docs, id_col, text_col).withColumn("r", ratios).select(id_col, *counts, mean_ratio(F.col("w"), F.col("r"), buckets).alias("score"))
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -144,22 +162,18 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
 
 
-def drop_rejected(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, all columns unchanged.
-
-    The verdict is computed on the row itself, so no join follows.
+def drop_rejected(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns unchanged, of
+    whatever names; its cases hold here too. The verdict is computed on the row
+    itself, so no join follows.
     """
-    fitted = written(model(docs, trusted))
-    ratios = fitted.select("ratios").scalar()
-    # by lambdas, since the text has to stay with its row; words and ratios are bound once
+    ratios = model(docs, trusted, id_col, text_col).select("ratios").scalar()
+
     def good(x: Column) -> Column:
-        w, r = x["w"], x["r"]
-        grams = let(w, lambda w: F.transform(w, lambda word, i: of_word(word, F.coalesce(F.get(w, i + 1), F.lit("")))))
-        ratio = lambda f, k: F.get(r, F.get(f, F.lit(k)))
-        total = F.aggregate(grams, F.lit(0.0), lambda a, f: a + ratio(f, 0) + ratio(f, 1) + ratio(f, 2))
-        n = F.size(w)
-        return (n >= 20) & (100 * repeated_words(w) <= 30 * n) & (total / (3 * n) >= threshold)
-
-    marked = docs.withColumn("_ratios", ratios)
-    bound = F.struct(words(F.col("text")).alias("w"), F.col("_ratios").alias("r"))
-    return marked.where(let(bound, good)).drop("_ratios")
+        n = F.size(x["w"])
+        return (n >= 20) & (100 * repeated_words(x["w"]) <= 30 * n) & (mean_ratio(x["w"], x["r"]) >= threshold)
+
+    # the ratios ride in a struct beside the row's own, so no name can clash
+    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), ratios.alias("ratios"))
+    bound = F.struct(words(F.col(f"row.`{text_col}`")).alias("w"), F.col("ratios").alias("r"))
+    return both.where(let(bound, good)).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
