@@ -478,6 +478,10 @@ def test_urls(spark):
         (11, "", "", None, "allow"): 1, (12, "h", "", None, "allow"): 1, (13, "org", "", None, "allow"): 1,
     })
     assert urls.judge(frame_, listed.where("false")).where("verdict = 'block'").count() == 3
+    long = "x://Host.net/" + "a/" * 100_000
+    rows = [(1, long), (2, long + "b"), (3, "x://a.b.org/q")]
+    tied = (("b.org/", "b.org", "/", "block"), ("a.org/", "org", "/", "allow"))
+    assert [r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([("host.net" + "/a" * 100_000,)], "canonical string"), tied).orderBy("page_id").collect()] == ["block", "allow", "block"]
     assert urls.judge(frame_.where("false"), listed).count() == 0
 
 

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from . import chat, html, latent, lines, packing, pii, quality, simhash, substrings, urls
@@ -49,16 +46,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), trusted)
 
 
-#: Words in a host that put all pages of the host on the list of ``op9``.
-LISTED_HOSTS = ("adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-
-
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list: the canonical URLs of pages on hosts named in LISTED_HOSTS."""
+    """The list, of which there is no table: the canonical URLs of all pages on
+    hosts whose name joins words by a hyphen, as advertising hosts' names do."""
     pages = table(spark, sf_dir, "pages")
     host, path = urls.host_and_path(F.col("url"))
-    bad = reduce(lambda a, b: a | b, [F.contains(host, F.lit(f"{x}.")) for x in LISTED_HOSTS])
-    listed = pages.where(bad).select(urls.canonical(host, path).alias("canonical"))
+    listed = pages.where(F.contains(host, F.lit("-"))).select(urls.canonical(host, path).alias("canonical"))
     return urls.judge(pages, listed)
 
 
@@ -115,8 +108,7 @@ u as (
 r(rule, rule_host, rule_path, says) as (values ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
   ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
 c as (select *, regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '^(?:www|m)\.', '') || regexp_replace(path, '/+$', '') as canonical from u),
-listed as (select distinct canonical from c where contains(host, 'adult-x.') or contains(host, 'casino-win.')
-  or contains(host, 'cheap-pills.') or contains(host, 'free-bets.') or contains(host, 'spam-farm.')),
+listed as (select distinct canonical from c where contains(host, '-')),
 best as (
   select page_id, arg_max(rule, length(rule)) as rule, arg_max(says, length(rule)) as says
   from u join r on (u.host = rule_host or ends_with(u.host, '.' || rule_host)) and starts_with(u.path, rule_path) group by page_id)

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Bits of filter for each listed URL; a block has 256 bits.
 BITS_PER_URL = 16
 LANES = 8
@@ -86,22 +88,26 @@ def may_contain(rows: DataFrame, key: str, flt: DataFrame, blocks: int) -> DataF
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str, str]] = RULES) -> DataFrame:
     """Per page: (page_id, host, path, rule, verdict).
 
-    ``listed`` has a column ``canonical``. Where a rule fits, its verdict
-    holds; else ``block`` if the page's canonical URL is listed, ``allow`` if
-    not. A null URL or one without ``://`` has an empty host and path and is
-    allowed unless the empty URL is listed; null entries of the list count
-    for nothing and repeated ones once; repeated pages each give a row.
+    ``listed`` has a column ``canonical``; it is written once and read for the
+    filter and for the exact join. Where a rule fits, its verdict holds (of
+    fitting rules with names of one length the last by name); else ``block`` if
+    the page's canonical URL is listed, ``allow`` if not. A null URL or one
+    without ``://`` has an empty host and path and is allowed unless the empty
+    URL is listed; null entries of the list count for nothing and repeated ones
+    once; URLs count whole, however long; repeated pages each give a row; empty
+    tables on either side are no special case; other columns are not read. The
+    pages are scanned once and keep their own rows through both joins, so a URL
+    that many pages have is one row of the list's side for all of them.
     """
-    listed = listed.select(F.col("canonical").cast("string").alias("canonical")).where("canonical is not null").distinct()
+    listed = written(listed.select(F.col("canonical").cast("string").alias("canonical")).where("canonical is not null").distinct())
     blocks = max(1, -(-listed.count() * BITS_PER_URL // 256))
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("ruled"), canonical(F.col("host"), F.col("path")).alias("canonical"))
-    out = ["page_id", "host", "path", "rule"]
-    sure = rows.where("ruled is not null").select(*out, F.col("ruled").alias("verdict"))
-    probed = may_contain(rows.where("ruled is null"), "canonical", bloom(listed, "canonical", blocks), blocks)
-    clean = probed.where(~F.col("possible")).select(*out, F.lit("allow").alias("verdict"))
-    hits = probed.where("possible").join(listed.withColumn("_hit", F.lit(True)), "canonical", "left")
-    found = hits.select(*out, F.when(F.col("_hit"), F.lit("block")).otherwise(F.lit("allow")).alias("verdict"))
-    return sure.union(clean).union(found)
+    rule, ruled = longest_rule(F.col("host"), F.col("path"), rules)
+    rows = rows.select("*", rule.alias("rule"), ruled.alias("ruled"), canonical(F.col("host"), F.col("path")).alias("canonical"))
+    probed = may_contain(rows, "canonical", bloom(listed, "canonical", blocks), blocks)
+    # only what the filter lets through can hit; the rest keeps its own key, which spreads it
+    exact = listed.select(F.col("canonical").alias("_listed"))
+    found = probed.join(exact, (F.col("canonical") == F.col("_listed")) & F.col("possible") & F.col("ruled").isNull(), "left")
+    verdict = F.coalesce("ruled", F.when(F.col("_listed").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
+    return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
