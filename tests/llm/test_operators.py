@@ -102,8 +102,13 @@ def test_simhash_against_brute_force(spark, texts):
         if i is not None:
             smallest[find(b)] = min(smallest.get(find(b), i), i)
     assert Counter(map(tuple, got)) == Counter((i, f"{b:016x}", smallest.get(find(b))) for i, b in bits)
-    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(frame(spark, texts)).collect()}
-    assert kept == {i for i, b in bits if i is None or smallest[find(b)] == i}
+    kept = simhash.drop_near_duplicates(frame(spark, texts), similarity=0.999).collect()
+    assert Counter((x["doc_id"], x["text"]) for x in kept if x["doc_id"] is None) == Counter((i, t) for i, t in texts if i is None)
+    same = {}
+    for i, t in texts:
+        if i is not None:
+            same.setdefault(" ".join(words(t)), i)
+    assert {x["doc_id"] for x in kept} <= {None, *same.values()} and {x["doc_id"] for x in kept} >= {None, *(i for i, _ in texts[:60])} - {5}
 
 
 def test_simhash_finds_every_close_pair(spark):
@@ -125,6 +130,46 @@ def test_simhash_finds_every_close_pair(spark):
     assert {v: got.get(v, v) for v, in signed} == {v: find(v) for v, in signed}
 
 
+@pytest.mark.parametrize("words_", [1, 2])
+def test_simhash_cuts_large_cells(spark, words_):
+    # all in one cell of the lower half; in the upper one, and in further words, at random
+    r = random.Random(19)
+    prints = sorted({tuple(r.getrandbits(32) << 32 | 0x33333333 if k == 0 else r.getrandbits(6) for k in range(words_)) for _ in range(3_000)})
+    prints = [p for p in prints for p in ((p[0], *p[1:]), (p[0] ^ 1 << r.randint(32, 63) ^ 1 << r.randint(32, 63), *p[1:]))]
+    prints = sorted(set(prints))
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    rows = spark.createDataFrame([tuple(map(signed, p)) for p in prints], ", ".join(f"w{k} long" for k in range(words_)))
+    got = [{x["node"]: x["component"] for x in components(simhash.links(rows, 4, n)).collect()} for n in (10**6, 500)]
+    assert got[0] == got[1] and len(got[0]) > 5_000 and len(set(got[0].values())) > 100
+
+
+def test_simhash_cell_of_many_fingerprints(spark):
+    # 200,000 fingerprints whose lower halves are one point, linked in pairs
+    ids = spark.range(100_000).select((F.xxhash64("id").bitwiseAND(F.lit(-(1 << 32))) + F.lit(0x33333333)).alias("w0"))
+    both = ids.union(ids.select(F.col("w0").bitwiseXOR(F.lit(3 << 40)))).distinct()
+    found = components(simhash.links(both)).groupBy("component").count()
+    nodes = found.agg(F.sum("count").alias("n")).head()["n"]
+    assert nodes == both.count() and found.count() < 100_000
+
+
+def test_near_duplicates_by_similarity(spark):
+    r = random.Random(21)
+    vocabulary = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(2000)]
+    docs, pairs = [], {}
+    for k in range(400):
+        w = [r.choice(vocabulary) for _ in range(300)]
+        copy = list(w)
+        for j in r.sample(range(300), r.choice((0, 1, 2, 3, 4, 6))):
+            copy[j] = "other"
+        grams = lambda x: {tuple(x[j : j + 5]) for j in range(296)}
+        pairs[k] = len(grams(w) & grams(copy)) / len(grams(w) | grams(copy))
+        docs += [(k, " ".join(w)), (1000 + k, " ".join(copy))]
+    left = {x["doc_id"] for x in simhash.drop_near_duplicates(frame(spark, docs)).collect()}
+    assert set(range(400)) <= left
+    share = lambda low, high: sum(1000 + k not in left for k, j in pairs.items() if low <= j < high) / sum(low <= j < high for j in pairs.values())
+    assert share(0.95, 1.01) >= 0.97 and share(0.88, 0.95) >= 0.85 and share(0.8, 0.88) >= 0.5
+
+
 def test_patience_and_line_dedup(spark):
     assert lines.patience("abcde", "xbcyde") == [(1, 1), (2, 2), (3, 4), (4, 5)]
     assert lines.patience("", "a") == [] and lines.patience("aa", "aa") == [(0, 0), (1, 1)]
@@ -215,7 +260,7 @@ def test_split_join(spark):
     many = spark.range(20_000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as other")
     one = many.select("k").distinct().selectExpr("k", "k * 2 as twice")
     counts = many.groupBy("k").count().withColumnRenamed("count", "n")
-    got = split_join(many, one, "k", counts, "other")
+    got = split_join(many, one, "k", counts, F.col("other"))
     assert got.count() == 20_000 and got.where("twice <> 2 * k or k is null").count() == 0
 
 

@@ -51,7 +51,7 @@ def written(df: DataFrame) -> DataFrame:
 HEAVY_KEYS = 1_000
 
 
-def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spread: str) -> DataFrame:
+def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spread: Column) -> DataFrame:
     """``many`` joined with ``one``, which holds each ``key`` once.
 
     ``counts``: (key, n), how many rows of ``many`` have each key. A key with

@@ -232,7 +232,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = held.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc.id").alias("last"), F.count("*").alias("n")).where("first.id < last")
     shared = written(shared.select("hash", "first", "n"))
     # one row for each pair of documents
-    pairs = split_join(held, shared.select("hash", "first"), "hash", shared.select("hash", "n"), "doc").where("first.id < doc.id")
+    pairs = split_join(held, shared.select("hash", "first"), "hash", shared.select("hash", "n"), F.col("doc")).where("first.id < doc.id")
     pairs = written(pairs.select("first", "doc").distinct())
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +248,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     later = pairs.join(unique.select("doc", "h", "n"), "doc")
     firsts = unique.select(F.col("doc").alias("first"), F.col("h").alias("ha"))
-    both = split_join(later, firsts, "first", pairs.groupBy("first").agg(F.count("*").alias("n")), "doc")
+    both = split_join(later, firsts, "first", pairs.groupBy("first").agg(F.count("*").alias("n")), F.col("doc"))
     aligned = both.select("ha", "h", "n", "doc.id", "doc.row").mapInArrow(align, "id long, row long, pos int")
     gone = aligned.groupBy("id", "row").agg(F.collect_set("pos").alias("gone"))
     # rows without an id meet nothing: their keys only have to be many

@@ -1,21 +1,27 @@
 """SimHash near-duplicates by a segment-popcount embedding.
 
-A fingerprint is cut into two halves of sixteen 2-bit segments; the bit counts
-of the segments (0, 1 or 2) embed each half as a lattice point. The Manhattan
-distance of two points never exceeds the Hamming distance of their halves, so
-fingerprints that differ in at most four bits lie within Manhattan distance
-two in at least one half. Every distinct fingerprint registers in the grid
-cells within distance one of its point in either half: two points within
+A fingerprint is one or more 64-bit words. Each word is cut into two halves of
+sixteen 2-bit segments; the bit counts of the segments (0, 1 or 2) embed each
+half as a lattice point. The Manhattan distance of two points never exceeds the
+Hamming distance of their halves. Every distinct fingerprint registers in the
+grid cells within distance one of its point in every half: two points within
 distance two then share a cell (the range join), and each pair that shares a
-cell is verified on the exact bits.
-
-Copies never meet as pairs, for only distinct fingerprints enter the grid.
-A cell's verified links leave as a spanning forest of the cell, which keeps
-the connectivity and is never larger than the cell. No partner is capped.
+cell is verified on the exact bits. Fingerprints of one word that differ in at
+most four bits lie within distance two in at least one half, so none is missed;
+with more words, wider distances are found with a probability that grows with
+the words (figures in the README).
+
+Copies never meet as pairs, for only distinct fingerprints enter the grid. A
+cell's verified links leave as a spanning forest of the cell, which keeps the
+connectivity and is never larger than the cell. A cell too large for one task is
+cut again: by the pieces of the other half, one of which two fingerprints within
+the distance have in common, or, where fingerprints have several words, by pairs
+of blocks of the cell. No partner is capped.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,61 +30,83 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import components, written
+from .common import components, split_join, written
+from .substrings import mixed
 
-#: Most bits in which linked fingerprints differ. The two halves and the
-#: cells within distance one cover this distance exactly.
+#: Most bits in which linked fingerprints of one word differ. The two halves and
+#: the cells within distance one cover this distance exactly.
 DISTANCE = 4
+#: Rows of cells that a task compares at once; a larger cell is cut again.
+AT_ONCE = 40_000
+#: Of the wider fingerprints that find less similar texts: words of 64 bits, and
+#: words of a shingle.
+WIDE, WIDE_SHINGLE = 3, 5
 LOWER = bytes(range(256)).translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256)))
 
 
-def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
-    """The unsigned SimHash of one text.
+def fingerprint(text: str | None, shingle: int = 4, seed: int = 42, words: int = 1) -> np.ndarray:
+    """The unsigned SimHash of one text, in 64-bit ``words``.
 
     A-Z are lower-cased, words are runs of anything but ASCII white space;
     with fewer words than a shingle, the whole sequence is the only shingle;
-    null or no words: zero.
+    null or no words: zero. Further 64-bit words are made of rehashed shingles.
     """
     found = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
     if not found:
-        return 0
+        return np.zeros(words, np.uint64)
     flat = b" ".join(found)
     if len(found) <= shingle:
-        return xxh64_intdigest(flat, seed)
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    spans = zip(starts[: len(found) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
-    h = np.array([xxh64_intdigest(flat[s:e], seed) for s, e in spans], dtype="<u8")
-    counts = np.zeros(64, np.int64)
-    for part in range(0, len(h), 1 << 16):
-        bits = np.unpackbits(h[part : part + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
-
-
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(id_col, bits): the fingerprint of each row as a signed long.
-
-    One narrow pass; other columns of ``docs`` are not read.
+        h = np.array([xxh64_intdigest(flat, seed)], np.uint64)
+    else:
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        spans = zip(starts[: len(found) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+        h = np.array([xxh64_intdigest(flat[s:e], seed) for s, e in spans], np.uint64)
+    out = np.empty(words, np.uint64)
+    for k in range(words):
+        counts = np.zeros(64, np.int64)
+        for part in range(0, len(h), 1 << 16):
+            some = h[part : part + (1 << 16)]
+            bits = np.unpackbits((mixed(some, k) if k else some).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.sum(axis=0, dtype=np.int32)
+        out[k] = np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0]
+    return out
+
+
+def names(prints: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each fingerprint: itself, or a hash of its words."""
+    out = prints[:, 0]
+    for k in range(1, prints.shape[1]):
+        out = mixed(out, k) ^ prints[:, k]
+    return out if prints.shape[1] == 1 else mixed(out, 0)
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, words: int = 1) -> DataFrame:
+    """(id_col, name, w0, ...): the fingerprint of each row, as signed longs.
+
+    One narrow pass over whole texts; other columns of ``docs`` are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.array([fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], [id_col, "bits"])
+            prints = np.array([fingerprint(t, shingle, seed, words) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, words)
+            columns = [names(prints), *prints.T]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], [id_col, "name", *(f"w{k}" for k in range(words))])
 
     both = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
-    return both.mapInArrow(run, f"`{id_col}` long, bits long")
+    return both.mapInArrow(run, f"`{id_col}` long, name long, " + ", ".join(f"w{k} long" for k in range(words)))
 
 
-def cells_of(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, index into ``bits``) of all cells that fingerprints register in."""
+def cells_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, index into ``prints``) of all cells that fingerprints register in.
+    The half is in the upper 32 bits of a cell, its point below."""
     low = np.uint64(0x5555555555555555)
-    counts = (bits & low) + ((bits >> np.uint64(1)) & low)  # a 2-bit count in each segment
     cells, owners = [], []
-    every = np.arange(len(bits))
-    for half in (0, 1):
-        point = (counts >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)
+    every = np.arange(len(prints))
+    for half in range(2 * prints.shape[1]):
+        bits = prints[:, half // 2]
+        counts = (bits & low) + ((bits >> np.uint64(1)) & low)  # a 2-bit count in each segment
+        point = (counts >> np.uint64(32 * (half % 2))) & np.uint64(0xFFFFFFFF)
         name = np.uint64(half) << np.uint64(32)
         cells.append(point | name)
         owners.append(every)
@@ -91,11 +119,10 @@ def cells_of(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(cells), np.concatenate(owners)
 
 
-def forest(cells: np.ndarray, bits: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span what is linked within each cell; ``cells`` is sorted.
-
-    All pairs of a cell are compared, unless the cell is already in one piece.
-    """
+def forest(cells: np.ndarray, prints: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (a, b) of links that span what is linked within each cell; ``cells``
+    is sorted. All pairs of a cell are compared, unless the cell is already in
+    one piece."""
     root = np.arange(len(cells))
 
     def join(a: np.ndarray, b: np.ndarray) -> None:
@@ -107,11 +134,13 @@ def forest(cells: np.ndarray, bits: np.ndarray, distance: int = DISTANCE) -> tup
             while not np.array_equal(up := root[root], root):
                 root[:] = up
 
+    words = [np.ascontiguousarray(w) for w in prints.T]
     at, shift, waiting, held = np.arange(len(cells)), 1, [], 0
     while len(at):
         at = at[at + shift < len(cells)]
         at = at[cells[at] == cells[at + shift]]
-        near = at[np.bitwise_count(bits[at] ^ bits[at + shift]) <= distance]
+        apart = sum(np.bitwise_count(w[at] ^ w[at + shift]).astype(np.int16) for w in words)
+        near = at[apart <= distance]
         waiting.append((near, near + shift))
         held += len(near)
         if held > 1_000_000 or shift % 64 == 0 or not len(at):
@@ -123,65 +152,199 @@ def forest(cells: np.ndarray, bits: np.ndarray, distance: int = DISTANCE) -> tup
                 at = at[~whole[np.searchsorted(np.unique(first), first)]] if len(whole) else at
         shift += 1
     moved = np.flatnonzero(root != np.arange(len(cells)))
-    return bits[moved], bits[root[moved]]
-
-
-def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): links that connect the distinct ``bits`` at DISTANCE or less."""
+    return moved, root[moved]
+
+
+def points_of(cells: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """The point of each print in the half of its cell, and in the last bit
+    whether the cell is the point's own."""
+    half = (cells >> np.uint64(32)).astype(int)
+    bits, low = prints[np.arange(len(cells)), half // 2], np.uint64(0x5555555555555555)
+    counts = (bits & low) + ((bits >> np.uint64(1)) & low)
+    point = (counts >> np.where(half % 2 == 1, np.uint64(32), np.uint64(0))) & np.uint64(0xFFFFFFFF)
+    return point << np.uint64(1) | (point == cells & np.uint64(0xFFFFFFFF)).astype(np.uint64)
+
+
+def pieces_of(cells: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, index) of the further cut of large cells of one-word fingerprints:
+    the half that the cell is not of, in ``distance`` + 1 pieces. Two prints
+    within the distance have at least one piece in common."""
+    half = cells >> np.uint64(32)
+    other = (prints[:, 0] >> np.where(half == 0, np.uint64(32), np.uint64(0))) & np.uint64(0xFFFFFFFF)
+    cuts = np.linspace(0, 32, distance + 2).astype(int)
+    keys = [mixed(mixed(cells, 1 + k) ^ (other >> np.uint64(s)) & np.uint64((1 << (e - s)) - 1), k) for k, (s, e) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))]
+    return np.concatenate(keys), np.tile(np.arange(len(cells)), len(keys))
+
+
+def links(distinct: DataFrame, distance: int = DISTANCE, at_once: int = AT_ONCE) -> DataFrame:
+    """(a, b): links by name that connect the ``distinct`` fingerprints, one
+    column for each word, that share a cell and differ in ``distance`` bits or
+    less."""
+    words = len(distinct.columns)
+    columns = [f"w{k}" for k in range(words)]
+    schema = ", ".join(f"{c} long" for c in columns)
+    signed = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, prints) of rows of a key and the words; keys sort as signed."""
+        values = [c.to_numpy(zero_copy_only=False) for c in batch.columns[: words + 1]]
+        return values[0], np.stack(values[1:], axis=1).view(np.uint64)
+
+    def rows(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([signed(keys), *map(signed, prints.T)], ["cell", *columns])
 
     def register(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = batch.column(0).to_numpy(zero_copy_only=False)
-            cells, owners = cells_of(bits.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(cells.view(np.int64)), pa.array(bits[owners])], ["cell", "bits"])
+            prints = np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns], axis=1)
+            for s in range(0, len(prints), 4_096):
+                cells, owners = cells_of(prints[s : s + 4_096])
+                yield rows(cells, prints[s : s + 4_096][owners])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+    def found(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        a, b = forest(keys, prints, distance)
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([signed(names(prints[a])), signed(names(prints[b])), none, *[none] * words, none, none], ["a", "b", "cell", *columns, "block", "point"])
 
-        cells, bits = np.empty(0, np.int64), np.empty(0, np.uint64)
-        for batch in batches:
-            cells = np.concatenate((cells, batch.column(0).to_numpy(zero_copy_only=False)))
-            bits = np.concatenate((bits, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
-            last = int(np.searchsorted(cells, cells[-1], "left")) if len(cells) else 0
-            if last >= 100_000:  # the last cell may go on in the next batch
-                yield out(*forest(cells[:last], bits[:last]))
-                cells, bits = cells[last:], bits[last:]
-        if len(cells):
-            yield out(*forest(cells, bits))
-
-    cells = distinct.select("bits").mapInArrow(register, "cell long, bits long")
-    return cells.repartition("cell").sortWithinPartitions("cell", "bits").mapInArrow(verify, "a long, b long")
+    def put_off(keys: np.ndarray, prints: np.ndarray, block: int) -> pa.RecordBatch:
+        none = pa.nulls(len(keys), pa.int64())
+        points = points_of(keys.view(np.uint64), prints)
+        return pa.RecordBatch.from_arrays([none, none, signed(keys), *map(signed, prints.T), pa.array(np.full(len(keys), block, np.int64)), signed(points)], ["a", "b", "cell", *columns, "block", "point"])
 
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of sorted cells; a cell of ``at_once`` rows or more is put off,
+        in blocks of about so many rows."""
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        n, hot, block = 0, None, 0
+
+        def settle(keys: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
+            tail = int(np.searchsorted(keys, hot, "right")) if hot is not None else 0
+            if tail:
+                yield put_off(keys[:tail], prints[:tail], block)
+            if tail < len(keys):
+                yield found(keys[tail:], prints[tail:])
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting.append(read(batch))
+            n += batch.num_rows
+            if n < at_once:
+                continue
+            keys, prints = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            last = int(np.searchsorted(keys, keys[-1], "left"))
+            if last:
+                yield from settle(keys[:last], prints[:last])
+            if len(keys) - last >= at_once:
+                block = block + 1 if hot is not None and keys[-1] == hot else 0
+                hot = keys[-1]
+                yield put_off(keys[last:], prints[last:], block)
+                waiting, n = [], 0
+            else:
+                if hot is not None and keys[-1] != hot:
+                    hot, block = None, 0
+                elif hot is not None and last == 0:
+                    block += 1
+                waiting, n = [(keys[last:], prints[last:])], len(keys) - last
+        if n:
+            keys, prints = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            block += 1
+            yield from settle(keys, prints)
+
+    def compared(keys: np.ndarray, prints: np.ndarray, points: np.ndarray) -> pa.RecordBatch:
+        """Links of parts. Where all of a part are of one point, only the part
+        in the point's own cell is compared, not those around it."""
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        mixed_ = np.maximum.reduceat(points, starts) != np.minimum.reduceat(points, starts)
+        use = np.repeat(mixed_ | (points[starts] & 1 == 1), np.diff(np.append(starts, len(keys))))
+        return found(keys[use], prints[use]).select(["a", "b"])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of the parts of large cells, each part whole."""
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n, limit = 0, at_once
+        for batch in (b for b in batches if b.num_rows):
+            waiting.append((*read(batch), batch.column(words + 1).to_numpy(zero_copy_only=False)))
+            n += batch.num_rows
+            if n < limit:
+                continue
+            keys, prints, points = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            last = int(np.searchsorted(keys, keys[-1], "left"))
+            if last:
+                yield compared(keys[:last], prints[:last], points[:last])
+            waiting, n = [(keys[last:], prints[last:], points[last:])], len(keys) - last
+            limit = max(at_once, 2 * n)  # a part that goes on is joined seldom, not for each batch
+        if n:
+            yield compared(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, prints = read(batch)
+            for s in range(0, len(keys), 4_096):
+                parts, owners = pieces_of(keys[s : s + 4_096].view(np.uint64), prints[s : s + 4_096], distance)
+                some = rows(parts, prints[s : s + 4_096][owners])
+                yield pa.RecordBatch.from_arrays([*some.columns, batch.column(words + 1).slice(s, 4_096).take(pa.array(owners))], ["cell", *columns, "point"])
+
+    cells = distinct.toDF(*columns).mapInArrow(register, f"cell long, {schema}")
+    by_cell = cells.repartition("cell").sortWithinPartitions("cell", *columns)
+    out = written(by_cell.mapInArrow(verify, f"a long, b long, cell long, {schema}, block long, point long"))
+    large = out.where("cell is not null")
+    if words == 1:
+        parts = large.select("cell", *columns, "point").mapInArrow(cut, f"cell long, {schema}, point long")
+    else:
+        blocks = large.groupBy("cell").agg(F.max("block").alias("_last"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))
+        paired = large.join(blocks, "cell").withColumn("_other", other)
+        pair = F.xxhash64("cell", F.least("block", "_other"), F.greatest("block", "_other"))
+        parts = paired.select(pair.alias("cell"), *columns, "point")
+    more = parts.repartition("cell").sortWithinPartitions("cell", *columns).mapInArrow(again, "a long, b long")
+    return out.where("cell is null").select("a", "b").union(more)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, words: int = 1, distance: int = DISTANCE) -> DataFrame:
     """Per row of ``docs``: (id_col, fingerprint, component_id).
 
-    ``fingerprint`` is sixteen lower-case hex digits. ``component_id`` is the
-    smallest id among the rows that links of at most DISTANCE bits reach, the
-    row's own included. Empty and null texts have fingerprint zero and are
-    linked like any other; a null id is never the smallest (a group of null
-    ids alone has a null component); repeated rows each give a row; an empty
-    table gives none.
+    ``fingerprint`` is sixteen lower-case hex digits for each word.
+    ``component_id`` is the smallest id among the rows that links of at most
+    ``distance`` bits reach, the row's own included. Empty and null texts have
+    fingerprint zero and are linked like any other; a null id is never the
+    smallest (a group of null ids alone has a null component); repeated rows
+    each give a row; texts of any length count whole; an empty table gives
+    none; other columns are not read.
     """
-    marked = written(fingerprints(docs, id_col, text_col, shingle, seed))
-    groups = marked.groupBy("bits").agg(F.min(id_col).alias("first"))
-    found = components(links(groups)).toDF("bits", "component")
-    named = groups.join(found, "bits", "left").withColumn("component", F.coalesce("component", "bits"))
-    named = written(named)
-    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = named.join(smallest, "component").select("bits", "component_id")
-    hexed = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
-    return marked.join(ids, "bits").select(id_col, hexed, "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that carry the smallest id of their group.
+    columns = [f"w{k}" for k in range(words)]
+    marked = written(fingerprints(docs, id_col, text_col, shingle, seed, words))
+    groups = marked.groupBy("name").agg(F.min(id_col).alias("first"), F.count("*").alias("n"), *[F.min(c).alias(c) for c in columns])
+    groups = written(groups)
+    found = components(links(groups.select(*columns), distance)).toDF("name", "component")
+    named = groups.join(found, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    named = written(named.select("name", "component", "first"))
+    smallest = written(named.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("n")))
+    ids = split_join(named.select("name", "component"), smallest.select("component", "component_id"), "component", smallest.select("component", "n"), F.col("name"))
+    out = split_join(marked, ids.select("name", "component_id"), "name", groups.select("name", "n"), F.monotonically_increasing_id())
+    hexed = F.concat(*[F.lower(F.lpad(F.hex(c), 16, "0")) for c in columns]).alias("fingerprint")
+    return out.select(id_col, hexed, "component_id")
+
+
+def distance_at(similarity: float, words: int) -> int:
+    """Bits in which texts with this Jaccard similarity of shingles differ on
+    average, and a half of the deviation more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(64 * words * share + math.sqrt(64 * words * share * (1 - share)) / 2)
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, shingle: int = WIDE_SHINGLE, words: int = WIDE) -> DataFrame:
+    """The rows of ``docs`` that carry the smallest id of their group of texts
+    with a Jaccard similarity of shingles of about ``similarity`` or more.
 
     All columns stay. Rows with a null id cannot be told apart and stay;
-    rows repeated under one id count as one document and stay together.
+    rows repeated under one id count as one document and stay together; empty
+    and null texts are copies of each other.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    found = near_duplicates(docs, id_col, text_col, shingle, words=words, distance=distance_at(similarity, words))
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone_id")).distinct()
     # the set grows with the corpus, so it is never broadcast: one plan at every size
-    return docs.join(gone.hint("merge"), docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("_id"))
+    # rows without an id have keys of their own, so that they do not meet in one task
+    spread = F.when(F.col("_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    left = both.withColumn("_spread", spread).join(gone.select(F.col("_gone_id").alias("_id"), F.lit(0).cast("long").alias("_spread")).hint("merge"), ["_id", "_spread"], "left_anti")
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
