@@ -70,6 +70,20 @@ def test_substrings_against_brute_force(spark, texts):
     assert Counter(map(tuple, got)) == Counter(expected)
     assert sum(e[2] for e in expected) > 500
     assert substrings.dedup_substrings(frame(spark, [])).count() == 0
+    short = [(None, None)] * 50 + [(1, "a b")] * 50  # bundles without any window
+    got = Counter((x["doc_id"], x["n_words"], x["n_removed"]) for x in substrings.dedup_substrings(frame(spark, short), bundle_chars=10).collect())
+    assert got == {(None, 0, 0): 50, (1, 2, 0): 50}
+
+
+def test_substring_sizes_at_any_corpus():
+    for chars in (0, 1, 10**6, 5 * 10**8, 3 * 10**10, 10**12, 10**14):
+        bits, block, bundles, partitions, parts = substrings.sizes(chars)
+        windows = chars / substrings.CHARS_A_WINDOW
+        assert 2**bits >= 4 * windows and block <= substrings.BLOCK_MOST and partitions <= substrings.PARTITIONS
+        rows = substrings.DEPTH * bundles * 2 ** (bits - block)
+        # no more sketch rows than the stated share of windows, nor groups larger than a task holds
+        assert chars < 10**7 or rows <= substrings.DEPTH * windows / substrings.WINDOWS_A_ROW * 1.1
+        assert windows / parts < 10**8 and windows / 2 ** (bits - block) < 2**27
 
 
 def test_sketch_never_underestimates(spark):

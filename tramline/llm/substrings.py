@@ -14,6 +14,10 @@ with its smallest document id and gets back one bit: whether that id is the
 smallest anywhere. The width of the sketch follows the size of the corpus, no
 sketch or window list is ever gathered in one place, and a window that a third
 of the documents hold costs one entry for each bundle.
+
+Blocks of cells, the groups of the second pass and bundles grow with the corpus
+(``sizes``), so that a shuffled row carries many windows at any size; partitions
+are of a number of their own and hold many bundles.
 """
 
 from __future__ import annotations
@@ -28,10 +32,19 @@ from pyspark.sql import functions as F
 
 #: Rows of the count-min sketch.
 DEPTH = 2
-#: Cells of a block that is merged in one group, as a power of two.
-BLOCK = 22
-#: Characters of text in a bundle, about.
+#: Cells of a block that is merged in one group, as a power of two: at least,
+#: and at most (256 MB of counts).
+BLOCK, BLOCK_MOST = 22, 28
+#: Blocks of a row of the sketch, as a power of two, before blocks grow.
+BLOCKS = 12
+#: Characters of text in a bundle, at least about.
 BUNDLE_CHARS = 8_000_000
+#: Windows of a bundle that a shuffled row of its sketch carries at least, on average.
+WINDOWS_A_ROW = 12
+#: Characters of a window's word and blank, about.
+CHARS_A_WINDOW = 6
+#: Partitions that bundles are dealt to, at most.
+PARTITIONS = 50_000
 LAST = np.iinfo(np.int64).max
 #: The odd bases of the two word hashes.
 BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
@@ -130,7 +143,7 @@ def sketch(table: pa.Table, id_col: str, size: int, bits: int, depth: int, block
     for row in range(depth):
         cells, counts = np.unique(w.cells(row, bits), return_counts=True)
         blocks, first = np.unique(cells >> np.uint64(block), return_index=True)
-        for b, s, e in zip(blocks.tolist(), first, [*first[1:], len(cells)], strict=True):
+        for b, s, e in zip(blocks.tolist(), first, np.append(first, len(cells))[1:], strict=True):
             for k, v in (("bundle", bundle), ("row", row), ("block", b), ("cells", packed((cells[s:e] & np.uint64((1 << block) - 1)).astype(np.int64))), ("twice", np.packbits(counts[s:e] > 1).tobytes())):
                 out[k].append(v)
     return table_of(**out)
@@ -216,6 +229,16 @@ def covered(w: Windows, answers: pa.Table) -> np.ndarray:
     return np.cumsum(edges)[: len(w.word)] > 0
 
 
+def sizes(chars: int, bundle_chars: int = BUNDLE_CHARS) -> tuple[int, int, int, int, int]:
+    """For a corpus of so many characters: (bits of a sketch row, bits of a
+    block, bundles, partitions, groups of the second pass)."""
+    bits = max(16, int(chars).bit_length())  # 4 to 8 cells for each window
+    block = min(bits, BLOCK_MOST, max(BLOCK, bits - BLOCKS))
+    a_bundle = max(bundle_chars, WINDOWS_A_ROW * CHARS_A_WINDOW << (bits - block) if bits > BLOCK + BLOCKS else 0)
+    bundles = max(1, -(-chars // a_bundle))
+    return bits, block, bundles, min(bundles, PARTITIONS), max(1, min(chars >> 22, 4_096 + (chars >> 28)))
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13, depth: int = DEPTH, bundle_chars: int = BUNDLE_CHARS, keep_text: bool = False) -> DataFrame:
     """Per row of ``docs``: (id_col, n_words, n_removed, kept_sha256[, kept_text]).
 
@@ -227,15 +250,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null and empty texts have no words and keep the empty text. A null id
     counts as the largest, and rows of one id never remove each other's words.
     Repeated rows each give a row; an empty table gives none; other columns
-    are not read. A text shorter than a window stays whole.
+    are not read. A text shorter than a window stays whole; a longer one is
+    read whole, in one bundle. Of equal windows in one text none goes.
     """
     docs = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
-    bundles = max(1, -(-chars // bundle_chars))
-    bits = max(16, int(chars).bit_length())  # 4 to 8 cells for each window
-    block = min(BLOCK, bits)
-    parts = max(1, chars >> BLOCK)
-    dealt = docs.withColumn("bundle", F.pmod(F.xxhash64(id_col, "text"), F.lit(bundles))).repartition(bundles, "bundle")
+    bits, block, bundles, partitions, parts = sizes(chars, bundle_chars)
+    # texts too short for a window meet nothing: they go by partition too, so that repeated rows spread
+    spread = F.when(F.coalesce(F.length("text"), F.lit(0)) < 2 * size - 1, F.spark_partition_id()).otherwise(F.lit(0))
+    dealt = docs.withColumn("bundle", F.pmod(F.xxhash64(id_col, "text", spread), F.lit(bundles))).repartition(partitions, "bundle")
 
     sketches = dealt.groupBy("bundle").applyInArrow(lambda t: sketch(t, id_col, size, bits, depth, block), "bundle long, row int, block long, cells binary, twice binary")
     flags = sketches.groupBy("row", "block").applyInArrow(lambda t: merge(t, block), "bundle long, row int, block long, flags binary")
