@@ -347,3 +347,111 @@ def test_two_phases_through_the_timetable(spark):
     both = link.in_turn(refs, found, second, "journey")
     assert {r["journey"]: (r["trip_id"], r["phase"]) for r in both.collect()} == {"a": ("T2", "A"), "b": ("T1", "B")}
     assert tuple(link.statistics(both).first())[:4] == (2, 1, 1, 0)
+
+
+def test_schedules():
+    from datetime import datetime
+
+    at = lambda *x: datetime(*x)
+    for cron, after, then in (
+        ("*/30 * * * * *", at(2026, 3, 1, 10, 0, 1), at(2026, 3, 1, 10, 0, 30)), ("0 15,45 8-9 * * MON-FRI", at(2026, 3, 1, 8, 0), at(2026, 3, 2, 8, 15)),
+        ("0 0 0 29 feb ?", at(2026, 1, 1), at(2028, 2, 29)), ("0 0 12 13 * 5", at(2026, 3, 1), at(2026, 3, 6, 12)), ("10/20 5 1 * * 7", at(2026, 3, 2), at(2026, 3, 8, 1, 5, 10)),
+    ):
+        assert remote.next_run(cron, after) == then
+    assert [remote.seconds_between(c) for c in ("*/30 * * * * *", "0 */5 * * * *", "0 0 * * * *", "0 0,30 * * * ?", "* * * * * *")] == [30, 300, 3600, 1800, 1]
+    for bad in ("* * * * *", "61 * * * * *", "*/0 * * * * *", "x * * * * *", "5-1 * * * * *", "* * * * * * *", "*/7 * * * * *", "0 0 8,9 * * *"):
+        with pytest.raises(ValueError):
+            remote.seconds_between(bad)
+    with pytest.raises(ValueError):
+        remote.next_run("0 0 0 31 2 *", at(2026, 1, 1))
+
+
+def ftp_server(files):
+    """A server of some files for one test: login, NLST, RETR, passive mode."""
+    import socket
+    import threading
+
+    listener = socket.create_server(("127.0.0.1", 0))
+
+    def serve():
+        while True:
+            try:
+                control, _ = listener.accept()
+            except OSError:
+                return
+            lines, data = control.makefile("rb"), None
+            say = lambda t: control.sendall(f"{t}\r\n".encode())
+            say("220 ready")
+            for line in lines:
+                verb, _, rest = line.decode().strip().partition(" ")
+                if verb in ("EPSV", "PASV"):
+                    data = socket.create_server(("127.0.0.1", 0))
+                    port = data.getsockname()[1]
+                    say(f"229 ok (|||{port}|)" if verb == "EPSV" else f"227 ok (127,0,0,1,{port >> 8},{port & 255})")
+                elif verb in ("NLST", "RETR"):
+                    body = "\r\n".join(sorted(files)).encode() + b"\r\n" if verb == "NLST" else files[rest.rpartition("/")[2]]
+                    say("150 comes")
+                    peer, _ = data.accept()
+                    peer.sendall(body)
+                    peer.close()
+                    data.close()
+                    say("226 done")
+                else:
+                    say({"USER": "331 and?", "PASS": "230 in" if rest == "p w" or rest == "guest" else "530 no", "QUIT": "221 bye"}.get(verb, "200 ok"))
+                    if verb == "QUIT":
+                        break
+            control.close()
+
+    threading.Thread(target=serve, daemon=True).start()
+    return listener
+
+
+def test_static_load_from_ftp(spark, tmp_path):
+    import io
+    import zipfile
+
+    from tramline.streaming import Snapshots, keep_fresh, load_static
+
+    def packed(**members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for name, text in members.items():
+                z.writestr(name.replace("__", "."), text)
+        return out.getvalue()
+
+    xml = "<PublicationDelivery><dataObjects><CompositeFrame><frames><ServiceFrame><lines><Line id='L:{0}'><PublicCode>{0}</PublicCode></Line></lines><routes><Route id='R:1'><pointsInSequence><PointOnRoute id='P'/></pointsInSequence></Route></routes></ServiceFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>"
+    files = {
+        "gtfs.zip": packed(stops__txt="stop_id,stop_name\na,A\na,B\n", shapes__txt="shape_id\ns\n"),
+        "net_20260101.xml.zip": packed(n__xml=xml.format("old")), "net_20260201.xml.zip": packed(readme__txt="-", n__xml=xml.format("new"), z__xml="<no/>"), "net_20269999.xml.zip": b"",
+    }
+    server = ftp_server(files)
+    host = f"127.0.0.1:{server.getsockname()[1]}"
+    feed, entities = load_static(spark, f"ftp://user:p%20w@{host}/pub/gtfs.zip", f"ftp://{host}/pub/net_{{}}.xml.zip")
+    assert sorted(feed.tables) == ["stops"] and feed.stops.count() == 2
+    assert sorted((r["type"], r["fields"].get("public_code")) for r in entities.collect()) == [("Line", "new"), ("Route", None)]
+    snapshots = Snapshots(spark, f"{tmp_path}/static")
+    loads = iter([lambda: feed, lambda: 1 / 0, lambda: feed])
+    assert keep_fresh(snapshots, lambda: next(loads)(), every=0, most=3) == 2
+    found = snapshots.feed()
+    assert found.stop("a").select("stop_name").collect() == [("B",)] and "stops" in found.unique
+    server.close()
+
+
+def test_golden_bytes():
+    # written out by hand from the public wire format: key, length or number, content
+    feed = {
+        "header": {"gtfs_realtime_version": "2.0", "incrementality": "FULL_DATASET", "timestamp": 300},
+        "entity": [
+            {"id": "a", "trip_update": {"trip": {"trip_id": "t", "schedule_relationship": "CANCELED"}, "stop_time_update": [{"stop_sequence": 5, "arrival": {"delay": -60}, "stop_id": "s"}], "timestamp": 1}},
+            {"id": "b", "alert": {"active_period": [{"start": 1, "end": 2}], "informed_entity": [{"route_id": "r"}, {"stop_id": "s"}], "cause": "STRIKE", "effect": "DETOUR", "header_text": {"translation": [{"text": "é", "language": "de"}]}, "severity_level": "SEVERE"}},
+        ],
+    }
+    golden = bytes.fromhex(
+        "0a0a" "0a03322e30" "1000" "18ac02"
+        "1222" "0a0161" "1a1d" "0a05" "0a0174" "2003" "1212" "0805" "120b" "08c4ffffffffffffffff01" "220173" "2001"
+        "1227" "0a0162" "2a22" "0a04" "08011002" "2a03" "120172" "2a03" "2a0173" "3004" "3804" "520a" "0a08" "0a02c3a9" "12026465" "7004"
+    )
+    assert gtfsrt.encode(feed).hex() == golden.hex()
+    back = gtfsrt.decode(golden)
+    assert back["entity"][0]["trip_update"]["stop_time_update"] == [{"stop_sequence": 5, "arrival": {"delay": -60}, "stop_id": "s"}]
+    assert back["entity"][1]["alert"]["header_text"]["translation"] == [{"text": "é", "language": "de"}] and back["header"]["timestamp"] == 300

@@ -5,21 +5,26 @@ from __future__ import annotations
 import urllib.request
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import gtfsrt, netex
+from ..session import shared_dir
+from ..sources import gtfsrt, netex, remote
 
 
 def write_tables(entities: DataFrame, folder: str, profile: str = "epip", types: Sequence[str] | None = None) -> dict[str, int]:
     """Every table of a profile as CSV below ``folder``, with a header even if
     empty; entities without a table are dropped. Returns rows by table.
 
-    ``entities`` is scanned once for each table: give it as Parquet
-    partitioned by type, which prunes each scan.
+    ``entities`` is written once to the shared folder, by type, so that each
+    table's scan reads its own rows alone.
     """
     tables = netex.profile(profile)[0]
     written = {}
+    path, schema = shared_dir(entities.sparkSession), entities.schema
+    entities.where(F.col("type").isin(*(types or tables))).write.partitionBy("type").parquet(path)
+    entities = entities.sparkSession.read.schema(schema).parquet(path)
     for kind in types or tables:
         rows = netex.table(entities, kind, profile).drop("_ord")
         rows.write.mode("overwrite").csv(f"{folder.rstrip('/')}/{tables[kind][0]}.csv", header=True, escape='"', emptyValue="")
@@ -54,6 +59,30 @@ def dump(entities: DataFrame, timestamp: int, path: str) -> None:
         out.write(protobuf if gtfsrt.detect_format(path) == "protobuf" else text.encode())
 
 
+def envelopes(messages: DataFrame, compress: bool = False) -> DataFrame:
+    """(provider, timestamp, rawdata): what is queued of messages with provider,
+    timestamp, format, protocol and payload; compressed payloads say so."""
+    packed = F.pandas_udf(_deflated, "string")(F.col("payload")) if compress else F.col("payload")
+    metadata = F.create_map(F.lit("compressed"), F.lit(remote.COMPRESSED)) if compress else F.create_map().cast("map<string,string>")
+    return messages.select("provider", "timestamp", F.struct("format", "protocol", metadata.alias("metadata"), packed.alias("payload")).alias("rawdata"))
+
+
+def _deflated(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else remote.compress(t))
+
+
+def publish(messages: DataFrame, folder: str, compress: bool = False) -> None:
+    """Queues messages as JSON envelopes, one to a line, for ``streaming.messages``."""
+    envelopes(messages, compress).write.mode("append").json(folder)
+
+
+def publish_kafka(messages: DataFrame, servers: str, topic: str, compress: bool = False, **options: str) -> None:
+    """The same as records of a topic, keyed by provider."""
+    queued = envelopes(messages, compress)
+    rows = queued.select(F.col("provider").alias("key"), F.to_json(F.struct("provider", "timestamp", "rawdata")).alias("value"))
+    rows.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).options(**options).save()
+
+
 def save_raw(messages: DataFrame, host: str, paths: dict[str, str], send: Callable[[str, bytes], None] = put) -> None:
     """The latest payload of each provider, as it came, to its path."""
     latest = messages.groupBy("provider").agg(F.max_by("text", "timestamp").alias("text"))

@@ -1,7 +1,7 @@
 """GTFS bundles: a zip or a folder of CSV files to typed tables.
 
-An archive is unpacked by one task (its members cannot be split) into rows of
-cells; a folder of unpacked tables is read in parallel.
+A member of an archive is unpacked by one task, as it cannot be split, row by
+row into a written table of cells; a folder of unpacked tables is read by Spark.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from itertools import islice
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..operators.feed import Feed
 from ..schemas import GTFS, OPT_IN, columns
+from ..session import shared_dir
 
 KINDS = {"s": fn.text, "i": fn.whole_number, "f": fn.real_number, "b": fn.flag, "t": fn.gtfs_time, "d": fn.gtfs_date}
 
@@ -37,10 +40,10 @@ def typed(raw: DataFrame, table: str) -> DataFrame:
     return flat.select(*out, "_ord")
 
 
-def records(data: bytes) -> Iterator[list[str]]:
-    """Rows of a CSV file; bare quotes are allowed, ragged rows are not."""
-    text = data.decode("utf-8-sig")
-    rows = csv.reader(io.StringIO(text, newline=""), strict=False)
+def records(member: IO[bytes]) -> Iterator[list[str]]:
+    """Rows of a CSV file as it is read; bare quotes are allowed, ragged rows
+    are not."""
+    rows = csv.reader(io.TextIOWrapper(member, "utf-8-sig", newline=""), strict=False)
     header = next(rows, None)
     if header is None:
         raise ValueError("a table without a header")
@@ -55,40 +58,38 @@ def records(data: bytes) -> Iterator[list[str]]:
 
 def read_zip(spark: SparkSession, path: str, optional: Sequence[str] = (), exclude: Sequence[str] = ()) -> Feed:
     """A feed from one or more archives; only members at the root count, a
-    missing table gives no table, a bad one fails the load."""
+    missing table gives no table, a bad one fails the load. Each table of each
+    archive is a task; the cells are written to the shared folder once."""
     tables = wanted_tables(optional, exclude)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
+    each = files.select("path", "content", F.explode(F.array(*[F.lit(t) for t in tables])).alias("table")).repartition(len(tables), "path", "table")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for table in tables:
-                        if f"{table}.txt" in z.namelist():
-                            rows = records(z.read(f"{table}.txt"))
-                            header = next(rows)
-                            part: list[list[str]] = []
-                            at = 0
-                            for row in (*rows, None):
-                                if row is not None:
-                                    part.append(row)
-                                if part and (row is None or len(part) == 10_000):
-                                    yield batch_of(name, table, header, part, at)
-                                    at += len(part)
-                                    part = []
-                            if at == 0:
-                                yield batch_of(name, table, header, [], 0)
-
-    cells = files.mapInArrow(unpack, "file string, table string, n long, header array<string>, cells array<string>").cache()
+            for name, content, table in zip(*(batch.column(k) for k in range(3)), strict=True):
+                name, table = name.as_py(), table.as_py()
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
+                    if f"{table}.txt" not in z.namelist():
+                        continue
+                    with z.open(f"{table}.txt") as member:
+                        rows = records(member)
+                        header, at = next(rows), 0
+                        while part := list(islice(rows, 10_000)):
+                            yield batch_of(name, table, header, part, at)
+                            at += len(part)
+                        if at == 0:
+                            yield batch_of(name, table, header, [], 0)
+
+    folder = shared_dir(spark)
+    schema = "file string, table string, n long, header array<string>, cells array<string>"
+    each.mapInArrow(unpack, schema).write.partitionBy("table").parquet(folder)
+    cells = spark.read.schema(schema).parquet(folder)
     out = {}
-    for table in tables:
-        own = cells.where(F.col("table") == table)
-        head = own.select("header").first()
-        if head is not None:
-            # each archive's rows by its own header, so archives may differ
-            pick = lambda c: F.coalesce(F.element_at(F.map_from_arrays("header", "cells"), c), F.lit(""))
-            rows = own.where("n >= 0").select(*[KINDS[kind](pick(name)).alias(name) for name, kind in columns(table)], F.struct("file", "n").alias("_ord"))
-            out[table] = rows
+    for row in cells.select("table").distinct().collect():  # one for each table
+        own = cells.where(F.col("table") == row["table"])
+        # each archive's rows by its own header, so archives may differ
+        pick = lambda c: F.coalesce(F.element_at(F.map_from_arrays("header", "cells"), c), F.lit(""))
+        out[row["table"]] = own.where("n >= 0").select(*[KINDS[kind](pick(name)).alias(name) for name, kind in columns(row["table"])], F.struct("file", "n").alias("_ord"))
     return Feed(**out)
 
 
@@ -106,9 +107,13 @@ def batch_of(file: str, table: str, header: list[str], rows: list[list[str]], at
     )
 
 
-def read_folder(spark: SparkSession, path: str, optional: Sequence[str] = (), exclude: Sequence[str] = ()) -> Feed:
-    """A feed from a folder of unpacked tables, read in parallel by Spark.
-    Ragged rows fail the load. ``_ord`` follows the place in the file."""
+def read_folder(spark: SparkSession, path: str, optional: Sequence[str] = (), exclude: Sequence[str] = (), split: Sequence[str] = ()) -> Feed:
+    """A feed from a folder of unpacked tables, each a file or a folder of files
+    with one header. Ragged rows fail the load. ``_ord`` follows the place.
+
+    A file is one task, since a quoted cell may hold a line break; tables named
+    in ``split``, which hold none, are split into many.
+    """
     out = {}
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
@@ -120,9 +125,9 @@ def read_folder(spark: SparkSession, path: str, optional: Sequence[str] = (), ex
         header = spark.read.text(file).limit(1).first()
         if header is None:
             raise ValueError(f"{table} has no header")
-        names = next(csv.reader([header[0].lstrip("﻿")]))
+        names = next(csv.reader([header[0].lstrip("\ufeff")]))
         schema = ", ".join(f"c{k} string" for k in range(len(names)))
-        raw = spark.read.csv(file, schema=schema, header=True, enforceSchema=True, escape='"', multiLine=False, mode="FAILFAST", ignoreLeadingWhiteSpace=False)
-        raw = raw.withColumn("_ord", F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")))
+        raw = spark.read.csv(file, schema=schema, header=True, enforceSchema=True, escape='"', multiLine=table not in split, mode="FAILFAST", ignoreLeadingWhiteSpace=False)
+        raw = raw.withColumn("_ord", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")))
         out[table] = typed(raw.toDF(*names, "_ord"), table)
     return Feed(**out)

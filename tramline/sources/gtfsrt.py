@@ -176,14 +176,17 @@ def alert_entities(alerts: DataFrame) -> DataFrame:
 
 
 def encoded(entities: DataFrame) -> DataFrame:
-    """(id, protobuf): every entity encoded where it is."""
+    """(id, protobuf, json): every entity in both forms, made where it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in rows], pa.string()), pa.array([encode(r, "FeedEntity") for r in rows], pa.binary())], ["id", "protobuf"])
+            data = [encode(r, "FeedEntity") for r in rows]
+            # as it would be read from the bytes: enums by name, floats of 32 bits
+            text = [json.dumps(trimmed(decode(d, "FeedEntity")), indent=2, ensure_ascii=False) for d in data]
+            yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in rows], pa.string()), pa.array(data, pa.binary()), pa.array(text, pa.string())], ["id", "protobuf", "json"])
 
-    return entities.mapInArrow(run, "id string, protobuf binary")
+    return entities.mapInArrow(run, "id string, protobuf binary, json string")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -202,11 +205,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def feed_bytes(entities: DataFrame, timestamp: int) -> tuple[bytes, str]:
     """A whole feed as (protobuf, JSON). A feed is one file of one message, so
-    its entities meet on the driver, one at a time."""
+    the driver puts the encoded entities one after the other, and no more."""
     head = header(timestamp)
-    parts, messages = [encode({"header": head})], []
+    parts, texts = [encode({"header": head})], []
     for row in encoded(entities).toLocalIterator():
         data = bytes(row["protobuf"])
-        parts.append(varint(2 << 3 | 2) + varint(len(data)) + data)
-        messages.append(decode(data, "FeedEntity"))
-    return b"".join(parts), to_json({"header": head, "entity": messages})
+        parts += [varint(2 << 3 | 2) + varint(len(data)), data]
+        texts.append("    " + row["json"].replace("\n", "\n    "))
+    before, after = to_json({"header": head, "entity": []}).rsplit("[]", 1)
+    return b"".join(parts), before + ("[\n" + ",\n".join(texts) + "\n  ]" if texts else "[]") + after

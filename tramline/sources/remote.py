@@ -5,20 +5,20 @@ from __future__ import annotations
 import base64
 import gzip
 import re
-import shutil
-import tempfile
 import urllib.request
 from collections.abc import Iterator
-from datetime import date
+from datetime import date, datetime, timedelta
 from ftplib import FTP
 from pathlib import PurePosixPath
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
+from ..session import put_file, shared_dir
+
 #: Marks a payload that is compressed.
 COMPRESSED = "gzip+base64"
 FEED_KEYS = ("endpoint", "provider", "cron", "format", "protocol")
@@ -37,14 +37,75 @@ def load_config(text: str, section: str = "feeds", required: tuple[str, ...] = F
     return entries
 
 
+#: Fields of a schedule with their ranges; month and weekday names are legal.
+CRON = (("second", 0, 59), ("minute", 0, 59), ("hour", 0, 23), ("day", 1, 31), ("month", 1, 12), ("weekday", 0, 6))
+NAMES = {n: k for k, n in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)} | {n: k for k, n in enumerate("sun mon tue wed thu fri sat".split())}
+
+
+def cron_fields(cron: str) -> list[frozenset[int]]:
+    """The values of each field of a six-field schedule: ``*``, ``?``, numbers,
+    names, ranges, steps and lists. Anything else is refused."""
+    parts = cron.split()
+    if len(parts) != len(CRON):
+        raise ValueError(f"{cron!r} has {len(parts)} fields, not {len(CRON)}")
+    out = []
+    for part, (name, low, high) in zip(parts, CRON, strict=True):
+        values: set[int] = set()
+        for item in part.lower().split(","):
+            m = re.fullmatch(r"(\*|\?|(\w+)(?:-(\w+))?)(?:/(\d+))?", item)
+            if not m:
+                raise ValueError(f"{item!r} is no {name}")
+            number = lambda x: NAMES[x] if x in NAMES else int(x)
+            try:
+                first = low if m[2] is None else number(m[2])
+                last = high if m[2] is None or m[3] is None and m[4] else number(m[3] or m[2])
+            except ValueError:
+                raise ValueError(f"{item!r} is no {name}") from None
+            if name == "weekday" and last == 7:  # a second name of Sunday
+                values.add(0)
+                first, last = (first, 6) if first < 7 else (0, 0)
+            if not low <= first <= last <= high or m[4] == "0":
+                raise ValueError(f"{item!r} is out of range for {name}")
+            values.update(range(first, last + 1, int(m[4] or 1)))
+        out.append(frozenset(values))
+    return out
+
+
+def next_run(cron: str, after: datetime) -> datetime:
+    """The first time after ``after`` at which a schedule runs. Where both day
+    and weekday are restricted either of them is enough."""
+    second, minute, hour, day, month, weekday = cron_fields(cron)
+    stars = [p[0] in "*?" for p in cron.split()]
+    at = after.replace(microsecond=0) + timedelta(seconds=1)
+    last = after + timedelta(days=366 * 8)
+    while at <= last:
+        in_day, in_week = at.day in day, (at.weekday() + 1) % 7 in weekday
+        if at.month not in month or not (in_day and in_week if stars[3] or stars[5] else in_day or in_week):
+            at = at.replace(hour=0, minute=0, second=0) + timedelta(days=1)
+        elif at.hour not in hour:
+            at = at.replace(minute=0, second=0) + timedelta(hours=1)
+        elif at.minute not in minute:
+            at = at.replace(second=0) + timedelta(minutes=1)
+        elif at.second not in second:
+            at += timedelta(seconds=1)
+        else:
+            return at
+    raise ValueError(f"{cron!r} never runs")
+
+
 def seconds_between(cron: str) -> int:
-    """The interval of a six-field schedule with a step in seconds or minutes."""
-    second, minute, *_ = cron.split()
-    if m := re.fullmatch(r"(?:\*|\d+)/(\d+)", second):
-        return int(m[1])
-    if m := re.fullmatch(r"(?:\*|\d+)/(\d+)", minute):
-        return 60 * int(m[1])
-    return 60 if minute == "*" else 3600
+    """The interval of a schedule that runs at equal intervals within a day, as a
+    streaming trigger needs; another is refused, and for ``next_run``."""
+    start = datetime(2024, 1, 1) - timedelta(seconds=1)
+    times = [start]
+    while len(times) < 4 or times[-1] < start + timedelta(days=1, seconds=1):
+        times.append(next_run(cron, times[-1]))
+        if len(times) > 90_000:
+            break
+    gaps = {int((b - a).total_seconds()) for a, b in zip(times[1:], times[2:])}
+    if len(gaps) != 1:
+        raise ValueError(f"{cron!r} has no single interval")
+    return gaps.pop()
 
 
 def compress(text: str) -> str:
@@ -73,12 +134,15 @@ def ftp_login(url: str, timeout: float = 30.0) -> FTP:
     return ftp
 
 
-def download_ftp(url: str, folder: str) -> str:
-    """The file at an FTP address in ``folder`` (a shared one, on a cluster)."""
+def download_ftp(spark: SparkSession, url: str) -> str:
+    """The file at an FTP address, as a file of a new shared folder."""
     path = PurePosixPath(urlparse(url).path)
-    with ftp_login(url) as ftp, tempfile.NamedTemporaryFile(suffix=path.suffix, dir=folder, delete=False) as out:
-        ftp.retrbinary(f"RETR {path}", out.write)
-        return out.name
+    parts: list[bytes] = []
+    with ftp_login(url) as ftp:
+        ftp.retrbinary(f"RETR {path}", parts.append)
+    target = f"{shared_dir(spark)}/{path.name}"
+    put_file(spark, target, b"".join(parts))
+    return target
 
 
 def latest_dated(names: list[str], pattern: str) -> str:
@@ -164,8 +228,3 @@ class HttpPoll(DataSource):
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return HttpPollReader(self.options)
-
-
-def stage(path: str, folder: str) -> str:
-    """A copy of a local file in ``folder``."""
-    return shutil.copy(path, folder)

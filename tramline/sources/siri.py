@@ -33,6 +33,18 @@ def delivery_time(payload: str = "payload") -> Column:
     return raw(payload, "ResponseTimestamp")
 
 
+#: What a delivery of each kind is called, and the path of its items.
+DELIVERIES = {"VM": ("VehicleMonitoringDelivery", ("VehicleActivity",)), "ET": ("EstimatedTimetableDelivery", ("EstimatedJourneyVersionFrame",)), "SE": ("SituationExchangeDelivery", ("Situations", "PtSituationElement"))}
+
+
+def to_json(items: Column, kind: str, timestamp: Column) -> Column:
+    """A message as JSON again: an array of structs below its delivery. Nulls
+    are left out, arrays stay arrays."""
+    name, path = DELIVERIES[kind]
+    inner = items
+    for field in reversed(path):
+        inner = F.struct(inner.alias(field))
+    return F.to_json(F.struct(F.struct(F.struct(timestamp.alias("ResponseTimestamp"), inner.alias(name)).alias("ServiceDelivery")).alias("Siri")))
 
 
 def vehicle_activities(messages: DataFrame, payload: str = "payload") -> DataFrame:

@@ -7,22 +7,39 @@ that a batch reads once, whole, at its start.
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.feed import Feed
+from ..operators.feed import KEYS, Feed
 from ..operators.rows import last_of
 from ..schemas import ENVELOPE
-from ..sources import remote
+from ..sources import gtfs, netex, remote
+
+
+RAWDATA = ENVELOPE.replace(", ", ",").replace(" ", ":")
+MESSAGE = f"provider string, timestamp string, rawdata struct<{RAWDATA}>"
 
 
 def messages(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """A stream of envelopes from JSON files: provider, timestamp, rawdata."""
-    return spark.readStream.schema(f"provider string, timestamp string, rawdata struct<{ENVELOPE.replace(' ', ':', 1).replace(', ', ',').replace(' ', ':')}>").options(**options).json(folder)
+    return spark.readStream.schema(MESSAGE).options(**options).json(folder)
+
+
+def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """The same envelopes from the records of a topic."""
+    records = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).options(**options).load()
+    return opened(records.select(F.col("value").cast("string").alias("value")))
+
+
+def opened(records: DataFrame) -> DataFrame:
+    """Envelopes from rows whose ``value`` is their JSON; others are dropped."""
+    parsed = records.select(F.from_json("value", MESSAGE).alias("m"))
+    return parsed.where("m.provider is not null").select("m.*")
 
 
 def unwrapped(batch: DataFrame) -> DataFrame:
@@ -39,8 +56,9 @@ def latest(batch: DataFrame) -> DataFrame:
 class Snapshots:
     """Versions of the timetable as Parquet folders below one path.
 
-    ``publish`` writes a version and then its name into the pointer; ``feed``
-    reads the version that the pointer names, so a batch sees one version. A
+    ``publish`` writes a version, with the last row of each key alone, and then
+    its name into the pointer; ``feed`` reads the version that the pointer
+    names, so a batch sees one version, and its lookups need no aggregate. A
     failed refresh leaves the pointer where it was.
     """
 
@@ -49,13 +67,14 @@ class Snapshots:
 
     def publish(self, feed: Feed, version: str) -> None:
         for name, df in feed.tables.items():
+            df = last_of(df, [KEYS[name]]) if name in KEYS and name not in feed.unique else df
             df.write.mode("overwrite").parquet(f"{self.path}/{version}/{name}")
         tables = ",".join(sorted(feed.tables))
         self.spark.range(1).select(F.lit(version).alias("version"), F.lit(tables).alias("tables"), F.lit(time.time_ns()).alias("at")).coalesce(1).write.mode("append").parquet(f"{self.path}/_pointer")
 
     def feed(self) -> Feed:
         row = self.spark.read.parquet(f"{self.path}/_pointer").orderBy(F.desc("at")).first()
-        return Feed(**{t: self.spark.read.parquet(f"{self.path}/{row['version']}/{t}") for t in row["tables"].split(",")})
+        return Feed(unique=KEYS, **{t: self.spark.read.parquet(f"{self.path}/{row['version']}/{t}") for t in row["tables"].split(",")})
 
 
 def refresh(snapshots: Snapshots, load: Callable[[], Feed], version: str) -> bool:
@@ -68,6 +87,31 @@ def refresh(snapshots: Snapshots, load: Callable[[], Feed], version: str) -> boo
     return True
 
 
+def load_static(spark: SparkSession, gtfs_url: str, netex_pattern: str | None = None, types: Sequence[str] = ("ServiceJourney", "ServiceJourneyPattern", "Route", "Line")) -> tuple[Feed, DataFrame | None]:
+    """The timetable from FTP: the bundle, and the entities of the latest dated
+    archive of the pattern, pruned in the scan to the types that linkage needs.
+    Shapes and translations are left out."""
+    feed = gtfs.read_zip(spark, remote.download_ftp(spark, gtfs_url))
+    if netex_pattern is None:
+        return feed, None
+    file = remote.download_ftp(spark, remote.resolve_latest_ftp(netex_pattern))
+    return feed, netex.read_xml(spark, file, types=types)
+
+
+def keep_fresh(snapshots: Snapshots, load: Callable[[], Feed], every: float = 86_400.0, stop: threading.Event | None = None, most: int | None = None) -> int:
+    """Refreshes the snapshot now and then every so many seconds, until ``stop``
+    is set or ``most`` loads are done; a failed load keeps the old version.
+    Returns how many succeeded. Streams pick a version up at their next batch."""
+    stop = stop or threading.Event()
+    done = good = 0
+    while not stop.is_set():
+        good += refresh(snapshots, load, f"v{time.time_ns()}")
+        done += 1
+        if most is not None and done >= most or stop.wait(every):
+            break
+    return good
+
+
 def run(stream: DataFrame, handle: Callable[[DataFrame, Feed], None], snapshots: Snapshots, checkpoint: str, provider: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """A query that hands each batch's latest messages and the snapshot to
     ``handle``; with ``provider`` only that one's (fan-out by routing key)."""
