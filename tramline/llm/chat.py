@@ -349,18 +349,21 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 def grouped(turns: DataFrame) -> DataFrame:
     """(conv_id, messages): the turns of each conversation in order of turn,
-    ties by role and text. Null roles and texts are empty; null ids form one
-    conversation."""
+    ties by role and text. Null roles and texts are empty; a row without an id
+    is a conversation of its own. A conversation is one row, as its template
+    renders it whole."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = turns.select("conv_id", F.struct(F.col("turn").alias("turn"), text("role"), text("text")).alias("m"))
-    return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("m")).alias("messages"))
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    rows = turns.select("conv_id", own.alias("own"), F.struct(F.col("turn").alias("turn"), text("role"), text("text")).alias("m"))
+    return rows.groupBy("conv_id", "own").agg(F.sort_array(F.collect_list("m")).alias("messages")).drop("own")
 
 
 def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """Per conversation: (conv_id, formatted, spans); spans are code points
     (start, end exclusive) under the loss mask. Repeated turns are kept; empty
-    texts are empty turns; an empty table gives no rows; other columns are not
-    read."""
+    texts are empty turns; texts of any length are kept whole; rows without an
+    id are conversations of their own; an empty table gives no rows; other
+    columns are not read."""
     compiled(template)  # a bad template fails here, not on an executor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: The white space that separates words: \x20 and \x09 to \x0D, nothing else.
 BLANKS = "\t\n\x0b\x0c\r"
 
@@ -23,18 +25,8 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(flat, " "), "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share.
-
-    A local session without the setting gets a folder in the machine's
-    temporary one; on a cluster that would not be shared, so it is refused.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        top = f"file://{tempfile.gettempdir()}/tramline-checkpoints"
-    return f"{top.rstrip('/')}/tramline-{uuid.uuid4().hex}"
+#: Folders that ``written`` made while ``settled`` runs.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -43,10 +35,32 @@ def written(df: DataFrame) -> DataFrame:
     Cuts the lineage, and what was computed once survives a lost executor.
     """
     spark, schema, path = df.sparkSession, df.schema, shared_dir(df.sparkSession)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+    """What ``make`` gives, written and read again, and its folder; the folders
+    that it needed on the way are removed, as nothing refers to them any more."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        out = written(make())
+    finally:
+        _MADE.reset(token)
+    removed(out.sparkSession, *made[:-1])
+    return out, made[-1]
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    """Removes folders that ``written`` made."""
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 #: Keys whose rows are dealt over several tasks by ``split_join``, at most.
 HEAVY_KEYS = 1_000
 
@@ -68,6 +82,21 @@ def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spr
     return left.join(right, [key, "_salt"]).drop("_salt")
 
 
+def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``gone``, all
+    columns unchanged, of whatever names; rows without an id stay.
+
+    ``gone`` grows with the corpus, so it is never broadcast: one plan at every
+    size. Rows without an id have keys of their own, so that they do not meet in
+    one task.
+    """
+    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("_id"))
+    both = both.withColumn("_spread", F.when(F.col("_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    keys = gone.toDF("_id").withColumn("_spread", F.lit(0).cast("long"))
+    left = both.join(keys.hint("merge"), ["_id", "_spread"], "left_anti")
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph: (node, component).
 

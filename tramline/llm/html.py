@@ -279,8 +279,9 @@ def extract(pages: DataFrame, field: Field | None = None, id_col: str = "page_id
 
     ``text`` is the main text of the whole page, empty if there is none or the
     html is null; ``n_chars`` its code points. Null ids and URLs stay null;
-    repeated pages each give a row; an empty table gives none; other columns
-    are not read.
+    repeated pages each give a row; pages are read whole, whatever their length;
+    blocks as likely to be main text as not are; an empty table gives none;
+    other columns are not read.
     """
     field = field or fitted()
 

@@ -104,15 +104,16 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, largest: int) -> DataFra
     return cut.select(id_col, "piece", start.alias("start"), F.least(F.lit(largest), F.col("_n") - start).alias("length"))
 
 
-def best_fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", costs: Mapping[int, float] | None = None, rows_of_a_salt: int = 50_000) -> DataFrame:
+def best_fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", costs: Mapping[int, float] | None = None, rows_of_a_salt: int = 10_000) -> DataFrame:
     """Per piece: (id_col, piece, start, length, bin_id, bin_size, position).
 
     Lengths are in words. A document longer than the largest permitted
     sequence is cut into pieces of that length and a rest, none is dropped;
     ``start`` is the piece's first word in its document, ``position`` its first
     word in the bin. Texts without words (null, empty) take no room and give no
-    row; a null id is packed like any other; repeated rows are packed each; an
-    empty table gives none.
+    row; a null id is packed like any other; repeated rows are packed each; of
+    equal lengths the order is by a hash, then id and piece; texts count whole;
+    other columns are not read; an empty table gives none.
     """
     costs = dict(costs or {s: cost_of(s) for s in SIZES})
     largest = max(costs)
@@ -125,7 +126,8 @@ def best_fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
 
     # a rank of each piece within its length: groups of a length are salted, so none is large
     salts = max(1, sum(counts.values()) // rows_of_a_salt)
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.lit(salts)).cast("int"))
+    apart = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())  # rows without an id spread too
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64(id_col, "piece", apart), F.lit(salts)).cast("int"))
     before = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = before.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy(id_col, "piece", "start"))

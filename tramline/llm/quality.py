@@ -23,8 +23,8 @@ BUCKETS = 16_384
 #: Documents whose mean log ratio is below this are rejected.
 THRESHOLD = -0.25
 WINDOW = 8
-#: Trusted ids, of eight bytes, that are broadcast at most.
-BROADCAST_IDS = 4_000_000
+#: Trusted ids that are broadcast at most; a hash table of so many takes some 32 MB.
+BROADCAST_IDS = 1_000_000
 
 
 def let(value: Column, body) -> Column:
@@ -102,12 +102,14 @@ def model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     ratios are zero. Both ways to mark the target count the same.
     """
     ids = trusted.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct()
-    ids = written(ids.withColumn("_spread", F.lit(0).cast("long")).withColumn("_good", F.lit(1)))
+    ids = written(ids.withColumn("_good", F.lit(1)))
     text = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t"))
-    # rows without an id are nobody's; the second key keeps them apart in a shuffle
-    text = text.withColumn("_spread", F.when(F.col("_id").isNull(), F.xxhash64("_t")).otherwise(F.lit(0)))
-    few = ids.count() <= broadcast_ids
-    marked = text.join(F.broadcast(ids) if few else ids.hint("merge"), ["_id", "_spread"], "left").select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
+    if ids.count() <= broadcast_ids:
+        marked = text.join(F.broadcast(ids), "_id", "left")
+    else:  # rows without an id are nobody's; a second key keeps them apart in the shuffle
+        spread = F.when(F.col("_id").isNull(), F.xxhash64("_t")).otherwise(F.lit(0))
+        marked = text.withColumn("_spread", spread).join(ids.withColumn("_spread", F.lit(0).cast("long")).hint("merge"), ["_id", "_spread"], "left")
+    marked = marked.select(F.coalesce("_good", F.lit(0)).alias("good"), words(F.col("_t")).alias("w"))
     pairs = word_rows(marked.where(F.size("w") > 0), "good")
     grams = pairs.select("good", F.explode(of_word(F.col("word"), F.col("following"), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))

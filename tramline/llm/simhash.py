@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import components, split_join, written
+from .common import components, split_join, without, written
 from .substrings import mixed
 
 #: Most bits in which linked fingerprints of one word differ. The two halves and
@@ -341,10 +341,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     and null texts are copies of each other.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, words=words, distance=distance_at(similarity, words))
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone_id")).distinct()
-    # the set grows with the corpus, so it is never broadcast: one plan at every size
-    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("_id"))
-    # rows without an id have keys of their own, so that they do not meet in one task
-    spread = F.when(F.col("_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
-    left = both.withColumn("_spread", spread).join(gone.select(F.col("_gone_id").alias("_id"), F.lit(0).cast("long").alias("_spread")).hint("merge"), ["_id", "_spread"], "left_anti")
-    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return without(docs, found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), id_col)
