@@ -664,6 +664,8 @@ PICK_SQL = lambda *xs: f"([{', '.join(repr(x) for x in xs)}])[o_orderkey % {len(
 CAUSES = ("constructionWork", "maintenanceWork", "specialEvent", "accident", "strike", "weather", "technicalProblem", "Strike", "other")
 EFFECTS = ("stopCancelled", "lineCancellation", "delayed", "diverted", "reducedService", "additionalService", "modifiedService", "", "other")
 SEVERITIES = ("severe", "warning", "normal", "slight", "other")
+STRICT = ("20260301", "20261399", " 00010101 ")
+REALS = ("1.5", " -0.25 ", "", "x", "1,5", "1.024e3")
 LANGS = ("DE", "it", "LAD", "En", "FR")
 NUMBERS = (" 12 ", "-7", "1.5", "", "x9", "+3")
 DIRECTIONS = ("1", "2", "5", "-3", "x", "")
@@ -681,6 +683,9 @@ SCALAR_SQL = {
     "f01_parse_time": HMS,
     "f02_format_time": f"case when o_orderkey % 5 = 0 then -1 else ((o_orderkey % 30) * 3600 + (o_custkey % 70) * 60 + 7)::int end",
     "f03_parse_date": YMD,
+    "f04_strict_date": PICK_SQL(*STRICT),
+    "f09_is_set": "(o_orderkey % 3 - 1)::int",
+    "f18_real_number32": PICK_SQL(*REALS),
     "f05_format_date": "case when o_orderkey % 6 = 0 then 0 else strftime(o_orderdate, '%Y%m%d')::int end",
     "f06_weekday": "case when o_orderkey % 6 = 1 then 20261399 else strftime(o_orderdate, '%Y%m%d')::int end",
     "f07_whole_number": PICK_SQL(*NUMBERS),
@@ -711,6 +716,9 @@ text_key = lambda: KEY().cast("string")
 scalar("f01_parse_time", hms, fn.gtfs_time, "case when o_orderkey % 5 = 0 then -1 else ((o_orderkey % 30) * 3600 + (o_custkey % 70) * 60 + 7)::int end")
 scalar("f02_format_time", lambda: F.when(KEY() % 5 == 0, -1).otherwise(seconds()), fn.format_time, "case when given = -1 then '' else lpad((given // 3600)::varchar, 2, '0') || ':' || lpad((given % 3600 // 60)::varchar, 2, '0') || ':' || lpad((given % 60)::varchar, 2, '0') end")
 scalar("f03_parse_date", lambda: F.when(KEY() % 6 == 0, "2026-01").when(KEY() % 6 == 1, "20261399").otherwise(ymd()), fn.gtfs_date, "case when length(given) = 8 then given::int else 0 end")
+scalar("f04_strict_date", PICK(*STRICT), fn.strict_date, listed((20260301, 20261399, 10101)))
+scalar("f09_is_set", lambda: (KEY() % 3 - 1).cast("int"), lambda c: fn.is_set_time(c) & fn.is_set_date(c), "given = 1")
+scalar("f18_real_number32", PICK(*REALS), fn.real_number32, listed((1.5, -0.25, 0.0, 0.0, 0.0, 1024.0)) + "::float")
 scalar("f05_format_date", lambda: F.when(KEY() % 6 == 0, 0).otherwise(ymd().cast("int")), fn.format_date, "case when given = 0 then '' else given::varchar end")
 scalar("f06_weekday", lambda: F.when(KEY() % 6 == 1, 20261399).otherwise(ymd().cast("int")), fn.weekday, "case when given = 20261399 then 4 else isodow(strptime(given::varchar, '%Y%m%d')) - 1 end::int")
 scalar("f07_whole_number", PICK(*NUMBERS), fn.whole_number, listed((12, -7, 0, 0, 0, 3)))

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import sinks, streaming
+from ..operators.feed import Feed
+from ..operators.rows import last_of
 from ..session import put_file, shared_dir
 from ..sources import gtfs, gtfsrt, netex, siri
-from .queries import NETEX, ORACLE_SQL, QUERIES, SQL, entity_rows, feed, query
+from .queries import ACTIVE, DATE, ORACLE_SQL, QUERIES, entity_rows, feed, query
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -367,3 +369,77 @@ def s28(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gtfsrt.read(spark, folder)
     field = lambda p: F.get_json_object("entity", f"$.vehicle.{p}")
     return rows.select(F.regexp_extract("file", "[a-z]+$", 0).alias("file"), "id", field("trip.trip_id").alias("trip_id"), field("current_status").alias("status"), field("position.latitude").cast("double").alias("latitude"), field("timestamp").cast("long").alias("timestamp"))
+
+
+# --- streams, stores, plugins --------------------------------------------------
+
+
+@query("x05_st03_snapshot_store", "select route_short_name, count(*) as active_trips from trips join active using (service_id) join routes using (route_id) group by 1", ACTIVE)
+def x05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship query on a published version of the timetable; an older
+    version, and a refresh that fails, do not matter."""
+    snapshots = streaming.Snapshots(spark, shared_dir(spark))
+    whole = feed(spark, sf_dir)
+    snapshots.publish(Feed(**{t: df.limit(0) for t, df in whole.tables.items()}), "old")
+    streaming.refresh(snapshots, lambda: whole, "new")
+    streaming.refresh(snapshots, lambda: Feed(stops=whole.stops.select("nothing")), "bad")
+    return snapshots.feed().trips_per_line(DATE)
+
+
+@plain("st01_st07_stream_batches", """select (user_id % 10)::varchar as provider, arg_max(coalesce(props, '{}'), row(ts, coalesce(props, '{}'))) as payload, max(strftime(ts, '%Y-%m-%dT%H:%M:%S')) as timestamp,
+  any_value(s_name) as stop_name from events join supplier on s_suppkey = user_id % 10 where user_id % 10 <> 3 group by 1""")
+def st01(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queued messages through a stream: the latest of each provider, joined with
+    the snapshot. One provider has a stream of its own, whose rows are not taken."""
+    queue, out, top = shared_dir(spark), shared_dir(spark), shared_dir(spark)
+    e = read(spark, sf_dir, "events")
+    sinks.publish(e.select((F.col("user_id") % 10).cast("string").alias("provider"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.lit("json").alias("format"), F.lit("siri").alias("protocol"), F.coalesce("props", F.lit("{}")).alias("payload")), queue, compress=True)
+    snapshots = streaming.Snapshots(spark, f"{top}/static")
+    snapshots.publish(Feed(stops=feed(spark, sf_dir).stops), "v1")
+
+    def handle(rows: DataFrame, static: Feed) -> None:
+        named = rows.join(static.stop().select(F.col("stop_id").alias("provider"), "stop_name"), "provider")
+        named.select("provider", "payload", "timestamp", "stop_name").write.mode("append").parquet(out)
+
+    stream = streaming.messages(spark, queue)
+    streaming.supervise(lambda: streaming.run(stream.where("provider <> '3'"), handle, snapshots, f"{top}/all"), most=1)
+    alone: list[int] = []
+    streaming.run(stream, lambda rows, _: alone.append(rows.count()), snapshots, f"{top}/one", provider="3").awaitTermination()
+    return spark.read.schema("provider string, payload string, timestamp string, stop_name string").parquet(out)
+
+
+@plain("x03_x04_own_profile", "select 'N:' || n_nationkey as id, 'v' || n_nationkey as variant, n_name as text from nation")
+def x03(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile that adds a frame, an entity and its table to another one."""
+    netex.register_profile("own", {"Hint": ("hints", "id variant text")}, {"HintFrame": {"hints": "Hint"}})
+    text = "<PublicationDelivery><dataObjects><CompositeFrame><frames><HintFrame><hints><Hint id='N:{n}'><Variant>v{n}</Variant><Text>{t}</Text><Other>x</Other></Hint></hints></HintFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>"
+    path, n = shared_dir(spark), read(spark, sf_dir, "nation")
+    filled = F.replace(F.replace(F.lit(text), F.lit("{n}"), F.col("n_nationkey").cast("string")), F.lit("{t}"), F.col("n_name"))
+    n.select("n_nationkey", filled).repartition(5, "n_nationkey").write.partitionBy("n_nationkey").text(path)
+    return netex.table(netex.read_xml(spark, path, "own"), "Hint", "own").drop("_ord")
+
+
+@plain("s26_s27_formats", """select o_orderkey, case o_orderkey % 6 when 0 then 'json' when 1 then 'xml' when 2 then 'xml' when 3 then 'xml' else 'json' end as format from orders""")
+def s26(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the name's end, else by the first character of what is there."""
+    pick = lambda *xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", pick("a.JSON", "a.xml", "a", "", "a.txt", "xml").alias("path"), pick("<x/>", "{}", "  <x/>", "\ufeff<x/>", "{}", "").alias("head"))
+    return rows.select("o_orderkey", siri.format_of(F.col("path"), F.col("head")).alias("format"))
+
+
+@plain("a13_m03_last_of_a_key", "select c_nationkey, max(c_custkey) as c_custkey, arg_max(c_name, c_custkey) as c_name from customer group by 1")
+def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index by key in which later rows replace earlier ones."""
+    return last_of(read(spark, sf_dir, "customer"), ["c_nationkey"], ["c_custkey"]).select("c_nationkey", "c_custkey", "c_name")
+
+
+@plain("m02_m04_m06_maps_and_arrays", """select c_custkey, c_name as name, c_custkey % 3 = 0 as has_code, coalesce(case when c_custkey % 3 = 0 then c_mktsegment end, '') as code,
+  case when c_custkey % 3 = 0 then 'id,name,code,end' else 'id,name,end' end as keys from customer""")
+def m02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map from a row's cells, tests of its keys, and arrays put together."""
+    c = read(spark, sf_dir, "customer")
+    base = F.create_map(F.lit("id"), F.col("c_custkey").cast("string"), F.lit("name"), F.col("c_name"))
+    fields = F.when(F.col("c_custkey") % 3 == 0, F.map_concat(base, F.create_map(F.lit("code"), F.col("c_mktsegment")))).otherwise(base)
+    rows = c.select("c_custkey", F.lit("Line").alias("type"), F.lit("f").alias("file"), F.col("c_custkey").alias("seq"), fields.alias("fields"))
+    code = F.coalesce(F.try_element_at("fields", F.lit("code")), F.lit(""))
+    return rows.select("c_custkey", F.col("fields")["name"].alias("name"), F.map_contains_key("fields", "code").alias("has_code"), code.alias("code"), F.array_join(F.concat(F.map_keys("fields"), F.array(F.lit("end"))), ",").alias("keys"))

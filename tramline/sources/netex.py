@@ -164,13 +164,13 @@ def child_of(e: ElementTree.Element, tag: str) -> ElementTree.Element | None:
     return next((x for x in e if local(x.tag) == tag), None)
 
 
-def entities(source: io.BufferedIOBase, name: str = "epip", types: Sequence[str] | None = None) -> Iterator[Row]:
+def entities(source: io.BufferedIOBase, name: str | tuple[dict, dict] = "epip", types: Sequence[str] | None = None) -> Iterator[Row]:
     """Entity rows of one file, frame by frame, in constant memory.
 
     Only frames of the first CompositeFrame below PublicationDelivery /
     dataObjects count; unknown frames and collections are passed over.
     """
-    tables, frames = profile(name)
+    tables, frames = profile(name) if isinstance(name, str) else name
     path: list[str] = []
     done = False
     for event, e in ElementTree.iterparse(source, ("start", "end")):
@@ -197,14 +197,14 @@ def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence
     """Entities of XML files, or of the first XML in zips: (type, seq, fields,
     file). ``types`` prunes inside the scan. A file is one task: XML cannot be
     split, so write the result to Parquet once."""
-    profile(name)
+    known = profile(name)  # sent along: registered profiles are the driver's
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows: list[Row] = []
                 seq = 0
-                for row in entities(opened(content), name, types):
+                for row in entities(opened(content), known, types):
                     rows.append(row)
                     if len(rows) == 5_000:
                         yield to_batch(rows, seq, file)

@@ -19,6 +19,13 @@ def detect_format(path: str, head: bytes = b"") -> str:
     return "xml" if head.decode("utf-8-sig", "ignore").lstrip()[:1] == "<" else "json"
 
 
+def format_of(path: Column, head: Column) -> Column:
+    """The same as a column, for many files at once."""
+    end = F.regexp_extract(F.lower(path), r"\.(json|xml)$", 1)
+    first = F.regexp_extract(F.coalesce(head, F.lit("")), r"^\x{FEFF}?\s*(.)", 1)
+    return F.when(end != "", end).when(first == "<", F.lit("xml")).otherwise(F.lit("json"))
+
+
 def need_json(form: str) -> None:
     if form != "json":
         raise NotImplementedError(f"SIRI {form} is not supported")
