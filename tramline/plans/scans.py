@@ -84,6 +84,16 @@ def k07(spark: SparkSession, sf_dir: str) -> DataFrame:
     return siri.flat_activities(again).withColumnRenamed("_ord", "position").select(*ACTIVITY)
 
 
+@plain("k06_dumped_messages", ACTIVITIES.replace(" from events", ", case when event_id % 4 = 0 then 'one' else 'many' end as provider from events"))
+def k06(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages dumped as text by provider, and read from there."""
+    folder = shared_dir(spark)
+    rows = vehicle_messages(spark, sf_dir).withColumn("provider", F.when(F.col("message") < 0, "one").otherwise("many"))
+    sinks.dump_messages(rows, folder)
+    again = spark.read.text(folder).withColumnRenamed("value", "payload")
+    return siri.vehicle_activities(again).transform(siri.flattened, "provider").withColumnRenamed("_ord", "position").select(*ACTIVITY, "provider")
+
+
 def estimated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A message for each customer, a frame for each status of orders, a journey
     for each order, a call for each line: arrays, or objects where one."""

@@ -59,6 +59,12 @@ def dump(entities: DataFrame, timestamp: int, path: str) -> None:
         out.write(protobuf if gtfsrt.detect_format(path) == "protobuf" else text.encode())
 
 
+def dump_messages(messages: DataFrame, folder: str) -> None:
+    """Live feeds as JSON below ``folder``, one message to a line, a folder for
+    each provider; ``messages`` has provider and payload (``siri.to_json``)."""
+    messages.select("provider", F.regexp_replace("payload", "[\r\n]+", " ").alias("value")).write.partitionBy("provider").mode("overwrite").text(folder)
+
+
 def envelopes(messages: DataFrame, compress: bool = False) -> DataFrame:
     """(provider, timestamp, rawdata): what is queued of messages with provider,
     timestamp, format, protocol and payload; compressed payloads say so."""

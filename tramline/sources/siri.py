@@ -63,10 +63,15 @@ def vehicle_activities(messages: DataFrame, payload: str = "payload") -> DataFra
 
 def flat_activities(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """Activities with the columns that ``vehicle_positions`` takes."""
+    return flattened(vehicle_activities(messages, payload))
+
+
+def flattened(activities: DataFrame, *keep: str) -> DataFrame:
+    """The same from ``vehicle_activities``, with some of the message's columns."""
     j, call = "activity.MonitoredVehicleJourney", "activity.MonitoredVehicleJourney.MonitoredCall"
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return vehicle_activities(messages, payload).select(
-        F.col("position").alias("_ord"), empty(f"{j}.VehicleRef").alias("vehicle_ref"), empty("activity.RecordedAtTime").alias("recorded_at"),
+    return activities.select(
+        *keep, F.col("position").alias("_ord"), empty(f"{j}.VehicleRef").alias("vehicle_ref"), empty("activity.RecordedAtTime").alias("recorded_at"),
         empty(f"{j}.LineRef").alias("line_ref"), empty(f"{j}.PublishedLineName").alias("line_name"), empty(f"{j}.DirectionRef").alias("direction_ref"),
         empty(f"{call}.StopPointRef").alias("stop_ref"), empty(f"{j}.Delay").alias("delay"), empty(f"{j}.FramedVehicleJourneyRef.DataFrameRef").alias("date"),
         empty(f"{j}.FramedVehicleJourneyRef.DatedVehicleJourneyRef").alias("journey_ref"), empty(f"{j}.VehicleLocation.Longitude").alias("longitude"),
