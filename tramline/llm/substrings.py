@@ -23,6 +23,7 @@ are of a number of their own and hold many bundles.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ PARTITIONS = 50_000
 LAST = np.iinfo(np.int64).max
 #: The odd bases of the two word hashes.
 BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+#: Powers that are kept between calls, at most.
+KEPT_POWERS = 1 << 19
 BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -69,17 +72,27 @@ def words_at(texts: pa.Array, blank: np.ndarray | None = None) -> tuple[np.ndarr
     return data, starts, ends, np.searchsorted(starts, bounds)
 
 
+@lru_cache(maxsize=32)
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd ``base``, and of its inverse."""
+    up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """A 64-bit hash of each word: its polynomial in the odd ``base``, stirred."""
-    out, back = [], pow(base, -1, 1 << 64)
-    for k in range(0, len(starts), 1 << 16):
-        s, e = starts[k : k + (1 << 16)], ends[k : k + (1 << 16)]
-        s, e, part = s - s[0], e - s[0], data[s[0] : e[-1]].astype(np.uint64) + np.uint64(1)
+    out = []
+    for k in range(0, len(starts), 1 << 14):
+        s, e = starts[k : k + (1 << 14)], ends[k : k + (1 << 14)]
+        s, e, part = s - s[0], e - s[0], data[s[0] : e[-1]].astype(np.uint64)
         n = len(part)
-        up, down = np.full(n, base, np.uint64), np.full(n, back, np.uint64)
-        up[0] = down[0] = 1
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part * np.cumprod(up))))
-        out.append((sums[e] - sums[s]) * np.cumprod(down)[s])
+        up, down = powers(base, 1 << (n - 1).bit_length()) if n <= KEPT_POWERS else powers.__wrapped__(base, n)
+        part += np.uint64(1)
+        part *= up[:n]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(part, out=sums[1:])
+        out.append((sums[e] - sums[s]) * down[s])
     return mixed(np.concatenate(out), base) if out else np.empty(0, np.uint64)
 
 
