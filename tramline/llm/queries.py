@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html, latent, lines, packing, pii, quality, simhash, substrings, urls
+from . import chat, exact, html, latent, lines, negatives, packing, pii, quality, simhash, substrings, urls, whitening
 from .common import table
 
 
@@ -59,6 +59,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.dedup(spark, f"{sf_dir}/documents.parquet")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -70,6 +83,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_simhash": op10_simhash,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -115,5 +131,29 @@ best as (
 select c.page_id, host, path, rule,
   coalesce(says, case when canonical in (select canonical from listed) then 'block' else 'allow' end) as verdict
 from c left join best using (page_id)
+""",
+    "op11_exact_dedup": r"""
+with t as (
+  select doc_id, length(coalesce(text, '')) as chars, translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') as bare from documents),
+g as (select *, first_value(doc_id) over (partition by bare order by chars desc, doc_id) as keep_id, count(*) over (partition by bare) as group_size from t)
+select doc_id, keep_id, group_size::bigint as group_size, doc_id = keep_id as kept, sha256(bare) as text_sha256 from g
+""",
+    "op13_hard_negatives": r"""
+with v as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda c: floor(c::double * 256)) as x
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (
+  select a.id as anchor_id, v.id, v.label = a.label as same, list_dot_product(a.x, v.x)::bigint as score
+  from v as a join v on a.id <> v.id where a.id % 100 = 0),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+n as (
+  select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, id)::int as rank,
+    id as negative_id, positive_score, score as negative_score
+  from p join s on p.anchor_id = s.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select * from n where rank <= 10
 """,
 }
