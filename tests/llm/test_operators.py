@@ -6,6 +6,8 @@ import hashlib
 import itertools
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -601,22 +603,49 @@ def test_html_viterbi_against_enumeration():
 
 
 def test_html_fit_against_enumeration():
-    # where the likelihood is greatest, expected counts (by enumeration) are the true ones less the penalty
     pages = [(f"<p>{'a ' * n}.</p><nav>{'b ' * k}</nav><p>c</p>", (1, 0, y)) for n, k, y in ((9, 2, 1), (3, 5, 0), (20, 1, 1), (1, 1, 0))] + [("<p>only one block here</p>", (1,))]
-    field = html.fit(pages, steps=4000, rate=0.02)
-    expected, pairs = np.zeros_like(field.weights), np.zeros((2, 2))
-    for page, truth in pages:
+    index, value = html.likelihood(pages)
+    r = np.random.default_rng(4)
+
+    def enumerated(w):
+        """The penalised likelihood and its gradient by all labellings."""
+        field = html.Field(index, w[:-4].reshape(-1, 2), w[-4:].reshape(2, 2))
+        total, gap, pairs = 0.0, np.zeros_like(field.weights), np.zeros((2, 2))
+        for page, truth in pages:
+            blocks = html.blocks_of(page)
+            scores = chain_scores(field, blocks)
+            every = np.logaddexp.reduce(list(scores.values()))
+            total += scores[truth] - every
+            for y, v in [*((y, -np.exp(v - every)) for y, v in scores.items()), (truth, 1.0)]:
+                for f, c in zip(html.features(blocks), y):
+                    for x in f:
+                        gap[index[x], c] += v
+                for a, b in zip(y, y[1:]):
+                    pairs[a, b] += v
+        n = len(pages)
+        return total / n - 0.001 * (w @ w), np.concatenate([gap.ravel(), pairs.ravel()]) / n - 0.002 * w
+
+    for w in r.standard_normal((5, 2 * len(index) + 4)):
+        (f, g), (f2, g2) = value(w), enumerated(w)
+        assert f == pytest.approx(f2, abs=1e-9) and np.abs(g - g2).max() < 1e-9
+        d = r.standard_normal(len(w))
+        assert (value(w + 1e-6 * d)[0] - value(w - 1e-6 * d)[0]) / 2e-6 == pytest.approx(g @ d, abs=1e-6)
+    field = html.fit(pages, tolerance=1e-6)
+    assert np.abs(enumerated(np.concatenate([field.weights.ravel(), field.pairs.ravel()]))[1]).max() < 2e-6
+    with pytest.raises(RuntimeError, match="not fitted"):
+        html.fit(pages, tolerance=1e-12, most_steps=2)
+
+
+def test_html_nesting_costs_no_more_than_length():
+    field = html.fitted()
+    for page in ("<div class='a b'>x" * 40_000, "".join(f"<div class='n{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}'>x" for k in range(20_000)), "<form>" * 20_000 + "<li>x</li>" * 20_000, "<div>" * 20_000 + "</p>x" * 20_000):
+        tracemalloc.start()
+        began = time.perf_counter()
         blocks = html.blocks_of(page)
-        scores = chain_scores(field, blocks)
-        total = sum(np.exp(v) for v in scores.values())
-        for y, v in [*((y, np.exp(v) / total) for y, v in scores.items()), (truth, -1.0)]:
-            for f, c in zip(html.features(blocks), y):
-                for x in f:
-                    expected[field.index[x], c] += v
-            for a, b in zip(y, y[1:]):
-                pairs[a, b] += v
-    assert np.abs(expected / len(pages) + 0.002 * field.weights).max() < 2e-3
-    assert np.abs(pairs / len(pages) + 0.002 * field.pairs).max() < 2e-3
+        field.decode(blocks)
+        took, most = time.perf_counter() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(blocks) >= 20_000 and took < 20 and most < 200e6  # traced, which is some times slower
 
 
 def other_layouts(r):

@@ -4,15 +4,16 @@ A page is cut into the leaf blocks of its element tree: runs of text between
 block-level tags, each with its open elements and their class and id names.
 Blocks have binary features (ancestor tags, words in class names, link share,
 length, punctuation, place in the page); the chain has two labels, main text and
-the rest. Weights are fitted by gradient ascent on the likelihood of labelled
-pages, a number that is a parameter; pages are decoded by Viterbi inside their
+the rest. Weights are those of greatest likelihood on labelled pages, whose number
+is a parameter, to a stated size of the gradient; pages are decoded by Viterbi inside their
 own row, so the job is one narrow pass.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Container, Iterator, Sequence
 from functools import lru_cache
 from html import unescape
 
@@ -48,13 +49,50 @@ LETTERS = re.compile(r"[a-z]+")
 CLOSES_ITSELF = re.compile(r"(?:^|[\s\"']|(?:^|\s)[^\s=\"']+)/\s*\Z")
 
 
+class Element:
+    """An open element: its tag, its class and id names, and what it stands in."""
+
+    __slots__ = ("tag", "names", "above")
+
+    def __init__(self, tag: str, names: str, above: Element | None):
+        self.tag, self.names, self.above = tag, names, above
+
+
 class Block:
-    """A leaf block: its text, the share of it in links, and its open elements."""
+    """A leaf block: its text, how much of it is in links, and its innermost element."""
+
+    __slots__ = ("text", "linked", "inside")
+
+    def __init__(self, text: str, linked: int, inside: Element | None):
+        self.text, self.linked, self.inside = text, linked, inside
+
+
+class Open:
+    """The open elements, with their places by tag, so that no step walks them all."""
+
+    def __init__(self) -> None:
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.loose: list[int] = []  # places of raw elements that nothing closes
+        self.closed: list[int] = []  # and of those that something does
+
+    def last(self, *tags: str) -> int:
+        """The innermost place of any of the tags, or -1."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
 
-    __slots__ = ("text", "linked", "path")
+    def push(self, tag: str, names: str, loose: bool) -> None:
+        place = len(self.stack)
+        self.stack.append(Element(tag, names, self.stack[-1] if self.stack else None))
+        self.places.setdefault(tag, []).append(place)
+        if tag in RAW:
+            (self.loose if loose else self.closed).append(place)
 
-    def __init__(self, text: str, linked: int, path: tuple[tuple[str, str], ...]):
-        self.text, self.linked, self.path = text, linked, path
+    def pop_to(self, k: int) -> None:
+        while len(self.stack) > k:
+            self.places[self.stack.pop().tag].pop()
+        for raw in (self.loose, self.closed):
+            while raw and raw[-1] >= k:
+                raw.pop()
 
 
 def closed_starts(html: str, tag: str) -> set[int]:
@@ -76,25 +114,22 @@ def blocks_of(html: str) -> list[Block]:
     """The leaf blocks of a page that have text, in page order. Character
     references are decoded, white space becomes one space."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    open_ = Open()
     parts: list[str] = []
-    loose: list[int] = []  # places in the stack of raw elements that nothing closes
     closed: dict[str, set[int]] = {}
     linked = links = at = 0
 
     def flush() -> None:
         nonlocal parts, linked
         text = " ".join(unescape("".join(parts)).split()) if parts else ""
-        if text and not any(t in RAW for t, _ in stack):
-            out.append(Block(text, linked, tuple(stack)))
+        if text and not open_.loose and not open_.closed:
+            out.append(Block(text, linked, open_.stack[-1] if open_.stack else None))
         parts, linked = [], 0
 
     def pop_to(k: int) -> None:
         nonlocal links
         flush()
-        del stack[k:]
-        while loose and loose[-1] >= k:
-            loose.pop()
+        open_.pop_to(k)
         links = 0
 
     while at < len(html):
@@ -114,8 +149,7 @@ def blocks_of(html: str) -> list[Block]:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag in BLOCK_TAGS or tag in RAW:
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-                pop_to(k) if k is not None else flush()
+                pop_to(k) if (k := open_.last(tag)) >= 0 else flush()
             continue
         if tag in RAW and CLOSES_ITSELF.search(attributes):
             flush()
@@ -133,47 +167,57 @@ def blocks_of(html: str) -> list[Block]:
         elif tag == "hr":
             flush()
         elif (tag in BLOCK_TAGS or tag in RAW) and tag not in VOID:
-            if tag in CLOSES_P and stack and stack[-1][0] == "p":
-                pop_to(len(stack) - 1)
-            if tag in SELF_CLOSING:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in SELF_CLOSING[tag]:
-                        pop_to(k)
-                        break
-                    if stack[k][0] in SCOPES:
-                        break
-            if tag in BLOCK_TAGS and tag not in ("head", "title"):  # a head that nothing closed
-                for k, (open_tag, _) in enumerate(stack):
-                    if open_tag == "head":
-                        pop_to(k)
-                        break
-            if loose and tag in BLOCK_TAGS - INNER:
-                raw = max((k for k, (t, _) in enumerate(stack) if t in RAW and k not in loose), default=-1)
-                k = next((k for k in loose if k > raw), None)
-                if k is not None:
-                    pop_to(k)
+            if tag in CLOSES_P and open_.stack and open_.stack[-1].tag == "p":
+                pop_to(len(open_.stack) - 1)
+            if tag in SELF_CLOSING and (k := open_.last(*SELF_CLOSING[tag])) >= open_.last(*(SCOPES - SELF_CLOSING[tag])) and k >= 0:
+                pop_to(k)
+            if tag in BLOCK_TAGS and tag not in ("head", "title") and open_.places.get("head"):  # a head that nothing closed
+                pop_to(open_.places["head"][0])
+            if open_.loose and tag in BLOCK_TAGS - INNER:
+                k = bisect_right(open_.loose, open_.closed[-1] if open_.closed else -1)
+                if k < len(open_.loose):
+                    pop_to(open_.loose[k])
             flush()
             links = 0
             names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if "=" in attributes else ""
+            loose = False
             if tag in RAW and tag != "head":
                 if tag not in closed:
                     closed[tag] = closed_starts(html, tag)
-                if at not in closed[tag]:
-                    loose.append(len(stack))
-            stack.append((tag, names.lower()))
+                loose = at not in closed[tag]
+            open_.push(tag, names.lower(), loose)
     flush()
     return out
 
 
-def features(blocks: Sequence[Block]) -> list[list[str]]:
-    """The names of each block's binary features."""
+def marks_of(inside: Element | None, made: dict[Element | None, frozenset[str]], known: Container[str] | None) -> frozenset[str]:
+    """The features of an element and all that it stands in, those ``known`` only
+    if given. An element that adds none shares its parent's, so a deep page costs
+    no more than a flat one."""
+    path = []
+    while inside not in made:
+        path.append(inside)
+        inside = inside.above
+    marks = made[inside]
+    for e in reversed(path):
+        own = {f"name={w}" for w in LETTERS.findall(e.names)} if e.names else set()
+        if e.tag not in ("html", "body", "div"):
+            own.add(f"in={e.tag}")
+        own = {x for x in own if x not in marks and (known is None or x in known)}
+        marks = made[e] = marks | own if own else marks
+    return marks
+
+
+def features(blocks: Sequence[Block], known: Container[str] | None = None) -> list[list[str]]:
+    """The names of each block's binary features; of those of its elements only
+    ``known`` ones, if given."""
     out = []
+    made: dict[Element | None, frozenset[str]] = {None: frozenset()}
     for k, b in enumerate(blocks):
         n = b.text.count(" ") + 1
-        tag = b.path[-1][0] if b.path else "none"
+        tag = b.inside.tag if b.inside else "none"
         f = ["bias", f"tag={tag}", f"words={min(n.bit_length(), 7)}", f"links={min(4, 4 * b.linked // max(1, len(b.text)))}"]
-        f += {f"in={t}" for t, _ in b.path if t not in ("html", "body", "div")}
-        f += {f"name={w}" for _, names in b.path if names for w in LETTERS.findall(names)}
+        f += marks_of(b.inside, made, known)
         f.append(f"end={b.text[-1]}" if b.text[-1] in ".!?:" else "end=other")
         f.append(f"commas={min(3, b.text.count(','))}")
         if "©" in b.text:
@@ -197,7 +241,7 @@ class Field:
         if not blocks:
             return []
         scores = []
-        for f in features(blocks):
+        for f in features(blocks, self.index):
             at = [self.index[x] for x in f if x in self.index]
             scores.append(self.weights[at].sum(axis=0) if at else np.zeros(2))
         (aa, ab), (ba, bb) = self.pairs.tolist()
@@ -214,8 +258,10 @@ class Field:
         return labels[::-1]
 
 
-def fit(pages: Sequence[tuple[str, Sequence[int]]], steps: int = 150, rate: float = 0.3, ridge: float = 0.02) -> Field:
-    """Maximum penalised likelihood by Adam over all pages at once."""
+def likelihood(pages: Sequence[tuple[str, Sequence[int]]], ridge: float = 0.002) -> tuple[dict[str, int], Callable[[np.ndarray], tuple[float, np.ndarray]]]:
+    """The features of labelled pages, and the penalised mean log-likelihood with
+    its gradient, as a function of all weights in one vector: two for each
+    feature, then the four of label pairs."""
     made = [(features(blocks_of(html)), np.array(labels)) for html, labels in pages]
     made = [(f, y) for f, y in made if len(f) == len(y) and len(y)]
     names = sorted({x for f, _ in made for b in f for x in b})
@@ -233,7 +279,8 @@ def fit(pages: Sequence[tuple[str, Sequence[int]]], steps: int = 150, rate: floa
     both = mask[:, 1:, None, None] & True
     pair_truth = np.einsum("pki,pkj->ij", truth[:, :-1], truth[:, 1:])
 
-    def gradient(w: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def value(all_: np.ndarray) -> tuple[float, np.ndarray]:
+        w, t = all_[:-4].reshape(-1, 2), all_[-4:].reshape(2, 2)
         e = np.zeros((n * longest, 2))
         for c in (0, 1):
             e[:, c] = np.bincount(rows, w[columns, c], n * longest)
@@ -246,21 +293,48 @@ def fit(pages: Sequence[tuple[str, Sequence[int]]], steps: int = 150, rate: floa
             step = np.logaddexp.reduce(t + (e[:, k + 1] + bwd[:, k + 1])[:, None, :], axis=2)
             bwd[:, k] = np.where((k < last)[:, None], step, 0)
         total = np.logaddexp.reduce(fwd[np.arange(n), last], axis=1)
-        single = np.exp(fwd + bwd - total[:, None, None]) * mask[..., None]
+        single = np.exp(np.where(mask[..., None], fwd + bwd - total[:, None, None], -np.inf))
         joint = fwd[:, :-1, :, None] + t + (e + bwd)[:, 1:, None, :] - total[:, None, None, None]
         joint = np.where(both, np.exp(np.where(both, joint, 0)), 0).sum(axis=(0, 1))
         gap = (truth - single).reshape(-1, 2)
         gw = np.stack([np.bincount(columns, gap[rows, c], len(names)) for c in (0, 1)], axis=1)
-        return gw / n - ridge * w / 10, (pair_truth - joint) / n - ridge * t / 10
-
-    w, t = np.zeros((len(names), 2)), np.zeros((2, 2))
-    moments = [np.zeros_like(x) for x in (w, w, t, t)]
-    for k in range(1, steps + 1):
-        for x, g, at in zip((w, t), gradient(w, t), (0, 2), strict=True):
-            moments[at] = 0.9 * moments[at] + 0.1 * g
-            moments[at + 1] = 0.99 * moments[at + 1] + 0.01 * g * g
-            x += rate * (moments[at] / (1 - 0.9**k)) / (np.sqrt(moments[at + 1] / (1 - 0.99**k)) + 1e-8)
-    return Field(index, w, t)
+        score = (truth * e).sum() + (pair_truth * t).sum() - total.sum()
+        return float(score / n - ridge / 2 * (all_ @ all_)), np.concatenate([gw.ravel(), (pair_truth - joint).ravel()]) / n - ridge * all_
+
+    return index, value
+
+
+def highest(value: Callable[[np.ndarray], tuple[float, np.ndarray]], size: int, tolerance: float, most_steps: int, memory: int = 10) -> np.ndarray:
+    """Where a smooth concave function is highest, by L-BFGS from zero: until no
+    entry of the gradient exceeds ``tolerance``."""
+    x = np.zeros(size)
+    f, g = value(x)
+    pairs: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(most_steps):
+        if np.abs(g).max() <= tolerance:
+            return x
+        q, used = g.copy(), []
+        for s, y, r in reversed(pairs):
+            used.append(a := r * (s @ q))
+            q -= a * y
+        q *= (1 / (pairs[-1][2] * (pairs[-1][1] @ pairs[-1][1]))) if pairs else 1 / max(1, np.linalg.norm(g))
+        for (s, y, r), a in zip(pairs, reversed(used), strict=True):
+            q += s * (a - r * (y @ q))
+        step = 1.0
+        while (new := value(x + step * q))[0] < f + 1e-4 * step * (g @ q) and step > 1e-12:
+            step /= 2
+        s, y = step * q, g - new[1]
+        if s @ y > 1e-14:
+            pairs = [*pairs[1 - memory :], (s, y, 1 / (s @ y))]
+        x, (f, g) = x + s, new
+    raise RuntimeError(f"not fitted in {most_steps} steps: the gradient is {np.abs(g).max():.1e}")
+
+
+def fit(pages: Sequence[tuple[str, Sequence[int]]], ridge: float = 0.002, tolerance: float = 1e-4, most_steps: int = 1_000) -> Field:
+    """The field of greatest penalised likelihood; an error if that is not found."""
+    index, value = likelihood(pages, ridge)
+    best = highest(value, 2 * len(index) + 4, tolerance, most_steps)
+    return Field(index, best[:-4].reshape(-1, 2), best[-4:].reshape(2, 2))
 
 
 @lru_cache(maxsize=4)
