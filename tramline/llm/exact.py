@@ -26,6 +26,7 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "400",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each partition reserves megabytes of disk
 }
 KEEPER = "struct<chars: int, rank: long, file: string, row: long>"
 GROUPS = f"digest binary, n long, keeper {KEEPER}, batch long"
