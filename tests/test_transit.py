@@ -158,7 +158,7 @@ def test_vehicle_positions_from_json(spark, tmp_path):
     sinks.dump(entities, 99, f"{tmp_path}/v.pb")
     sinks.dump(entities, 99, f"{tmp_path}/v.json")
     read = gtfsrt.read(spark, f"{tmp_path}/v.*").collect()
-    assert len(read) == 2 and {json.loads(r["entity"])["vehicle"]["trip"]["route_id"] for r in read} == {"R1"}
+    assert len(read) == 2 and {r["entity"]["vehicle"]["trip"]["route_id"] for r in read} == {"R1"}
 
 
 def test_estimated_journeys_from_json(spark):

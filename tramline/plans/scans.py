@@ -367,20 +367,6 @@ def k05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gtfsrt.encoded(vehicle_rows(spark, sf_dir)).select("id", F.lower(F.hex("protobuf")).alias("bytes"))
 
 
-@plain("s28_r01_r07_k04_feed_files", """select f as file, 'V' || c_custkey as id, 'T' || c_custkey as trip_id, 'STOPPED_AT' as status, 46.5::double as latitude, case when c_custkey % 100 = 0 then null else c_custkey % 100 end::bigint as "timestamp"
-from customer cross join (values ('json'), ('pb')) x(f) where c_nationkey = 7""")
-def s28(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feeds of one nation's customers as files of both forms, read again."""
-    folder = shared_dir(spark)
-    own = read(spark, sf_dir, "customer").where("c_nationkey = 7").select(F.concat(F.lit("V"), "c_custkey").alias("id"))
-    protobuf, text = gtfsrt.feed_bytes(vehicle_rows(spark, sf_dir).join(own, "id", "left_semi"), 1_772_360_430)
-    put_file(spark, f"{folder}/feed.pb", protobuf)
-    put_file(spark, f"{folder}/feed.json", text.encode())
-    rows = gtfsrt.read(spark, folder)
-    field = lambda p: F.get_json_object("entity", f"$.vehicle.{p}")
-    return rows.select(F.regexp_extract("file", "[a-z]+$", 0).alias("file"), "id", field("trip.trip_id").alias("trip_id"), field("current_status").alias("status"), field("position.latitude").cast("double").alias("latitude"), field("timestamp").cast("long").alias("timestamp"))
-
-
 # --- streams, stores, plugins --------------------------------------------------
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import urllib.request
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources import gtfsrt, netex, remote
+from . import committed
 
 
 def write_tables(entities: DataFrame, folder: str, profile: str = "epip", types: Sequence[str] | None = None) -> dict[str, int]:
@@ -42,21 +44,32 @@ def put(url: str, data: bytes, timeout: float = 30.0) -> None:
             raise OSError(f"PUT {url}: {answer.status}")
 
 
-def put_feed(entities: DataFrame, timestamp: int, url: str, send: Callable[[str, bytes], None] = put) -> None:
+def write_feed(entities: DataFrame, timestamp: int, targets: dict[str, str], optional: Sequence[str] = (), **once: str) -> None:
+    """A feed to files or addresses, by form (``pb``, ``json``). Tasks encode the
+    entities, the commit joins them; a target of an ``optional`` form may fail.
+    ``staging`` and ``batch`` make a batch go out once."""
+    entities = entities if not once else entities.orderBy("id")  # so that a batch run again has the same order
+    around = gtfsrt.around(timestamp, entities.isEmpty())
+    parts = gtfsrt.feed_parts(entities).where(F.col("form").isin(*targets))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = batch.column(0).to_pylist()
+            data = [gtfsrt.frame(x) if f == "pb" else gtfsrt.indented(x) for f, x in zip(forms, batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([targets[f] for f in forms], pa.string()), pa.array(data, pa.binary())], ["target", "part"])
+
+    envelopes = {targets[f]: committed.envelope(*around[f], optional=f in optional) for f in ("pb", "json") if f in targets}
+    committed.assemble(parts.mapInArrow(placed, "target string, part binary"), envelopes, **once)
+
+
+def put_feed(entities: DataFrame, timestamp: int, url: str, **once: str) -> None:
     """A feed as ``url``.pb and ``url``.json; only the first has to succeed."""
-    protobuf, text = gtfsrt.feed_bytes(entities, timestamp)
-    send(f"{url}.pb", protobuf)
-    try:
-        send(f"{url}.json", text.encode())
-    except OSError:
-        pass
+    write_feed(entities, timestamp, {"pb": f"{url}.pb", "json": f"{url}.json"}, optional=["json"], **once)
 
 
 def dump(entities: DataFrame, timestamp: int, path: str) -> None:
-    """A feed as one local file of the driver, in the format of its extension."""
-    protobuf, text = gtfsrt.feed_bytes(entities, timestamp)
-    with open(path, "wb") as out:
-        out.write(protobuf if gtfsrt.detect_format(path) == "protobuf" else text.encode())
+    """A feed as one file, in the format of its extension."""
+    write_feed(entities, timestamp, {"pb" if gtfsrt.detect_format(path) == "protobuf" else "json": path})
 
 
 def dump_messages(messages: DataFrame, folder: str) -> None:
@@ -89,9 +102,10 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str, compress: bool
     rows.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).options(**options).save()
 
 
-def save_raw(messages: DataFrame, host: str, paths: dict[str, str], send: Callable[[str, bytes], None] = put) -> None:
-    """The latest payload of each provider, as it came, to its path."""
-    latest = messages.groupBy("provider").agg(F.max_by("text", "timestamp").alias("text"))
-    for row in latest.toLocalIterator():  # one message for each provider
-        if row["provider"] in paths:
-            send(f"{host.rstrip('/')}/{paths[row['provider']].lstrip('/')}", (row["text"] or "").encode())
+def save_raw(messages: DataFrame, host: str, paths: dict[str, str], **once: str) -> None:
+    """The latest payload of each provider, as it came, to its path. Tasks write
+    the payloads, the commit sends them on a block at a time."""
+    known = F.create_map(*[F.lit(x) for p, path in paths.items() for x in (p, f"{host.rstrip('/')}/{path.lstrip('/')}")])
+    latest = messages.where(F.col("provider").isin(*paths)).groupBy("provider").agg(F.max_by("text", "timestamp").alias("text"))
+    rows = latest.select(known[F.col("provider")].alias("target"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("part"))
+    committed.assemble(rows, {}, every=True, **once)

@@ -1,7 +1,7 @@
 """GTFS bundles: a zip or a folder of CSV files to typed tables.
 
-A member of an archive is unpacked by one task, as it cannot be split, row by
-row into a written table of cells; a folder of unpacked tables is read by Spark.
+A member of an archive is unpacked by a task of its own, as it cannot be split, row
+by row into a written table of cells; a folder of unpacked tables is read by Spark.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from .. import functions as fn
 from ..operators.feed import Feed
 from ..schemas import GTFS, OPT_IN, columns
 from ..session import shared_dir
+from . import files
 
 KINDS = {"s": fn.text, "i": fn.whole_number, "f": fn.real_number, "b": fn.flag, "t": fn.gtfs_time, "d": fn.gtfs_date}
 
@@ -58,29 +59,32 @@ def records(member: IO[bytes]) -> Iterator[list[str]]:
 
 def read_zip(spark: SparkSession, path: str, optional: Sequence[str] = (), exclude: Sequence[str] = ()) -> Feed:
     """A feed from one or more archives; only members at the root count, a
-    missing table gives no table, a bad one fails the load. Each table of each
-    archive is a task; the cells are written to the shared folder once."""
+    missing table gives no table, a bad one fails the load.
+
+    The archives' directories are read first; then each wanted member is a task,
+    which reads that member's bytes alone, as they are unpacked. The cells are
+    written to the shared folder once; no archive is held or shuffled."""
     tables = wanted_tables(optional, exclude)
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    each = files.select("path", "content", F.explode(F.array(*[F.lit(t) for t in tables])).alias("table")).repartition(len(tables), "path", "table")
+    found = files.members(files.listed(spark, path)).where(F.col("member").isin(*[f"{t}.txt" for t in tables]))
+    folder = shared_dir(spark)
+    found.write.parquet(f"{folder}/members")
+    found = spark.read.schema(found.schema).parquet(f"{folder}/members")
+    each = found.repartitionByRange(max(1, found.count()), "path", "member")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content, table in zip(*(batch.column(k) for k in range(3)), strict=True):
-                name, table = name.as_py(), table.as_py()
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
-                    if f"{table}.txt" not in z.namelist():
-                        continue
-                    with z.open(f"{table}.txt") as member:
-                        rows = records(member)
-                        header, at = next(rows), 0
-                        while part := list(islice(rows, 10_000)):
-                            yield batch_of(name, table, header, part, at)
-                            at += len(part)
-                        if at == 0:
-                            yield batch_of(name, table, header, [], 0)
-
-    folder = shared_dir(spark)
+            for name, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                table = member.removesuffix(".txt")
+                with files.opened(name) as file, zipfile.ZipFile(file) as z, z.open(member) as held:
+                    rows = records(held)
+                    header, at = next(rows), 0
+                    while part := list(islice(rows, 10_000)):
+                        yield batch_of(name, table, header, part, at)
+                        at += len(part)
+                    if at == 0:
+                        yield batch_of(name, table, header, [], 0)
+
+    folder = f"{folder}/cells"
     schema = "file string, table string, n long, header array<string>, cells array<string>"
     each.mapInArrow(unpack, schema).write.partitionBy("table").parquet(folder)
     cells = spark.read.schema(schema).parquet(folder)

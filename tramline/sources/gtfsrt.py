@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Iterator
+from codecs import getincrementaldecoder
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from pathlib import PurePath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.types import StructType
+
+from . import files
 
 #: Field numbers, names and kinds of the public specification.
 #: Kinds: s string, u unsigned, i signed, b bool, f float, d double, else an enum
@@ -189,28 +195,178 @@ def encoded(entities: DataFrame) -> DataFrame:
     return entities.mapInArrow(run, "id string, protobuf binary, json string")
 
 
+def arrow_type(kind: str) -> pa.DataType:
+    """The column type of a message or another kind of field; enums are names."""
+    base = kind.rstrip("+")
+    plain = {"s": pa.string(), "u": pa.int64(), "i": pa.int64(), "b": pa.bool_(), "f": pa.float32(), "d": pa.float64()}
+    one = pa.struct([(name, arrow_type(k)) for _, (name, k) in sorted(MESSAGES[base].items())]) if base in MESSAGES else plain.get(base, pa.string())
+    return pa.list_(one) if kind.endswith("+") else one
+
+
+def shaped(value: object, kind: str) -> object:
+    """A value of a JSON feed as its kind of field has it; what does not fit is an
+    error, unknown fields are passed over."""
+    if value is None:
+        return None
+    if kind.endswith("+"):
+        return [shaped(v, kind[:-1]) for v in value]
+    if kind in MESSAGES:
+        return {name: shaped(value[name], k) for name, k in MESSAGES[kind].values() if value.get(name) is not None}
+    if kind in ENUMS and isinstance(value, int):
+        return ENUMS[kind][0].get(value, ENUMS[kind][1])
+    return {"u": int, "i": int, "f": float, "d": float, "b": bool}.get(kind, str)(value)
+
+
+def cut_protobuf(parts: Iterable[bytes]) -> Iterator[bytes]:
+    """The bytes of each entity of a feed, not decoded, as the feed is read."""
+    data, at = b"", 0
+    parts = iter(parts)
+
+    def more() -> bool:
+        nonlocal data, at
+        part = next(parts, b"")
+        data, at = data[at:] + part, 0
+        return bool(part)
+
+    def number() -> int:
+        nonlocal at
+        n = shift = 0
+        while True:
+            if at >= len(data) and not more():
+                raise ValueError("a feed that ends in a number")
+            b, at = data[at], at + 1
+            n, shift = n | (b & 127) << shift, shift + 7
+            if b < 128:
+                return n
+
+    while at < len(data) or more():
+        key = number()
+        size = {5: 4, 1: 8}.get(key & 7, 0) if key & 7 != 2 else number()
+        if key & 7 == 0:
+            number()
+        while len(data) - at < size:
+            if not more():
+                raise ValueError("a feed that ends in a field")
+        if key == 2 << 3 | 2:
+            yield data[at : at + size]
+        at += size
+
+
+def cut_json(parts: Iterable[bytes]) -> Iterator[str]:
+    """The text of each entity of a feed, as the feed is read."""
+    text, at = "", 0
+    decoder, utf8 = json.JSONDecoder(), getincrementaldecoder("utf-8-sig")()
+    parts = iter(parts)
+
+    def more() -> bool:
+        nonlocal text, at
+        part = next(parts, None)
+        text, at = text[at:] + utf8.decode(part or b"", part is None), 0
+        return part is not None
+
+    def seen(wanted: str) -> str:
+        """The next character that is no blank, taken if it is wanted."""
+        nonlocal at
+        while True:
+            while at < len(text) and text[at] in " \t\r\n":
+                at += 1
+            if at < len(text):
+                break
+            if not more():
+                raise ValueError("a feed that ends early")
+        if text[at] in wanted:
+            at += 1
+            return text[at - 1]
+        return ""
+
+    def value() -> str:
+        nonlocal at
+        seen("")
+        while True:
+            try:
+                end = decoder.raw_decode(text, at)[1]
+                if end < len(text) or not more():
+                    found, at = text[at:end], end
+                    return found
+            except ValueError:
+                if not more():
+                    raise
+
+    if not seen("{"):
+        raise ValueError("a feed is an object")
+    while not seen("}"):
+        seen(",")
+        key = json.loads(value())
+        seen(":")
+        if key != "entity" or not seen("["):
+            value()
+            continue
+        while not seen("]"):
+            yield value()
+            seen(",")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(file, id, entity) of feed files in either format; ``entity`` as JSON."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    """(file, place, id, entity) of feed files in either format; ``entity`` is a
+    struct of the public specification's fields, null where absent.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A feed is one message, so one task cuts it into its entities as it reads, and
+    decodes none; the entities are then dealt out and decoded by all tasks.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                protobuf = detect_format(name) == "protobuf"
+                with files.opened(name) as file:
+                    slices = cut_protobuf(files.streamed(file)) if protobuf else (t.encode() for t in cut_json(files.streamed(file)))
+                    place = 0
+                    while part := list(islice(slices, 5_000)):
+                        n = len(part)
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(place, place + n), pa.int64()), pa.array(part, pa.binary()), pa.array([protobuf] * n)], ["file", "place", "data", "protobuf"])
+                        place += n
+
+    kind = arrow_type("FeedEntity")
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                feed = decode(content) if detect_format(name) == "protobuf" else json.loads(content)
-                entities = feed.get("entity") or []
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(entities), pa.string()), pa.array([e.get("id", "") for e in entities], pa.string()), pa.array([json.dumps(e, ensure_ascii=False) for e in entities], pa.string())], ["file", "id", "entity"])
+            rows = [decode(d, "FeedEntity") if p else shaped(json.loads(d), "FeedEntity") for d, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.get("id", "") for r in rows], pa.string()), pa.array(rows, kind)], ["file", "place", "id", "entity"])
+
+    schema = StructType().add("file", "string").add("place", "long").add("id", "string").add("entity", from_arrow_type(kind))
+    slices = files.listed(spark, path).select("path").mapInArrow(cut, "file string, place long, data binary, protobuf boolean")
+    return slices.repartition("file", "place").mapInArrow(decoded, schema)
+
+
+def feed_parts(entities: DataFrame) -> DataFrame:
+    """(form, part): the bytes of each entity as they stand in a feed, in both
+    forms, in the order of the rows."""
+    rows = encoded(entities)
+    forms = F.array(F.struct(F.lit("pb").alias("form"), F.col("protobuf").alias("part")), F.struct(F.lit("json").alias("form"), F.encode("json", "utf-8").alias("part")))
+    return rows.select(F.inline(forms))
+
+
+def frame(entity: bytes) -> bytes:
+    """An encoded entity as a field of its feed."""
+    return varint(2 << 3 | 2) + varint(len(entity)) + entity
+
+
+def indented(entity: bytes) -> bytes:
+    """An entity's JSON as it stands in its feed."""
+    return b"    " + entity.replace(b"\n", b"\n    ")
+
 
-    return files.mapInArrow(run, "file string, id string, entity string")
+def around(timestamp: int, empty: bool) -> dict[str, tuple[bytes, bytes, bytes]]:
+    """What stands before, between and after the entities of a feed, by form."""
+    before, after = to_json({"header": header(timestamp), "entity": []}).encode().rsplit(b"[]", 1)
+    around = (b"[]", b"", b"") if empty else (b"[\n", b",\n", b"\n  ]")
+    return {"pb": (encode({"header": header(timestamp)}), b"", b""), "json": (before + around[0], around[1], around[2] + after)}
 
 
 def feed_bytes(entities: DataFrame, timestamp: int) -> tuple[bytes, str]:
-    """A whole feed as (protobuf, JSON). A feed is one file of one message, so
-    the driver puts the encoded entities one after the other, and no more."""
-    head = header(timestamp)
-    parts, texts = [encode({"header": head})], []
-    for row in encoded(entities).toLocalIterator():
-        data = bytes(row["protobuf"])
-        parts += [varint(2 << 3 | 2) + varint(len(data)), data]
-        texts.append("    " + row["json"].replace("\n", "\n    "))
-    before, after = to_json({"header": head, "entity": []}).rsplit("[]", 1)
-    return b"".join(parts), before + ("[\n" + ",\n".join(texts) + "\n  ]" if texts else "[]") + after
+    """A small feed as (protobuf, JSON) in the driver's memory; ``sinks`` writes
+    feeds of any size."""
+    rows = encoded(entities).collect()
+    form = around(timestamp, not rows)
+    text = form["json"][1].join(indented(r["json"].encode()) for r in rows)
+    return form["pb"][0] + b"".join(frame(bytes(r["protobuf"])) for r in rows), (form["json"][0] + text + form["json"][2]).decode()

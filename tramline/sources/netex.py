@@ -11,13 +11,18 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
+from typing import IO
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from . import files, split_xml
+
 SCHEMA = "type string, seq long, fields map<string,string>, file string"
 #: Attributes that any entity may have.
 ATTRIBUTES = {
@@ -164,20 +169,34 @@ def child_of(e: ElementTree.Element, tag: str) -> ElementTree.Element | None:
     return next((x for x in e if local(x.tag) == tag), None)
 
 
-def entities(source: io.BufferedIOBase, name: str | tuple[dict, dict] = "epip", types: Sequence[str] | None = None) -> Iterator[Row]:
-    """Entity rows of one file, frame by frame, in constant memory.
+def entities(data: Iterable[bytes], name: str | tuple[dict, dict] = "epip", types: Sequence[str] | None = None, prefix: bytes = b"", whole: bool = True) -> Iterator[Row]:
+    """Entity rows of one file, or of a piece behind its ``prefix``, frame by
+    frame, in constant memory; a ``whole`` document has to end well.
 
     Only frames of the first CompositeFrame below PublicationDelivery /
     dataObjects count; unknown frames and collections are passed over.
     """
     tables, frames = profile(name) if isinstance(name, str) else name
     path: list[str] = []
+    parser = ElementTree.XMLPullParser(("start", "end"))
     done = False
-    for event, e in ElementTree.iterparse(source, ("start", "end")):
+
+    def events() -> Iterator[tuple[str, ElementTree.Element]]:
+        for part in chain([prefix], data):
+            parser.feed(part)
+            yield from parser.read_events()
+        if whole:
+            parser.close()
+            yield from parser.read_events()
+
+    above: list[ElementTree.Element] = []
+    for event, e in events():
         if event == "start":
             path.append(local(e.tag))
+            above.append(e)
             continue
         here, tag = tuple(path), path.pop()
+        above.pop()
         if here[:2] != ("PublicationDelivery", "dataObjects") or done:
             e.clear()
         elif here[2:4] == ("CompositeFrame", "frames"):
@@ -188,41 +207,80 @@ def entities(source: io.BufferedIOBase, name: str | tuple[dict, dict] = "epip",
                 kind = frames[here[4]][inside[0]] or SAME_AS.get(tag, tag)
                 if kind in tables:
                     yield from (r for r in entity(e, kind, tables) if types is None or r[0] in types)
-                e.clear()
+                above[-1].clear()  # with the entity in it
         if len(here) == 5:
             e.clear()
 
 
-def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence[str] | None = None) -> DataFrame:
+def between(names: list[bytes]) -> bool:
+    """Whether a file may be cut where these elements are open: outside entities."""
+    return len(names) <= 6 or len(names) == 7 and names[5] == b"ServiceCalendar"
+
+
+def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence[str] | None = None, piece: int = split_xml.PIECE) -> DataFrame:
     """Entities of XML files, or of the first XML in zips: (type, seq, fields,
-    file). ``types`` prunes inside the scan. A file is one task: XML cannot be
-    split, so write the result to Parquet once."""
+    file). ``types`` prunes inside the scan.
+
+    Files up to ``piece`` bytes are a task's row each. Larger ones are cut between
+    entities into pieces of about that size, each parsed by a task of its own, and
+    the rows are written to the shared folder, since ``seq`` counts those of the
+    pieces before. An archive's file is read on by one task, however large. What
+    follows the first CompositeFrame's frames may not be looked at.
+    """
     known = profile(name)  # sent along: registered profiles are the driver's
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows: list[Row] = []
-                seq = 0
-                for row in entities(opened(content), known, types):
-                    rows.append(row)
-                    if len(rows) == 5_000:
-                        yield to_batch(rows, seq, file)
-                        seq, rows = seq + len(rows), []
-                if rows:
-                    yield to_batch(rows, seq, file)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, SCHEMA)
-
-
-def opened(content: bytes) -> io.BytesIO:
-    if content[:2] != b"PK":
-        return io.BytesIO(content)
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        first = next((n for n in z.namelist() if n.lower().endswith(".xml")), None)
-        if first is None:
+                with io.BytesIO(content) as held:
+                    yield from batches_of(entities(xml_of(held), known, types), file)
+
+    def large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, start, end, length, prefix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with files.opened(file) as held:
+                    data = xml_of(held) if (start, end) == (0, length) else files.chunks(held, start, end)
+                    rows = entities(data, known, types, prefix, whole=end == length)
+                    for part in batches_of(rows, file):
+                        yield pa.RecordBatch.from_arrays([*part.columns, pa.array([start] * part.num_rows, pa.int64())], [*part.schema.names, "start"])
+
+    every = spark.read.format("binaryFile").load(path)
+    found = every.where(F.col("length") <= piece).select("path", "content").mapInArrow(small, SCHEMA)
+    over = files.listed(spark, path).where(F.col("length") > piece)
+    if over.isEmpty():
+        return found
+    cuts = split_xml.pieces(over, between, ("PublicationDelivery", "dataObjects", "CompositeFrame", "frames"), piece)
+    rows = cuts.repartitionByRange(cuts.count(), "path", "start").mapInArrow(large, f"{SCHEMA}, start long")
+    folder = shared_dir(spark)
+    rows.write.parquet(folder)
+    rows = spark.read.schema(f"{SCHEMA}, start long").parquet(folder)
+    order = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("file", "start").count().withColumn("before", F.coalesce(F.sum("count").over(order), F.lit(0)))  # a row for each piece
+    placed = rows.join(before.select("file", "start", "before"), ["file", "start"])
+    return found.union(placed.select("type", (F.col("seq") + F.col("before")).alias("seq"), "fields", "file"))
+
+
+def xml_of(file: IO[bytes]) -> Iterator[bytes]:
+    """The bytes of an XML file, or of the first one in an archive."""
+    first = file.read(2)
+    file.seek(0)
+    if first != b"PK":
+        yield from files.streamed(file)
+        return
+    with zipfile.ZipFile(file) as z:
+        member = next((n for n in z.namelist() if n.lower().endswith(".xml")), None)
+        if member is None:
             raise ValueError("no XML file in the archive")
-        return io.BytesIO(z.read(first))
+        with z.open(member) as held:
+            yield from files.streamed(held)
+
+
+def batches_of(rows: Iterator[Row], file: str, size: int = 5_000) -> Iterator[pa.RecordBatch]:
+    """Rows numbered from 0, so many at a time."""
+    seq = 0
+    while part := list(islice(rows, size)):
+        yield to_batch(part, seq, file)
+        seq += len(part)
 
 
 def to_batch(rows: list[Row], seq: int, file: str) -> pa.RecordBatch:

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
-from ..session import put_file, shared_dir
+from ..session import shared_dir
+from . import files
 
 #: Marks a payload that is compressed.
 COMPRESSED = "gzip+base64"
@@ -135,13 +136,12 @@ def ftp_login(url: str, timeout: float = 30.0) -> FTP:
 
 
 def download_ftp(spark: SparkSession, url: str) -> str:
-    """The file at an FTP address, as a file of a new shared folder."""
+    """The file at an FTP address, as a file of a new shared folder, written block
+    by block as it comes."""
     path = PurePosixPath(urlparse(url).path)
-    parts: list[bytes] = []
-    with ftp_login(url) as ftp:
-        ftp.retrbinary(f"RETR {path}", parts.append)
     target = f"{shared_dir(spark)}/{path.name}"
-    put_file(spark, target, b"".join(parts))
+    with ftp_login(url) as ftp, files.created(target) as out:
+        ftp.retrbinary(f"RETR {path}", out.write, 1 << 20)
     return target
 
 
