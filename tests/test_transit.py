@@ -328,13 +328,6 @@ def test_supervisor_restarts():
     assert streaming.supervise(Failing, pause=0, most=3) == 3
 
 
-def test_http_poll(spark, server):
-    rows, end = remote.HttpPollReader({"endpoint": server, "provider": "p", "header.X-Key": "k", "compress": "true"}).read({"polls": 0})
-    (row,) = rows
-    assert json.loads(remote.decompress(row[4])) == {"key": "k"} and row[3] == {"compressed": remote.COMPRESSED} and end == {"polls": 1}
-    assert list(remote.HttpPollReader({"endpoint": "http://127.0.0.1:1/"}).read({"polls": 3})[0]) == []
-
-
 def test_two_phases_through_the_timetable(spark):
     f = small_feed(spark)
     make = spark.createDataFrame

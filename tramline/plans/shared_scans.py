@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import sinks
+from .. import sinks, streaming
 from ..session import shared_dir
-from ..sources import files, gtfs, gtfsrt, netex
+from ..sources import files, gtfs, gtfsrt, netex, polling
 from .scans import plain, read, vehicle_rows
 
 #: Orders of a file, and bytes of a piece of it.
@@ -181,3 +181,36 @@ def r07(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+# --- polls ------------------------------------------------------------------------
+
+
+@plain("s35_s36_polled_feeds", """select n_nationkey::varchar as provider, case n_nationkey % 3 when 0 then '2026-03-01T10:35:00' when 1 then '2026-03-01T09:15:00' else '2026-03-01T07:00:30' end as timestamp, count(*)::bigint as customers, sum(c_custkey)::bigint as keys
+from nation join customer on c_nationkey = n_nationkey where n_nationkey <> 7 group by 1, 2""")
+def s35(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed for each nation, whose address is a file of its customers' keys,
+    polled by schedules of three kinds; the first batch fails at its sink and is run
+    again, and one feed has no answer."""
+    top = shared_dir(spark)
+    customer = read(spark, sf_dir, "customer")
+    customer.select("c_nationkey", F.col("c_custkey").cast("string").alias("value")).repartition("c_nationkey").write.partitionBy("c_nationkey").text(f"{top}/in")
+    listing = {r["path"].rpartition("c_nationkey=")[2].partition("/")[0]: r["path"] for r in files.listed(spark, f"{top}/in/*/*.txt").collect()}  # a file for each nation
+    crons = ("0 */5 10 * * *", "0 15 8,9 * * SUN-SAT", "30 0 7 1 mar ?")
+    keys = [r["n_nationkey"] for r in read(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    address = lambda k: f"{top}/none" if k == 7 else f"file:///{listing[str(k)].partition(':')[2].lstrip('/')}"
+    feeds = [{"provider": str(k), "endpoint": address(k), "cron": crons[k % 3]} for k in keys if k == 7 or str(k) in listing]
+    stream = polling.polls(spark, feeds, f"{top}/log", start="2026-03-01T06:00:00", until="2026-03-01T10:37:10")
+    tries: list[int] = []
+
+    def keep(batch: DataFrame, number: int) -> None:
+        tries.append(batch.count())
+        if len(tries) == 1:
+            raise RuntimeError("the first try fails")
+        lines = F.filter(F.split("payload", "\n"), lambda x: x != "")
+        keys = F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+        batch.select("provider", "timestamp", F.size(lines).cast("long").alias("customers"), keys.alias("keys")).write.mode("overwrite").parquet(f"{top}/out/batch={number}")
+
+    start = lambda: stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{top}/check").trigger(availableNow=True).start()
+    streaming.supervise(start, pause=0, most=3)
+    return spark.read.schema("provider string, timestamp string, customers long, keys long").parquet(f"{top}/out/*")

@@ -1,12 +1,10 @@
-"""Inputs from elsewhere: feed lists, FTP, dated files, HTTP polls, payloads."""
+"""Inputs from elsewhere: feed lists, schedules, FTP, dated files, payloads."""
 
 from __future__ import annotations
 
 import base64
 import gzip
 import re
-import urllib.request
-from collections.abc import Iterator
 from datetime import date, datetime, timedelta
 from ftplib import FTP
 from pathlib import PurePosixPath
@@ -15,7 +13,6 @@ from urllib.parse import unquote, urlparse
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from ..session import shared_dir
 from . import files
@@ -183,48 +180,3 @@ def resolve_latest_ftp(pattern: str) -> str:
     with ftp_login(pattern) as ftp:
         found = latest_dated([n.rpartition("/")[2] for n in ftp.nlst(folder or "/")], name)
     return pattern[: len(pattern) - len(name)] + found
-
-
-class HttpPollReader(SimpleDataSourceStreamReader):
-    """One row for each poll; a failed or empty answer gives none."""
-
-    def __init__(self, options: dict[str, str]):
-        self.options = options
-
-    def initialOffset(self) -> dict:
-        return {"polls": 0}
-
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = []
-        headers = {k[7:]: v for k, v in self.options.items() if k.startswith("header.")}
-        try:
-            request = urllib.request.Request(self.options["endpoint"], headers=headers)
-            with urllib.request.urlopen(request, timeout=float(self.options.get("timeout", "30"))) as answer:
-                body = answer.read().decode() if answer.status == 200 else ""
-        except OSError:
-            body = ""
-        if body:
-            squeezed = self.options.get("compress", "false").lower() == "true"
-            metadata = {"compressed": COMPRESSED} if squeezed else {}
-            rows.append((self.options.get("provider", ""), self.options.get("format", "json"), self.options.get("protocol", "http"), metadata, compress(body) if squeezed else body))
-        return iter(rows), {"polls": start["polls"] + 1}
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(())  # a poll cannot be repeated; the next one is a full feed
-
-    def commit(self, end: dict) -> None:
-        pass
-
-
-class HttpPoll(DataSource):
-    """``spark.readStream.format("http_poll")`` with endpoint, provider and header.* options."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "http_poll"
-
-    def schema(self) -> str:
-        return "provider string, format string, protocol string, metadata map<string,string>, payload string"
-
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return HttpPollReader(self.options)
