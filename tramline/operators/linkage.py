@@ -110,7 +110,10 @@ def resolve_stop(df: DataFrame, feed: Feed, ref: str, out: str = "stop_id") -> D
 
 def first_departures(feed: Feed) -> DataFrame:
     """(trip_id, first_sec): when each trip leaves its first stop, or reaches it
-    where no departure is set; trips with neither are left out."""
+    where no departure is set; trips with neither are left out. A published feed
+    holds the answer."""
+    if "starts" in feed.tables:
+        return feed.starts
     first = first_of(feed.stop_times, ["trip_id"], ["stop_sequence", "_ord"])
     at = F.when(F.col("departure_time") != fn.UNSET_TIME, F.col("departure_time")).otherwise(F.col("arrival_time"))
     return first.select("trip_id", at.alias("first_sec")).where(F.col("first_sec") != fn.UNSET_TIME)
@@ -230,12 +233,25 @@ def running_on_any(feed: Feed, dates: DataFrame) -> DataFrame:
     return by_rule.union(exceptions.where("exception_type = 1").select("date", "service_id"))
 
 
+def occurrences(times: DataFrame) -> DataFrame:
+    """Stop times with ``nth``, the how manieth time the trip is at the stop."""
+    return times.withColumn("nth", F.row_number().over(Window.partitionBy("trip_id", "stop_id").orderBy("stop_sequence", "_ord")))
+
+
 def nth_occurrence(calls: DataFrame, feed: Feed, key: str, position: str = "position") -> DataFrame:
     """Calls joined with the trip's stop times: the n-th call at a stop with
-    the n-th time the trip is there. ``calls``: key, trip_id, stop_id, position."""
-    asked = calls.withColumn("_n", F.row_number().over(Window.partitionBy(key, "stop_id").orderBy(position)))
-    there = feed.stop_times.withColumn("_n", F.row_number().over(Window.partitionBy("trip_id", "stop_id").orderBy("stop_sequence", "_ord")))
-    return asked.join(there.select("trip_id", "stop_id", "_n", "stop_sequence"), ["trip_id", "stop_id", "_n"]).drop("_n")
+    the n-th time the trip is there. ``calls``: key, trip_id, stop_id, position.
+    The stop times of a published feed are numbered already, and lie by trip."""
+    asked = calls.withColumn("nth", F.row_number().over(Window.partitionBy(key, "stop_id").orderBy(position)))
+    published = "nth" in feed.stop_times.columns
+    there = (feed.stop_times if published else occurrences(feed.stop_times)).select("trip_id", "stop_id", "nth", "stop_sequence")
+    if not published:
+        return asked.join(there, ["trip_id", "stop_id", "nth"]).drop("nth")
+    # the trip alone is to be the key of the join, as it is of the buckets: an equality that needs both sides is none
+    calls_of = asked.withColumnsRenamed({"stop_id": "_stop", "nth": "_nth"})
+    same = lambda a, b: F.greatest(a, b) == F.least(a, b)
+    met = calls_of.join(there, "trip_id").where(same("nth", "_nth") & same("stop_id", "_stop"))
+    return met.drop("_stop", "_nth", "nth")
 
 
 def statistics(resolved: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import linkage as link
-from ..operators.feed import Feed
+from ..operators.feed import KEYS, Feed
 from ..sources import netex, remote
 from . import transforms
 from .adapters import SQL, active_sql, feed, vehicles
@@ -118,19 +118,37 @@ def l01(f: Feed) -> DataFrame:
 # --- lookups ----------------------------------------------------------------
 
 
-@on_feed("p01_stop_by_id", "select stop_id, stop_name, location_type, parent_station from stops where stop_id in ('3', 'N7')")
+def doubled(f: Feed, table: str, changed: str) -> Feed:
+    """The feed with more rows for each key of a table: an older one for all, and
+    for every second a newer one, in which a column is changed."""
+    df, key = getattr(f, table), KEYS[table]
+    kind, order = dict(df.dtypes)[changed], dict(df.dtypes)["_ord"]
+    value = lambda k: F.lit(k).cast(kind) if kind != "string" else F.concat(F.col(changed), F.lit(f"/{k}"))
+    # before and after all others, by the kind of order that the table has
+    place = lambda k: F.struct(F.lit(k * 9).alias("k"), F.col("_ord.n")) if order.startswith("struct") else F.concat(F.lit(" " if k < 0 else "~"), "_ord") if order == "string" else (F.col("_ord") + k * (1 << 40))
+    older = df.withColumn(changed, value(-1)).withColumn("_ord", place(-1))
+    newer = df.where(F.substring(key, -1, 1).isin(*"02468")).withColumn(changed, value(7)).withColumn("_ord", place(1))
+    rows = newer.unionByName(df).unionByName(older)
+    return Feed(**{t: rows if t == table else x for t, x in f.tables.items()})
+
+
+EVEN = "right({}, 1) in ('0', '2', '4', '6', '8')"
+
+
+@on_feed("p01_stop_by_id", f"select stop_id, stop_name || case when {EVEN.format('stop_id')} then '/7' else '' end as stop_name, location_type, parent_station from stops where stop_id in ('3', '4', 'N7', 'N8')")
 def p01(f: Feed) -> DataFrame:
-    return f.stop("3", "N7").select(*STOPS)
+    """Of several rows of an id the last counts, here and in the next two."""
+    return doubled(f, "stops", "stop_name").stop("3", "4", "N7", "N8").select(*STOPS)
 
 
-@on_feed("p02_route_by_id", "select route_id, route_short_name, route_long_name, route_type from routes where route_id in ('7', '42')")
+@on_feed("p02_route_by_id", f"select route_id, route_short_name, route_long_name || case when {EVEN.format('route_id')} then '/7' else '' end as route_long_name, route_type from routes")
 def p02(f: Feed) -> DataFrame:
-    return f.route("7", "42").select(*ROUTE)
+    return doubled(f, "routes", "route_long_name").route().select(*ROUTE)
 
 
-@on_feed("p03_trip_by_id", "select trip_id, route_id, service_id, direction_id from trips where trip_id in ('7', '99')")
+@on_feed("p03_trip_by_id", f"select trip_id, route_id, service_id, case when {EVEN.format('trip_id')} then 7 else direction_id end as direction_id from trips")
 def p03(f: Feed) -> DataFrame:
-    return f.trip("7", "99").select(*TRIP)
+    return doubled(f, "trips", "direction_id").trip().select(*TRIP)
 
 
 @on_feed("p04_routes_by_short_name", f"select route_id, route_short_name, route_long_name, route_type from routes where route_short_name = '{LINE}'")
@@ -144,9 +162,9 @@ def p05(f: Feed) -> DataFrame:
     return f.stops_by_name(name[0].upper() if name else "").select(*STOPS)
 
 
-@on_feed("p06_calendar_for_service", "select service_id, start_date, end_date, (0 + p) % 3 <> 0 as monday from calendar")
+@on_feed("p06_calendar_for_service", f"select service_id, start_date, case when {EVEN.format('service_id')} then 7 else end_date end as end_date, (0 + p) % 3 <> 0 as monday from calendar")
 def p06(f: Feed) -> DataFrame:
-    return f.calendar_for_service().select("service_id", "start_date", "end_date", "monday")
+    return doubled(f, "calendar", "end_date").calendar_for_service().select("service_id", "start_date", "end_date", "monday")
 
 
 @on_feed("p07_exceptions_for_service", "select date, exception_type, ord from calendar_dates where service_id = '1-URGENT|1997'")

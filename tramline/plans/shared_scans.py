@@ -4,6 +4,7 @@ files, members of archives, entities of feeds."""
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 
 import pyarrow as pa
@@ -11,8 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks, streaming
+from ..operators import linkage as link
+from ..operators.feed import Feed
+from ..operators.store import Store
 from ..session import shared_dir
 from ..sources import files, gtfs, gtfsrt, netex, polling
+from .adapters import feed
+from .queries import ACTIVE, CALLS, DATE, EVEN, LIVE, STARTS, doubled, query, starts, trip_calls
 from .scans import plain, read, vehicle_rows
 
 #: Orders of a file, and bytes of a piece of it.
@@ -214,3 +220,35 @@ def s35(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = lambda: stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{top}/check").trigger(availableNow=True).start()
     streaming.supervise(start, pause=0, most=3)
     return spark.read.schema("provider string, timestamp string, customers long, keys long").parquet(f"{top}/out/*")
+
+
+# --- a published timetable ----------------------------------------------------------
+
+
+def published(spark: SparkSession, sf_dir: str, routes: bool = False) -> Feed:
+    """The timetable with repeated keys in a table or two, published in buckets."""
+    f = doubled(feed(spark, sf_dir), "stops", "stop_name")
+    f = doubled(f, "routes", "route_long_name") if routes else f
+    store = Store(spark, shared_dir(spark), f"feed_{uuid.uuid4().hex}", buckets=8)
+    store.publish(f, "2026-03-01")
+    return store.feed()
+
+
+@query("x05_published_starts", "select journey, trip_id, diff from started", LIVE, ACTIVE, STARTS)
+def x05_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = published(spark, sf_dir)
+    return link.nearest_start(starts(spark, sf_dir), f, link.running(f, [DATE]))
+
+
+@query("x05_published_occurrences", "select trip_id, stop_id, position, stop_sequence from nth join there using (trip_id, stop_id, k)", CALLS)
+def x05_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link.nth_occurrence(trip_calls(feed(spark, sf_dir)), published(spark, sf_dir), "journey").select("trip_id", "stop_id", "position", "stop_sequence")
+
+
+@query("x05_published_lookups", f"""select 'stop' as kind, stop_id as id, stop_name || case when {EVEN.format('stop_id')} then '/7' else '' end as name from stops
+union all select 'route', route_id, route_long_name || case when {EVEN.format('route_id')} then '/7' else '' end from routes union all select 'trip', trip_id, service_id from trips""")
+def x05_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of which a key was repeated hold its last row."""
+    f = published(spark, sf_dir, routes=True)
+    one = lambda df, kind, key, name: df.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(name).alias("name"))
+    return one(f.stop(), "stop", "stop_id", "stop_name").union(one(f.route(), "route", "route_id", "route_long_name")).union(one(f.trip(), "trip", "trip_id", "service_id"))
