@@ -9,7 +9,10 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 
-from tramline.sources import polling, remote
+from tramline import streaming
+from tramline.operators import linkage as link
+from tramline.operators.feed import Feed
+from tramline.sources import netex, polling, remote
 
 
 class Server(BaseHTTPRequestHandler):
@@ -105,3 +108,93 @@ def test_options(spark, tmp_path, server):
     assert all(json.loads(remote.decompress(r["payload"]))["n"] and r["metadata"] == {"compressed": remote.COMPRESSED} for r in got) and len(got) == 2
     with pytest.raises(ValueError, match="fields"):
         polling.PollReader({"feeds": '[{"provider": "p", "endpoint": "e", "cron": "* * * * *"}]', "log": "x"})
+
+
+# --- versions of the timetable, fan-out, observed counts, table functions ------------
+
+
+def queued(spark, path, rows):
+    spark.createDataFrame([(p, t, ("json", "siri", {}, x)) for p, t, x in rows], "provider string, timestamp string, rawdata struct<format: string, protocol: string, metadata: map<string, string>, payload: string>").write.mode("append").json(path)
+
+
+def stops(spark, name):
+    return Feed(stops=spark.createDataFrame([("a", name, 0), ("a", name + "!", 1)], "stop_id string, stop_name string, _ord int"))
+
+
+def test_a_batch_run_again_sees_its_version(spark, tmp_path):
+    snapshots = streaming.Snapshots(spark, f"file://{tmp_path}/static")
+    snapshots.publish(stops(spark, "one"), "v1")
+    queued(spark, f"{tmp_path}/in", [("p", "1", "x")])
+    seen = []
+
+    def handle(rows, feed):
+        seen.append((rows.first()["payload"], feed.stop("a").first()["stop_name"]))
+        if len(seen) == 1:
+            snapshots.publish(stops(spark, "two"), "v2")
+            raise RuntimeError("lost")
+
+    run = lambda: streaming.run(streaming.messages(spark, f"{tmp_path}/in"), handle, snapshots, f"{tmp_path}/check")
+    assert streaming.supervise(run, pause=0, most=2) == 1
+    queued(spark, f"{tmp_path}/in", [("p", "2", "y")])
+    run().awaitTermination()
+    assert seen == [("x", "one!"), ("x", "one!"), ("y", "two!")]
+    for k in range(3, 6):
+        snapshots.publish(stops(spark, str(k)), f"v{k}")
+    assert snapshots.prune(keep=2) == ["v1", "v3"]  # the last batch saw v2
+    assert [v for v, _ in snapshots.versions()] == ["v2", "v4", "v5"] and snapshots.feed().stop("a").first()["stop_name"] == "5!"
+    assert snapshots.feed("v2").stop("a").first()["stop_name"] == "two!" and snapshots.prune(keep=2) == []
+    with pytest.raises(ValueError, match="no version"):
+        snapshots.feed("v1")
+
+
+def test_fan_out_in_one_query(spark, tmp_path):
+    snapshots = streaming.Snapshots(spark, f"file://{tmp_path}/static")
+    snapshots.publish(stops(spark, "one"), "v1")
+    queued(spark, f"{tmp_path}/in", [("a/1", "1", "old"), ("a/1", "2", "new"), ("b", "1", "x"), ("nobody", "1", "y")])
+    got = []
+    handle = lambda name: lambda rows, feed: got.append((name, [(r["provider"], r["payload"]) for r in rows.collect()], feed.stop("a").first()["stop_name"]))
+    query = streaming.fan_out(streaming.messages(spark, f"{tmp_path}/in"), {"a/1": handle("A"), "b": handle("B"), "none": handle("C")}, snapshots, f"{tmp_path}/check")
+    query.awaitTermination()
+    assert sorted(got) == [("A", [("a/1", "new")], "one!"), ("B", [("b", "x")], "one!")]
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 4  # each message is read once
+
+
+def test_counts_of_the_pass_itself(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "A"), (2, "B"), (3, None), (4, "A")], "journey int, phase string")
+    same, seen = link.observed(rows)
+    assert sorted(same.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert seen.get == link.statistics(rows).first().asDict() == {"journeys": 4, "phase_a": 2, "phase_b": 1, "unresolved": 1, "unresolved_percent": 25.0}
+
+
+XML = "<PublicationDelivery><dataObjects><CompositeFrame><frames><ServiceFrame><lines><Line id='L{0}'><Name>n{0}</Name></Line><Line id='M{0}'/></lines></ServiceFrame><HintFrame><hints><Hint id='H{0}'><Text>t</Text></Hint></hints></HintFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>"
+
+
+def test_profiles_as_table_functions(spark):
+    netex.register_profile("hints", {"Hint": ("hints", "id text")}, {"HintFrame": {"hints": "Hint"}})
+    netex.register_table_function(spark, "netex_table")
+    spark.createDataFrame([(k, XML.format(k).encode()) for k in range(3)] + [(9, None)], "n int, content binary").createOrReplaceTempView("timetable_files")
+    lines = spark.sql("select n, t.id, t.name from timetable_files, lateral netex_table(content, 'Line', 'epip') t")
+    assert sorted(map(tuple, lines.collect())) == sorted((k, f"{x}{k}", f"n{k}" if x == "L" else "") for k in range(3) for x in "LM")
+    hints = spark.sql("select t.* from timetable_files, lateral netex_table(content, 'Hint', 'hints') t")
+    assert hints.columns == ["id", "text"] and hints.count() == 3
+    with pytest.raises(Exception, match="no table of"):
+        spark.sql("select t.* from timetable_files, lateral netex_table(content, 'Hint', 'epip') t")
+
+
+def test_a_folder_of_tables_in_one_scan(spark, tmp_path):
+    for k in range(30):
+        (tmp_path / f"own_{k}.csv").write_text(f"id,text\n{k}, a \n\"x\n{k}\",\"b, \"\"c\"\"\"\n")
+    (tmp_path / "lines.csv").write_text("﻿ id ,name\nL,n\n")
+    (tmp_path / "notices.csv").write_text("ragged\n1,2\n")
+    (tmp_path / "readme.txt").write_text("no")
+    (tmp_path / "quays.csv").mkdir()
+    for k in range(2):
+        (tmp_path / f"quays.csv/part-{k}.csv").write_text(f"id\nQ{k}\n")
+    rows = netex.read_csv_folder(spark, str(tmp_path), exclude=["Notice"])
+    assert "Union" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["type"], r["fields"]["id"]): r["fields"] for r in rows.collect()}
+    assert len(got) == 63 and got["own_7", "x\n7"]["text"] == 'b, "c"' and got["own_7", "7"]["text"] == "a" and got["Line", "L"]["name"] == "n" and ("Quay", "Q1") in got
+    only = netex.read_csv_folder(spark, str(tmp_path), only=["Line"])
+    assert [r["type"] for r in only.collect()] == ["Line"]
+    with pytest.raises(Exception, match="zip|argument"):
+        netex.read_csv_folder(spark, str(tmp_path)).collect()

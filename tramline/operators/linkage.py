@@ -8,7 +8,7 @@ file order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .. import functions as fn
@@ -254,11 +254,23 @@ def nth_occurrence(calls: DataFrame, feed: Feed, key: str, position: str = "posi
     return met.drop("_stop", "_nth", "nth")
 
 
-def statistics(resolved: DataFrame) -> DataFrame:
+def counts_of_phases() -> list[Column]:
     """Journeys resolved by phase, and the share unresolved in percent."""
     n = F.count("*")
     none = F.count_if(F.col("phase").isNull())
-    return resolved.agg(
+    return [
         n.alias("journeys"), F.count_if(F.col("phase") == "A").alias("phase_a"), F.count_if(F.col("phase") == "B").alias("phase_b"), none.alias("unresolved"),
         F.round(100.0 * none / n, 6).alias("unresolved_percent"),
-    )
+    ]
+
+
+def statistics(resolved: DataFrame) -> DataFrame:
+    """``counts_of_phases`` as a row, by a pass of its own."""
+    return resolved.agg(*counts_of_phases())
+
+
+def observed(resolved: DataFrame) -> tuple[DataFrame, Observation]:
+    """``resolved`` as it is, and its ``counts_of_phases``, which are there when
+    the rows have been used: they cost no second linkage."""
+    seen = Observation()
+    return resolved.observe(seen, *counts_of_phases()), seen

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -20,20 +20,19 @@ def write_tables(entities: DataFrame, folder: str, profile: str = "epip", types:
     empty; entities without a table are dropped. Returns rows by table.
 
     ``entities`` is written once to the shared folder, by type, so that each
-    table's scan reads its own rows alone.
+    table's scan reads its own rows alone, and counted in that pass.
     """
     tables = netex.profile(profile)[0]
-    written = {}
+    kinds = list(types or tables)
     path, schema = shared_dir(entities.sparkSession), entities.schema
-    entities.where(F.col("type").isin(*(types or tables))).write.partitionBy("type").parquet(path)
+    seen = Observation()
+    counted = entities.where(F.col("type").isin(*kinds)).observe(seen, *[F.count_if(F.col("type") == kind).alias(kind) for kind in kinds])
+    counted.write.partitionBy("type").parquet(path)
     entities = entities.sparkSession.read.schema(schema).parquet(path)
-    for kind in types or tables:
+    for kind in kinds:
         rows = netex.table(entities, kind, profile).drop("_ord")
         rows.write.mode("overwrite").csv(f"{folder.rstrip('/')}/{tables[kind][0]}.csv", header=True, escape='"', emptyValue="")
-    for row in netex.counts(entities).collect():  # one row for each type
-        if row["type"] in tables:
-            written[tables[row["type"]][0]] = row["rows"]
-    return {tables[kind][0]: written.get(tables[kind][0], 0) for kind in types or tables}
+    return {tables[kind][0]: seen.get[kind] for kind in kinds}
 
 
 def put(url: str, data: bytes, timeout: float = 30.0) -> None:

@@ -8,6 +8,7 @@ fields each entity has, and where the rule is broken.
 
 from __future__ import annotations
 
+import csv
 import io
 import re
 import zipfile
@@ -19,6 +20,9 @@ from xml.etree import ElementTree
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..session import shared_dir
 from . import files, split_xml
@@ -307,19 +311,34 @@ def type_of_file(file: str) -> str:
     return names.get(base, base)
 
 
-def read_csv_folder(spark: SparkSession, files: Sequence[str], only: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
-    """Entities of CSV files; files of other types are not opened."""
-    out = None
-    for file in files:
-        kind = type_of_file(file)
-        if only is not None and kind not in only or only is None and kind in exclude or not file.endswith(".csv"):
-            continue
-        raw = spark.read.csv(file, header=True, escape='"', mode="FAILFAST", inferSchema=False)
-        names = F.array(*[F.lit(re.sub(r"\d+$", "", c.strip()) if c.strip() not in raw.columns else c.strip()) for c in raw.columns])
-        cells = F.array(*[F.trim(F.coalesce(F.col(f"`{c}`"), F.lit(""))) for c in raw.columns])
-        part = raw.select(F.lit(kind).alias("type"), F.monotonically_increasing_id().alias("seq"), F.map_from_arrays(names, cells).alias("fields"), F.lit(file).alias("file"))
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], SCHEMA)
+#: A table's file, or a part of one that is a folder.
+CSV_FILE = re.compile(r"([^/]+)\.csv(?:/part-[^/]*\.csv)?$")
+
+
+def read_csv_folder(spark: SparkSession, path: str | Sequence[str], only: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
+    """Entities of the CSV files below a folder, or of given ones: (type, seq,
+    fields, file). Files are listed once and told apart by their names, so one scan
+    takes any number of them and does not open those of other types. A file, or a
+    part of one, is read on by a task; ragged rows fail the load."""
+
+    def wanted(file: str) -> str | None:
+        found = CSV_FILE.search(file)
+        kind = type_of_file(found[1]) if found else None
+        return kind if kind and (kind in only if only is not None else kind not in exclude) else None
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                if (kind := wanted(file)) is None:
+                    continue
+                with files.opened(file) as held:
+                    rows = csv.reader(io.TextIOWrapper(held, "utf-8-sig", newline=""))
+                    names = [n.strip() for n in next(rows, [])]
+                    yield from batches_of(((kind, dict(zip(names, map(str.strip, row), strict=True))) for row in rows if row), file)
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([path] if isinstance(path, str) else list(path)).select("path")
+    n = listed.where(F.col("path").rlike(r"\.csv$")).count()
+    return listed.where(F.col("path").rlike(r"\.csv$")).repartitionByRange(max(1, n), "path").mapInArrow(parse, SCHEMA)
 
 
 def types_present(rows: DataFrame) -> DataFrame:
@@ -334,3 +353,38 @@ def get(rows: DataFrame, kind: str, key: str) -> DataFrame:
     """The last entity of a type with an id."""
     found = rows.where((F.col("type") == kind) & (F.try_element_at("fields", F.lit("id")) == key))
     return found.orderBy(F.desc("file"), F.desc("seq")).limit(1)
+
+
+# --- in SQL -----------------------------------------------------------------
+
+
+def register_table_function(spark: SparkSession, function: str = "netex_table") -> None:
+    """Makes a table function of all profiles known now:
+    ``select t.* from files, lateral netex_table(content, 'Line', 'epip') t``.
+
+    Its columns follow the profile, so they are known when the query is analysed.
+    A profile that is registered later needs the function registered again.
+    """
+    known = dict(PROFILES)
+
+    class NetexTable:
+        @staticmethod
+        def analyze(content: AnalyzeArgument, kind: AnalyzeArgument, name: AnalyzeArgument) -> AnalyzeResult:
+            if kind.value is None or name.value is None:
+                raise ValueError("kind and profile have to be constants")
+            if name.value not in known or kind.value not in known[name.value][0]:
+                raise ValueError(f"no table of {kind.value!r} in a profile {name.value!r}")
+            schema = StructType()
+            for column in known[name.value][0][kind.value][1].split():
+                schema = schema.add(column, "string")
+            return AnalyzeResult(schema)
+
+        def eval(self, content: bytes, kind: str, name: str) -> Iterator[tuple]:
+            if content is None:
+                return
+            columns = known[name][0][kind][1].split()
+            with io.BytesIO(bytes(content) if not isinstance(content, str) else content.encode()) as held:
+                for _, fields in entities(xml_of(held), known[name], [kind]):
+                    yield tuple(fields.get(c, "") for c in columns)
+
+    spark.udtf.register(function, udtf(NetexTable))

@@ -10,7 +10,9 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable, Sequence
+from urllib.parse import quote, unquote
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.feed import KEYS, Feed
 from ..operators.rows import last_of
 from ..schemas import ENVELOPE
-from ..sources import gtfs, netex, remote
+from ..sources import files, gtfs, netex, remote
 
 
 RAWDATA = ENVELOPE.replace(", ", ",").replace(" ", ":")
@@ -59,7 +61,8 @@ class Snapshots:
     ``publish`` writes a version, with the last row of each key alone, and then
     its name into the pointer; ``feed`` reads the version that the pointer
     names, so a batch sees one version, and its lookups need no aggregate. A
-    failed refresh leaves the pointer where it was.
+    failed refresh leaves the pointer where it was. A batch that runs again sees
+    the version that it saw before (``pinned``); ``prune`` removes old ones.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -72,9 +75,48 @@ class Snapshots:
         tables = ",".join(sorted(feed.tables))
         self.spark.range(1).select(F.lit(version).alias("version"), F.lit(tables).alias("tables"), F.lit(time.time_ns()).alias("at")).coalesce(1).write.mode("append").parquet(f"{self.path}/_pointer")
 
-    def feed(self) -> Feed:
-        row = self.spark.read.parquet(f"{self.path}/_pointer").orderBy(F.desc("at")).first()
-        return Feed(unique=KEYS, **{t: self.spark.read.parquet(f"{self.path}/{row['version']}/{t}") for t in row["tables"].split(",")})
+    def versions(self) -> list[tuple[str, list[str]]]:
+        """(version, its tables), the oldest first; of a version published twice
+        the later counts."""
+        rows = self.spark.read.parquet(f"{self.path}/_pointer").orderBy("at").collect()  # a row for each publication
+        return list({r["version"]: (r["version"], r["tables"].split(",")) for r in sorted(rows, key=lambda r: r["at"])}.values())
+
+    def feed(self, version: str | None = None) -> Feed:
+        """The newest version, or one by name."""
+        name, tables = next((v for v in reversed(self.versions()) if version in (None, v[0])), (None, []))
+        if name is None:
+            raise ValueError(f"no version {version!r}")
+        return Feed(unique=KEYS, **{t: self.spark.read.parquet(f"{self.path}/{name}/{t}") for t in tables})
+
+    def pinned(self, query: str, batch: int) -> str:
+        """The version that a batch of a query sees: the newest when it first ran,
+        and the same whenever it runs again."""
+        place = f"{self.path}/_batches/{quote(query, safe='')}/{batch}"
+        if not files.exists(place):
+            with files.created(f"{place}.new") as out:
+                out.write(self.versions()[-1][0].encode())
+            files.moved(f"{place}.new", place)
+        with files.opened(place) as held:
+            return held.read().decode()
+
+    def prune(self, keep: int = 2) -> list[str]:
+        """Removes the files of versions that are neither among the newest nor seen
+        by the last batch of any query, which may run again; returns their names."""
+        system, top = files.located(f"{self.path}/_batches")
+        last: dict[str, tuple[int, str]] = {}
+        for info in system.get_file_info(fs.FileSelector(top, recursive=True, allow_not_found=True)):
+            if info.is_file and info.base_name.isdigit():
+                query = info.path.rpartition("/")[0]
+                last[query] = max(last.get(query, (-1, "")), (int(info.base_name), info.path))
+        used = {system.open_input_file(path).read().decode() for _, path in last.values()}
+        versions = self.versions()
+        old = [v for v, _ in versions[: len(versions) - keep] if v not in used]
+        rows = [(v, ",".join(tables), k) for k, (v, tables) in enumerate(versions) if v not in old]
+        if old:
+            self.spark.createDataFrame(rows, "version string, tables string, at long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_pointer")
+        for v in old:
+            files.removed(f"{self.path}/{v}")
+        return old
 
 
 def refresh(snapshots: Snapshots, load: Callable[[], Feed], version: str) -> bool:
@@ -120,11 +162,37 @@ def run(stream: DataFrame, handle: Callable[[DataFrame, Feed], None], snapshots:
     def each(batch: DataFrame, number: int) -> None:
         rows = latest(unwrapped(batch))
         if not rows.isEmpty():
-            handle(rows, snapshots.feed())
+            handle(rows, snapshots.feed(snapshots.pinned(checkpoint, number)))
 
     return chosen.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def fan_out(stream: DataFrame, handlers: dict[str, Callable[[DataFrame, Feed], None]], snapshots: Snapshots, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """One query for all providers: the queue is read once, each batch's latest
+    messages are staged by provider, and each handler gets its provider's part and
+    the same version of the timetable. Messages of others are passed over; a
+    handler that fails fails the batch, which runs again for all."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = latest(unwrapped(batch.where(F.col("provider").isin(*handlers))))
+        staged = f"{checkpoint}/staged/{number}"
+        rows.write.mode("overwrite").partitionBy("provider").parquet(staged)
+        schema = rows.schema
+        there = {unquote(i.base_name.partition("=")[2]) for i in _folders(staged)}
+        version = snapshots.pinned(checkpoint, number) if there else None
+        for provider, handle in handlers.items():
+            if provider in there:
+                handle(batch.sparkSession.read.schema(schema).parquet(staged).where(F.col("provider") == provider), snapshots.feed(version))
+        files.removed(staged)
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _folders(path: str) -> list[fs.FileInfo]:
+    system, top = files.located(path)
+    return [i for i in system.get_file_info(fs.FileSelector(top)) if not i.is_file]
+
+
 def supervise(start: Callable[[], StreamingQuery], pause: float = 5.0, most: int | None = None) -> int:
     """Runs a query and starts it again when it fails, after a pause; returns
     how often it failed, once it ends well or ``most`` is reached."""
