@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tramline.plans import queries as transit
-from tramline.plans import scans, shared_scans  # noqa: F401
+from tramline.plans import pipelines, scans, shared_scans  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

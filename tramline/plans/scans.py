@@ -109,7 +109,7 @@ def estimated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = F.concat(F.lit('{"RecordedAtTime":"2026-03-01T10:00:00Z","EstimatedVehicleJourney":'), F.col("j"), F.lit("}"))
     frames = journeys.withColumn("json", frame).groupBy("o_custkey").agg(listed(in_order("o_custkey", "o_orderstatus")).alias("f"))
     body = F.concat(F.lit('"EstimatedTimetableDelivery":{"EstimatedJourneyVersionFrame":'), F.col("f"), F.lit("}"))
-    return frames.select(enveloped(body, F.col("o_custkey") % 2 == 0).alias("payload"))
+    return frames.select(F.col("o_custkey").alias("message"), enveloped(body, F.col("o_custkey") % 2 == 0).alias("payload"))
 
 
 @plain("s23_a14_estimated_journeys", """select o_orderkey::varchar as journey_ref, (dense_rank() over (partition by o_custkey order by o_orderstatus) - 1)::int as frame,
@@ -119,20 +119,22 @@ def s23(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("journey.FramedVehicleJourneyRef.DatedVehicleJourneyRef").alias("journey_ref"), "frame", "position", F.col("journey.LineRef").alias("line_ref"))
 
 
-@plain("s23_estimated_calls", """select l_orderkey::varchar as journey_ref, (row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_shipdate) - 1)::int as position,
-  's' || l_suppkey as stop_ref, l_linenumber::varchar as visit, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') as aimed from lineitem join orders on o_orderkey = l_orderkey""")
-def s23_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = siri.calls(siri.journeys(estimated_messages(spark, sf_dir)))
+CALLS_OF_JOURNEYS = """select l_orderkey::varchar as journey_ref, (row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_shipdate) - 1)::int as position,
+  's' || l_suppkey as stop_ref, l_linenumber::varchar as visit, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') as aimed from lineitem join orders on o_orderkey = l_orderkey"""
+
+
+def shown_calls(journeys: DataFrame) -> DataFrame:
+    rows = siri.calls(journeys)
     return rows.select(F.col("journey.FramedVehicleJourneyRef.DatedVehicleJourneyRef").alias("journey_ref"), F.col("call_position").alias("position"), F.col("call.StopPointRef").alias("stop_ref"), F.col("call.VisitNumber").alias("visit"), F.col("call.AimedArrivalTime").alias("aimed"))
 
 
-@plain("s25_j03_j07_situations", """select 'SIT' || n_nationkey as situation, (case when n_nationkey % 6 = 0 then 0 else n_nationkey // 6 end)::int as position,
-  case n_nationkey % 3 when 0 then '2026-01-01/' when 1 then '2026-01-01/2026-02-01,/' else '' end as periods,
-  case when n_nationkey % 2 = 0 then 'DE:' || n_name else 'DE:' || n_name || ',IT:b' end as reasons,
-  case n_nationkey % 4 when 0 then 'L1' when 1 then 'L1+L2' when 2 then 'L1;L2+L3' else '' end as lines,
-  case n_nationkey % 3 when 0 then 'delayed/severe' when 1 then 'diverted/,/normal' else '' end as consequences,
-  coalesce((select string_agg('s' || s_suppkey, ',' order by s_suppkey) from supplier where s_nationkey = n_nationkey), '') as stops from nation""")
-def s25(spark: SparkSession, sf_dir: str) -> DataFrame:
+@plain("s23_estimated_calls", CALLS_OF_JOURNEYS)
+def s23_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_calls(siri.journeys(estimated_messages(spark, sf_dir)))
+
+
+def situation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Situations of which each part is an array, an object or absent."""
     n, k = read(spark, sf_dir, "nation"), F.col("n_nationkey")
     stop = F.concat(F.lit('{"StopPointRef":"s'), "s_suppkey", F.lit('"}'))
     stops = read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), "s_suppkey", stop.alias("json")).groupBy("n_nationkey").agg(listed(in_order("n_nationkey", "s_suppkey")).alias("stops"))
@@ -147,7 +149,10 @@ def s25(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.when(k % 6 == 0, -1 - k).otherwise(k % 6)
     rows = n.join(stops, "n_nationkey", "left").select(message.alias("message"), "n_nationkey", situation.alias("json")).groupBy("message").agg(listed(in_order("message", "n_nationkey")).alias("s"))
     body = F.concat(F.lit('"SituationExchangeDelivery":{"Situations":{"PtSituationElement":'), F.col("s"), F.lit("}}"))
-    found = siri.situations(rows.select(enveloped(body, F.col("message") % 2 == 0).alias("payload")))
+    return rows.select("message", enveloped(body, F.col("message") % 2 == 0).alias("payload"))
+
+
+def shown_situations(found: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(c, F.lit(""))
     shown = lambda c, f, by=",": F.array_join(F.transform(c, f), by)
     return found.select(
@@ -158,6 +163,19 @@ def s25(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SITUATIONS = """select 'SIT' || n_nationkey as situation, (case when n_nationkey % 6 = 0 then 0 else n_nationkey // 6 end)::int as position,
+  case n_nationkey % 3 when 0 then '2026-01-01/' when 1 then '2026-01-01/2026-02-01,/' else '' end as periods,
+  case when n_nationkey % 2 = 0 then 'DE:' || n_name else 'DE:' || n_name || ',IT:b' end as reasons,
+  case n_nationkey % 4 when 0 then 'L1' when 1 then 'L1+L2' when 2 then 'L1;L2+L3' else '' end as lines,
+  case n_nationkey % 3 when 0 then 'delayed/severe' when 1 then 'diverted/,/normal' else '' end as consequences,
+  coalesce((select string_agg('s' || s_suppkey, ',' order by s_suppkey) from supplier where s_nationkey = n_nationkey), '') as stops from nation"""
+
+
+@plain("s25_j03_j07_situations", SITUATIONS)
+def s25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_situations(siri.situations(situation_messages(spark, sf_dir)))
+
+
 @plain("k10_s37_queued_envelopes", "select event_id::varchar as provider, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as timestamp, coalesce(props, '{}') as payload from events")
 def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published to a folder, half of them compressed, and read as a queue is."""
@@ -339,7 +357,8 @@ def q06(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark)
     kinds = ("StopPlace", "Quay", "Line")
     sinks.write_tables(entity_rows(spark, sf_dir), folder, types=kinds)
-    rows = netex.read_csv_folder(spark, [f"{folder}/{netex.TABLES[k][0]}.csv" for k in kinds])
+    sinks.write_tables(entity_rows(spark, sf_dir).withColumn("type", F.lit("Notice")), folder, types=["Notice"])  # a file that is not opened
+    rows = netex.read_csv_folder(spark, folder, exclude=["Notice"])
     return rows.select("type", F.col("fields")["id"].alias("id"), F.col("fields")["name"].alias("name"))
 
 
