@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tramline.llm import exact, negatives, whitening
+from tramline.llm import common, exact, latent, negatives, substrings, whitening
 from tramline.llm.vectors import whole_vectors
 
 BLANK = str.maketrans("", "", " \t\n\x0b\x0c\r")
@@ -174,3 +175,73 @@ def test_negatives_awkward(spark):
     scaled = [(10, [4e6, 0.0, 0.0], 1), (11, [4e6, 0.0, 0.0], 1), (12, [2e6, 0.0, 0.0], 2)]
     got = negatives.mine(vectors(spark, scaled), anchor).collect()
     assert [tuple(r) for r in got] == mined(scaled, lambda i: i == 10, 5, 10) != []
+
+
+# --- hot keys, long items ------------------------------------------------------------
+
+
+def test_split_join_where_the_list_of_heavy_keys_is_long(spark, monkeypatch):
+    monkeypatch.setattr(common, "HEAVY_KEYS", 3)
+    monkeypatch.setattr(common, "TASK_ROWS", 10)
+    many = spark.range(600).select((F.col("id") % 20).alias("k"), F.col("id").alias("v"))
+    one = spark.range(20).select(F.col("id").alias("k"), (F.col("id") * 7).alias("w"))
+    joined = common.split_join(many, one, "k", many.groupBy("k").agg(F.count("*").alias("n")), F.col("v"))
+    assert sorted(map(tuple, joined.select("v", "k", "w").collect())) == [(v, v % 20, v % 20 * 7) for v in range(600)]
+
+
+@pytest.mark.parametrize("repeated_id", [None, 5])
+def test_substrings_deal_repeated_rows(spark, repeated_id):
+    # a third of all rows repeat one id and text that would fill many bundles
+    r = random.Random(8)
+    text = lambda n: " ".join(f"w{r.randint(0, 400)}" for _ in range(n))
+    rows = [(k, text(60)) for k in range(10, 110)]
+    hot = rows[3][1] + " " + text(80)
+    rows += [(repeated_id, hot)] * 60 + [(3, text(10) + " " + hot[:200])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    run = lambda: {(x["doc_id"], x["n_words"], x["n_removed"], x["kept_sha256"]) for x in substrings.dedup_substrings(docs, bundle_chars=3_000).collect()}
+    got = substrings.dedup_substrings(docs, bundle_chars=3_000).collect()
+    assert len(got) == len(rows)
+    order = lambda i: float("inf") if i is None else i
+    first = {}
+    windows = lambda t: [tuple(t.split()[k : k + 13]) for k in range(len(t.split()) - 12)]
+    for i, t in rows:
+        for w in windows(t):
+            first[w] = min(first.get(w, float("inf")), order(i))
+    expected = []
+    for i, t in rows:
+        gone = {p for k, w in enumerate(windows(t)) if first[w] < order(i) for p in range(k, k + 13)}
+        kept = " ".join(w for p, w in enumerate(t.split()) if p not in gone)
+        expected.append((i, len(t.split()), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+    alike = docs.groupBy("doc_id", F.xxhash64("text").alias("_h")).agg(F.sum(F.length("text")).alias("_chars")).where("_chars > 3000")
+    dealt = substrings.apart(docs, alike, "doc_id", 3_000)
+    sizes = [x["count"] for x in dealt.where(F.col("doc_id").eqNullSafe(F.lit(repeated_id))).groupBy("_salt").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 15 and run() == run()
+
+
+def test_the_best_stretch_of_long_items():
+    r = random.Random(2)
+    word = lambda n: [f"v{r.randint(0, n)}" for _ in range(200)]
+    for trial in range(40):
+        words = [f"i{r.randint(0, 30)}" for _ in range(r.randint(5, 25))]
+        item = latent.Item(1, " ".join(words))
+        text = word(50)
+        for _ in range(r.randint(1, 3)):
+            copy = [w for w in words if r.random() < r.choice((1, 0.9, 0.8))]
+            at = r.randint(0, 150)
+            text[at : at + len(copy)] = copy
+        hashes = latent.terms_of(" ".join(text))
+        size = latent.STRETCH * len(item.words)
+        first, end, best = r.randint(0, 20), r.randint(100, 200), None
+        for x in range(first, end):
+            if int(hashes[x]) in item.where:
+                share, answer = item.check(hashes[x : min(x + size, 200)])
+                if latent.leaked(share, answer) and (best is None or (share, answer) > best[1:]):
+                    best = (x, share, answer)
+        assert latent.best_stretch(item, hashes, first, end, 200, size) == best, trial
+    words = [f"w{r.randint(0, 10**6)}" for _ in range(3_000)]
+    item = latent.Item(1, " ".join(words))
+    hashes = latent.terms_of(" ".join([*word(50), *words, *word(50), *words]))
+    began = time.perf_counter()
+    assert latent.best_stretch(item, hashes, 0, len(hashes), len(hashes), latent.STRETCH * 3_000)[1] == 1
+    assert time.perf_counter() - began < 3

@@ -61,21 +61,24 @@ def removed(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-#: Keys whose rows are dealt over several tasks by ``split_join``, at most.
-HEAVY_KEYS = 1_000
+#: Keys that are broadcast at most, and rows of one key that a task gets at most.
+HEAVY_KEYS, TASK_ROWS = 1_000, 1_000_000
 
 
 def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spread: Column) -> DataFrame:
     """``many`` joined with ``one``, which holds each ``key`` once.
 
     ``counts``: (key, n), how many rows of ``many`` have each key. A key with
-    more than 1 / HEAVY_KEYS of all rows is dealt by ``spread`` over as many
-    salts as it has such shares, and its row of ``one`` is repeated for each.
-    There are less than HEAVY_KEYS such keys, so their list can be broadcast.
+    more than 1 / HEAVY_KEYS of all rows, or more than TASK_ROWS, is dealt by
+    ``spread`` over as many salts as it has such shares, and its row of ``one`` is
+    repeated for each. A list of up to HEAVY_KEYS such keys is broadcast, a longer
+    one joined.
     """
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
-    share = max(1, total // HEAVY_KEYS)
-    heavy = F.broadcast(counts.where(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("_salts")))
+    share = max(1, min(total // HEAVY_KEYS, TASK_ROWS))
+    heavy = counts.where(F.col("n") > share).select(key, F.ceil(F.col("n") / share).cast("int").alias("_salts"))
+    if total // share <= HEAVY_KEYS + 1 or heavy.count() <= HEAVY_KEYS:  # a key has more than a share, so they are fewer
+        heavy = F.broadcast(heavy)
     salts = F.coalesce("_salts", F.lit(1))
     left = many.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
     right = one.join(heavy, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")

@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import HEAVY_KEYS, written
+
 #: Rows of the count-min sketch.
 DEPTH = 2
 #: Cells of a block that is merged in one group, as a power of two: at least,
@@ -252,6 +254,23 @@ def sizes(chars: int, bundle_chars: int = BUNDLE_CHARS) -> tuple[int, int, int,
     return bits, block, bundles, min(bundles, PARTITIONS), max(1, min(chars >> 22, 4_096 + (chars >> 28)))
 
 
+def apart(docs: DataFrame, repeated: DataFrame, id_col: str, bundle_chars: int) -> DataFrame:
+    """``docs`` with a ``_salt`` that deals rows repeated under one id, which never
+    remove each other's words, over as many bundles as they have characters for.
+
+    ``repeated``: id, hash and characters of the groups of rows that would not fit
+    a bundle. Where there are any the salted rows are written, since every pass has
+    to find a row in the same bundle.
+    """
+    if repeated.isEmpty():
+        return docs.withColumn("_salt", F.lit(0))
+    keys = repeated.select(F.col(id_col).alias("_id"), "_h", F.ceil(F.col("_chars") / bundle_chars).cast("int").alias("_parts"))
+    keys = F.broadcast(keys) if keys.count() <= HEAVY_KEYS else keys  # a longer list is joined, its large keys split by AQE
+    dealt = docs.join(keys, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left")
+    salt = F.floor(F.rand(7) * F.coalesce("_parts", F.lit(1))).cast("int")
+    return written(dealt.select(id_col, "text", salt.alias("_salt")))
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13, depth: int = DEPTH, bundle_chars: int = BUNDLE_CHARS, keep_text: bool = False) -> DataFrame:
     """Per row of ``docs``: (id_col, n_words, n_removed, kept_sha256[, kept_text]).
 
@@ -267,11 +286,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     read whole, in one bundle. Of equal windows in one text none goes.
     """
     docs = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
-    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
+    alike = written(docs.groupBy(id_col, F.xxhash64("text").alias("_h")).agg(F.count("*").alias("_n"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("_chars")))
+    chars = alike.agg(F.coalesce(F.sum("_chars"), F.lit(0))).head()[0]
     bits, block, bundles, partitions, parts = sizes(chars, bundle_chars)
+    docs = apart(docs, alike.where((F.col("_n") > 1) & (F.col("_chars") > bundle_chars)), id_col, bundle_chars)
     # texts too short for a window meet nothing: they go by partition too, so that repeated rows spread
     spread = F.when(F.coalesce(F.length("text"), F.lit(0)) < 2 * size - 1, F.spark_partition_id()).otherwise(F.lit(0))
-    dealt = docs.withColumn("bundle", F.pmod(F.xxhash64(id_col, "text", spread), F.lit(bundles))).repartition(partitions, "bundle")
+    dealt = docs.withColumn("bundle", F.pmod(F.xxhash64(id_col, "text", spread, "_salt"), F.lit(bundles))).drop("_salt").repartition(partitions, "bundle")
 
     sketches = dealt.groupBy("bundle").applyInArrow(lambda t: sketch(t, id_col, size, bits, depth, block), "bundle long, row int, block long, cells binary, twice binary")
     flags = sketches.groupBy("row", "block").applyInArrow(lambda t: merge(t, block), "bundle long, row int, block long, flags binary")
