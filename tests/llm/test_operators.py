@@ -174,18 +174,50 @@ def test_near_duplicates_by_similarity(spark):
     r = random.Random(21)
     vocabulary = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(2000)]
     docs, pairs = [], {}
-    for k in range(400):
+    for k in range(900):
         w = [r.choice(vocabulary) for _ in range(300)]
         copy = list(w)
-        for j in r.sample(range(300), r.choice((0, 1, 2, 3, 4, 6))):
+        for j in r.sample(range(300), r.choice((0, 1, 2, 3, 4, 5, 6, 6, 6, 7, 8, 9, 12))):
             copy[j] = "other"
         grams = lambda x: {tuple(x[j : j + 5]) for j in range(296)}
         pairs[k] = len(grams(w) & grams(copy)) / len(grams(w) | grams(copy))
-        docs += [(k, " ".join(w)), (1000 + k, " ".join(copy))]
+        docs += [(k, " ".join(w)), (2000 + k, " ".join(copy))]
     left = {x["doc_id"] for x in simhash.drop_near_duplicates(frame(spark, docs)).collect()}
-    assert set(range(400)) <= left
-    share = lambda low, high: sum(1000 + k not in left for k, j in pairs.items() if low <= j < high) / sum(low <= j < high for j in pairs.values())
-    assert share(0.95, 1.01) >= 0.97 and share(0.88, 0.95) >= 0.85 and share(0.8, 0.88) >= 0.5
+    assert set(range(900)) <= left
+    share = lambda low, high: sum(2000 + k not in left for k, j in pairs.items() if low <= j < high) / sum(low <= j < high for j in pairs.values())
+    found = {low: share(low, low + 0.05) for low in (0.8, 0.85, 0.9, 0.95)}
+    print(found)
+    assert min(found.values()) >= 0.9 and share(0.5, 0.8) == 0
+
+
+def test_near_duplicate_links_are_verified(spark):
+    # a family of texts between which links lie just above and well below the mark, of which some share a fingerprint
+    r = random.Random(22)
+    base = [f"w{r.randint(0, 10**6)}" for _ in range(200)]
+    docs = []
+    for k in range(60):
+        w = list(base)
+        for j in r.sample(range(200), r.choice((2, 3, 8))):
+            w[j] = f"x{r.randint(0, 10**6)}"
+        docs.append((k, " ".join(w)))
+    long = " ".join(["a b c d e f g"] * 60)
+    docs += [(100, long + " one two three four five"), (101, long + " six seven eight nine ten"), (102, long + " one two three four five"), (103, None), (104, " \n"), (None, docs[0][1])]
+    grams = lambda t: {tuple(w[j : j + 5]) for w in [(t or "").split()] for j in range(max(len(w) - 4, min(len(w), 1)))}
+    alike = lambda a, b: len(a & b) * 5 >= 4 * len(a | b)
+    sets = {i: grams(t) for i, t in docs if i is not None}
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_groups(frame(spark, docs)).collect()}
+    # every group hangs together by real links
+    for head in set(got.values()):
+        group, reached, todo = {i for i, c in got.items() if c == head}, {head}, [head]
+        while todo:
+            i = todo.pop()
+            new = {j for j in group - reached if alike(sets[i], sets[j])}
+            reached |= new
+            todo += new
+        assert reached == group
+    assert got[102] == 100 and got[101] == 101 and got[104] == 103
+    linked = [(i, j) for i, j in itertools.combinations(range(60), 2) if alike(sets[i], sets[j])]
+    assert linked and sum(got[i] == got[j] for i, j in linked) >= 0.9 * len(linked)
 
 
 def test_patience_and_line_dedup(spark):
