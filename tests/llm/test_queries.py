@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_against_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels", "benchmark"):
+    for t in ("documents", "embeddings", "pages", "conversations", "labels", "benchmark"):
         duck.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     answer = duck.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in answer.description]
