@@ -123,8 +123,8 @@ CALLS_OF_JOURNEYS = """select l_orderkey::varchar as journey_ref, (row_number()
   's' || l_suppkey as stop_ref, l_linenumber::varchar as visit, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') as aimed from lineitem join orders on o_orderkey = l_orderkey"""
 
 
-def shown_calls(journeys: DataFrame) -> DataFrame:
-    rows = siri.calls(journeys)
+def shown_calls(journeys: DataFrame, calls=siri.calls) -> DataFrame:
+    rows = calls(journeys)
     return rows.select(F.col("journey.FramedVehicleJourneyRef.DatedVehicleJourneyRef").alias("journey_ref"), F.col("call_position").alias("position"), F.col("call.StopPointRef").alias("stop_ref"), F.col("call.VisitNumber").alias("visit"), F.col("call.AimedArrivalTime").alias("aimed"))
 
 

@@ -96,7 +96,11 @@ def situations(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """One row for each situation: ``position`` and ``situation``, with
     ``periods``, ``reasons``, ``networks``, ``stops`` and ``consequences`` parsed."""
     given = raw(payload, "SituationExchangeDelivery.Situations.PtSituationElement")
-    each = messages.select("*", F.posexplode(fn.array_or_object(given, SITUATION)).alias("position", "situation"))
+    return details(messages.select("*", F.posexplode(fn.array_or_object(given, SITUATION)).alias("position", "situation")))
+
+
+def details(each: DataFrame) -> DataFrame:
+    """Rows with a ``situation``, and what its fields hold that may be a list or one object."""
     lenient = lambda c, kind: F.coalesce(fn.array_or_object(F.col(c), kind), F.array().cast(f"array<struct<{kind}>>"))
     single = lambda c: F.startswith(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit("{"))
     period, reason = "situation.ValidityPeriod", "situation.ReasonName"
