@@ -72,6 +72,23 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+# what SQL can express of operators that it cannot express whole, through the same operators
+
+
+def quality_base_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.base_counts(table(spark, sf_dir, "documents")).drop("w")
+
+
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def whitening_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fitted = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", F.lit(fitted.n if fitted else 0).cast("long").alias("n"), F.col("deviation").try_cast("long").alias("deviation"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -86,6 +103,9 @@ QUERIES = {
     "op11_exact_dedup": op11_exact_dedup,
     "op12_whitening": op12_whitening,
     "op13_hard_negatives": op13_hard_negatives,
+    "quality_base_rules": quality_base_rules,
+    "pii_base_spans": pii_base_spans,
+    "whitening_deviations": whitening_deviations,
 }
 
 ORACLE_SQL = {
@@ -155,5 +175,60 @@ n as (
     id as negative_id, positive_score, score as negative_score
   from p join s on p.anchor_id = s.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
 select * from n where rank <= 10
+""",
+    "quality_base_rules": r"""
+with t as (
+  select doc_id, coalesce(text, '') as t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+win as (
+  select doc_id, unnest(range(0, greatest(len(w) - 7, 0))) as k,
+    unnest(list_transform(range(0, greatest(len(w) - 7, 0)), lambda i: array_to_string(w[i + 1 : i + 8], ' '))) as words from t),
+twice as (select doc_id, k from win qualify count(*) over (partition by doc_id, words) > 1),
+places as (select doc_id, unnest(range(k, k + 8)) as p from twice),
+covered as (select doc_id, count(distinct p) as n from places group by doc_id),
+c as (
+  select t.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::bigint as n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines, coalesce(n, 0)::bigint as n_repeat_words
+  from t left join covered using (doc_id))
+select doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, n_repeat_words,
+  n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed
+from c
+""",
+    "pii_base_spans": r"""
+with t as (select doc_id, coalesce(text, '') as t from documents),
+m as (
+  select doc_id, 1 as k, 'email' as kind, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') as m, string_split_regex(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') as g from t
+  union all select doc_id, 2, 'ip', regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), string_split_regex(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') from t
+  union all select doc_id, 3, 'card', regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'), string_split_regex(t, '[0-9]([\x20-]?[0-9])+') from t
+  union all select doc_id, 4, 'phone', regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), string_split_regex(t, '\+[0-9][\x20().0-9-]+[0-9]') from t),
+each as (select *, unnest(range(1, len(m) + 1)) as i from m),
+s as (
+  select doc_id, k, kind, m[i] as found, regexp_replace(m[i], '[^0-9]', '', 'g') as digits,
+    (coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0))::bigint as start
+  from each),
+good as (
+  select doc_id, k, kind, start, start + length(found) as stop from s
+  where k = 1
+    or k = 2 and len(list_filter(string_split(found, '.'), lambda p: length(ltrim(p, '0')) > 3 or coalesce(try_cast(ltrim(p, '0') as int), 0) > 255)) = 0
+    or k = 3 and length(digits) between 16 and 19 and list_sum(list_transform(range(0, length(digits)), lambda j:
+      case when j % 2 = 0 then substr(reverse(digits), j + 1, 1)::int when substr(reverse(digits), j + 1, 1)::int > 4 then 2 * substr(reverse(digits), j + 1, 1)::int - 9
+      else 2 * substr(reverse(digits), j + 1, 1)::int end)) % 10 = 0
+    or k = 4 and length(digits) between 8 and 15),
+a as (
+  select doc_id, count(*) filter (where k = 1) as n_email, count(*) filter (where k = 2) as n_ip, count(*) filter (where k = 3) as n_card,
+    count(*) filter (where k = 4) as n_phone, string_agg(kind || ':' || start || ':' || stop, ',' order by k, start) as spans
+  from good group by doc_id)
+select doc_id, coalesce(n_email, 0)::bigint as n_email, coalesce(n_ip, 0)::bigint as n_ip, coalesce(n_card, 0)::bigint as n_card,
+  coalesce(n_phone, 0)::bigint as n_phone, sha256(coalesce(spans, '')) as base_sha256
+from t left join a using (doc_id)
+""",
+    "whitening_deviations": r"""
+with v as (
+  select vec_id, list_transform(embedding, lambda c: floor(c::double * 256)::bigint) as x from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+d as (select distinct x from v),
+total as (select count(*)::bigint as n from d),
+sums as (select list(s order by j) as s from (select j, sum(x[j])::bigint as s from (select x, unnest(range(1, len(x) + 1)) as j from d) group by j))
+select vec_id, n, list_sum(list_transform(list_zip(x, s), lambda p: ((n * p[1] - p[2]) * (n * p[1] - p[2]))::hugeint))::bigint as deviation from v, total, sums
 """,
 }
