@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tramline.llm import chat, html, latent, lines, packing, pii, quality, simhash, substrings, urls
+from tramline.llm import chat, common, html, latent, lines, packing, pii, quality, simhash, substrings, urls
 from tramline.llm.common import components, split_join
 from tramline.llm.labelled_pages import labelled_pages
 
@@ -583,6 +583,29 @@ def test_urls(spark):
     assert urls.judge(frame_.where("false"), listed).count() == 0
 
 
+def test_frequent_urls(spark, monkeypatch):
+    # a third of all pages without a URL, a third of one listed URL: dealt over tasks, verdicts alike
+    monkeypatch.setattr(common, "TASK_ROWS", 1_000)
+    url = "case when id % 3 = 0 then null when id % 3 = 1 then 'x://hot.net/a' else concat('x://h', id, '.net/') end"
+    pages = spark.range(30_000).selectExpr("id as page_id", f"{url} as url")
+    listed = spark.createDataFrame([("hot.net/a",), ("h5.net",), ("elsewhere.net",)], "canonical string")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        out = urls.judge(pages, listed)
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        got = out.groupBy("host", "verdict").count().where("host in ('', 'hot.net', 'h5.net') or verdict = 'block'").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got)) == [("", "allow", 10_000), ("h5.net", "block", 1), ("hot.net", "block", 10_000)]
+    assert sum(tasks) == 30_000 and max(tasks) < 6_000
+    empty = urls.judge(pages, spark.createDataFrame([("",)], "canonical string"))
+    assert [tuple(r) for r in empty.groupBy("verdict").count().orderBy("verdict").collect()] == [("allow", 20_000), ("block", 10_000)]
+
+
 def test_bloom_has_no_false_negatives(spark):
     keys = spark.range(2000).selectExpr("concat('k', id) as key")
     filtered = urls.may_contain(spark.range(8000).selectExpr("concat('k', id) as key", "id"), "key", urls.bloom(keys, "key", 125), 125)
@@ -794,6 +817,24 @@ def test_decontamination_against_brute_force(spark):
     assert without == expected
 
 
+def test_decontamination_of_short_items(spark):
+    # items of three or four words have no keys: the cosine alone finds them, each among 200 other words
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    items = [(k, " ".join(word() for _ in range(3 + k % 2))) for k in range(100)]
+    common_words = [word() for _ in range(500)]
+    docs = []
+    for k, text in items:
+        rest = list(rng.choice(common_words, 200))
+        at = int(rng.integers(0, 201))
+        docs.append((k, " ".join([*rest[:at], text, *rest[at:]])))
+    docs += [(1_000 + k, " ".join(rng.choice(common_words, 200))) for k in range(100)]
+    out = latent.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in out}
+    assert len(found & {(k, k) for k in range(100)}) >= 95
+    assert all(a == b for a, b in found)
+
+
 def test_decontamination_awkward_rows(spark):
     r = random.Random(23)
     filler = lambda n: " ".join(f"w{r.randint(0, 5000)}" for _ in range(n))

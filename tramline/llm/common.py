@@ -65,8 +65,8 @@ def removed(spark: SparkSession, *paths: str) -> None:
 HEAVY_KEYS, TASK_ROWS = 1_000, 1_000_000
 
 
-def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spread: Column) -> DataFrame:
-    """``many`` joined with ``one``, which holds each ``key`` once.
+def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spread: Column, how: str = "inner") -> DataFrame:
+    """``many`` joined (``how``: inner or left) with ``one``, which holds each ``key`` once.
 
     ``counts``: (key, n), how many rows of ``many`` have each key. A key with
     more than 1 / HEAVY_KEYS of all rows, or more than TASK_ROWS, is dealt by
@@ -82,7 +82,7 @@ def split_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, spr
     salts = F.coalesce("_salts", F.lit(1))
     left = many.join(heavy, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
     right = one.join(heavy, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:

@@ -2,11 +2,12 @@
 blocked Bloom filter.
 
 The list becomes a table of filter blocks of 256 bits (eight 32-bit lanes, one
-bit set in each), keyed by block number. A page's canonical URL hashes to one
-block, so the filter is applied by an equi-join on the block number: broadcast
-while the table is small, shuffled beyond that, never a driver-side object.
-What the filter passes goes to an exact hash join with the list, which removes
-the false positives.
+bit set in each), keyed by block number. A canonical URL of the pages, each once,
+hashes to one block, so the filter is applied by an equi-join on the block number:
+broadcast while the table is small, shuffled beyond that, never a driver-side
+object. What the filter passes goes to an exact hash join with the list, which
+removes the false positives; the pages then look up what was found, and a URL that
+many of them have is dealt over tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import split_join, written
 
 #: Bits of filter for each listed URL; a block has 256 bits.
 BITS_PER_URL = 16
@@ -95,9 +96,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, s
     without ``://`` has an empty host and path and is allowed unless the empty
     URL is listed; null entries of the list count for nothing and repeated ones
     once; URLs count whole, however long; repeated pages each give a row; empty
-    tables on either side are no special case; other columns are not read. The
-    pages are scanned once and keep their own rows through both joins, so a URL
-    that many pages have is one row of the list's side for all of them.
+    tables on either side are no special case; other columns are not read. Only the
+    pages' distinct URLs meet the filter and the list. Of a URL that many pages
+    have, null and scheme-less ones included, the pages are dealt over tasks.
     """
     listed = written(listed.select(F.col("canonical").cast("string").alias("canonical")).where("canonical is not null").distinct())
     blocks = max(1, -(-listed.count() * BITS_PER_URL // 256))
@@ -105,9 +106,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, s
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, ruled = longest_rule(F.col("host"), F.col("path"), rules)
     rows = rows.select("*", rule.alias("rule"), ruled.alias("ruled"), canonical(F.col("host"), F.col("path")).alias("canonical"))
-    probed = may_contain(rows, "canonical", bloom(listed, "canonical", blocks), blocks)
-    # only what the filter lets through can hit; the rest keeps its own key, which spreads it
-    exact = listed.select(F.col("canonical").alias("_listed"))
-    found = probed.join(exact, (F.col("canonical") == F.col("_listed")) & F.col("possible") & F.col("ruled").isNull(), "left")
-    verdict = F.coalesce("ruled", F.when(F.col("_listed").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
+    urls = written(rows.groupBy("canonical").agg(F.count("*").alias("n"), F.bool_or(F.col("ruled").isNull()).alias("open")))
+    possible = may_contain(urls.where("open").select("canonical"), "canonical", bloom(listed, "canonical", blocks), blocks).where("possible")
+    hits = written(possible.join(listed, "canonical").select("canonical", F.lit(True).alias("_listed")))
+    found = split_join(rows, hits, "canonical", urls.select("canonical", "n"), F.monotonically_increasing_id(), "left")
+    verdict = F.coalesce("ruled", F.when(F.col("_listed"), F.lit("block")).otherwise(F.lit("allow")))
     return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
