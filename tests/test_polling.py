@@ -198,3 +198,18 @@ def test_a_folder_of_tables_in_one_scan(spark, tmp_path):
     assert [r["type"] for r in only.collect()] == ["Line"]
     with pytest.raises(Exception, match="zip|argument"):
         netex.read_csv_folder(spark, str(tmp_path)).collect()
+
+
+def test_no_address_is_no_answer(tmp_path):
+    """A feed's address may be no URL, such as a path alone; the others are polled."""
+    (tmp_path / "there").write_text("x")
+    for endpoint in (f"{tmp_path}/none", "", "odd://x", "http://[", "http://127.0.0.1:port/", "http://127.0.0.1/a b"):
+        assert polling.answer({"endpoint": endpoint}, 1.0) == ""
+    assert polling.answer({"endpoint": f"file://{tmp_path}/there"}, 1.0) == "x"
+
+
+def test_a_query_on_a_checkpoint_folder_without_a_scheme(spark, tmp_path, monkeypatch):
+    from tramline.plans import shared_scans
+
+    monkeypatch.setattr(shared_scans, "shared_dir", lambda spark: f"{tmp_path}/plain")
+    assert shared_scans.s35(spark, "/root/testdata/sf0.001").count() > 0

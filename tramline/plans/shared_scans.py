@@ -218,7 +218,8 @@ def s35(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.select("provider", "timestamp", F.size(lines).cast("long").alias("customers"), keys.alias("keys")).write.mode("overwrite").parquet(f"{top}/out/batch={number}")
 
     start = lambda: stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{top}/check").trigger(availableNow=True).start()
-    streaming.supervise(start, pause=0, most=3)
+    if streaming.supervise(start, pause=0, most=3) != 1:
+        raise RuntimeError("more than the first try failed")
     return spark.read.schema("provider string, timestamp string, customers long, keys long").parquet(f"{top}/out/*")
 
 

@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from http.client import HTTPException
 from urllib.parse import quote
 
 from pyarrow import fs
@@ -53,12 +54,12 @@ class Poll(InputPartition):
 
 
 def answer(feed: dict, timeout: float) -> str:
-    """What a feed's address says; empty if that fails."""
+    """What a feed's address says; empty if that fails, or if it is no address."""
     try:
         request = urllib.request.Request(feed["endpoint"], headers=feed.get("headers") or {})
         with urllib.request.urlopen(request, timeout=timeout) as got:
             return got.read().decode() if got.status in (200, None) else ""  # files have no status
-    except (OSError, UnicodeDecodeError):
+    except (OSError, ValueError, HTTPException):  # no text and no address are ValueErrors
         return ""
 
 
