@@ -96,3 +96,11 @@ def test_situations(spark, changed, refused):
     shown = ["position", "situation.SituationNumber", "periods", "reasons", "stops", "networks", "consequences"]
     strictly = siri.details(strict.situations(rows)).select(shown).collect()
     assert strictly == ([] if refused else siri.situations(rows).select(shown).collect())
+
+
+def test_a_message_is_parsed_once(spark):
+    """The filter of accepted messages does not judge them again."""
+    rows = spark.createDataFrame([("{}",)], "payload string")
+    for df in (strict.calls(strict.journeys(rows)), strict.vehicle_activities(rows), strict.situations(rows), strict.checked(rows, "VM").where("refused is not null").select("refused")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1

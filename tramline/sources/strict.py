@@ -48,10 +48,32 @@ def items_of(v: Column) -> Column:
     return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(fields_of(v).isNotNull(), F.array(v)))
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with one column more, computed once for each: an expression that a
+    filter or several columns use would be written into each of them."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def among(fields: Column, odd: Column, name: str) -> Column:
+    """One of an object's fields, its key in any case where a key is ``odd``; null if absent."""
+    alike = lambda: F.filter(F.map_entries(fields), lambda e: F.lower(e["key"]) == name.lower())
+    return F.coalesce(F.try_element_at(fields, F.lit(name)), F.when(odd, F.try_element_at(alike(), F.lit(-1))["value"]))
+
+
+def odd_key(fields: Column, names: list[str]) -> Column:
+    """Whether one of these names is there in another case."""
+    return F.exists(F.map_keys(fields), lambda k: ~k.isin(names) & F.lower(k).isin([n.lower() for n in names]))
+
+
+def with_fields(v: Column, names: list[str], body) -> Column:
+    """``body(fields, get)``: the fields of an object, and what gives one of them by
+    name; the object is taken apart once."""
+    return let(fields_of(v), lambda m: let(odd_key(m, names), lambda odd: body(m, lambda name: among(m, odd, name))))
+
+
 def field(v: Column, name: str) -> Column:
-    """A field of an object, its key in any case; null if absent."""
-    alike = F.filter(F.map_entries(fields_of(v)), lambda e: F.lower(e["key"]) == name.lower())
-    return F.coalesce(F.try_variant_get(v, f"$.{name}", "variant"), F.try_element_at(alike, F.lit(-1))["value"])
+    """A field of an object, its key in any case (the exact one first); null if absent."""
+    return with_fields(v, [name], lambda _, get: get(name))
 
 
 def down(v: Column, path: tuple[str, ...]) -> Column:
@@ -66,11 +88,11 @@ def absent(v: Column) -> Column:
 def fault(v: Column, kind: DataType, path: str) -> Column:
     """The first place where ``v`` is not of ``kind``; null without one."""
     if isinstance(kind, StringType):
-        return F.when(~absent(v) & (F.schema_of_variant(v) != "STRING"), F.lit(path))
+        return F.when(~F.schema_of_variant(v).isin("STRING", "VOID"), F.lit(path))
     if isinstance(kind, StructType):
-        within = lambda f: let(field(v, f.name), lambda c: fault(c, f.dataType, f"{path}.{f.name}"))
-        inner = [within(f) for f in kind.fields]
-        return F.when(absent(v), F.lit(None)).when(fields_of(v).isNull(), F.lit(path)).otherwise(F.coalesce(*inner))
+        within = lambda f, c: let(c, lambda x: fault(x, f.dataType, f"{path}.{f.name}")) if isinstance(f.dataType, StructType | ArrayType) else fault(c, f.dataType, f"{path}.{f.name}")
+        inner = lambda m, get: F.when(m.isNull(), F.when(~absent(v), F.lit(path))).otherwise(F.coalesce(*[within(f, get(f.name)) for f in kind.fields]))
+        return with_fields(v, kind.names, inner)
     if isinstance(kind, ArrayType):
         each = lambda c: F.get(F.filter(F.transform(c, lambda x: fault(x, kind.elementType, path)), lambda x: x.isNotNull()), F.lit(0))
         return F.when(~absent(v), let(items_of(v), lambda c: F.when(c.isNull(), F.lit(path)).otherwise(each(c))))
@@ -82,14 +104,30 @@ def typed(v: Column, kind: DataType) -> Column:
     objects are null in each field, absent items an empty list; a string field that
     holds more is its JSON text."""
     if isinstance(kind, StructType):
-        within = lambda f: let(field(v, f.name), lambda c: typed(c, f.dataType))
-        return F.struct(*[within(f).alias(f.name) for f in kind.fields])
+        within = lambda f, c: typed(c, f.dataType) if isinstance(f.dataType, StringType) else let(c, lambda x: typed(x, f.dataType))
+        return with_fields(v, kind.names, lambda _, get: F.struct(*[within(f, get(f.name)).alias(f.name) for f in kind.fields]))
     if isinstance(kind, ArrayType):
         items = F.coalesce(items_of(v), F.array().cast("array<variant>"))
         return F.transform(items, lambda x: typed(x, kind.elementType))
     return F.try_variant_get(v, "$", "string")
 
 
+def judged(messages: DataFrame, kind: str, payload: str) -> tuple[DataFrame, Column]:
+    """The messages with ``_root`` and ``refused``, each computed once, and their items."""
+    name, path, checks, types = KINDS[kind]
+    below = f"array<struct<{checks}>>"
+    for part in reversed(path):
+        below = f"struct<{part}:{below}>"
+    below = below.replace("struct<", "struct<ResponseTimestamp:string,", 1)
+    envelope = StructType.fromDDL(f"ResponseTimestamp string, ProducerRef string, {name} {below}")
+    rows = once(messages, "_whole", F.try_parse_json(F.col(payload)))
+    rows = once(rows, "_root", F.coalesce(down(F.col("_whole"), ("Siri", "ServiceDelivery")), field(F.col("_whole"), "ServiceDelivery")))
+    no_object = F.col("_whole").isNull() | ~F.is_variant_null("_whole") & fields_of(F.col("_whole")).isNull()
+    rows = once(rows, "refused", F.when(no_object, F.lit("$")).otherwise(fault(F.col("_root"), envelope, "ServiceDelivery"))).drop("_whole")
+    given = F.when(F.col("refused").isNull(), down(F.col("_root"), (name, *path)))
+    return rows, let(given, lambda c: typed(c, StructType.fromDDL(f"x array<struct<{types}>>")["x"].dataType))
+
+
 def checked(messages: DataFrame, kind: str, payload: str = "payload") -> DataFrame:
     """The message's columns, ``refused`` (the place of the first fault, ``$`` for
     the message itself, null if it is accepted), ``timestamp`` and ``items`` (a list
@@ -99,32 +137,27 @@ def checked(messages: DataFrame, kind: str, payload: str = "payload") -> DataFra
     ``ServiceDelivery``. Null and empty payloads are refused, ``null`` is a message
     without items.
     """
-    name, path, checks, types = KINDS[kind]
-    below = f"array<struct<{checks}>>"
-    for part in reversed(path):
-        below = f"struct<{part}:{below}>"
-    below = below.replace("struct<", "struct<ResponseTimestamp:string,", 1)
-    envelope = StructType.fromDDL(f"ResponseTimestamp string, ProducerRef string, {name} {below}")
-    rows = messages.withColumn("_whole", F.try_parse_json(F.col(payload)))
-    rows = rows.withColumn("_root", F.coalesce(down(F.col("_whole"), ("Siri", "ServiceDelivery")), field(F.col("_whole"), "ServiceDelivery")))
-    no_object = F.col("_whole").isNull() | ~F.is_variant_null("_whole") & fields_of(F.col("_whole")).isNull()
-    rows = rows.withColumn("refused", F.when(no_object, F.lit("$")).otherwise(fault(F.col("_root"), envelope, "ServiceDelivery")))
-    given = F.when(F.col("refused").isNull(), down(F.col("_root"), (name, *path)))
-    made = let(given, lambda c: typed(c, StructType.fromDDL(f"x array<struct<{types}>>")["x"].dataType))
+    rows, made = judged(messages, kind, payload)
     stamp = F.when(F.col("refused").isNull(), F.try_variant_get(field(F.col("_root"), "ResponseTimestamp"), "$", "string"))
-    return rows.withColumn("timestamp", stamp).withColumn("items", made).drop("_whole", "_root")
+    return rows.withColumn("timestamp", stamp).withColumn("items", made).drop("_root")
+
+
+def accepted(messages: DataFrame, kind: str, payload: str) -> DataFrame:
+    """The accepted messages and their ``items``."""
+    rows, made = judged(messages, kind, payload)
+    return once(rows.where("refused is null"), "items", made)
 
 
 def vehicle_activities(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """One row for each activity of the accepted messages: as ``siri.vehicle_activities``."""
-    rows = checked(messages, "VM", payload).where("refused is null")
+    rows = accepted(messages, "VM", payload)
     return rows.select(*messages.columns, F.posexplode("items").alias("position", "activity"))
 
 
 def journeys(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """One row for each journey of the accepted messages: as ``siri.journeys``, but
     with its calls as a list of structs."""
-    rows = checked(messages, "ET", payload).where("refused is null")
+    rows = accepted(messages, "ET", payload)
     frames = rows.select(*messages.columns, F.posexplode("items").alias("frame", "_f"))
     return frames.select("*", F.posexplode("_f.EstimatedVehicleJourney").alias("position", "journey")).drop("_f")
 
@@ -137,5 +170,5 @@ def calls(rows: DataFrame) -> DataFrame:
 def situations(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """One row for each situation of the accepted messages, with the struct that
     ``siri.details`` takes."""
-    rows = checked(messages, "SE", payload).where("refused is null")
+    rows = accepted(messages, "SE", payload)
     return rows.select(*messages.columns, F.posexplode("items").alias("position", "situation"))
