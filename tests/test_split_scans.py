@@ -199,3 +199,25 @@ def test_a_stream_of_parts(spark, tmp_path):
     (tmp_path / "in/2.json").write_text('{"target": "%s", "part": "Yg=="}\n{"target": "other", "part": "Yg=="}\n' % f"{tmp_path}/out/t")
     run()
     assert (tmp_path / "out/t").read_bytes() == b"<b>"
+
+
+def test_pieces_are_dealt_over_tasks(spark, tmp_path):
+    """Ranges are small rows and much work: as many tasks as ranges, up to some for each core."""
+    text = "<a>" + "<b/>" * 5_000 + "</a>"
+    for k in range(4):
+        (tmp_path / f"{k}.xml").write_text(text)
+    every = files.listed(spark, str(tmp_path))
+    plan = split_xml.dealt(split_xml.ranges(every, 2_000), 44)
+    assert plan.rdd.getNumPartitions() == 44
+    assert split_xml.dealt(every, 10**6).rdd.getNumPartitions() == split_xml.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_a_range_that_begins_in_no_comment(tmp_path):
+    """A comment that begins in the range says that its start lies in none."""
+    text = b"<a><b/><!-- <b> --><b/><!-- x --></a>"
+    (tmp_path / "a.xml").write_bytes(text)
+    of = lambda start, inside: split_xml.effect(files.opened(str(tmp_path / "a.xml")), start, len(text), inside, b"")
+    inner = text.index(b"<b> -->")
+    assert of(3, b"-->") is None and of(3, b"").closed == 1
+    for start in range(inner - 1, inner + 7):  # up to the end that stands across it
+        assert of(start, b"-->").closed == 1, start

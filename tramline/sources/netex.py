@@ -13,7 +13,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain, islice
+from itertools import accumulate, chain, islice
 from typing import IO
 from xml.etree import ElementTree
 
@@ -254,7 +254,7 @@ def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence
     if over.isEmpty():
         return found
     cuts = split_xml.pieces(over, between, ("PublicationDelivery", "dataObjects", "CompositeFrame", "frames"), piece)
-    rows = cuts.repartitionByRange(cuts.count(), "path", "start").mapInArrow(large, f"{SCHEMA}, start long")
+    rows = split_xml.dealt(cuts, cuts.count()).mapInArrow(large, f"{SCHEMA}, start long")
     folder = shared_dir(spark)
     rows.write.parquet(folder)
     rows = spark.read.schema(f"{SCHEMA}, start long").parquet(folder)
@@ -288,8 +288,10 @@ def batches_of(rows: Iterator[Row], file: str, size: int = 5_000) -> Iterator[pa
 
 
 def to_batch(rows: list[Row], seq: int, file: str) -> pa.RecordBatch:
-    fields = pa.array([list(f.items()) for _, f in rows], pa.map_(pa.string(), pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array(range(seq, seq + len(rows)), pa.int64()), fields, pa.array([file] * len(rows))], ["type", "seq", "fields", "file"])
+    ends = pa.array(accumulate((len(f) for _, f in rows), initial=0), pa.int32())
+    names, values = (pa.array(list(chain.from_iterable(part)), pa.string()) for part in ((f.keys() for _, f in rows), (f.values() for _, f in rows)))
+    fields = pa.MapArray.from_arrays(ends, names, values)
+    return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array(range(seq, seq + len(rows)), pa.int64()), fields, pa.repeat(pa.scalar(file, pa.string()), len(rows))], ["type", "seq", "fields", "file"])
 
 
 # --- tables ---------------------------------------------------------------

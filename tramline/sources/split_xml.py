@@ -28,6 +28,8 @@ from .files import CHUNK, opened
 
 #: Bytes of a piece, about.
 PIECE = 32 << 20
+#: Most tasks that pieces are dealt over, for each core.
+TASKS_A_CORE = 32
 #: What ends the constructs that a range may begin in, by their first characters.
 ENDS = {b"<!--": b"-->", b"<![CDATA[": b"]]>", b"<?": b"?>"}
 TAG = re.compile(rb"<(/?)([^\s/>!?\"'<]+)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*)>")
@@ -89,6 +91,8 @@ def tokens(file: pa.NativeFile, start: int, inside: bytes = b"", limit: int | No
         if (found := source.find(inside, at, limit)) < 0:
             yield at, -1, next(k for k in ENDS if ENDS[k] == inside), b""
             return
+        if inside == b"-->" and b"--" in source.at(start + 3, max(0, found - start - 3)):  # beyond "!--", where "<" came before
+            raise ValueError(f"no comment at byte {start}")  # which holds no "--", so another one begins
         at = found + len(inside)
     while (at := source.find(b"<", at, limit)) >= 0:
         head = source.at(at, 9)
@@ -164,6 +168,12 @@ def ranges(files: DataFrame, size: int) -> DataFrame:
     return files.select("path", "length").mapInArrow(run, "path string, start long, end long, length long, head binary")
 
 
+def dealt(rows: DataFrame, count: int) -> DataFrame:
+    """``count`` rows, each much work, dealt over tasks evenly. Without a number of
+    tasks they would be few, as rows are joined into tasks by their bytes."""
+    return rows.repartition(max(1, min(count, TASKS_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)))
+
+
 def pieces(files: DataFrame, allowed: Callable[[list[bytes]], bool], last: tuple[str, ...], size: int = PIECE) -> DataFrame:
     """(path, start, end, length, prefix): the pieces of large files, each well-formed
     behind its ``prefix`` but for the end tags that it leaves out.
@@ -227,10 +237,10 @@ def pieces(files: DataFrame, allowed: Callable[[list[bytes]], bool], last: tuple
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(starts, pa.int64()), batch.column(3), pa.array(prefixes, pa.binary()), batch.column(7)], ["path", "start", "length", "prefix", "over"])
 
     base = "path string, start long, end long, length long, head binary"
-    each = ranges(files, size)
-    done = each.repartition("path", "start").mapInArrow(effects, f"{base}, effects string")
+    count = files.agg(F.sum(F.ceil(F.col("length") / size))).head()[0] or 0
+    done = dealt(ranges(files, size), count).mapInArrow(effects, f"{base}, effects string")
     known = done.repartition("path").sortWithinPartitions("path", "start").mapInArrow(opened_at, f"{base}, stack array<string>, inside string, over long")
-    cuts = known.repartition("path", "start").mapInArrow(cut, "path string, start long, length long, prefix binary, over long")
+    cuts = dealt(known, count).mapInArrow(cut, "path string, start long, length long, prefix binary, over long")
     cuts = cuts.groupBy("path", "start").agg(F.min("over").alias("over"), F.first("length").alias("length"), F.first("prefix").alias("prefix"))
     following = F.lead("start").over(Window.partitionBy("path").orderBy("start"))
     ended = cuts.withColumn("end", F.coalesce(following, "length")).where("start < end and (over is null or start < over)")
