@@ -81,3 +81,17 @@ def test_joins_of_a_published_timetable_do_not_move_it(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert f.trips.where(F.col("trip_id").isNull()).count() == 0
+
+
+def test_buckets_grow_with_the_timetable(spark, tmp_path, monkeypatch):
+    from tramline.operators import store as module
+
+    monkeypatch.setattr(module, "BUCKET_ROWS", 300)
+    ids = spark.range(2_000)
+    calls = ids.select((F.col("id") % 500).cast("string").alias("trip_id"), F.lit("A").alias("stop_id"), F.col("id").cast("int").alias("stop_sequence"), F.lit(1).alias("arrival_time"), F.lit(1).alias("departure_time"), F.col("id").alias("_ord"))
+    store = Store(spark, f"file://{tmp_path}/store", "grown", buckets=2)
+    store.publish(Feed(stop_times=calls), "v")
+    ddl = {r["name"]: r["ddl"] for r in spark.read.parquet(f"file://{tmp_path}/store/_versions").collect()}
+    assert all("into 7 buckets" in d for d in ddl.values()) and set(ddl) == {"stop_times", "starts"}
+    assert store.feed("v").stop_times.count() == 2_000
+    store.drop("v")

@@ -1,7 +1,7 @@
 """A published timetable as bucketed catalog tables.
 
-Publishing sorts every table once by the key that it is joined on, into as many
-buckets as it is told, and derives what lookups would derive each time: when a trip
+Publishing sorts every table once by the key that it is joined on, into buckets
+of a bounded size, and derives what lookups would derive each time: when a trip
 starts, and the how manieth time it is at a stop. Joins of stop times, trips and
 starts by trip, and of services by service, then need no exchange, and live rows
 alone are shuffled to them. Each key is held once; that is made so, or checked,
@@ -27,6 +27,8 @@ LAYOUT = {
 }
 #: The key of each derived table.
 DERIVED = {"starts": "trip_id"}
+#: Rows of a bucket, about, of the largest table: a task reads a bucket whole.
+BUCKET_ROWS = 1_000_000
 
 
 def repeated(df: DataFrame, key: str) -> DataFrame:
@@ -36,7 +38,8 @@ def repeated(df: DataFrame, key: str) -> DataFrame:
 
 class Store:
     """Versions of a timetable below a path, as tables whose names begin with
-    ``name``."""
+    ``name``. ``buckets`` is the least number of a version's; large versions have
+    one for each BUCKET_ROWS stop times or trips."""
 
     def __init__(self, spark: SparkSession, path: str, name: str, buckets: int = 64):
         if not re.fullmatch(r"[a-z][a-z0-9_]*", name):
@@ -58,13 +61,15 @@ class Store:
         if "stop_times" in tables:
             tables["starts"] = first_departures(Feed(stop_times=tables["stop_times"]))
             tables["stop_times"] = occurrences(tables["stop_times"])
+        most = max((feed.tables[t].count() for t in ("stop_times", "trips") if t in feed.tables), default=0)
+        buckets = max(self.buckets, -(-most // BUCKET_ROWS))
         made = []
         for name, df in tables.items():
             key, *more = LAYOUT.get(name) or (df.columns[0],)
             place = f"{self.path}/{version}/{name}"
-            df.repartition(self.buckets, key).write.mode("overwrite").option("path", place).bucketBy(self.buckets, key).sortBy(key, *more).saveAsTable(self.table(version, name))
+            df.repartition(buckets, key).write.mode("overwrite").option("path", place).bucketBy(buckets, key).sortBy(key, *more).saveAsTable(self.table(version, name))
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-            made.append((version, name, f"({columns}) using parquet clustered by ({key}) sorted by ({', '.join((key, *more))}) into {self.buckets} buckets location '{place}'"))
+            made.append((version, name, f"({columns}) using parquet clustered by ({key}) sorted by ({', '.join((key, *more))}) into {buckets} buckets location '{place}'"))
         rows = self.spark.createDataFrame(made, "version string, name string, ddl string").withColumn("at", F.unix_micros(F.current_timestamp()))
         rows.coalesce(1).write.mode("append").parquet(f"{self.path}/_versions")
 
