@@ -383,7 +383,7 @@ select id, '0a' || printf('%02x', length(id)) || lower(hex(encode(id))) || '22'
 
 @plain("k05_r02_r03_r08_r09_vehicle_bytes", WIRE)
 def k05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gtfsrt.encoded(vehicle_rows(spark, sf_dir)).select("id", F.lower(F.hex("protobuf")).alias("bytes"))
+    return gtfsrt.written(vehicle_rows(spark, sf_dir), "protobuf").select("id", F.lower(F.hex("protobuf")).alias("bytes"))
 
 
 # --- streams, stores, plugins --------------------------------------------------

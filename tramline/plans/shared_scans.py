@@ -147,7 +147,7 @@ t as (select o_orderkey, o_custkey, '0a' || {text_sql("'T' || o_orderkey")} || '
 b as (select o_orderkey, '0a' || {sized_sql('trip')} || coalesce(stops, '') || case when o_custkey % 100 = 0 then '' else '20' || {number_sql('o_custkey % 100')} end as body from t left join u on l_orderkey = o_orderkey)
 select 'U' || o_orderkey as id, '0a' || {text_sql("'U' || o_orderkey")} || '1a' || {sized_sql('body')} as bytes from b""")
 def r05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gtfsrt.encoded(gtfsrt.trip_entities(update_rows(spark, sf_dir))).select("id", F.lower(F.hex("protobuf")).alias("bytes"))
+    return gtfsrt.written(gtfsrt.trip_entities(update_rows(spark, sf_dir)), "protobuf").select("id", F.lower(F.hex("protobuf")).alias("bytes"))
 
 
 def alert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +167,7 @@ p as (select *, '12' || {text_sql('route')} as entity, '0a' || {sized_sql('germa
 b as (select k, '0a' || {sized_sql('period')} || '2a' || {sized_sql('entity')} || '30043804' || '52' || {sized_sql('texts')} || '7003' as body from p)
 select 'A' || k as id, '0a' || {text_sql("'A' || k")} || '2a' || {sized_sql('body')} as bytes from b""")
 def r04(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gtfsrt.encoded(gtfsrt.alert_entities(alert_rows(spark, sf_dir))).select("id", F.lower(F.hex("protobuf")).alias("bytes"))
+    return gtfsrt.written(gtfsrt.alert_entities(alert_rows(spark, sf_dir)), "protobuf").select("id", F.lower(F.hex("protobuf")).alias("bytes"))
 
 
 @plain("r04_r07_alerts_and_updates_back", """select f as file, 'A' || o_orderkey as id, 'R' || o_custkey as route_id, 1700000000 + o_orderkey as start, 'STRIKE' as cause,

@@ -15,6 +15,7 @@ from itertools import islice
 from pathlib import PurePath
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
@@ -182,17 +183,24 @@ def alert_entities(alerts: DataFrame) -> DataFrame:
 
 
 def encoded(entities: DataFrame) -> DataFrame:
-    """(id, protobuf, json): every entity in both forms, made where it is."""
+    """(id, protobuf, json): every entity in both forms, made where it is, a batch of
+    them at once."""
+    return written(entities, "protobuf", "json")
+
+
+def written(entities: DataFrame, *forms: str) -> DataFrame:
+    """``id`` and some of the forms ``protobuf`` and ``json`` of every entity; the
+    JSON is as it would be read from the bytes, enums by name, floats of 32 bits."""
+    from . import gtfsrt_columns as columns  # it needs this module
+
+    make = {"protobuf": lambda rows: columns.encode(rows).cast(pa.binary()), "json": lambda rows: columns.to_json(rows).cast(pa.string())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            data = [encode(r, "FeedEntity") for r in rows]
-            # as it would be read from the bytes: enums by name, floats of 32 bits
-            text = [json.dumps(trimmed(decode(d, "FeedEntity")), indent=2, ensure_ascii=False) for d in data]
-            yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in rows], pa.string()), pa.array(data, pa.binary()), pa.array(text, pa.string())], ["id", "protobuf", "json"])
+            rows = batch.to_struct_array()
+            yield pa.RecordBatch.from_arrays([pc.struct_field(rows, "id").cast(pa.string()), *[make[f](rows) for f in forms]], ["id", *forms])
 
-    return entities.mapInArrow(run, "id string, protobuf binary, json string")
+    return entities.mapInArrow(run, ", ".join(["id string", *[f"{f} {'binary' if f == 'protobuf' else 'string'}" for f in forms]]))
 
 
 def arrow_type(kind: str) -> pa.DataType:
