@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import urllib.request
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -49,16 +48,9 @@ def write_feed(entities: DataFrame, timestamp: int, targets: dict[str, str], opt
     ``staging`` and ``batch`` make a batch go out once."""
     entities = entities if not once else entities.orderBy("id")  # so that a batch run again has the same order
     around = gtfsrt.around(timestamp, entities.isEmpty())
-    parts = gtfsrt.feed_parts(entities).where(F.col("form").isin(*targets))
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            forms = batch.column(0).to_pylist()
-            data = [gtfsrt.frame(x) if f == "pb" else gtfsrt.indented(x) for f, x in zip(forms, batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([targets[f] for f in forms], pa.string()), pa.array(data, pa.binary())], ["target", "part"])
-
     envelopes = {targets[f]: committed.envelope(*around[f], optional=f in optional) for f in ("pb", "json") if f in targets}
-    committed.assemble(parts.mapInArrow(placed, "target string, part binary"), envelopes, **once)
+    own = {f: targets[f] for f in ("pb", "json") if f in targets}
+    committed.assemble(gtfsrt.blocks(entities, own, {f: around[f][1] for f in own}), envelopes, **once)
 
 
 def put_feed(entities: DataFrame, timestamp: int, url: str, **once: str) -> None:

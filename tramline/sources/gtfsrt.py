@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import struct
-from codecs import getincrementaldecoder
 from collections.abc import Iterable, Iterator
 from itertools import islice
 from pathlib import PurePath
@@ -21,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import StructType
 
-from . import files
+from ..session import shared_dir
+from . import files, split_feeds
+from .split_xml import dealt
 
 #: Field numbers, names and kinds of the public specification.
 #: Kinds: s string, u unsigned, i signed, b bool, f float, d double, else an enum
@@ -61,6 +62,8 @@ ENUMS = {
     "Effect": (dict(enumerate("NO_SERVICE REDUCED_SERVICE SIGNIFICANT_DELAYS DETOUR ADDITIONAL_SERVICE MODIFIED_SERVICE OTHER_EFFECT UNKNOWN_EFFECT STOP_MOVED NO_EFFECT ACCESSIBILITY_ISSUE".split(), 1)), "UNKNOWN_EFFECT"),
     "Severity": (dict(enumerate("UNKNOWN_SEVERITY INFO WARNING SEVERE".split(), 1)), "UNKNOWN_SEVERITY"),
 }
+#: Bytes of a part of a feed, about.
+BLOCK = 1 << 20
 #: Fields whose zero is left out; other numbers keep it, as it may be meant.
 DROP_ZERO = {"timestamp", "stop_sequence", "start", "end"}
 
@@ -227,100 +230,58 @@ def shaped(value: object, kind: str) -> object:
 
 def cut_protobuf(parts: Iterable[bytes]) -> Iterator[bytes]:
     """The bytes of each entity of a feed, not decoded, as the feed is read."""
-    data, at = b"", 0
-    parts = iter(parts)
+    return (data for _, data in split_feeds.protobuf_entities(parts))
 
-    def more() -> bool:
-        nonlocal data, at
-        part = next(parts, b"")
-        data, at = data[at:] + part, 0
-        return bool(part)
 
-    def number() -> int:
-        nonlocal at
-        n = shift = 0
-        while True:
-            if at >= len(data) and not more():
-                raise ValueError("a feed that ends in a number")
-            b, at = data[at], at + 1
-            n, shift = n | (b & 127) << shift, shift + 7
-            if b < 128:
-                return n
+def cut_json(parts: Iterable[bytes]) -> Iterator[str]:
+    """The text of each entity of a feed, as the feed is read."""
+    return (data.decode() for _, data in split_feeds.json_entities(parts))
 
-    while at < len(data) or more():
-        key = number()
-        size = {5: 4, 1: 8}.get(key & 7, 0) if key & 7 != 2 else number()
-        if key & 7 == 0:
-            number()
-        while len(data) - at < size:
-            if not more():
-                raise ValueError("a feed that ends in a field")
-        if key == 2 << 3 | 2:
-            yield data[at : at + size]
-        at += size
 
+def decoded(data: list[bytes], protobuf: bool) -> pa.StructArray:
+    """Entities as rows: a column at a time; one by one where something is unusual,
+    as numbers written as texts are."""
+    from . import gtfsrt_columns as columns
 
-def cut_json(parts: Iterable[bytes]) -> Iterator[str]:
-    """The text of each entity of a feed, as the feed is read."""
-    text, at = "", 0
-    decoder, utf8 = json.JSONDecoder(), getincrementaldecoder("utf-8-sig")()
-    parts = iter(parts)
-
-    def more() -> bool:
-        nonlocal text, at
-        part = next(parts, None)
-        text, at = text[at:] + utf8.decode(part or b"", part is None), 0
-        return part is not None
-
-    def seen(wanted: str) -> str:
-        """The next character that is no blank, taken if it is wanted."""
-        nonlocal at
-        while True:
-            while at < len(text) and text[at] in " \t\r\n":
-                at += 1
-            if at < len(text):
-                break
-            if not more():
-                raise ValueError("a feed that ends early")
-        if text[at] in wanted:
-            at += 1
-            return text[at - 1]
-        return ""
-
-    def value() -> str:
-        nonlocal at
-        seen("")
-        while True:
-            try:
-                end = decoder.raw_decode(text, at)[1]
-                if end < len(text) or not more():
-                    found, at = text[at:end], end
-                    return found
-            except ValueError:
-                if not more():
-                    raise
-
-    if not seen("{"):
-        raise ValueError("a feed is an object")
-    while not seen("}"):
-        seen(",")
-        key = json.loads(value())
-        seen(":")
-        if key != "entity" or not seen("["):
-            value()
-            continue
-        while not seen("]"):
-            yield value()
-            seen(",")
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return columns.decode_all(data) if protobuf else columns.from_json(data)
+    except (ValueError, TypeError, IndexError, pa.ArrowException):
+        rows = [decode(d, "FeedEntity") if protobuf else shaped(json.loads(d), "FeedEntity") for d in data]
+        if None in rows:
+            raise ValueError("an entity that is null") from None
+        return pa.array(rows, arrow_type("FeedEntity"))
+
+
+def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE) -> DataFrame:
     """(file, place, id, entity) of feed files in either format; ``entity`` is a
     struct of the public specification's fields, null where absent.
 
-    A feed is one message, so one task cuts it into its entities as it reads, and
-    decodes none; the entities are then dealt out and decoded by all tasks.
+    A feed is one message. One of more than ``size`` bytes is cut by many tasks if it
+    can be told where its entities begin (``split_feeds``), and each decodes what it
+    cuts. Any other is cut by one task as it reads; the entities are then dealt out.
     """
+    listing = files.listed(spark, path).select("path", "length")
+    ranges = split_feeds.ranges(listing, "lower(path) rlike '[^/][.](pb|proto|bin)$'", size)
+    count = listing.agg(F.sum(F.when(F.col("length") > size, F.ceil(F.col("length") / size)))).head()[0] or 0
+    each, whole = None, listing.select("path")
+    if count:
+        seen = dealt(ranges, count).mapInArrow(split_feeds.scanned, "path string, length long, protobuf boolean, start long, end long, begin long, behind long, count long")
+        known, folder = "path string, protobuf boolean, begin long, length long, count long, place long", shared_dir(spark)
+        seen.groupBy("path").applyInArrow(split_feeds.chained, known).write.parquet(folder)
+        each = spark.read.schema(known).parquet(folder)
+        whole = whole.join(each.where("count >= 0").select("path").distinct(), "path", "left_anti")
+
+    def batches_of(name: str, protobuf: bool, slices: Iterator[bytes], place: int) -> Iterator[pa.RecordBatch]:
+        while part := list(islice(slices, 5_000)):
+            n = len(part)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(place, place + n), pa.int64()), pa.array(part, pa.binary()), pa.array([protobuf] * n)], ["file", "place", "data", "protobuf"])
+            place += n
+
+    def rows_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for protobuf in batch.column(3).unique().to_pylist():
+            own = batch.filter(pc.equal(batch.column(3), protobuf))
+            rows = decoded(own.column(2).to_pylist(), protobuf)
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pc.fill_null(pc.struct_field(rows, "id"), ""), rows], ["file", "place", "id", "entity"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,30 +289,40 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 protobuf = detect_format(name) == "protobuf"
                 with files.opened(name) as file:
                     slices = cut_protobuf(files.streamed(file)) if protobuf else (t.encode() for t in cut_json(files.streamed(file)))
-                    place = 0
-                    while part := list(islice(slices, 5_000)):
-                        n = len(part)
-                        yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(place, place + n), pa.int64()), pa.array(part, pa.binary()), pa.array([protobuf] * n)], ["file", "place", "data", "protobuf"])
-                        place += n
+                    yield from batches_of(name, protobuf, slices, 0)
 
-    kind = arrow_type("FeedEntity")
+    def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                with files.opened(r["path"]) as file:
+                    slices = (d for _, d in islice(split_feeds.entities(file, r["protobuf"], r["begin"], r["length"]), r["count"]))
+                    for part in batches_of(r["path"], r["protobuf"], slices, r["place"]):
+                        yield from rows_of(part)
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [decode(d, "FeedEntity") if p else shaped(json.loads(d), "FeedEntity") for d, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.get("id", "") for r in rows], pa.string()), pa.array(rows, kind)], ["file", "place", "id", "entity"])
+            yield from rows_of(batch)
 
-    schema = StructType().add("file", "string").add("place", "long").add("id", "string").add("entity", from_arrow_type(kind))
-    slices = files.listed(spark, path).select("path").mapInArrow(cut, "file string, place long, data binary, protobuf boolean")
-    return slices.repartition("file", "place").mapInArrow(decoded, schema)
+    schema = StructType().add("file", "string").add("place", "long").add("id", "string").add("entity", from_arrow_type(arrow_type("FeedEntity")))
+    slices = whole.mapInArrow(cut, "file string, place long, data binary, protobuf boolean")
+    out = slices.repartition("file", "place").mapInArrow(dealt_out, schema)
+    return out if each is None else out.union(dealt(each.where("count > 0"), count).mapInArrow(ranged, schema))
 
 
-def feed_parts(entities: DataFrame) -> DataFrame:
-    """(form, part): the bytes of each entity as they stand in a feed, in both
-    forms, in the order of the rows."""
-    rows = encoded(entities)
-    forms = F.array(F.struct(F.lit("pb").alias("form"), F.col("protobuf").alias("part")), F.struct(F.lit("json").alias("form"), F.encode("json", "utf-8").alias("part")))
-    return rows.select(F.inline(forms))
+def blocks(entities: DataFrame, targets: dict[str, str], between: dict[str, bytes]) -> DataFrame:
+    """(target, part): entities as they stand in a feed, in the order of the rows,
+    many to a part; ``targets`` and what is between entities are by form."""
+    from . import gtfsrt_columns as columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_struct_array()
+            for form, target in targets.items():
+                data = columns.framed(columns.encode(rows)) if form == "pb" else columns.indented(rows)
+                for part in columns.in_blocks(data, BLOCK):
+                    yield pa.RecordBatch.from_arrays([pa.array([target]), pa.array([between[form].join(part)], pa.binary())], ["target", "part"])
+
+    return entities.mapInArrow(run, "target string, part binary")
 
 
 def frame(entity: bytes) -> bytes:
