@@ -8,6 +8,7 @@ import uuid
 import zipfile
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +75,8 @@ def archives(spark: SparkSession, sf_dir: str, orders: int) -> str:
         with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("notes/trips.txt", "not,at,the,root\n1,2,3,4\n")
             for name, header in headers.items():
-                own = [r for t, r in zip(table.column("table").to_pylist(), table.column("row").to_pylist(), strict=True) if t == name]
-                z.writestr(f"{name}.txt", "\n".join([header, *own]) + "\n")
+                own = table.filter(pc.equal(table.column("table"), name)).column("row").combine_chunks()
+                z.writestr(f"{name}.txt", "\n".join([header, *own.to_pylist()]) + "\n")
         with files.created(f"{folder}/{number}.zip") as out:
             out.write(data.getvalue())
         return pa.table({"archive": pa.array([number], pa.int64())})

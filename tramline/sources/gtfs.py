@@ -22,6 +22,7 @@ from ..operators.feed import Feed
 from ..schemas import GTFS, OPT_IN, columns
 from ..session import shared_dir
 from . import files
+from .split_xml import dealt
 
 KINDS = {"s": fn.text, "i": fn.whole_number, "f": fn.real_number, "b": fn.flag, "t": fn.gtfs_time, "d": fn.gtfs_date}
 
@@ -69,7 +70,7 @@ def read_zip(spark: SparkSession, path: str, optional: Sequence[str] = (), exclu
     folder = shared_dir(spark)
     found.write.parquet(f"{folder}/members")
     found = spark.read.schema(found.schema).parquet(f"{folder}/members")
-    each = found.repartitionByRange(max(1, found.count()), "path", "member")
+    each = dealt(found, found.count())
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,30 +86,28 @@ def read_zip(spark: SparkSession, path: str, optional: Sequence[str] = (), exclu
                         yield batch_of(name, table, header, [], 0)
 
     folder = f"{folder}/cells"
-    schema = "file string, table string, n long, header array<string>, cells array<string>"
+    schema = "file string, table string, n long, cells array<string>"
     each.mapInArrow(unpack, schema).write.partitionBy("table").parquet(folder)
     cells = spark.read.schema(schema).parquet(folder)
     out = {}
     for row in cells.select("table").distinct().collect():  # one for each table
         own = cells.where(F.col("table") == row["table"])
-        # each archive's rows by its own header, so archives may differ
-        pick = lambda c: F.coalesce(F.element_at(F.map_from_arrays("header", "cells"), c), F.lit(""))
-        out[row["table"]] = own.where("n >= 0").select(*[KINDS[kind](pick(name)).alias(name) for name, kind in columns(row["table"])], F.struct("file", "n").alias("_ord"))
+        pick = lambda k: F.coalesce(F.get("cells", F.lit(k)), F.lit(""))
+        out[row["table"]] = own.where("n >= 0").select(*[KINDS[kind](pick(k)).alias(name) for k, (name, kind) in enumerate(columns(row["table"]))], F.struct("file", "n").alias("_ord"))
     return Feed(**out)
 
 
 def batch_of(file: str, table: str, header: list[str], rows: list[list[str]], at: int) -> pa.RecordBatch:
-    """Rows as (file, table, n, header, cells); a table without rows keeps its
-    header in a row numbered -1. Of equal headers the last counts."""
+    """Rows as (file, table, n, cells), the cells in the order of the table's columns by
+    this archive's own header, null where it has no such column; a table without rows is
+    a row numbered -1. Of equal headers the last counts."""
     seen = {h.strip(): k for k, h in enumerate(header)}
-    names, places = list(seen), list(seen.values())
-    numbers = list(range(at, at + len(rows))) or [-1]
-    cells = [[row[k].strip() for k in places] for row in rows] or [[""] * len(names)]
-    n = len(numbers)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([file] * n), pa.array([table] * n), pa.array(numbers, pa.int64()), pa.array([names] * n, pa.list_(pa.string())), pa.array(cells, pa.list_(pa.string()))],
-        ["file", "table", "n", "header", "cells"],
-    )
+    n, places = max(1, len(rows)), [seen.get(name) for name, _ in columns(table)]
+    numbers = pa.array(range(at, at + n) if rows else [-1], pa.int64())
+    cells = [None if k is None else row[k].strip() for row in rows for k in places] if rows else [None] * len(places)
+    offsets = pa.array(range(0, len(cells) + 1, len(places)), pa.int32())
+    constant = lambda text: pa.repeat(pa.scalar(text, pa.string()), n)
+    return pa.RecordBatch.from_arrays([constant(file), constant(table), numbers, pa.ListArray.from_arrays(offsets, pa.array(cells, pa.string()))], ["file", "table", "n", "cells"])
 
 
 def read_folder(spark: SparkSession, path: str, optional: Sequence[str] = (), exclude: Sequence[str] = (), split: Sequence[str] = ()) -> Feed:
