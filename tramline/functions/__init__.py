@@ -259,9 +259,13 @@ def entity_id(ref: Column, line: Column, departure: Column) -> Column:
 def array_or_object(raw: Column, element: str) -> Column:
     """Raw JSON that is an array or one object, as an array of structs; absent
     or ``null``: empty; anything else: null."""
-    given = F.trim(F.coalesce(raw, F.lit("")))
-    parsed = F.from_json(given, f"array<struct<{element}>>")
-    return F.when(given.isin("", "null"), F.array().cast(parsed_type(element))).when(F.startswith(given, F.lit("{")) | F.startswith(given, F.lit("[")), parsed)
+    empty = F.array().cast(parsed_type(element))
+
+    def parsed(given: Column) -> Column:
+        return F.when(given.isin("", "null"), empty).when(F.startswith(given, F.lit("{")) | F.startswith(given, F.lit("[")), F.from_json(given, parsed_type(element)))
+
+    # bound to a name, as generators compute an expression again wherever it stands
+    return F.get(F.transform(F.array(F.trim(F.coalesce(raw, F.lit("")))), parsed), F.lit(0))
 
 
 def parsed_type(element: str) -> str:

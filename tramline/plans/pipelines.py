@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import functions as fn
 from .. import sinks, streaming
 from ..operators import linkage as link
 from ..operators.feed import Feed
+from ..schemas import CALL
 from ..session import shared_dir
 from ..sources import netex, siri, strict
 from .adapters import feed
@@ -22,9 +24,10 @@ def k07_estimated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimated journeys read, written as messages again and read."""
     rows = siri.journeys(estimated_messages(spark, sf_dir))
     place = ["message", "frame", "position"]
-    call = siri.calls(rows).groupBy(*place).agg(F.transform(F.array_sort(F.collect_list(F.struct("call_position", "call"))), lambda c: c["call"]).alias("calls"))
-    journey = F.struct(F.col("journey.LineRef").alias("LineRef"), F.col("journey.FramedVehicleJourneyRef").alias("FramedVehicleJourneyRef"), F.when(F.col("calls").isNotNull(), F.struct(F.col("calls").alias("EstimatedCall"))).alias("EstimatedCalls"))
-    each = rows.join(call, place, "left").select(*place, journey.alias("journey"))
+    calls = fn.array_or_object(F.col("journey.EstimatedCalls.EstimatedCall"), CALL)
+    each = rows.select(*place, "journey", calls.alias("calls"))
+    journey = F.struct(F.col("journey.LineRef").alias("LineRef"), F.col("journey.FramedVehicleJourneyRef").alias("FramedVehicleJourneyRef"), F.when(F.size("calls") > 0, F.struct(F.col("calls").alias("EstimatedCall"))).alias("EstimatedCalls"))
+    each = each.select(*place, journey.alias("journey"))
     frames = each.groupBy("message", "frame").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "journey"))), lambda j: j["journey"]).alias("EstimatedVehicleJourney"))
     whole = frames.groupBy("message").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "EstimatedVehicleJourney"))), lambda f: F.struct(f["EstimatedVehicleJourney"].alias("EstimatedVehicleJourney"))).alias("frames"))
     return shown_calls(siri.journeys(whole.select("message", siri.to_json(F.col("frames"), "ET", F.lit(STAMP)).alias("payload"))))
