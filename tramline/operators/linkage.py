@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..schemas import WEEKDAYS
+from ..session import kept
 from .feed import Feed
 from .rows import first_of, last_of
 
@@ -195,12 +196,13 @@ def nearest_by_journey(refs: DataFrame, journeys: DataFrame, chain: DataFrame, d
     """Phase A: a live journey reference through the timetable chain.
 
     ``refs``: key, ref, date. ``departures``: (journey_id, clock) of journeys.
-    The direction is the timetable's, not the live one.
+    The direction is the timetable's, not the live one. What the chain finds is
+    written once, as ``nearest_start`` reads it three times.
     """
     based = refs.withColumn("base", fn.live_journey_base(F.col("ref"))).where("base <> ''").join(journeys_by_base(journeys), "base")
     found = based.join(chain, "journey_id").join(departures, "journey_id")
     wanted = found.select(key, F.col("public_code").alias("code"), fn.timetable_direction(F.col("direction")).alias("direction_id"), "clock", "date")
-    return nearest_start(wanted, feed, dates, key=key)
+    return nearest_start(kept(wanted), feed, dates, key=key)
 
 
 def in_turn(rows: DataFrame, first: DataFrame, second: DataFrame, key: str) -> DataFrame:
