@@ -22,3 +22,11 @@ def test_a_json_field_is_computed_once(spark):
 
     shown = spark.range(1).select(F.explode(fn.array_or_object(F.upper(F.concat(F.lit('{"a":'), "id", F.lit("}"))), "A string")))._jdf.queryExecution().optimizedPlan().toString()
     assert shown.count("upper(") == 1
+
+
+def test_what_is_used_twice_is_computed_once(spark):
+    from __spark_entry__ import queries
+
+    for name in ("jn15_phase_a", "a15_audit"):
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [l_orderkey") == 1

@@ -13,6 +13,7 @@ from .. import functions as fn
 from ..operators import linkage as link
 from ..operators.feed import Feed
 from ..operators.rows import first_of
+from ..session import kept
 
 
 def latest_per_vehicle(activities: DataFrame, by: str = "vehicle_ref", at: str = "recorded_at") -> DataFrame:
@@ -125,7 +126,9 @@ def alerts(situations: DataFrame, stops: DataFrame, lines: DataFrame, feed: Feed
 
 
 def audit(updates: DataFrame, feed: Feed, dates: DataFrame) -> DataFrame:
-    """Checks of trip updates: one row of counts."""
+    """Checks of trip updates: one row of counts. The updates are written once, as
+    their calls and their heads are counted apart."""
+    updates = kept(updates.select("journey", "trip_id", "direction_id", "start_date", "stop_time_updates"))
     by_seq = Window.partitionBy("journey").orderBy("i")
     flat = updates.select("journey", "trip_id", "direction_id", "start_date", F.posexplode("stop_time_updates").alias("i", "u"))
     flat = flat.withColumn("last", F.lag("u.stop_sequence").over(by_seq))
