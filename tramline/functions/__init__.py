@@ -136,7 +136,7 @@ DAY = r"^\d{4}-\d{2}-\d{2}$"
 def timestamp(c: Column) -> Column:
     """RFC 3339, without zone (UTC) or a date alone; else null. The session's
     time zone has to be UTC."""
-    plain = F.regexp_replace(c, r",(\d+)", r".$1")
+    plain = F.replace(c, F.lit(","), F.lit("."))  # what fits has no other comma
     return F.when(c.rlike(ZONED) | c.rlike(LOCAL) | c.rlike(DAY), F.try_to_timestamp(plain))
 
 

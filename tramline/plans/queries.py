@@ -484,9 +484,10 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_calls(f: Feed) -> DataFrame:
     """A call for each stop time, in reverse for odd trips."""
-    n = F.row_number().over(Window.partitionBy("trip_id").orderBy("stop_sequence", "_ord"))
-    odd = F.col("trip_id").cast("long") % 2 == 1
-    return f.stop_times.select(F.col("trip_id").alias("journey"), "trip_id", "stop_id", F.when(odd, -n).otherwise(n).alias("position"), "arrival_time")
+    n = F.row_number().over(Window.partitionBy("journey").orderBy("stop_sequence", "_ord"))
+    numbered = f.stop_times.withColumn("journey", F.col("trip_id")).withColumn("n", n)
+    odd = F.col("journey").cast("long") % 2 == 1
+    return numbered.select("journey", "trip_id", "stop_id", F.when(odd, -F.col("n")).otherwise(F.col("n")).alias("position"), "arrival_time")
 
 
 CALLS = """calls as (select trip_id, stop_id, arrival_time, case when trip_id::bigint % 2 = 1 then -n else n end as position from (

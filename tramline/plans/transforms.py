@@ -66,18 +66,25 @@ def trip_updates(journeys: DataFrame, calls: DataFrame, feed: Feed, resolved: Da
     arrival and departure. ``resolved``: (journey, trip_id). A call takes its
     occurrence at the stop even if it then has no real-time data; journeys
     without a trip or without a call left give nothing.
+
+    Delays are computed before the calls are numbered, so that they are computed
+    once and two numbers move on instead of four timestamps; calls that are met
+    are dealt by journey before they are gathered.
     """
-    known = resolved.join(feed.trip().select("trip_id", "route_id", "direction_id"), "trip_id")
-    placed = link.resolve_stop(calls.join(known.select("journey", "trip_id"), "journey"), feed, "stop_ref").where("stop_id <> ''")
-    met = link.nth_occurrence(placed, feed, "journey")
-    timed = met.select(
+    found = resolved.select("journey", "trip_id")
+    placed = link.resolve_stop(calls.join(found, "journey"), feed, "stop_ref").where("stop_id <> ''")
+    late = placed.select(
         "journey",
-        "stop_sequence",
+        "trip_id",
         "stop_id",
+        "position",
         fn.delay(F.col("expected_arrival"), F.col("aimed_arrival")).alias("arrival_delay"),
         fn.delay(F.col("expected_departure"), F.col("aimed_departure")).alias("departure_delay"),
-    ).where("arrival_delay is not null or departure_delay is not null")
-    updates = timed.groupBy("journey").agg(F.array_sort(F.collect_list(F.struct("stop_sequence", "stop_id", "arrival_delay", "departure_delay"))).alias("stop_time_updates"))
+    )
+    timed = link.nth_occurrence(late, feed, "journey").where("arrival_delay is not null or departure_delay is not null")
+    call = F.struct("stop_sequence", "stop_id", "arrival_delay", "departure_delay")
+    updates = timed.select("journey", call.alias("call")).repartition("journey").groupBy("journey").agg(F.sort_array(F.collect_list("call")).alias("stop_time_updates"))
+    known = found.join(feed.trip().select("trip_id", "route_id", "direction_id"), "trip_id")
     out = journeys.join(known, "journey").join(updates, "journey")
     at = F.coalesce(fn.epoch(F.col("recorded_at")), header if header is not None else F.lit(0).cast("long"))
     return out.select(
