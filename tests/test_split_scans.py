@@ -221,3 +221,26 @@ def test_a_range_that_begins_in_no_comment(tmp_path):
     assert of(3, b"-->") is None and of(3, b"").closed == 1
     for start in range(inner - 1, inner + 7):  # up to the end that stands across it
         assert of(start, b"-->").closed == 1, start
+
+
+def test_a_short_last_chunk_of_a_piece_is_read():
+    """What a parser put off as an unfinished tag ends in the last, shorter chunk."""
+    prefix = b"<PublicationDelivery><dataObjects><CompositeFrame><frames><TimetableFrame><vehicleJourneys>"
+    data = b"<ServiceJourney id='a'/><ServiceJourney id='" + b"b" * 5_000 + b"'/>"
+    rows = list(netex.entities([data[:-10], data[-10:]], prefix=prefix, whole=False))
+    assert [r[1]["id"][0] for r in rows] == ["a", "b"]
+
+
+def test_tags_of_a_range_are_told_apart_at_once(tmp_path):
+    """As one after the other, whatever the range begins in, and with a fraction of the steps."""
+    text = b"".join([b"<a x='>'>", b"<ns:frames y=\"/\">", b"<!-- <b> > ]]> -->", b"<e/> > ", b"<![CDATA[ <c> --> ]]>", b"<?p <d> ?>", b"</ns:frames >", b"<frames>t</frames>", b"</a>"] * 3)
+    (tmp_path / "a.xml").write_bytes(text)
+    with files.opened(str(tmp_path / "a.xml")) as file:
+        for start in range(3, len(text) - 1, 5):
+            for end in range(start + 1, len(text) + 1, 37):
+                got = split_xml.effects_of(file, start, end, len(text), b"frames")
+                for inside in (b"", *split_xml.ENDS.values()):
+                    one = split_xml.effect(file, start, end, inside, b"frames")
+                    assert one is None or got[inside.decode()] == one
+    big = b"<a>" + b"<b c='1'><d>x</d></b>" * 50_000
+    assert split_xml.effect_at_once(big, 0, len(big), b"frames") == split_xml.Effect(0, ["<a>"], "", [])

@@ -29,20 +29,27 @@ ORDERS, PIECE = 20_000, 1 << 20
 def journey_files(spark: SparkSession, sf_dir: str) -> str:
     """Timetables with a journey for each order and a passing time for each of its
     lines, so many orders to a file, with comments that look like journeys."""
-    line = read(spark, sf_dir, "lineitem")
-    time = F.concat(F.lit("<TimetabledPassingTime id='"), "l_orderkey", F.lit(":"), "l_linenumber", F.lit("'><StopPointInJourneyPatternRef ref='S:"), "l_suppkey", F.lit("' order='"), "l_linenumber", F.lit("'/></TimetabledPassingTime>"))
-    times = line.select(F.col("l_orderkey").alias("o_orderkey"), F.struct("l_linenumber", time.alias("xml")).alias("t")).groupBy("o_orderkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list("t")), lambda t: t["xml"]), "").alias("times"))
-    o = read(spark, sf_dir, "orders").join(times, "o_orderkey", "left")
-    remark = F.when(F.col("o_orderkey") % 10 == 0, "<!-- <ServiceJourney id='no'/> > -->").otherwise("")
-    journey = F.concat(F.lit("<ServiceJourney id='J:"), "o_orderkey", F.lit("'>"), remark, F.lit("<Name>"), "o_orderpriority", F.lit("</Name><passingTimes>"), F.coalesce("times", F.lit("")), F.lit("</passingTimes><LineRef ref='L:"), "o_custkey", F.lit("'/></ServiceJourney>"))
-    number = F.floor(F.col("o_orderkey") / ORDERS)
-    rows = o.select(number.alias("file"), F.col("o_orderkey").alias("place"), journey.alias("value"))
-    around = rows.groupBy("file").agg(F.lit("").alias("x")).select("file", F.inline(F.array(
-        F.struct(F.lit(-1).cast("long").alias("place"), F.lit("<?xml version='1.0' encoding='UTF-8'?><PublicationDelivery xmlns='http://www.netex.org.uk/netex'><dataObjects><CompositeFrame><frames><TimetableFrame><vehicleJourneys>").alias("value")),
-        F.struct(F.lit(1 << 62).alias("place"), F.lit("</vehicleJourneys></TimetableFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>").alias("value")),
+    o, line = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
+    number = lambda key: F.floor(F.col(key) / ORDERS).alias("file")
+    journey, time = F.struct("o_custkey", "o_orderpriority"), F.struct("l_linenumber", "l_suppkey")
+    no_journey, no_time, no_text = F.lit(None).cast("struct<o_custkey:long,o_orderpriority:string>"), F.lit(None).cast("struct<l_linenumber:int,l_suppkey:long>"), F.lit(None).cast("string")
+    place = lambda key: F.col(key).alias("place")
+    around = o.select(number("o_orderkey")).distinct().select("file", F.inline(F.array(
+        F.struct(F.lit(-1).cast("long").alias("place"), F.lit("<?xml version='1.0' encoding='UTF-8'?><PublicationDelivery xmlns='http://www.netex.org.uk/netex'><dataObjects><CompositeFrame><frames><TimetableFrame><vehicleJourneys>").alias("text")),
+        F.struct(F.lit(1 << 62).alias("place"), F.lit("</vehicleJourneys></TimetableFrame></frames></CompositeFrame></dataObjects></PublicationDelivery>").alias("text")),
     )))
+    rows = o.select(number("o_orderkey"), place("o_orderkey"), journey.alias("journey"), no_time.alias("time"), no_text.alias("text"))
+    rows = rows.union(line.select(number("l_orderkey"), place("l_orderkey"), no_journey, time, no_text)).union(around.select("file", "place", no_journey, no_time, "text"))
+    # dealt by file once, as keys and numbers; the text is made where it is written
+    each = rows.repartition("file").groupBy("file", "place").agg(F.collect_list("journey").alias("journeys"), F.collect_list("time").alias("times"), F.max("text").alias("text"))
+    key = F.col("place")
+    time_xml = lambda t: F.concat(F.lit("<TimetabledPassingTime id='"), key, F.lit(":"), t["l_linenumber"], F.lit("'><StopPointInJourneyPatternRef ref='S:"), t["l_suppkey"], F.lit("' order='"), t["l_linenumber"], F.lit("'/></TimetabledPassingTime>"))
+    times = F.array_join(F.transform(F.sort_array(F.transform("times", lambda t: F.struct(t["l_linenumber"].alias("n"), time_xml(t).alias("xml")))), lambda t: t["xml"]), "")
+    remark = F.when(key % 10 == 0, "<!-- <ServiceJourney id='no'/> > -->").otherwise("")
+    journey_xml = lambda j: F.concat(F.lit("<ServiceJourney id='J:"), key, F.lit("'>"), remark, F.lit("<Name>"), j["o_orderpriority"], F.lit("</Name><passingTimes>"), F.col("times"), F.lit("</passingTimes><LineRef ref='L:"), j["o_custkey"], F.lit("'/></ServiceJourney>"))
+    made = each.withColumn("times", times).select("file", "place", F.explode(F.when(F.col("text").isNotNull(), F.array("text")).otherwise(F.transform("journeys", journey_xml))).alias("value"))
     folder = shared_dir(spark)
-    rows.union(around).repartition("file").sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(folder)
+    made.sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(folder)
     return folder
 
 

@@ -28,6 +28,8 @@ from ..session import shared_dir
 from . import files, split_xml
 
 SCHEMA = "type string, seq long, fields map<string,string>, file string"
+#: Most pieces whose numbers of rows are sent to all tasks, so that rows stay where they are.
+BROADCAST_PIECES = 200_000
 #: Attributes that any entity may have.
 ATTRIBUTES = {
     "id": "id", "version": "version", "responsibilitySetRef": "responsibility_set_ref", "created": "created", "changed": "changed",
@@ -121,99 +123,170 @@ def snake(name: str) -> str:
 
 def own_text(e: ElementTree.Element) -> str:
     """An element's character data without that of nested elements."""
-    return "".join([e.text or "", *((c.tail or "") for c in e)]).strip()
+    return "".join([e.text or "", *((c.tail or "") for c in e)]).strip() if len(e) else (e.text or "").strip()
 
 
 def attribute(e: ElementTree.Element, name: str) -> str:
-    return next((v for k, v in e.attrib.items() if local(k) == name), "")
+    for k, v in e.items():
+        if k == name or local(k) == name:
+            return v
+    return ""
 
 
 Row = tuple[str, dict[str, str]]
 
 
-def entity(e: ElementTree.Element, kind: str, tables: dict, parent: dict[str, str] | None = None) -> Iterator[Row]:
-    """The rows of one element: its children's first, then its own."""
-    wanted = {*tables[kind][1].split(), *EXTRA.get(kind, "").split()} if kind in tables else set()
-    fields = {name: v for a, name in ATTRIBUTES.items() if (v := attribute(e, a))} | (parent or {})
-    for c in e:
-        tag = local(c.tag)
+class Reader:
+    """Rows of elements. What a child or an attribute means is worked out once for each
+    kind of entity and name, as a file has few of these and many elements."""
+
+    def __init__(self, tables: dict, types: Sequence[str] | None = None):
+        self.tables, self.types = tables, types
+        self.steps: dict[str, dict[str, tuple[str, str, str]]] = {}
+        self.names: dict[str, str | None] = {}
+
+    def step(self, kind: str, tag: str) -> tuple[str, str, str]:
+        """(what to do, field or child entity, its language's field or key) for a child."""
+        wanted = {*self.tables[kind][1].split(), *EXTRA.get(kind, "").split()} if kind in self.tables else set()
         field = RENAMED.get((kind, tag)) or snake(tag)
         if (kind, tag) in CHILDREN:
-            child, key = CHILDREN[kind, tag]
-            for x in c:
-                if local(x.tag) == child:
-                    yield from entity(x, child, tables, {key: fields.get("id", "")})
-        elif tag in ("Centroid", "Location"):
-            fields |= {snake(local(x.tag)): own_text(x) for x in c.iter() if local(x.tag) in ("Longitude", "Latitude")}
-        elif tag in ("From", "To") and kind == "SiteConnection":
-            fields |= {f"{tag.lower()}_{snake(local(x.tag))}": attribute(x, "ref") for x in c if local(x.tag) in ("StopPlaceRef", "QuayRef")}
-        elif tag == "WalkTransferDuration" and kind == "SiteConnection":
-            fields |= {"default_duration": own_text(x) for x in c if local(x.tag) == "DefaultDuration"}
-        elif tag in ("dayTypes", "trainNumbers") and kind == "ServiceJourney":
-            fields |= {snake(local(x.tag)): attribute(x, "ref") for x in c}  # the last of several
-        elif tag == "ValidBetween":
-            fields |= {f"valid_between_{snake(local(x.tag))[:-5]}": own_text(x) for x in c if local(x.tag) in ("FromDate", "ToDate")}
-        elif tag == "keyList":
-            fields |= {f"key:{own_text(k)}": own_text(v) for x in c if (k := child_of(x, "Key")) is not None and (v := child_of(x, "Value")) is not None}
-        elif tag == "TransportSubmode":
-            fields |= {"transport_submode": own_text(c[0]) if len(c) else ""} if field in wanted else {}
-        elif field in wanted:
-            if tag.endswith("Ref"):
+            return "children", *CHILDREN[kind, tag]
+        if tag in ("Centroid", "Location", "ValidBetween", "keyList") or tag in ("From", "To", "WalkTransferDuration") and kind == "SiteConnection" or tag in ("dayTypes", "trainNumbers") and kind == "ServiceJourney":
+            return "nested", tag, ""
+        if field not in wanted:
+            return "none", "", ""
+        if tag == "TransportSubmode":
+            return "first", field, ""
+        if tag.endswith("Ref"):
+            return "ref", field, "order" if field == "stop_point_in_jp_ref" else ""
+        return "text", field, f"{field}_lang" if f"{field}_lang" in wanted else ""
+
+    def add(self, out: list[Row], e: ElementTree.Element, kind: str, parent: dict[str, str] | None = None) -> None:
+        """Adds the rows of one element: its children's first, then its own."""
+        fields: dict[str, str] = {}
+        names, steps = self.names, self.steps.setdefault(kind, {})
+        for a, v in e.items():
+            if a not in names:
+                names[a] = ATTRIBUTES.get(local(a))
+            if (name := names[a]) is not None and name not in fields:
+                fields[name] = v
+        if "" in fields.values():
+            fields = {k: v for k, v in fields.items() if v}
+        if parent:
+            fields.update(parent)
+        for c in e:
+            if (found := steps.get(c.tag)) is None:
+                found = steps[c.tag] = self.step(kind, local(c.tag))
+            what, field, other = found
+            if what == "ref":
                 fields[field] = attribute(c, "ref")
-                if field == "stop_point_in_jp_ref":
-                    fields["order"] = attribute(c, "order")
-            else:
+                if other:
+                    fields[other] = attribute(c, "order")
+            elif what == "text":
                 fields[field] = own_text(c)
-                if f"{field}_lang" in wanted:
-                    fields[f"{field}_lang"] = attribute(c, "lang")
-    yield kind, fields
+                if other:
+                    fields[other] = attribute(c, "lang")
+            elif what == "children":
+                owner = {other: fields.get("id", "")}
+                for x in c:
+                    if local(x.tag) == field:
+                        self.add(out, x, field, owner)
+            elif what == "first":
+                fields[field] = own_text(c[0]) if len(c) else ""
+            elif what == "nested":
+                fields.update(nested(c, field))
+        if self.types is None or kind in self.types:
+            out.append((kind, fields))
+
+
+def nested(c: ElementTree.Element, tag: str) -> dict[str, str]:
+    """The fields that a child gives by what is in it."""
+    if tag in ("Centroid", "Location"):
+        return {snake(local(x.tag)): own_text(x) for x in c.iter() if local(x.tag) in ("Longitude", "Latitude")}
+    if tag in ("From", "To"):
+        return {f"{tag.lower()}_{snake(local(x.tag))}": attribute(x, "ref") for x in c if local(x.tag) in ("StopPlaceRef", "QuayRef")}
+    if tag == "WalkTransferDuration":
+        return {"default_duration": own_text(x) for x in c if local(x.tag) == "DefaultDuration"}
+    if tag in ("dayTypes", "trainNumbers"):
+        return {snake(local(x.tag)): attribute(x, "ref") for x in c}  # the last of several
+    if tag == "ValidBetween":
+        return {f"valid_between_{snake(local(x.tag))[:-5]}": own_text(x) for x in c if local(x.tag) in ("FromDate", "ToDate")}
+    return {f"key:{own_text(k)}": own_text(v) for x in c if (k := child_of(x, "Key")) is not None and (v := child_of(x, "Value")) is not None}
 
 
 def child_of(e: ElementTree.Element, tag: str) -> ElementTree.Element | None:
     return next((x for x in e if local(x.tag) == tag), None)
 
 
+#: Where the frames of a file are.
+FRAMES_AT = ("PublicationDelivery", "dataObjects", "CompositeFrame", "frames")
+
+
 def entities(data: Iterable[bytes], name: str | tuple[dict, dict] = "epip", types: Sequence[str] | None = None, prefix: bytes = b"", whole: bool = True) -> Iterator[Row]:
     """Entity rows of one file, or of a piece behind its ``prefix``, frame by
     frame, in constant memory; a ``whole`` document has to end well.
 
     Only frames of the first CompositeFrame below PublicationDelivery /
-    dataObjects count; unknown frames and collections are passed over.
+    dataObjects count; unknown frames and collections are passed over. The parser
+    builds elements by itself; after each chunk those that have ended are read and
+    dropped, so that Python does nothing at each start and end tag.
     """
     tables, frames = profile(name) if isinstance(name, str) else name
-    path: list[str] = []
-    parser = ElementTree.XMLPullParser(("start", "end"))
+    reader = Reader(tables, types)
+    parser = ElementTree.XMLPullParser(("start",))  # its first event gives the root
+    root: ElementTree.Element | None = None
     done = False
 
-    def events() -> Iterator[tuple[str, ElementTree.Element]]:
-        for part in chain([prefix], data):
-            parser.feed(part)
-            yield from parser.read_events()
-        if whole:
-            parser.close()
-            yield from parser.read_events()
-
-    above: list[ElementTree.Element] = []
-    for event, e in events():
-        if event == "start":
-            path.append(local(e.tag))
-            above.append(e)
-            continue
-        here, tag = tuple(path), path.pop()
-        above.pop()
-        if here[:2] != ("PublicationDelivery", "dataObjects") or done:
-            e.clear()
-        elif here[2:4] == ("CompositeFrame", "frames"):
-            if len(here) == 4:
-                done = True
-            inside = here[5:] if len(here) < 6 or here[5] != "ServiceCalendar" else here[6:]
-            if len(here) > 5 and len(inside) == 2 and here[4] in frames and inside[0] in frames[here[4]]:
-                kind = frames[here[4]][inside[0]] or SAME_AS.get(tag, tag)
-                if kind in tables:
-                    yield from (r for r in entity(e, kind, tables) if types is None or r[0] in types)
-                above[-1].clear()  # with the entity in it
-        if len(here) == 5:
-            e.clear()
+    def kind_of(here: tuple[str, ...]) -> str | None:
+        """The entity of an element of a collection, None if it is in no table."""
+        inside = here[5:] if here[5] != "ServiceCalendar" else here[6:]
+        kind = frames.get(here[4], {}).get(inside[0], "") or SAME_AS.get(inside[1], inside[1])
+        return kind if inside[0] in frames.get(here[4], {}) and kind in tables else None
+
+    def ended(e: ElementTree.Element, here: tuple[str, ...], over: bool) -> Iterator[Row]:
+        """The rows of what has ended in an element, which is dropped; the last child
+        may go on unless the element is ``over``."""
+        nonlocal done
+        n, out, kinds = len(e), [], {}
+        entity = len(here) == 7 or len(here) == 6 and here[5] != "ServiceCalendar"
+        for k, c in enumerate(e):
+            past = over or k + 1 < n
+            if entity:
+                if not past or done:
+                    continue
+                if c.tag not in kinds:
+                    kinds[c.tag] = kind_of((*here, local(c.tag)))
+                if (kind := kinds[c.tag]) is not None:
+                    reader.add(out, c, kind)
+                    yield from out
+                    out.clear()
+                continue
+            there = (*here, local(c.tag))
+            if not done and there[:4] == FRAMES_AT[: len(there)]:
+                yield from ended(c, there, past)
+                done = done or past and there == FRAMES_AT
+            elif not past:
+                while len(c):  # of no use, so only what is still open stays
+                    del c[:-1]
+                    c = c[-1]
+        del e[: n if over else n - 1]
+
+    def read(over: bool) -> Iterator[Row]:
+        nonlocal root
+        for _, e in parser.read_events():
+            if root is None:
+                root = e
+        if root is not None:
+            yield from ended(root, (local(root.tag),), over)
+
+    for part in chain([prefix], data):
+        parser.feed(part)
+        yield from read(False)
+    if whole:
+        parser.close()
+    else:
+        parser.flush()  # a short last chunk may have been put off
+    yield from read(True)
 
 
 def between(names: list[bytes]) -> bool:
@@ -254,13 +327,14 @@ def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence
     if over.isEmpty():
         return found
     cuts = split_xml.pieces(over, between, ("PublicationDelivery", "dataObjects", "CompositeFrame", "frames"), piece)
-    rows = split_xml.dealt(cuts, cuts.count()).mapInArrow(large, f"{SCHEMA}, start long")
+    n = cuts.count()
+    rows = split_xml.dealt(cuts, n).mapInArrow(large, f"{SCHEMA}, start long")
     folder = shared_dir(spark)
     rows.write.parquet(folder)
     rows = spark.read.schema(f"{SCHEMA}, start long").parquet(folder)
     order = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    before = rows.groupBy("file", "start").count().withColumn("before", F.coalesce(F.sum("count").over(order), F.lit(0)))  # a row for each piece
-    placed = rows.join(before.select("file", "start", "before"), ["file", "start"])
+    before = rows.groupBy("file", "start").count().select("file", "start", F.coalesce(F.sum("count").over(order), F.lit(0)).alias("before"))  # a row for each piece
+    placed = rows.join(F.broadcast(before) if n <= BROADCAST_PIECES else before, ["file", "start"])
     return found.union(placed.select("type", (F.col("seq") + F.col("before")).alias("seq"), "fields", "file"))
 
 

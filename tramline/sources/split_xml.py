@@ -19,12 +19,13 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .files import CHUNK, opened
+from .files import CHUNK, chunks, opened
 
 #: Bytes of a piece, about.
 PIECE = 32 << 20
@@ -33,6 +34,10 @@ TASKS_A_CORE = 32
 #: What ends the constructs that a range may begin in, by their first characters.
 ENDS = {b"<!--": b"-->", b"<![CDATA[": b"]]>", b"<?": b"?>"}
 TAG = re.compile(rb"<(/?)([^\s/>!?\"'<]+)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*)>")
+MARKUP = re.compile(rb"<(?:!--|!\[CDATA\[|\?)")
+#: For the tags of a range to be told apart at once: bytes behind it in which the last one
+#: has to end, and the most elements in it that are asked about.
+BEHIND, ASKED = 1 << 16, 64
 #: Files that are not cut: archives, text of two bytes a character, own entities.
 WHOLE = re.compile(rb"PK|\xfe\xff|\xff\xfe|.*<!DOCTYPE", re.S)
 DECLARATION = re.compile(rb"(?:\xef\xbb\xbf)?(<\?xml[^>]*\?>)")
@@ -148,6 +153,73 @@ def effect(file: pa.NativeFile, start: int, end: int, inside: bytes, noted: byte
     return out
 
 
+def unmatched(step: np.ndarray) -> tuple[int, np.ndarray]:
+    """Of tags in order, 1 for a start tag, -1 for an end tag and 0 for both in one: how
+    many elements they close that were open before, and the start tags left open."""
+    if not len(step):
+        return 0, np.zeros(0, np.int64)
+    depth = np.cumsum(step, dtype=np.int32)
+    lowest_from_here = np.minimum.accumulate(depth[::-1])[::-1]
+    return max(0, -int(depth.min())), np.flatnonzero((step == 1) & (lowest_from_here >= depth))
+
+
+def effect_at_once(data: bytes, start: int, size: int, noted: bytes) -> Effect | None:
+    """``effect`` of the first ``size`` bytes of ``data``, which begin at the place
+    ``start``, outside of comments and the like; None if its tags are unusual."""
+    out, plain, behind = Effect(), bytearray(data), 0
+    while (m := MARKUP.search(data, behind)) and m.start() < size:
+        found = data.find(ENDS[m[0]], m.end())
+        behind = found + len(ENDS[m[0]]) if found >= 0 else len(data)
+        if found < 0 or behind > size:
+            out.inside = ENDS[m[0]].decode()
+        plain[m.start() : behind] = b" " * (behind - m.start())
+    seen = np.frombuffer(plain, np.uint8)
+    left, right = np.flatnonzero(seen[:size] == ord("<")), np.flatnonzero(seen == ord(">"))
+    if not len(left):
+        return out
+    following = plain.find(b"<", int(left[-1]) + 1)
+    first, upto = np.searchsorted(right, left), np.searchsorted(right, np.append(left[1:], following if following >= 0 else len(data)))
+    if np.any(first == upto):
+        return None  # a tag without an end
+    last, unclear = right[first], upto - first > 1  # as one of these may stand in an attribute
+    unclear[-1] = True
+    for k in np.flatnonzero(unclear):
+        if (tag := TAG.match(plain, int(left[k]))) is None:
+            return None
+        last[k] = tag.end() - 1
+    second = seen[left + 1]
+    if np.any((second == ord("!")) | (second == ord("?"))):
+        return None
+    step = np.where(second == ord("/"), -1, np.where(seen[last - 1] == ord("/"), 0, 1)).astype(np.int8)
+    tags = lambda which: [bytes(plain[left[k] : last[k] + 1]).decode("latin-1") for k in which]
+    out.closed, opened = unmatched(step)
+    out.opened = tags(opened)
+    asked = [m.start() for m in re.finditer(rb"</(?:[^\s/>!?\"'<]*:)?" + re.escape(noted) + rb"(?=[\s>])", plain[: size + len(noted) + BEHIND]) if m.start() < size]
+    if len(asked) > ASKED:
+        return None
+    for place in asked:
+        closed, opened = unmatched(step[: int(np.searchsorted(left, place)) + 1])
+        out.ends.append((closed, tags(opened), start + place))
+    return out
+
+
+def effects_of(file: pa.NativeFile, start: int, end: int, length: int, noted: bytes) -> dict[str, Effect | None]:
+    """The effect of a range by what it may begin in: all its tags are told apart at once
+    if they are as usual, else one after the other."""
+    lead = min(start, 3)  # what ends a comment may stand across the start
+    data = b"".join(chunks(file, start - lead, min(length, end + BEHIND)))
+    out: dict[str, Effect | None] = {}
+    for inside in (b"", *ENDS.values()) if start else (b"",):
+        at = data.find(inside, lead - min(lead, len(inside) - 1)) if inside else lead
+        behind, found = at + len(inside), None
+        if at < 0 and len(data) >= end - start + lead:
+            found = Effect(inside=inside.decode())
+        elif 0 <= at and behind <= lead + end - start and not (inside == b"-->" and b"--" in data[lead + 3 : at]):
+            found = effect_at_once(data[behind:], start + behind - lead, end - start + lead - behind, noted)
+        out[inside.decode()] = effect(file, start, end, inside, noted) if found is None else found
+    return out
+
+
 def ranges(files: DataFrame, size: int) -> DataFrame:
     """(path, start, end, length, head) of large files (path, length): ranges of
     ``size`` bytes; a file that cannot be cut is one. ``head`` is its declaration."""
@@ -189,7 +261,7 @@ def pieces(files: DataFrame, allowed: Callable[[list[bytes]], bool], last: tuple
             found = []
             for path, start, end, length in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 with opened(path) as file:
-                    each = {i.decode(): effect(file, start, end, i, noted) for i in (b"", *ENDS.values())} if end - start < length else {}
+                    each = effects_of(file, start, end, length, noted) if end - start < length else {}
                 found.append(json.dumps({i: asdict(e) for i, e in each.items() if e}))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "effects"])
 
