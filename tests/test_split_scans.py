@@ -8,11 +8,12 @@ import threading
 import zipfile
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
+import pyarrow as pa
 import pytest
 
 from tramline import sinks
 from tramline.sinks import committed
-from tramline.sources import files, gtfs, gtfsrt, netex, split_xml
+from tramline.sources import files, gtfs, gtfsrt, netex, split_feeds, split_xml
 
 
 def document(n: int, seed: int = 0, encoding: str = "utf-8", doctype: str = "") -> bytes:
@@ -244,3 +245,40 @@ def test_tags_of_a_range_are_told_apart_at_once(tmp_path):
                     assert one is None or got[inside.decode()] == one
     big = b"<a>" + b"<b c='1'><d>x</d></b>" * 50_000
     assert split_xml.effect_at_once(big, 0, len(big), b"frames") == split_xml.Effect(0, ["<a>"], "", [])
+
+
+def test_packed_feeds_are_cut_and_read_like_others(spark, tmp_path):
+    n = 20_000
+    sinks.write_feed(vehicles(spark, n), 7, {f: f"{tmp_path}/a/f.{f}" for f in ("pb", "json")})
+    sinks.write_feed(vehicles(spark, n), 7, {f: f"{tmp_path}/b/f.{f}.zst" for f in ("pb", "json")})
+    rows = lambda folder, **o: sorted((r["file"].rpartition("/")[2].removesuffix(".zst"), r["place"], r["id"], r["entity"]["vehicle"]["timestamp"]) for r in gtfsrt.read(spark, str(tmp_path / folder), **o).collect())
+    want = rows("a")
+    assert len(want) == 2 * n == len({r[:2] for r in want}) == len({(r[0], r[2]) for r in want})
+    assert rows("b") == want == rows("b", size=100_000) == rows("a", size=100_000) == rows("b", size=100_000, fields="vehicle struct<timestamp: long>")
+    for f in ("pb", "json"):
+        plain = (tmp_path / "a" / f"f.{f}").read_bytes()
+        assert (tmp_path / "b" / f"f.{f}.zst").stat().st_size < len(plain) / 3
+        with files.opened(str(tmp_path / "b" / f"f.{f}.zst")) as file:
+            assert file.size() == len(plain) and b"".join(files.streamed(file)) == plain
+            for at in (0, 1, 777, len(plain) // 2, len(plain) - 1):
+                assert b"".join(files.chunks(file, at, min(len(plain), at + 3_000))) == plain[at : at + 3_000]
+        (tmp_path / "c").mkdir(exist_ok=True)
+        (tmp_path / "c" / f"f.{f}.zst").write_bytes(files.packed(plain)[0])  # without a seek table
+    assert rows("c", size=1_000) == want
+
+
+def test_parts_are_removed_as_they_are_joined(spark, tmp_path):
+    sinks.write_feed(vehicles(spark, 40), 7, {"pb": f"{tmp_path}/f.pb"}, staging=f"{tmp_path}/stage", batch="1")
+    assert [p.name for p in (tmp_path / "stage").iterdir()] == ["delivered-1-0"]
+
+
+def test_a_range_whose_end_is_guessed_within_a_text_is_read_on():
+    """A guess that is no end of an entity leaves no list of entities behind the range's beginning."""
+    inner = '{"id": "x", "alert": {}}'
+    feed = ('{"entity": [' + ", ".join(json.dumps({"id": str(k), "alert": {"url": {"translation": [{"text": f"[{inner}, {inner}, {inner}]" * 20}]}}}) for k in range(60)) + "]}").encode()
+    places = [p for p, _ in split_feeds.json_entities([feed])]
+    for k, end in ((1, places[9] + 300), (5, places[30]), (3, len(feed))):
+        found = split_feeds.json_walked(pa.BufferReader(feed), places[k], end, len(feed))
+        if found is not None:
+            behind = next((p for p in places if p >= end), len(feed))
+            assert found == (behind, sum(places[k] <= p < behind for p in places))

@@ -160,7 +160,8 @@ def r05(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An alert for each order, in one language or two."""
-    o, key = read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    o, key = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("o_orderkey")
+    o = o.repartition(4 * spark.sparkContext.defaultParallelism)  # they are much larger as alerts
     german, italian = (F.struct(text.alias("text"), F.lit(language).alias("language")) for text, language in ((F.col("o_orderpriority"), "de"), (F.lit("città"), "it")))
     return o.select(
         F.concat(F.lit("A"), key).alias("entity_id"), F.array(F.struct((F.lit(1_700_000_000) + key).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))).alias("active_period"),
@@ -182,15 +183,16 @@ def r04(spark: SparkSession, sf_dir: str) -> DataFrame:
   'de:' || o_orderpriority || case when o_orderkey % 2 = 0 then ',it:città' else '' end as texts, null::varchar as delays from orders cross join (values ('json'), ('pb')) x(f)
 union all select f, 'U' || o_orderkey, 'R' || o_custkey, null, null, null, coalesce((select string_agg(l_linenumber || '/' || (l_linenumber * 60 - 120), ',' order by l_linenumber, l_suppkey) from lineitem where l_orderkey = o_orderkey), '') from orders cross join (values ('json'), ('pb')) x(f)""")
 def r07(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feeds of alerts and of trip updates in both forms, read as columns."""
+    """Feeds of alerts and of trip updates in both forms, packed, read as columns."""
     folder = shared_dir(spark)
     for name, entities in (("alerts", gtfsrt.alert_entities(alert_rows(spark, sf_dir))), ("updates", gtfsrt.trip_entities(update_rows(spark, sf_dir)))):
-        sinks.write_feed(entities, 1_772_360_430, {f: f"{folder}/{name}.{f}" for f in ("pb", "json")})
+        sinks.write_feed(entities, 1_772_360_430, {f: f"{folder}/{name}.{f}.zst" for f in ("pb", "json")})
     alert, update = F.col("entity.alert"), F.col("entity.trip_update")
     shown = lambda c, f: F.array_join(F.transform(c, f), ",")
     delays = F.coalesce(shown(update["stop_time_update"], lambda u: F.concat(u["stop_sequence"], F.lit("/"), u["arrival"]["delay"])), F.lit(""))
-    return gtfsrt.read(spark, folder).select(
-        F.regexp_extract("file", "[a-z]+$", 0).alias("file"), "id", F.coalesce(alert["informed_entity"][0]["route_id"], update["trip"]["route_id"]).alias("route_id"), alert["active_period"][0]["start"].alias("start"), alert["cause"].alias("cause"),
+    asked = "alert struct<active_period: array<struct<start: long>>, informed_entity: array<struct<route_id: string>>, cause: string, header_text: struct<translation: array<struct<text: string, language: string>>>>, trip_update struct<trip: struct<route_id: string>, stop_time_update: array<struct<stop_sequence: long, arrival: struct<delay: long>>>>"
+    return gtfsrt.read(spark, folder, fields=asked).select(
+        F.regexp_extract("file", "([a-z]+)[.]zst$", 1).alias("file"), "id", F.coalesce(alert["informed_entity"][0]["route_id"], update["trip"]["route_id"]).alias("route_id"), alert["active_period"][0]["start"].alias("start"), alert["cause"].alias("cause"),
         shown(alert["header_text"]["translation"], lambda t: F.concat(t["language"], F.lit(":"), t["text"])).alias("texts"), F.when(update.isNotNull(), delays).alias("delays"),
     )
 

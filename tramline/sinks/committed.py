@@ -4,6 +4,8 @@ Rows are (target, part): tasks append each target's parts, in the order of the r
 to a file of their own in a staging folder; when all tasks are done the commit joins
 the files of each target, in the order of the partitions, a block at a time, and puts
 the result in its place or sends it by HTTP PUT. Nothing is seen of a job that fails.
+A file whose name ends in ``.zst`` is packed where its parts are written, a frame for
+each part, and can be read at any place (``files.Packed``).
 A batch that was delivered leaves a mark, so that the same batch, run again, is not
 delivered twice.
 """
@@ -29,10 +31,15 @@ from ..sources import files
 
 @dataclass
 class Parts(WriterCommitMessage):
-    """What a task has written: for each target its file and its bytes."""
+    """What a task has written: for each target its file, its bytes and, if it is
+    packed, the frames' entries for the seek table."""
 
     place: int
-    written: dict[str, tuple[str, int]]
+    written: dict[str, tuple[str, int, bytes]]
+
+
+def is_packed(target: str) -> bool:
+    return target.endswith(".zst") and not target.startswith(("http://", "https://"))
 
 
 def envelope(before: bytes = b"", between: bytes = b"", after: bytes = b"", optional: bool = False) -> dict:
@@ -57,7 +64,7 @@ class Assembler:
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Parts:
         place = TaskContext.get().partitionId()
         out: dict[str, pa.NativeFile] = {}
-        written: dict[str, tuple[str, int]] = {}
+        written: dict[str, tuple[str, int, bytearray]] = {}
         try:
             for batch in iterator:
                 for target, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -66,30 +73,48 @@ class Assembler:
                     between = self.around(target)[0][1] if target in written else b""
                     if target not in out:
                         path = f"{self.staging}/{uuid.uuid4().hex}"
-                        out[target], written[target] = files.created(path), (path, 0)
-                    out[target].write(between + (part or b""))
-                    written[target] = written[target][0], written[target][1] + len(between) + len(part or b"")
+                        out[target], written[target] = files.created(path), (path, 0, bytearray())
+                    data = between + (part or b"")
+                    if is_packed(target) and data:
+                        data, entry = files.packed(data)
+                        written[target][2].extend(entry)
+                    out[target].write(data)
+                    written[target] = written[target][0], written[target][1] + len(data), written[target][2]
         finally:
             for file in out.values():
                 file.close()
-        return Parts(place, written)
+        return Parts(place, {t: (path, n, bytes(entries)) for t, (path, n, entries) in written.items()})
+
+    def joined(self, parts: list[tuple[str, int, bytes]], around: list[bytes], pack: bool = False, once: bool = False) -> Iterator[bytes]:
+        """A target's bytes; parts that are needed ``once`` are removed when they were read."""
+        table: list[bytes] = []
+
+        def own(data: bytes) -> bytes:
+            if pack and data:
+                data, entry = files.packed(data)
+                table.append(entry)
+            return data
 
-    def joined(self, parts: list[tuple[str, int]], around: list[bytes]) -> Iterator[bytes]:
-        yield around[0]
-        for k, (path, _) in enumerate(parts):
+        yield own(around[0])
+        for k, (path, _, entries) in enumerate(parts):
             if k:
-                yield around[1]
+                yield own(around[1])
+            table.append(entries)
             with files.opened(path) as file:
                 yield from files.streamed(file)
-        yield around[2]
+            if once:
+                files.dropped(path)
+        yield own(around[2])
+        if pack:
+            yield files.seek_table(table)
 
-    def deliver(self, target: str, parts: list[tuple[str, int]]) -> None:
+    def deliver(self, target: str, parts: list[tuple[str, int, bytes]]) -> None:
         around, optional = self.around(target)
-        size = sum(n for _, n in parts) + len(around[0]) + len(around[1]) * max(0, len(parts) - 1) + len(around[2])
+        size = sum(n for _, n, _ in parts) + len(around[0]) + len(around[1]) * max(0, len(parts) - 1) + len(around[2])
         if not target.startswith(("http://", "https://")):
             near = f"{target}.{uuid.uuid4().hex}"
             with files.created(near) as out:
-                for data in self.joined(parts, around):
+                for data in self.joined(parts, around, is_packed(target), once=True):
                     out.write(data)
             files.moved(near, target)
             return

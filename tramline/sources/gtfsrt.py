@@ -15,10 +15,10 @@ from pathlib import PurePath
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from ..session import shared_dir
 from . import files, split_feeds
@@ -69,7 +69,7 @@ DROP_ZERO = {"timestamp", "stop_sequence", "start", "end"}
 
 
 def detect_format(path: str) -> str:
-    return "protobuf" if PurePath(path).suffix.lower() in (".pb", ".proto", ".bin") else "json"
+    return "protobuf" if PurePath(path.removesuffix(".zst")).suffix.lower() in (".pb", ".proto", ".bin") else "json"
 
 
 def varint(n: int) -> bytes:
@@ -206,14 +206,29 @@ def written(entities: DataFrame, *forms: str) -> DataFrame:
     return entities.mapInArrow(run, ", ".join(["id string", *[f"{f} {'binary' if f == 'protobuf' else 'string'}" for f in forms]]))
 
 
-def arrow_type(kind: str) -> pa.DataType:
-    """The column type of a message or another kind of field; enums are names."""
+def arrow_type(kind: str, only: DataType | None = None) -> pa.DataType:
+    """The column type of a message or another kind of field, with ``only`` some of its
+    fields; enums are names."""
     base = kind.rstrip("+")
     plain = {"s": pa.string(), "u": pa.int64(), "i": pa.int64(), "b": pa.bool_(), "f": pa.float32(), "d": pa.float64()}
-    one = pa.struct([(name, arrow_type(k)) for _, (name, k) in sorted(MESSAGES[base].items())]) if base in MESSAGES else plain.get(base, pa.string())
+    one = pa.struct([(name, arrow_type(k, part(only, name))) for _, (name, k) in sorted(MESSAGES[base].items()) if wanted(only, name)]) if base in MESSAGES else plain.get(base, pa.string())
     return pa.list_(one) if kind.endswith("+") else one
 
 
+def wanted(only: DataType | None, name: str) -> bool:
+    return only is None or name in struct_of(only).names
+
+
+def part(only: DataType | None, name: str) -> DataType | None:
+    """What is wanted of a field, None for all of it."""
+    found = None if only is None else struct_of(only)[name].dataType
+    return found if isinstance(found, StructType | ArrayType) and isinstance(struct_of(found), StructType) else None
+
+
+def struct_of(kind: DataType) -> DataType:
+    return kind.elementType if isinstance(kind, ArrayType) else kind
+
+
 def shaped(value: object, kind: str) -> object:
     """A value of a JSON feed as its kind of field has it; what does not fit is an
     error, unknown fields are passed over."""
@@ -238,30 +253,34 @@ def cut_json(parts: Iterable[bytes]) -> Iterator[str]:
     return (data.decode() for _, data in split_feeds.json_entities(parts))
 
 
-def decoded(data: list[bytes], protobuf: bool) -> pa.StructArray:
+def decoded(data: list[bytes], protobuf: bool, only: StructType | None = None) -> pa.StructArray:
     """Entities as rows: a column at a time; one by one where something is unusual,
     as numbers written as texts are."""
     from . import gtfsrt_columns as columns
 
     try:
-        return columns.decode_all(data) if protobuf else columns.from_json(data)
+        return columns.decode_all(data, only) if protobuf else columns.from_json(data, only)
     except (ValueError, TypeError, IndexError, pa.ArrowException):
         rows = [decode(d, "FeedEntity") if protobuf else shaped(json.loads(d), "FeedEntity") for d in data]
         if None in rows:
             raise ValueError("an entity that is null") from None
-        return pa.array(rows, arrow_type("FeedEntity"))
+        return pa.array(rows, arrow_type("FeedEntity", only))
 
 
-def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE) -> DataFrame:
+def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE, fields: str | None = None) -> DataFrame:
     """(file, place, id, entity) of feed files in either format; ``entity`` is a
-    struct of the public specification's fields, null where absent.
+    struct of the public specification's fields, null where absent, or of those that are
+    asked for (``fields``, as "alert struct<cause: string>"); others are passed over.
 
-    A feed is one message. One of more than ``size`` bytes is cut by many tasks if it
+    A feed is one message, packed if its name ends in ``.zst``. One of more than ``size`` bytes is cut by many tasks if it
     can be told where its entities begin (``split_feeds``), and each decodes what it
     cuts. Any other is cut by one task as it reads; the entities are then dealt out.
     """
-    listing = files.listed(spark, path).select("path", "length")
-    ranges = split_feeds.ranges(listing, "lower(path) rlike '[^/][.](pb|proto|bin)$'", size)
+    from . import gtfsrt_columns as columns
+
+    only = None if fields is None else StructType.fromDDL(f"id string, {fields}")
+    listing = files.unpacked(files.listed(spark, path))
+    ranges = split_feeds.ranges(listing, "lower(path) rlike '[^/][.](pb|proto|bin)([.]zst)?$'", size)
     count = listing.agg(F.sum(F.when(F.col("length") > size, F.ceil(F.col("length") / size)))).head()[0] or 0
     each, whole = None, listing.select("path")
     if count:
@@ -269,6 +288,7 @@ def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE) -> DataF
         known, folder = "path string, protobuf boolean, begin long, length long, count long, place long", shared_dir(spark)
         seen.groupBy("path").applyInArrow(split_feeds.chained, known).write.parquet(folder)
         each = spark.read.schema(known).parquet(folder)
+        each = each.withColumn("behind", F.coalesce(F.lead("begin").over(Window.partitionBy("path").orderBy("begin")), "length"))  # a row for each range
         whole = whole.join(each.where("count >= 0").select("path").distinct(), "path", "left_anti")
 
     def batches_of(name: str, protobuf: bool, slices: Iterator[bytes], place: int) -> Iterator[pa.RecordBatch]:
@@ -280,7 +300,7 @@ def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE) -> DataF
     def rows_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for protobuf in batch.column(3).unique().to_pylist():
             own = batch.filter(pc.equal(batch.column(3), protobuf))
-            rows = decoded(own.column(2).to_pylist(), protobuf)
+            rows = decoded(own.column(2).to_pylist(), protobuf, only)
             yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pc.fill_null(pc.struct_field(rows, "id"), ""), rows], ["file", "place", "id", "entity"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,10 +311,23 @@ def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE) -> DataF
                     slices = cut_protobuf(files.streamed(file)) if protobuf else (t.encode() for t in cut_json(files.streamed(file)))
                     yield from batches_of(name, protobuf, slices, 0)
 
+    def at_once(file: pa.NativeFile, r: dict) -> pa.StructArray | None:
+        """The entities of a range of a JSON feed, None if they have to be read one by one."""
+        try:
+            rows = columns.feed_rows(split_feeds.own_feed(file, r["begin"], r["behind"], r["length"]), only)
+        except (ValueError, pa.ArrowException):
+            return None
+        return rows if len(rows) == r["count"] and not rows.null_count else None
+
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 with files.opened(r["path"]) as file:
+                    if not r["protobuf"] and (rows := at_once(file, r)) is not None:
+                        for k in range(0, len(rows), 5_000):
+                            own = rows[k : k + 5_000]
+                            yield pa.RecordBatch.from_arrays([pa.array([r["path"]] * len(own)), pa.array(range(r["place"] + k, r["place"] + k + len(own)), pa.int64()), pc.fill_null(pc.struct_field(own, "id"), ""), own], ["file", "place", "id", "entity"])
+                        continue
                     slices = (d for _, d in islice(split_feeds.entities(file, r["protobuf"], r["begin"], r["length"]), r["count"]))
                     for part in batches_of(r["path"], r["protobuf"], slices, r["place"]):
                         yield from rows_of(part)
@@ -303,7 +336,7 @@ def read(spark: SparkSession, path: str, size: int = split_feeds.RANGE) -> DataF
         for batch in batches:
             yield from rows_of(batch)
 
-    schema = StructType().add("file", "string").add("place", "long").add("id", "string").add("entity", from_arrow_type(arrow_type("FeedEntity")))
+    schema = StructType().add("file", "string").add("place", "long").add("id", "string").add("entity", from_arrow_type(arrow_type("FeedEntity", only)))
     slices = whole.mapInArrow(cut, "file string, place long, data binary, protobuf boolean")
     out = slices.repartition("file", "place").mapInArrow(dealt_out, schema)
     return out if each is None else out.union(dealt(each.where("count > 0"), count).mapInArrow(ranged, schema))

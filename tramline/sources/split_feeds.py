@@ -16,11 +16,14 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import files
 
 #: Bytes of a range, and bytes at its start in which the first entity is looked for.
 RANGE, LOOK = 32 << 20, 4 << 20
+#: Most bytes of a JSON feed that are read as one text.
+AT_ONCE = 1 << 30
 #: Entities that have to follow each other for a guess in a protobuf feed.
 ROW = 8
 #: Fields that an entity has, besides its id.
@@ -185,6 +188,36 @@ def json_guess(data: bytes, least: int) -> int | None:
     return None
 
 
+def own_feed(file: pa.NativeFile, begin: int, behind: int, length: int) -> bytes:
+    """The entities between two places, where the first of them and one behind them begin,
+    as a feed of their own."""
+    if behind - begin > AT_ONCE:
+        raise ValueError("too much for one text")
+    text = b"".join(files.chunks(file, begin, behind)).rstrip()
+    if behind < length:
+        if not text.endswith(b","):
+            raise ValueError("not between entities")
+        text = text[:-1] + b"]}"
+    return b'{"entity":[' + text if begin else text
+
+
+def json_walked(file: pa.NativeFile, begin: int, end: int, length: int) -> tuple[int, int] | None:
+    """(behind, count) of a range behind the first, by reading all up to where an entity is
+    guessed behind its end; as this is a list of entities, the guess is right. None if not."""
+    from . import gtfsrt_columns as columns  # it needs this module
+
+    behind = length
+    if end < length:
+        at = json_guess(b"".join(files.chunks(file, end - 256, min(length, end + LOOK))), 256)
+        if at is None:
+            return None
+        behind = end - 256 + at
+    try:
+        return behind, len(columns.feed_rows(own_feed(file, begin, behind, length), StructType().add("id", "string")))
+    except (ValueError, pa.ArrowException):
+        return None
+
+
 # --- ranges --------------------------------------------------------------------------
 
 
@@ -204,6 +237,8 @@ def walked(name: str, protobuf: bool, start: int, end: int, length: int) -> tupl
             begin = -1 if at is None else start + at - (0 if protobuf else before)
         if start and not start <= begin < end:
             return -1, -1, 0
+        if start and not protobuf and (found := json_walked(file, begin, end, length)):
+            return begin, *found
         count = 0
         try:
             for place, _ in entities(file, protobuf, begin, length):
