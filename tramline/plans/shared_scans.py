@@ -41,13 +41,14 @@ def journey_files(spark: SparkSession, sf_dir: str) -> str:
     rows = o.select(number("o_orderkey"), place("o_orderkey"), journey.alias("journey"), no_time.alias("time"), no_text.alias("text"))
     rows = rows.union(line.select(number("l_orderkey"), place("l_orderkey"), no_journey, time, no_text)).union(around.select("file", "place", no_journey, no_time, "text"))
     # dealt by file once, as keys and numbers; the text is made where it is written
-    each = rows.repartition("file").groupBy("file", "place").agg(F.collect_list("journey").alias("journeys"), F.collect_list("time").alias("times"), F.max("text").alias("text"))
-    key = F.col("place")
-    time_xml = lambda t: F.concat(F.lit("<TimetabledPassingTime id='"), key, F.lit(":"), t["l_linenumber"], F.lit("'><StopPointInJourneyPatternRef ref='S:"), t["l_suppkey"], F.lit("' order='"), t["l_linenumber"], F.lit("'/></TimetabledPassingTime>"))
-    times = F.array_join(F.transform(F.sort_array(F.transform("times", lambda t: F.struct(t["l_linenumber"].alias("n"), time_xml(t).alias("xml")))), lambda t: t["xml"]), "")
+    rows, key, t, j = rows.repartition(8 * spark.sparkContext.defaultParallelism, "file"), F.col("place"), F.col("time"), F.col("journey")
+    time_xml = F.concat(F.lit("<TimetabledPassingTime id='"), key, F.lit(":"), t["l_linenumber"], F.lit("'><StopPointInJourneyPatternRef ref='S:"), t["l_suppkey"], F.lit("' order='"), t["l_linenumber"], F.lit("'/></TimetabledPassingTime>"))
+    rows = rows.withColumn("time", F.when(t.isNotNull(), F.struct(t["l_linenumber"].alias("n"), time_xml.alias("xml"))))
+    each = rows.groupBy("file", "place").agg(F.collect_list("journey").alias("journeys"), F.sort_array(F.collect_list("time")).alias("times"), F.max("text").alias("text"))
     remark = F.when(key % 10 == 0, "<!-- <ServiceJourney id='no'/> > -->").otherwise("")
-    journey_xml = lambda j: F.concat(F.lit("<ServiceJourney id='J:"), key, F.lit("'>"), remark, F.lit("<Name>"), j["o_orderpriority"], F.lit("</Name><passingTimes>"), F.col("times"), F.lit("</passingTimes><LineRef ref='L:"), j["o_custkey"], F.lit("'/></ServiceJourney>"))
-    made = each.withColumn("times", times).select("file", "place", F.explode(F.when(F.col("text").isNotNull(), F.array("text")).otherwise(F.transform("journeys", journey_xml))).alias("value"))
+    journey_xml = F.concat(F.lit("<ServiceJourney id='J:"), key, F.lit("'>"), remark, F.lit("<Name>"), j["o_orderpriority"], F.lit("</Name><passingTimes>"), F.array_join(F.col("times")["xml"], ""), F.lit("</passingTimes><LineRef ref='L:"), j["o_custkey"], F.lit("'/></ServiceJourney>"))
+    made = each.select("file", "place", "text", "times", F.explode_outer("journeys").alias("journey")).where(F.col("text").isNotNull() | j.isNotNull())
+    made = made.select("file", "place", F.coalesce("text", journey_xml).alias("value"))
     folder = shared_dir(spark)
     made.sortWithinPartitions("file", "place").select("file", "value").write.partitionBy("file").text(folder)
     return folder
@@ -61,9 +62,8 @@ from b join lineitem on l_orderkey = o_orderkey""")
 def s15_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Large files cut between journeys, each piece a task; rows are numbered
     through each file, passing times before their journey."""
-    rows = netex.read_xml(spark, journey_files(spark, sf_dir), types=["ServiceJourney", "TimetabledPassingTime"], piece=PIECE)
-    get = lambda *names: F.coalesce(*[F.try_element_at("fields", F.lit(n)) for n in names])
-    return rows.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("int").alias("file"), "seq", "type", get("id").alias("id"), get("line_ref", "stop_point_in_jp_ref").alias("ref"), get("name", "service_journey_id").alias("text"))
+    rows = netex.read_xml(spark, journey_files(spark, sf_dir), types=["ServiceJourney", "TimetabledPassingTime"], piece=PIECE, columns=["id", "line_ref", "stop_point_in_jp_ref", "name", "service_journey_id"])
+    return rows.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("int").alias("file"), "seq", "type", "id", F.coalesce("line_ref", "stop_point_in_jp_ref").alias("ref"), F.coalesce("name", "service_journey_id").alias("text"))
 
 
 def archives(spark: SparkSession, sf_dir: str, orders: int) -> str:

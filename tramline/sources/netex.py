@@ -294,9 +294,10 @@ def between(names: list[bytes]) -> bool:
     return len(names) <= 6 or len(names) == 7 and names[5] == b"ServiceCalendar"
 
 
-def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence[str] | None = None, piece: int = split_xml.PIECE) -> DataFrame:
+def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence[str] | None = None, piece: int = split_xml.PIECE, columns: Sequence[str] | None = None) -> DataFrame:
     """Entities of XML files, or of the first XML in zips: (type, seq, fields,
-    file). ``types`` prunes inside the scan.
+    file). ``types`` prunes inside the scan, as ``columns`` does, which are some
+    fields that stand in place of ``fields``, null where absent.
 
     Files up to ``piece`` bytes are a task's row each. Larger ones are cut between
     entities into pieces of about that size, each parsed by a task of its own, and
@@ -305,37 +306,40 @@ def read_xml(spark: SparkSession, path: str, name: str = "epip", types: Sequence
     follows the first CompositeFrame's frames may not be looked at.
     """
     known = profile(name)  # sent along: registered profiles are the driver's
+    given = ["fields"] if columns is None else [f"`{c}`" for c in columns]
+    schema = SCHEMA if columns is None else ", ".join(["type string", "seq long", *(f"{c} string" for c in given), "file string"])
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with io.BytesIO(content) as held:
-                    yield from batches_of(entities(xml_of(held), known, types), file)
+                    yield from batches_of(entities(xml_of(held), known, types), file, columns)
 
     def large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, start, end, length, prefix in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for file, start, end, length, prefix, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 with files.opened(file) as held:
                     data = xml_of(held) if (start, end) == (0, length) else files.chunks(held, start, end)
                     rows = entities(data, known, types, prefix, whole=end == length)
-                    for part in batches_of(rows, file):
-                        yield pa.RecordBatch.from_arrays([*part.columns, pa.array([start] * part.num_rows, pa.int64())], [*part.schema.names, "start"])
+                    for part in batches_of(rows, file, columns):
+                        yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.repeat(pa.scalar(number, pa.int64()), part.num_rows)], [*part.schema.names[:-1], "piece"])
 
     every = spark.read.format("binaryFile").load(path)
-    found = every.where(F.col("length") <= piece).select("path", "content").mapInArrow(small, SCHEMA)
+    found = every.where(F.col("length") <= piece).select("path", "content").mapInArrow(small, schema)
     over = files.listed(spark, path).where(F.col("length") > piece)
     if over.isEmpty():
         return found
     cuts = split_xml.pieces(over, between, ("PublicationDelivery", "dataObjects", "CompositeFrame", "frames"), piece)
     n = cuts.count()
-    rows = split_xml.dealt(cuts, n).mapInArrow(large, f"{SCHEMA}, start long")
+    numbered = schema.removesuffix("file string") + "piece long"
     folder = shared_dir(spark)
-    rows.write.parquet(folder)
-    rows = spark.read.schema(f"{SCHEMA}, start long").parquet(folder)
-    order = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    before = rows.groupBy("file", "start").count().select("file", "start", F.coalesce(F.sum("count").over(order), F.lit(0)).alias("before"))  # a row for each piece
-    placed = rows.join(F.broadcast(before) if n <= BROADCAST_PIECES else before, ["file", "start"])
-    return found.union(placed.select("type", (F.col("seq") + F.col("before")).alias("seq"), "fields", "file"))
+    split_xml.dealt(cuts, n).mapInArrow(large, numbered).write.parquet(folder)
+    rows = spark.read.schema(numbered).parquet(folder)
+    order = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counted = cuts.select("piece", "path", "start").join(rows.groupBy("piece").count(), "piece")  # a row for each piece
+    before = counted.select("piece", F.col("path").alias("file"), F.coalesce(F.sum("count").over(order), F.lit(0)).alias("before"))
+    placed = rows.join(F.broadcast(before) if n <= BROADCAST_PIECES else before, "piece")
+    return found.union(placed.select("type", (F.col("seq") + F.col("before")).alias("seq"), *given, "file"))
 
 
 def xml_of(file: IO[bytes]) -> Iterator[bytes]:
@@ -353,15 +357,18 @@ def xml_of(file: IO[bytes]) -> Iterator[bytes]:
             yield from files.streamed(held)
 
 
-def batches_of(rows: Iterator[Row], file: str, size: int = 5_000) -> Iterator[pa.RecordBatch]:
+def batches_of(rows: Iterator[Row], file: str, columns: Sequence[str] | None = None, size: int = 5_000) -> Iterator[pa.RecordBatch]:
     """Rows numbered from 0, so many at a time."""
     seq = 0
     while part := list(islice(rows, size)):
-        yield to_batch(part, seq, file)
+        yield to_batch(part, seq, file, columns)
         seq += len(part)
 
 
-def to_batch(rows: list[Row], seq: int, file: str) -> pa.RecordBatch:
+def to_batch(rows: list[Row], seq: int, file: str, columns: Sequence[str] | None = None) -> pa.RecordBatch:
+    if columns is not None:
+        own = [pa.array([f.get(c) for _, f in rows], pa.string()) for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array(range(seq, seq + len(rows)), pa.int64()), *own, pa.repeat(pa.scalar(file, pa.string()), len(rows))], ["type", "seq", *columns, "file"])
     ends = pa.array(accumulate((len(f) for _, f in rows), initial=0), pa.int32())
     names, values = (pa.array(list(chain.from_iterable(part)), pa.string()) for part in ((f.keys() for _, f in rows), (f.values() for _, f in rows)))
     fields = pa.MapArray.from_arrays(ends, names, values)

@@ -247,8 +247,9 @@ def dealt(rows: DataFrame, count: int) -> DataFrame:
 
 
 def pieces(files: DataFrame, allowed: Callable[[list[bytes]], bool], last: tuple[str, ...], size: int = PIECE) -> DataFrame:
-    """(path, start, end, length, prefix): the pieces of large files, each well-formed
-    behind its ``prefix`` but for the end tags that it leaves out.
+    """(path, start, end, length, prefix, piece): the pieces of large files, each
+    well-formed behind its ``prefix`` but for the end tags that it leaves out, with a
+    number of its own.
 
     ``allowed`` says of the names of the open elements whether a cut may be there.
     What follows the end of the first element with path ``last`` is left out.
@@ -316,6 +317,6 @@ def pieces(files: DataFrame, allowed: Callable[[list[bytes]], bool], last: tuple
     cuts = cuts.groupBy("path", "start").agg(F.min("over").alias("over"), F.first("length").alias("length"), F.first("prefix").alias("prefix"))
     following = F.lead("start").over(Window.partitionBy("path").orderBy("start"))
     ended = cuts.withColumn("end", F.coalesce(following, "length")).where("start < end and (over is null or start < over)")
-    folder, schema = shared_dir(files.sparkSession), "path string, start long, end long, length long, prefix binary"
-    ended.select("path", "start", "end", "length", "prefix").write.parquet(folder)
+    folder, schema = shared_dir(files.sparkSession), "path string, start long, end long, length long, prefix binary, piece long"
+    ended.select("path", "start", "end", "length", "prefix", F.monotonically_increasing_id().alias("piece")).write.parquet(folder)
     return files.sparkSession.read.schema(schema).parquet(folder)
